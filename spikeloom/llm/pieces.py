@@ -29,9 +29,21 @@ from .common import small_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ROOM = 300_000
-#: Where pieces never cross: letters and digits, other characters, each with the blanks in front.
-_FINE = re.compile(r" *[^\W_]+| *(?:[^\w ]|_)+| +")
-_COARSE = re.compile(r" +[^ ]*")
+
+
+def chunker(spaced: list[str]):
+    """Cuts a text where no piece ever crosses: letters and digits, other characters, each with the blanks in front.
+
+    Characters of pieces that would cross count as other ones; if pieces still cross, only blanks begin a chunk.
+    """
+    odd = ""
+    for _ in range(2):
+        cut = re.compile(rf" *[^\W_{odd}]+| *(?:[^\w ]|[_{odd}])+| +")
+        crossing = [p for p in spaced if not cut.fullmatch(p)]
+        if not crossing:
+            return cut.findall
+        odd = "".join(re.escape(c) for c in sorted({c for p in crossing for c in p} - {" "}))
+    return re.compile(r" +[^ ]*").findall if all(" " not in p.lstrip(" ") for p in spaced) else lambda text: [text]
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int, bytes | int]]:
@@ -87,8 +99,7 @@ class Transducer:
         self.sizes = {ending: sorted(own - {1}, reverse=True) for ending, own in sizes.items()}  # of pieces with this ending
         if missing := {c for p in self.ids for c in p} - set(self.ids):
             raise ValueError(f"characters of pieces that are no pieces: {len(missing)}")
-        spaced = [p.replace("▁", " ") for p in self.ids]
-        self.chunks = next((r.findall for r in (_FINE, _COARSE) if all(r.fullmatch(p) or " " not in p and r is _COARSE for p in spaced)), lambda text: [text])
+        self.chunks = chunker([p.replace("▁", " ") for p in self.ids])
         self.strings = [p for p, _, _ in vocabulary]
         self.fits: dict[int, bool] = {}
         self.paths: dict[str, bytes] = {}
