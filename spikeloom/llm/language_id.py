@@ -167,3 +167,9 @@ def predict_languages(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     model = prototypes(docs.where(F.coalesce(remainder("doc_id", 3) != 1, F.lit(False))))
     return identify(docs, model)
+
+
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """`docs` without the rows whose language is undetermined: null texts and texts without letters."""
+    found = predict_languages(docs).where("lang_pred <> 'und'").select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_semi").select(*docs.columns)
