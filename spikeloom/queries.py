@@ -1,0 +1,4 @@
+"""Registered queries of the burst-analytics operators and their SQL."""
+
+QUERIES: dict = {}
+ORACLES: dict = {}
