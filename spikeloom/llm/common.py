@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,12 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share: below spark.checkpoint.dir, or a temporary one where that is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write `df` to the cluster's checkpoint folder and read it from there; any executor may be lost afterwards."""
     spark = df.sparkSession

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, language_id, near_dedup, pieces
+from . import chat, exact_dedup, language_id, near_dedup, pieces, suffix_dedup
 from .common import table
 
 
+def op2_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.strip_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_near_dedup(spark, sf_dir):
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
 
@@ -26,5 +30,5 @@ def op10_language_id(spark, sf_dir):
     return language_id.predict_languages(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_near_dedup, op7_exact_dedup, op8_sentencepiece, op9_chat_format, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op2_suffix_dedup, op5_near_dedup, op7_exact_dedup, op8_sentencepiece, op9_chat_format, op10_language_id)}
 ORACLES = {"op7_exact_dedup": exact_dedup.ORACLE_SQL, "op9_chat_format": chat.ORACLE_SQL}
