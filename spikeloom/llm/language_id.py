@@ -5,9 +5,8 @@ the first rotated twice and the second once; a text is the sum of its trigrams (
 side); a language's prototype is the sum of its training texts. A text gets the language whose prototype has the
 largest cosine with it, the first in alphabetical order on ties.
 
-Prototypes are bundled over every training row: trigram counts by language are summed inside each task, then by a
-Spark aggregation; trigrams share 2**18 slots by hash, so the counts that reach the driver are at most 2**18 for
-each learned language. A null text or one without letters gets `und` and score 0, as does every text if nothing could be
+Prototypes are bundled over every training row: each task sums its rows by language, Spark adds the sums, and DIMENSIONS
+numbers for each learned language reach the driver. A null text or one without letters gets `und` and score 0, as does every text if nothing could be
 learned. The score is (1 + cosine) / 2. Very long texts are taken in pieces. Other columns are ignored.
 """
 
@@ -24,10 +23,8 @@ from pyspark.sql import functions as F
 from .common import U64, mixed, remainder, small_batches
 
 DIMENSIONS = 1024
-SLOTS = 1 << 18
 PIECE = 1 << 20
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
-_seen: dict[str, np.ndarray] = {}
 
 
 def letter_vectors(points: np.ndarray) -> np.ndarray:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, exact_dedup, language_id, near_dedup, pieces, suffix_dedup
+from . import arc, chat, decontaminate, exact_dedup, language_id, near_dedup, pieces, suffix_dedup
 from .common import table
 
 
@@ -10,10 +10,18 @@ def op2_suffix_dedup(spark, sf_dir):
     return suffix_dedup.strip_repeats(table(spark, sf_dir, "documents"))
 
 
+def op4_arc_to_warc(spark, sf_dir):
+    return arc.archive(table(spark, sf_dir, "pages"))
+
+
 def op5_near_dedup(spark, sf_dir):
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_decontaminate(spark, sf_dir):
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -30,5 +38,5 @@ def op10_language_id(spark, sf_dir):
     return language_id.predict_languages(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_dedup, op5_near_dedup, op7_exact_dedup, op8_sentencepiece, op9_chat_format, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op2_suffix_dedup, op4_arc_to_warc, op5_near_dedup, op6_decontaminate, op7_exact_dedup, op8_sentencepiece, op9_chat_format, op10_language_id)}
 ORACLES = {"op7_exact_dedup": exact_dedup.ORACLE_SQL, "op9_chat_format": chat.ORACLE_SQL}
