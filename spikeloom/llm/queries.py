@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-from . import arc, chat, decontaminate, exact_dedup, language_id, near_dedup, pieces, suffix_dedup
+from . import arc, chat, decontaminate, exact_dedup, language_id, near_dedup, pieces, pii, suffix_dedup, toxicity
 from .common import table
 
 
+def op1_pii(spark, sf_dir):
+    return pii.digests(pii.find(table(spark, sf_dir, "documents")))
+
+
 def op2_suffix_dedup(spark, sf_dir):
     return suffix_dedup.strip_repeats(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark, sf_dir):
+    return toxicity.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_arc_to_warc(spark, sf_dir):
     return arc.archive(table(spark, sf_dir, "pages"))
 
@@ -38,5 +46,5 @@ def op10_language_id(spark, sf_dir):
     return language_id.predict_languages(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_dedup, op4_arc_to_warc, op5_near_dedup, op6_decontaminate, op7_exact_dedup, op8_sentencepiece, op9_chat_format, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_suffix_dedup, op3_toxicity, op4_arc_to_warc, op5_near_dedup, op6_decontaminate, op7_exact_dedup, op8_sentencepiece, op9_chat_format, op10_language_id)}
 ORACLES = {"op7_exact_dedup": exact_dedup.ORACLE_SQL, "op9_chat_format": chat.ORACLE_SQL}
