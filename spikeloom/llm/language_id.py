@@ -13,7 +13,7 @@ learned. The score is (1 + cosine) / 2. Very long texts are taken in pieces. Oth
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -138,25 +138,34 @@ def prototypes(training: DataFrame) -> dict[str, np.ndarray]:
     return {k: (v / n).astype(np.float32) for k, v in sorted(found.items()) if (n := np.linalg.norm(v))}
 
 
+def labeller(model: dict[str, np.ndarray]) -> Callable[[list[str | None]], tuple[list[str], np.ndarray]]:
+    """A function from texts to their languages and scores, for one task."""
+    langs, matrix, bundler = list(model), np.array(list(model.values()), np.float32).reshape(len(model), DIMENSIONS).T, Bundler()
+
+    def label(texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        sums = bundles([t or "" for t in texts], bundler)
+        norms = np.linalg.norm(sums, axis=1)
+        cosines = (sums @ matrix) / np.maximum(norms, 1e-9)[:, None] if langs else np.zeros((len(sums), 1))
+        best = cosines.argmax(axis=1)
+        some = (norms > 0) & bool(langs)
+        score = np.where(some, np.clip((1 + cosines[np.arange(len(best)), best]) / 2, 0, 1), 0).astype(np.float64)
+        return [langs[b] if s else "und" for b, s in zip(best, some, strict=True)], score
+
+    return label
+
+
 def identify(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row."""
-    langs, matrix = list(model), np.array(list(model.values()), np.float32).reshape(len(model), DIMENSIONS).T
 
-    def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bundler = Bundler()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        label = labeller(model)
         for batch in batches:
-            sums = bundles([t or "" for t in batch["text"].to_pylist()], bundler)
-            norms = np.linalg.norm(sums, axis=1)
-            cosines = (sums @ matrix) / np.maximum(norms, 1e-9)[:, None] if langs else np.zeros((len(sums), 1))
-            best = cosines.argmax(axis=1)
-            some = (norms > 0) & bool(langs)
-            score = np.where(some, np.clip((1 + cosines[np.arange(len(best)), best]) / 2, 0, 1), 0).astype(np.float64)
-            names = [langs[b] if s else "und" for b, s in zip(best, some, strict=True)]
+            names, score = label(batch["text"].to_pylist())
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], pa.array(names, pa.string()), pa.array(score)], names=["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select("doc_id", F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(predicted, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
 def predict_languages(docs: DataFrame) -> DataFrame:
@@ -168,5 +177,13 @@ def predict_languages(docs: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """`docs` without the rows whose language is undetermined: null texts and texts without letters."""
-    found = predict_languages(docs).where("lang_pred <> 'und'").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_semi").select(*docs.columns)
+    small_batches(docs.sparkSession)
+    model = prototypes(docs.where(F.coalesce(remainder("doc_id", 3) != 1, F.lit(False))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        label = labeller(model)
+        for batch in batches:
+            names, _ = label(batch["text"].to_pylist())
+            yield batch.filter(pa.array([n != "und" for n in names], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
