@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -38,7 +39,10 @@ def cut(df: DataFrame) -> DataFrame:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-cut-"))
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)
+    gc.collect()
+    spark._jvm.System.gc()  # Spark removes the shuffle files behind `df` once nothing refers to them
+    return done
 
 
 def utf8(column: pa.Array) -> list[bytes]:

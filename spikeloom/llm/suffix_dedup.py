@@ -6,7 +6,7 @@ have equal minimisers, and all that must be sorted together are the stretches of
 1. Each document's distinct minimiser hashes go, packed into one row for each slot and batch, to the slot of their hash.
    There, hashes that are in several documents are found and sent back to their documents.
 2. Those documents cut the stretches (runs of strings with one minimiser, 50 to 2 * 50 - K bytes) around such hashes. Equal
-   stretches are folded into one, which carries the smallest doc_id.
+   stretches are folded into one, which carries the smallest doc_id, by the task that cuts them and again in their slot.
 3. A slot of stretches is sorted by suffixes in two stages. Suffixes smaller than their successors are sorted directly, by
    words of eight bytes; scanning the buckets of first bytes upwards then induces the order of the others, because a
    suffix of theirs stands in its bucket in the order of the suffix that follows it. Common prefixes of adjacent suffixes then delimit
@@ -25,14 +25,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, mixed, powers, prefix_hash, small_batches, utf8, width
+from .common import U64, cut, mixed, powers, prefix_hash, small_batches, utf8, width
 
 LENGTH, K = 50, 26
 PIECE = 1 << 22
+REMEMBERED = 300_000
 _HIGH = U64(0xFFFFFFFFFF000000)
+_SHORT = U64((1 << 48) - 1)
 
 
 def stretches(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -111,6 +114,17 @@ def suffix_array(text: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
+def _short(h: np.ndarray) -> bytes:
+    """The low 48 bits of hashes, 6 bytes each; a slot's hashes also agree in what made the slot."""
+    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _long(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.reshape(-1).view("<u8")
+
+
 def _runs(values: np.ndarray, members: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
     if not len(values):
         return [], []
@@ -170,17 +184,18 @@ def covered(docs: DataFrame) -> DataFrame:
             own = [np.unique(stretches(data)[0]) for data in utf8(batch["text"])]
             h = np.concatenate([*own, np.empty(0, np.uint64)])
             which = np.repeat(np.arange(len(ids)), [len(x) for x in own])
-            slot = (h % U64(slots)).astype(np.int64)
+            slot = (mixed(h) % U64(slots)).astype(np.int64)
             order = np.argsort(slot, kind="stable")
             out = []
             for s, at in zip(*_runs(slot[order], order), strict=True):
                 doc, n = np.unique(which[at], return_counts=True)
-                out.append((s, ids[doc].tobytes(), n.astype("<i4").tobytes(), h[at].tobytes()))
+                out.append((s, ids[doc].tobytes(), n.astype("<i4").tobytes(), _short(h[at])))
             columns = list(zip(*out, strict=True)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["slot", "ids", "counts", "hashes"])
 
     def shared(group: pa.Table) -> pa.Table:
-        ids, counts, hashes = (np.frombuffer(b"".join(group[c].to_pylist()), k) for c, k in (("ids", "<i8"), ("counts", "<i4"), ("hashes", "<u8")))
+        ids, counts = (np.frombuffer(b"".join(group[c].to_pylist()), k) for c, k in (("ids", "<i8"), ("counts", "<i4")))
+        hashes = _long(b"".join(group["hashes"].to_pylist()))
         doc = np.repeat(ids, counts)
         order = np.lexsort((doc, hashes))
         h, d = hashes[order], doc[order]
@@ -191,36 +206,78 @@ def covered(docs: DataFrame) -> DataFrame:
         h, d = h[keep], d[keep]
         order = np.argsort(d, kind="stable")
         names, parts = _runs(d[order], h[order])
-        return pa.table({"doc_id": pa.array(names, pa.int64()), "hashes": pa.array([x.tobytes() for x in parts], pa.binary())})
+        return pa.table({"doc_id": pa.array(names, pa.int64()), "hashes": pa.array([_short(x) for x in parts], pa.binary())})
+
+    def own_stretches(batch: pa.RecordBatch) -> Iterator[tuple[int, dict[tuple[int, bytes], list[int]]]]:
+        """Each document's distinct stretches around shared hashes, as (hash, bytes) -> starts."""
+        for doc_id, data, wanted in zip(batch["doc_id"].to_pylist(), utf8(batch["text"]), batch["hashes"].to_pylist(), strict=True):
+            h, first, last = stretches(data)
+            known, low = np.sort(_long(b"".join(wanted))), h & _SHORT
+            at = np.flatnonzero(known[np.minimum(np.searchsorted(known, low), len(known) - 1)] == low)
+            own: dict[tuple[int, bytes], list[int]] = {}
+            for x, f, e in zip(h[at].view(np.int64).tolist(), first[at].tolist(), last[at].tolist(), strict=True):
+                own.setdefault((x, data[f : e + LENGTH]), []).append(f)
+            yield doc_id, own
+
+    def cut_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: dict[int, int] = {}  # a task sends a stretch again only for a smaller owner, or once it has forgotten it
+        for batch in batches:
+            least: dict[tuple[int, bytes], int] = {}
+            for doc_id, own in own_stretches(batch):
+                for k in own:
+                    least[k] = min(doc_id, least.get(k, doc_id))
+            if len(sent) > REMEMBERED:
+                sent.clear()
+            out = []
+            for (x, part), owner in least.items():
+                key = xxhash.xxh3_64_intdigest(part)
+                if owner < sent.get(key, owner + 1):
+                    sent[key] = owner
+                    out.append((x, key - (1 << 63), part, owner))
+            columns = list(zip(*out, strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.int64()), strict=True)], names=["h", "key", "part", "owner"])
 
-    def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hs, ss, ps, ds = [], [], [], []
-            for doc_id, data, wanted in zip(batch["doc_id"].to_pylist(), utf8(batch["text"]), batch["hashes"].to_pylist(), strict=True):
-                h, first, last = stretches(data)
-                known = np.sort(np.frombuffer(b"".join(wanted), "<u8"))
-                at = np.flatnonzero(known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h)
-                hs.append(h[at].view(np.int64))
-                ss.append(first[at])
-                ps += [data[f : e + LENGTH] for f, e in zip(first[at].tolist(), last[at].tolist(), strict=True)]
-                ds.append(np.full(len(at), doc_id))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ds, hs, ss)] + [pa.array(ps, pa.binary())], names=["doc_id", "h", "start", "part"])
+            out = [(doc_id, x, xxhash.xxh3_64_intdigest(part) - (1 << 63), np.array(starts, "<i4").tobytes()) for doc_id, own in own_stretches(batch) for (x, part), starts in own.items()]
+            columns = list(zip(*out, strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["doc_id", "h", "key", "starts"])
 
     def sorted_slot(group: pa.Table) -> pa.Table:
-        parts, h = group["part"].to_pylist(), np.array(group["h"], np.int64)
-        least = equal_strings(parts, np.array(group["owner"], np.int64))
-        runs = [(k, np.concatenate([[0], np.flatnonzero(x[1:] != x[:-1]) + 1, [len(x)]])) for k, x in enumerate(least)]
-        k = np.concatenate([np.full(len(c) - 1, k) for k, c in runs])
-        low = np.concatenate([c[:-1] for _, c in runs])
-        return pa.table({"h": h[k], "key": np.array(group["key"], np.int64)[k], "low": low, "high": np.concatenate([c[1:] - 1 for _, c in runs]), "least": np.array([least[a][b] for a, b in zip(k, low, strict=True)], np.int64)})
+        folded: dict[tuple[int, int, bytes], int] = {}
+        for x, key, part, owner in zip(*(group[c].to_pylist() for c in ("h", "key", "part", "owner")), strict=True):
+            folded[x, key, part] = min(owner, folded.get((x, key, part), owner))
+        h, key, parts = (list(c) for c in zip(*folded, strict=True))
+        h, key = np.array(h, np.int64), np.array(key, np.int64)
+        least = equal_strings(parts, np.array(list(folded.values()), np.int64))
+        runs = [np.concatenate([[0], np.flatnonzero(x[1:] != x[:-1]) + 1, [len(x)]]) for x in least]
+        k = np.repeat(np.arange(len(runs)), [len(c) - 1 for c in runs])
+        low = np.concatenate([c[:-1] for c in runs])
+        return pa.table({"h": h[k], "key": key[k], "low": low, "high": np.concatenate([c[1:] - 1 for c in runs]), "least": np.concatenate([x[c[:-1]] for x, c in zip(least, runs, strict=True)])})
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            starts = [np.frombuffer(x, "<i4").astype(np.int64) for x in batch["starts"].to_pylist()]
+            k = np.repeat(np.arange(len(starts)), [len(x) for x in starts])
+            at = np.concatenate([*starts, np.empty(0, np.int64)])
+            ids, low, high = (np.array(batch[c], np.int64)[k] for c in ("doc_id", "low", "high"))
+            s, e = at + low, at + high + LENGTH
+            order = np.lexsort((s, ids))
+            ids, s, e = ids[order], s[order], e[order]
+            ends = np.ones(len(s), bool)  # neighbours of a run of stretches become one span
+            ends[:-1] = (ids[1:] != ids[:-1]) | (s[1:] > np.maximum(e[:-1], 0))
+            starts_at = np.concatenate([[True], ends[:-1]])[: len(s)]
+            top = np.maximum.reduceat(e, np.flatnonzero(starts_at)) if len(s) else e
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[starts_at], s[starts_at], top)], names=["doc_id", "s", "e"])
 
     packs = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(packed, "slot int, ids binary, counts binary, hashes binary")
     again = packs.groupBy("slot").applyInArrow(shared, "doc_id long, hashes binary").groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes"))
-    found = texts.join(again, "doc_id").mapInArrow(cut_out, "doc_id long, h long, start long, part binary").withColumn("key", F.xxhash64("part"))
-    folded = found.groupBy("h", "key", "part").agg(F.min("doc_id").alias("owner"))
-    least = folded.groupBy(F.pmod("h", F.lit(16 * slots)).alias("slot")).applyInArrow(sorted_slot, "h long, key long, low long, high long, least long")
-    lost = found.select("doc_id", "h", "key", "start").join(least, ["h", "key"]).where("least < doc_id")
-    return lost.groupBy("doc_id").agg(F.collect_list(F.struct((F.col("start") + F.col("low")).alias("s"), (F.col("start") + F.col("high") + LENGTH).alias("e"))).alias("spans"))
+    found = texts.join(cut(again), "doc_id").select("doc_id", "text", "hashes")
+    parts = found.mapInArrow(cut_parts, "h long, key long, part binary, owner long")
+    least = parts.groupBy(F.pmod("h", F.lit(16 * slots)).alias("slot")).applyInArrow(sorted_slot, "h long, key long, low long, high long, least long")
+    lost = found.mapInArrow(cut_places, "doc_id long, h long, key long, starts binary").join(least, ["h", "key"]).where("least < doc_id")
+    spans = lost.select("doc_id", "low", "high", "starts").mapInArrow(spread, "doc_id long, s long, e long")
+    return spans.groupBy("doc_id").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
 
 
 def remaining(data: bytes, spans: list[dict] | None) -> tuple[bytes, int, int]:
