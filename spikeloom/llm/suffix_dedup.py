@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import U64, cut, mixed, powers, prefix_hash, small_batches, utf8, width
 
-LENGTH, K = 50, 26
+LENGTH, K = 50, 20
 PIECE = 1 << 22
 REMEMBERED = 300_000
 _HIGH = U64(0xFFFFFFFFFF000000)
@@ -125,6 +125,11 @@ def _long(data: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
+def _key(part: bytes) -> tuple[int, int]:
+    """96 bits that stand for a stretch in the join back to its places."""
+    return xxhash.xxh3_64_intdigest(part) - (1 << 63), xxhash.xxh32_intdigest(part) - (1 << 31)
+
+
 def _runs(values: np.ndarray, members: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
     if not len(values):
         return [], []
@@ -169,11 +174,13 @@ def equal_strings(parts: list[bytes], owners: np.ndarray) -> list[np.ndarray]:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    known = docs if dict(docs.dtypes)["doc_id"] == "bigint" else docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    return known.where("doc_id IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
-def covered(docs: DataFrame) -> DataFrame:
-    """(doc_id, spans array<struct<s,e>>): the removed byte ranges, not merged, of documents that lose any."""
+def covered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text) of every row with an id, and (doc_id, spans array<struct<s,e>>): the removed byte ranges, not merged, of
+    documents that lose any."""
     small_batches(docs.sparkSession)
     slots = width(docs.sparkSession)
     texts = _texts(docs)
@@ -211,11 +218,13 @@ def covered(docs: DataFrame) -> DataFrame:
     def own_stretches(batch: pa.RecordBatch) -> Iterator[tuple[int, dict[tuple[int, bytes], list[int]]]]:
         """Each document's distinct stretches around shared hashes, as (hash, bytes) -> starts."""
         for doc_id, data, wanted in zip(batch["doc_id"].to_pylist(), utf8(batch["text"]), batch["hashes"].to_pylist(), strict=True):
+            if not wanted:
+                continue
             h, first, last = stretches(data)
             known, low = np.sort(_long(b"".join(wanted))), h & _SHORT
             at = np.flatnonzero(known[np.minimum(np.searchsorted(known, low), len(known) - 1)] == low)
             own: dict[tuple[int, bytes], list[int]] = {}
-            for x, f, e in zip(h[at].view(np.int64).tolist(), first[at].tolist(), last[at].tolist(), strict=True):
+            for x, f, e in zip((mixed(h[at]) % U64(16 * slots)).tolist(), first[at].tolist(), last[at].tolist(), strict=True):
                 own.setdefault((x, data[f : e + LENGTH]), []).append(f)
             yield doc_id, own
 
@@ -233,27 +242,27 @@ def covered(docs: DataFrame) -> DataFrame:
                 key = xxhash.xxh3_64_intdigest(part)
                 if owner < sent.get(key, owner + 1):
                     sent[key] = owner
-                    out.append((x, key - (1 << 63), part, owner))
-            columns = list(zip(*out, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.int64()), strict=True)], names=["h", "key", "part", "owner"])
+                    out.append((x, part, owner))
+            columns = list(zip(*out, strict=True)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.binary(), pa.int64()), strict=True)], names=["slot", "part", "owner"])
 
     def cut_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [(doc_id, x, xxhash.xxh3_64_intdigest(part) - (1 << 63), np.array(starts, "<i4").tobytes()) for doc_id, own in own_stretches(batch) for (x, part), starts in own.items()]
+            out = [(doc_id, *_key(part), np.array(starts, "<i4").tobytes()) for doc_id, own in own_stretches(batch) for (_, part), starts in own.items()]
             columns = list(zip(*out, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["doc_id", "h", "key", "starts"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["doc_id", "key", "more", "starts"])
 
     def sorted_slot(group: pa.Table) -> pa.Table:
-        folded: dict[tuple[int, int, bytes], int] = {}
-        for x, key, part, owner in zip(*(group[c].to_pylist() for c in ("h", "key", "part", "owner")), strict=True):
-            folded[x, key, part] = min(owner, folded.get((x, key, part), owner))
-        h, key, parts = (list(c) for c in zip(*folded, strict=True))
-        h, key = np.array(h, np.int64), np.array(key, np.int64)
+        folded: dict[bytes, int] = {}
+        for part, owner in zip(group["part"].to_pylist(), group["owner"].to_pylist(), strict=True):
+            folded[part] = min(owner, folded.get(part, owner))
+        parts = list(folded)
+        key, more = (np.array(c, t) for c, t in zip(zip(*map(_key, parts), strict=True), (np.int64, np.int32), strict=True))
         least = equal_strings(parts, np.array(list(folded.values()), np.int64))
         runs = [np.concatenate([[0], np.flatnonzero(x[1:] != x[:-1]) + 1, [len(x)]]) for x in least]
         k = np.repeat(np.arange(len(runs)), [len(c) - 1 for c in runs])
         low = np.concatenate([c[:-1] for c in runs])
-        return pa.table({"h": h[k], "key": key[k], "low": low, "high": np.concatenate([c[1:] - 1 for c in runs]), "least": np.concatenate([x[c[:-1]] for x, c in zip(least, runs, strict=True)])})
+        return pa.table({"key": key[k], "more": more[k], "low": low, "high": np.concatenate([c[1:] - 1 for c in runs]), "least": np.concatenate([x[c[:-1]] for x, c in zip(least, runs, strict=True)])})
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -272,12 +281,11 @@ def covered(docs: DataFrame) -> DataFrame:
 
     packs = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(packed, "slot int, ids binary, counts binary, hashes binary")
     again = packs.groupBy("slot").applyInArrow(shared, "doc_id long, hashes binary").groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes"))
-    found = texts.join(cut(again), "doc_id").select("doc_id", "text", "hashes")
-    parts = found.mapInArrow(cut_parts, "h long, key long, part binary, owner long")
-    least = parts.groupBy(F.pmod("h", F.lit(16 * slots)).alias("slot")).applyInArrow(sorted_slot, "h long, key long, low long, high long, least long")
-    lost = found.mapInArrow(cut_places, "doc_id long, h long, key long, starts binary").join(least, ["h", "key"]).where("least < doc_id")
+    found = texts.join(cut(again), "doc_id", "left").select("doc_id", "text", "hashes")  # all uses share one exchange of texts
+    least = found.mapInArrow(cut_parts, "slot int, part binary, owner long").groupBy("slot").applyInArrow(sorted_slot, "key long, more int, low long, high long, least long")
+    lost = found.mapInArrow(cut_places, "doc_id long, key long, more int, starts binary").join(least, ["key", "more"]).where("least < doc_id")
     spans = lost.select("doc_id", "low", "high", "starts").mapInArrow(spread, "doc_id long, s long, e long")
-    return spans.groupBy("doc_id").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    return found, spans.groupBy("doc_id").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
 
 
 def remaining(data: bytes, spans: list[dict] | None) -> tuple[bytes, int, int]:
@@ -302,10 +310,10 @@ def remaining(data: bytes, spans: list[dict] | None) -> tuple[bytes, int, int]:
 
 def strip_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row."""
-    spans = covered(docs)
+    found, spans = covered(docs)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     alone = own.where("doc_id IS NULL").withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
-    rows = _texts(docs).join(spans, "doc_id", "left").unionByName(alone)
+    rows = found.join(spans, "doc_id", "left").unionByName(alone, allowMissingColumns=True)  # with all columns of `found`, so that its exchanges are shared
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
