@@ -1,39 +1,45 @@
-"""Gaussian smoothing and derivatives of series on a bin grid, by window functions over reflected rows."""
+"""Gaussian smoothing and derivatives of series on a bin grid."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TRUNCATE = 4.0
 
 
-def gaussian(rows: DataFrame, values: dict[str, str], sigma: Column | float, radius: int | None = None, by: list[str] | None = None) -> DataFrame:
+def smooth(x: np.ndarray, sigma: float) -> np.ndarray:
+    """A series under a normalised Gaussian of int(4 * sigma + 0.5) bins on either side; ends reflect with the edge repeated."""
+    radius = int(TRUNCATE * sigma + 0.5)
+    weights = np.exp(-0.5 * (np.arange(-radius, radius + 1) / sigma) ** 2)
+    return np.convolve(np.pad(x, radius, mode="symmetric"), weights / weights.sum(), mode="valid") if radius else x
+
+
+def _smoothed(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    for series, sigma in batches:
+        yield pd.Series([smooth(np.asarray(x, float), float(s)) for x, s in zip(series, sigma, strict=True)])
+
+
+def gaussian(rows: DataFrame, values: dict[str, str], sigma: Column | float, by: list[str] | None = None) -> DataFrame:
     """`rows` with smoothed columns: values maps new names to columns; rows need `bin` from 0 without gaps.
 
-    sigma is in bins and may differ by group; `radius` bounds int(4 * sigma + 0.5) then. The ends reflect with the edge
-    repeated, as often as a short series needs.
+    sigma is in bins and may differ by group. A group's series (a well's bins) travel as one array each, so the smoothing is a
+    vectorised function of arrays, and all columns of a group share one shuffle.
     """
     by = by or ["well"]
-    if radius is None:
-        radius = int(TRUNCATE * float(sigma) + 0.5)
     sigma = sigma if isinstance(sigma, Column) else F.lit(float(sigma))
-    own = Window.partitionBy(*by)
-    n = F.max("bin").over(own) + 1
-    turns = F.sequence(-F.ceil(F.lit(radius) / (2 * F.col("_n"))) - 1, F.ceil(F.lit(radius) / (2 * F.col("_n"))) + 1)
-    places = F.flatten(F.transform(turns, lambda k: F.array(F.col("bin") + 2 * F.col("_n") * k, -1 - F.col("bin") + 2 * F.col("_n") * k)))
-    near = F.filter(places, lambda p: (p >= -radius) & (p < F.col("_n") + radius))
-    spread = rows.withColumn("_n", n).withColumn("_sigma", sigma).withColumn("_p", F.explode(near))
-    order = Window.partitionBy(*by).orderBy("_p")
-    weight = lambda k: F.when(F.lit(abs(k)) <= F.floor(TRUNCATE * F.col("_sigma") + 0.5), F.exp(-0.5 * k * k / (F.col("_sigma") * F.col("_sigma")))).otherwise(0.0)
-    total = sum((weight(k) for k in range(1, radius + 1)), F.lit(0.0)) * 2 + 1
-    out = spread
-    for name, value in values.items():
-        acc = F.col(value).cast("double")
-        for k in range(1, radius + 1):
-            acc = acc + weight(k) * (F.coalesce(F.lag(value, k).over(order), F.lit(0.0)) + F.coalesce(F.lead(value, k).over(order), F.lit(0.0)))
-        out = out.withColumn(name, acc / total)
-    return out.where("_p = bin").drop("_n", "_sigma", "_p")
+    over_arrays = F.pandas_udf(_smoothed, "array<double>")
+    kept = [c for c in rows.columns if c not in by]
+    series = rows.withColumn("_sigma", sigma.cast("double")).groupBy(*by).agg(F.first("_sigma").alias("_sigma"), F.array_sort(F.collect_list(F.struct("bin", *[c for c in kept if c != "bin"]))).alias("_rows"))
+    for k, value in enumerate(values.values()):
+        series = series.withColumn(f"_s{k}", over_arrays(F.transform("_rows", lambda r: r[value].cast("double")), F.col("_sigma")))
+    arrays = F.arrays_zip("_rows", *[F.col(f"_s{k}") for k in range(len(values))])
+    out = series.select(*by, F.explode(arrays).alias("_x"))
+    return out.select(*by, *[F.col(f"_x._rows.{c}").alias(c) for c in kept], *[F.col(f"_x._s{k}").alias(name) for k, name in enumerate(values)])
 
 
 def difference(rows: DataFrame, name: str, value: str, by: list[str] | None = None) -> DataFrame:

@@ -1,4 +1,6 @@
 """Registered queries of the burst-analytics operators and their SQL."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import reports, signals
+
+QUERIES: dict = {**signals.QUERIES, **reports.QUERIES}
+ORACLES: dict = {**signals.ORACLES, **reports.ORACLES}
