@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -125,6 +126,23 @@ def _long(data: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
+def _pack(rows: list[tuple[int, bytes, int, bool]]) -> bytes:
+    """(sub-slot, stretch, owner, whether several documents have it) rows, compressed; neighbouring stretches overlap much."""
+    head = np.array([(sub + 16 * several, len(part)) for sub, part, _, several in rows], np.uint8).T.tobytes()
+    owners = np.array([owner for _, _, owner, _ in rows], "<i8").tobytes()
+    return len(rows).to_bytes(4, "little") + zstandard.compress(head + owners + b"".join(part for _, part, _, _ in rows), 3)
+
+
+def _unpack(blob: bytes) -> Iterator[tuple[int, bytes, int, bool]]:
+    n, data = int.from_bytes(blob[:4], "little"), zstandard.decompress(blob[4:])
+    owners = np.frombuffer(data, "<i8", n, 2 * n).tolist()
+    at = 10 * n
+    for k in range(n):
+        size = data[n + k]
+        yield data[k] & 15, data[at : at + size], owners[k], data[k] > 15
+        at += size
+
+
 def _key(part: bytes) -> tuple[int, int]:
     """96 bits that stand for a stretch in the join back to its places."""
     return xxhash.xxh3_64_intdigest(part) - (1 << 63), xxhash.xxh32_intdigest(part) - (1 << 31)
@@ -229,22 +247,26 @@ def covered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             yield doc_id, own
 
     def cut_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: dict[int, int] = {}  # a task sends a stretch again only for a smaller owner, or once it has forgotten it
+        sent: dict[int, tuple[int, bool]] = {}  # a task sends a stretch again only if that tells something new, or once it has forgotten it
         for batch in batches:
-            least: dict[tuple[int, bytes], int] = {}
+            least: dict[tuple[int, bytes], tuple[int, bool]] = {}
             for doc_id, own in own_stretches(batch):
                 for k in own:
-                    least[k] = min(doc_id, least.get(k, doc_id))
+                    known = least.get(k)
+                    least[k] = (doc_id, False) if known is None else (min(doc_id, known[0]), known[1] or doc_id != known[0])
             if len(sent) > REMEMBERED:
                 sent.clear()
-            out = []
-            for (x, part), owner in least.items():
+            out: dict[int, list[tuple[int, bytes, int, bool]]] = {}
+            for (x, part), (owner, several) in least.items():
                 key = xxhash.xxh3_64_intdigest(part)
-                if owner < sent.get(key, owner + 1):
-                    sent[key] = owner
-                    out.append((x, part, owner))
-            columns = list(zip(*out, strict=True)) or [[]] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.binary(), pa.int64()), strict=True)], names=["slot", "part", "owner"])
+                known = sent.get(key)
+                fresh = (owner, several) if known is None else (min(owner, known[0]), True)
+                if fresh != known:
+                    sent[key] = fresh
+                    out.setdefault(x // 16, []).append((x % 16, part, *fresh))
+            packed_rows = [(slot, _pack(rows)) for slot, rows in out.items()]
+            columns = list(zip(*packed_rows, strict=True)) or [[]] * 2
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.binary()), strict=True)], names=["slot", "parts"])
 
     def cut_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,16 +275,22 @@ def covered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["doc_id", "key", "more", "starts"])
 
     def sorted_slot(group: pa.Table) -> pa.Table:
-        folded: dict[bytes, int] = {}
-        for part, owner in zip(group["part"].to_pylist(), group["owner"].to_pylist(), strict=True):
-            folded[part] = min(owner, folded.get(part, owner))
-        parts = list(folded)
+        folded: list[dict[bytes, tuple[int, bool]]] = [{} for _ in range(16)]
+        for blob in group["parts"].to_pylist():
+            for sub, part, owner, several in _unpack(blob):
+                known = folded[sub].get(part)
+                folded[sub][part] = (owner, several) if known is None else (min(owner, known[0]), known[1] or several or owner != known[0])
+        return pa.concat_tables([repeated(own) for own in folded if own])
+
+    def repeated(folded: dict[bytes, tuple[int, bool]]) -> pa.Table:
+        """The runs of equal smallest owners of each stretch, but for stretches that only their one document has."""
+        parts, owners = list(folded), np.array([o for o, _ in folded.values()], np.int64)
         key, more = (np.array(c, t) for c, t in zip(zip(*map(_key, parts), strict=True), (np.int64, np.int32), strict=True))
-        least = equal_strings(parts, np.array(list(folded.values()), np.int64))
+        least = equal_strings(parts, owners)
         runs = [np.concatenate([[0], np.flatnonzero(x[1:] != x[:-1]) + 1, [len(x)]]) for x in least]
         k = np.repeat(np.arange(len(runs)), [len(c) - 1 for c in runs])
-        low = np.concatenate([c[:-1] for c in runs])
-        return pa.table({"key": key[k], "more": more[k], "low": low, "high": np.concatenate([c[1:] - 1 for c in runs]), "least": np.concatenate([x[c[:-1]] for x, c in zip(least, runs, strict=True)])})
+        out = {"key": key[k], "more": more[k], "low": np.concatenate([c[:-1] for c in runs]), "high": np.concatenate([c[1:] - 1 for c in runs]), "least": np.concatenate([x[c[:-1]] for x, c in zip(least, runs, strict=True)])}
+        return pa.table(out).filter(pa.array((out["least"] < owners[k]) | np.array([s for _, s in folded.values()], bool)[k]))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -282,7 +310,7 @@ def covered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     packs = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(packed, "slot int, ids binary, counts binary, hashes binary")
     again = packs.groupBy("slot").applyInArrow(shared, "doc_id long, hashes binary").groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes"))
     found = texts.join(cut(again), "doc_id", "left").select("doc_id", "text", "hashes")  # all uses share one exchange of texts
-    least = found.mapInArrow(cut_parts, "slot int, part binary, owner long").groupBy("slot").applyInArrow(sorted_slot, "key long, more int, low long, high long, least long")
+    least = found.mapInArrow(cut_parts, "slot int, parts binary").groupBy("slot").applyInArrow(sorted_slot, "key long, more int, low long, high long, least long")
     lost = found.mapInArrow(cut_places, "doc_id long, key long, more int, starts binary").join(least, ["key", "more"]).where("least < doc_id")
     spans = lost.select("doc_id", "low", "high", "starts").mapInArrow(spread, "doc_id long, s long, e long")
     return found, spans.groupBy("doc_id").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
