@@ -39,10 +39,13 @@ def cut(df: DataFrame) -> DataFrame:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-cut-"))
-    done = df.checkpoint(eager=True)
+    return df.checkpoint(eager=True)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of finished steps, once no variable refers to their DataFrames any more."""
     gc.collect()
-    spark._jvm.System.gc()  # Spark removes the shuffle files behind `df` once nothing refers to them
-    return done
+    spark._jvm.System.gc()
 
 
 def utf8(column: pa.Array) -> list[bytes]:

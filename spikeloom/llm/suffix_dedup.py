@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, cut, mixed, powers, prefix_hash, small_batches, utf8, width
+from .common import U64, cut, mixed, powers, prefix_hash, release, small_batches, utf8, width
 
 LENGTH, K = 50, 20
 PIECE = 1 << 22
@@ -196,12 +196,8 @@ def _texts(docs: DataFrame) -> DataFrame:
     return known.where("doc_id IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
-def covered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, text) of every row with an id, and (doc_id, spans array<struct<s,e>>): the removed byte ranges, not merged, of
-    documents that lose any."""
-    small_batches(docs.sparkSession)
-    slots = width(docs.sparkSession)
-    texts = _texts(docs)
+def shared_hashes(texts: DataFrame, slots: int) -> DataFrame:
+    """(doc_id, hashes): each document's minimiser hashes that other documents have as well; cut from its lineage."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,6 +229,19 @@ def covered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         names, parts = _runs(d[order], h[order])
         return pa.table({"doc_id": pa.array(names, pa.int64()), "hashes": pa.array([_short(x) for x in parts], pa.binary())})
 
+    packs = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(packed, "slot int, ids binary, counts binary, hashes binary")
+    return cut(packs.groupBy("slot").applyInArrow(shared, "doc_id long, hashes binary").groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes")))
+
+
+def covered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text) of every row with an id, and (doc_id, spans array<struct<s,e>>): the removed byte ranges, not merged, of
+    documents that lose any."""
+    small_batches(docs.sparkSession)
+    slots = width(docs.sparkSession)
+    texts = _texts(docs)
+    again = shared_hashes(texts, slots)
+    release(docs.sparkSession)  # the packed hashes' shuffle
+
     def own_stretches(batch: pa.RecordBatch) -> Iterator[tuple[int, dict[tuple[int, bytes], list[int]]]]:
         """Each document's distinct stretches around shared hashes, as (hash, bytes) -> starts."""
         for doc_id, data, wanted in zip(batch["doc_id"].to_pylist(), utf8(batch["text"]), batch["hashes"].to_pylist(), strict=True):
@@ -307,9 +316,7 @@ def covered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             top = np.maximum.reduceat(e, np.flatnonzero(starts_at)) if len(s) else e
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[starts_at], s[starts_at], top)], names=["doc_id", "s", "e"])
 
-    packs = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(packed, "slot int, ids binary, counts binary, hashes binary")
-    again = packs.groupBy("slot").applyInArrow(shared, "doc_id long, hashes binary").groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes"))
-    found = texts.join(cut(again), "doc_id", "left").select("doc_id", "text", "hashes")  # all uses share one exchange of texts
+    found = texts.join(again, "doc_id", "left").select("doc_id", "text", "hashes")  # all uses share one exchange of texts
     least = found.mapInArrow(cut_parts, "slot int, parts binary").groupBy("slot").applyInArrow(sorted_slot, "key long, more int, low long, high long, least long")
     lost = found.mapInArrow(cut_places, "doc_id long, key long, more int, starts binary").join(least, ["key", "more"]).where("least < doc_id")
     spans = lost.select("doc_id", "low", "high", "starts").mapInArrow(spread, "doc_id long, s long, e long")
