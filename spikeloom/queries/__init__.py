@@ -1,6 +1,6 @@
 """Registered queries of the burst-analytics operators and their SQL."""
 
-from . import reports, signals
+from . import flows, reports, signals
 
-QUERIES: dict = {**signals.QUERIES, **reports.QUERIES}
-ORACLES: dict = {**signals.ORACLES, **reports.ORACLES}
+QUERIES: dict = {**signals.QUERIES, **reports.QUERIES, **flows.QUERIES}
+ORACLES: dict = {**signals.ORACLES, **reports.ORACLES, **flows.ORACLES}
