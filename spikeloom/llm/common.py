@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -44,8 +45,10 @@ def cut(df: DataFrame) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Lets Spark remove the shuffle files of finished steps, once no variable refers to their DataFrames any more."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # what the first round frees in Python is garbage for the JVM only in the second
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def utf8(column: pa.Array) -> list[bytes]:

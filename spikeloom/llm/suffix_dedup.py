@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, cut, mixed, powers, prefix_hash, release, small_batches, utf8, width
+from .common import U64, mixed, powers, prefix_hash, release, shared_folder, small_batches, utf8, width
 
 LENGTH, K = 50, 20
 PIECE = 1 << 22
@@ -197,7 +197,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def shared_hashes(texts: DataFrame, slots: int) -> DataFrame:
-    """(doc_id, hashes): each document's minimiser hashes that other documents have as well; cut from its lineage."""
+    """(doc_id, hashes): each document's minimiser hashes that other documents have as well, written to the shared folder."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,7 +230,10 @@ def shared_hashes(texts: DataFrame, slots: int) -> DataFrame:
         return pa.table({"doc_id": pa.array(names, pa.int64()), "hashes": pa.array([_short(x) for x in parts], pa.binary())})
 
     packs = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(packed, "slot int, ids binary, counts binary, hashes binary")
-    return cut(packs.groupBy("slot").applyInArrow(shared, "doc_id long, hashes binary").groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes")))
+    found = packs.groupBy("slot").applyInArrow(shared, "doc_id long, hashes binary").groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes"))
+    folder = shared_folder(texts.sparkSession, "shared-hashes")
+    found.write.parquet(folder)
+    return texts.sparkSession.read.parquet(folder)
 
 
 def covered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
