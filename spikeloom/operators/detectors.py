@@ -11,7 +11,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import binning, intervals, models, smoothing, spikes as trains
+from spikeloom.functions.lineage import stored
+
+from . import binning, intervals, models, smoothing
+from . import spikes as trains
 
 VALUES = ["duration", "synchrony_energy", "participation", "total_spikes", "burst_peak", "peak_synchrony"]
 
@@ -70,11 +73,11 @@ def population_signals(spikes: DataFrame, calibration: DataFrame) -> tuple[DataF
 
 def population_bursts(spikes: DataFrame, extent_frac: float = 0.30, gap_min: float = 0.75) -> dict[str, DataFrame]:
     """burstlets, network_bursts, superbursts and metrics of each well; spikes(well, unit_id, t in seconds)."""
-    cal = trains.calibration(spikes, gap_min=gap_min).persist()
+    cal = stored(trains.calibration(spikes, gap_min=gap_min))
     grids, n_units, signal = population_signals(spikes, cal)
-    signal = signal.persist()  # every later step reads it
-    limits = binning.thresholds(signal, "ws_sharp", n_units).persist()
-    found = peaks(signal, limits, "ws_sharp", extent_frac)
+    signal = stored(signal)  # every later step reads it
+    limits = stored(binning.thresholds(signal, "ws_sharp", n_units))
+    found = stored(peaks(signal, limits, "ws_sharp", extent_frac))
     at = signal.select("well", F.col("bin").alias("peak"), F.col("ws_sharp").alias("peak_synchrony"), F.col("t_center").alias("peak_time"))
     edges = grids.select("well", F.col("start").alias("rec_start"), "step")
     burstlets = (
@@ -96,11 +99,12 @@ def population_bursts(spikes: DataFrame, extent_frac: float = 0.30, gap_min: flo
 
     def merged(events: DataFrame, gap: str, accept: Column) -> DataFrame:
         gated = intervals.merge(events.join(constants, "well"), signal, "ws_sharp", ["well"], gap=F.col(gap), step=F.col("bin_size"), accept=accept)
-        return level(intervals.roll_up(gated, ["well"]).drop("merged"))
+        return level(stored(intervals.roll_up(gated, ["well"]).drop("merged")))
 
-    burstlets = level(burstlets).persist()
-    network = merged(burstlets, "burstlet_gap", F.col("valley") >= F.col("threshold")).persist()
+    burstlets = stored(level(stored(burstlets)))
+    network = stored(merged(burstlets, "burstlet_gap", F.col("valley") >= F.col("threshold")))
     superb = merged(network, "network_gap", (F.col("valley") > F.col("baseline")) & (F.col("valley") < F.col("threshold"))).where("n_sub_events >= 2")
+    superb = stored(superb)
     total = cal.select("well", (F.col("rec_end") - F.col("rec_start")).alias("total_duration"))
     metrics = None
     for name, events in (("burstlets", burstlets), ("network_bursts", network), ("superbursts", superb)):
@@ -112,19 +116,19 @@ def population_bursts(spikes: DataFrame, extent_frac: float = 0.30, gap_min: flo
 def model_bursts(spikes: DataFrame, *, min_modulation: float = 0.1, closing_bins: int = 3, mad_scale: float = 0.75, floor_frac: float = 0.70, gap_min: float = 0.75, typing: str = "kmeans", fit_options: dict | None = None) -> dict[str, DataFrame]:
     """network_bursts (typed), features, fits and metrics of each well; clusters by the threshold decision."""
     spikes = spikes.withColumn("unit_id", F.col("unit_id").cast("string"))
-    cal = trains.calibration(spikes, gap_min=gap_min).persist()
+    cal = stored(trains.calibration(spikes, gap_min=gap_min))
     grids = cal.select("well", F.col("rec_start").alias("start"), F.col("bin_size").alias("step"), F.ceil((F.col("rec_end") - F.col("rec_start")) / F.col("bin_size")).cast("long").alias("n_bins")).where("n_bins >= 8")
     n_units = cal.select("well", "n_units")
-    counts = binning.unit_bins(spikes, grids).persist()
-    fits = models.fit_units(counts, grids, **(fit_options or {})).persist()
-    bins = models.threshold_clusters(models.features(spikes, counts, grids, n_units, fits)).persist()
+    counts = stored(binning.unit_bins(spikes, grids))
+    fits = stored(models.fit_units(counts, grids, **(fit_options or {})))
+    bins = stored(models.threshold_clusters(models.features(spikes, counts, grids, n_units, fits)))
     masked = intervals.closing(bins.withColumn("on", F.col("label") == 1), "on", ["well"], closing_bins)
-    runs = intervals.islands(masked, "closed", ["well"])
+    runs = stored(intervals.islands(masked, "closed", ["well"]))
     spread = binning.median_and_mad(masked.where("NOT closed"), "post_frac_gt_0_5").withColumn("threshold", F.col("baseline") + mad_scale * F.greatest(F.col("mad"), F.lit(1e-6)))
     edges = grids.select("well", F.col("start").alias("rec_start"), F.col("step").alias("bin_size")).join(cal.select("well", "network_gap"), "well").join(spread, "well", "left")
     runs = runs.join(edges, "well").withColumn("start", F.col("rec_start") + F.col("start_idx") * F.col("bin_size")).withColumn("end", F.col("rec_start") + (F.col("end_idx") + 1) * F.col("bin_size"))
     gated = intervals.merge(runs, masked, "post_frac_gt_0_5", ["well"], gap=F.col("network_gap"), step=F.col("bin_size"), accept=F.col("valley") >= floor_frac * F.coalesce(F.col("threshold"), F.lit(0.0)))
-    events = gated.groupBy("well", "merged", "bin_size").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("start_idx").alias("start_idx"), F.max("end_idx").alias("end_idx"), F.count("*").alias("fragment_count"))
+    events = stored(gated).groupBy("well", "merged", "bin_size").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("start_idx").alias("start_idx"), F.max("end_idx").alias("end_idx"), F.count("*").alias("fragment_count"))
     top = F.struct("post_frac_gt_0_5", -F.col("bin"))
     events = _over(
         events,
@@ -134,11 +138,12 @@ def model_bursts(spikes: DataFrame, *, min_modulation: float = 0.1, closing_bins
             F.max("llr_hmm_mean").alias("llr_aggregate"), F.max("post_mean").alias("posterior_peak"), F.avg("post_mean").alias("posterior_mean"), F.max("FF1").alias("ff_peak"), F.array_sort(F.collect_set("label")).alias("cluster_ids"), F.countDistinct("label").alias("n_distinct_clusters"),
         ],
     )
+    events = stored(events)
     active = intervals.participants(events, spikes, ["well"], 1.0)
     events = events.join(active, ["well", "start", "end"]).join(n_units, "well").withColumn("participation", F.col("n_active") / F.col("n_units")).withColumn("synchrony_energy", F.col("_e") * F.col("bin_size")).withColumn("duration", F.col("end") - F.col("start")).drop("_e", "n_active", "n_units", "merged")
     if min_modulation > 0:
         events = events.where(F.col("llr_aggregate") >= min_modulation)
-    events = events.persist()
+    events = stored(events)
     types = models.burst_types(events, ["duration", "within_burst_fr", "participation", "llr_aggregate", "posterior_peak", "posterior_mean", "ff_peak", "n_distinct_clusters"], method=typing)
     total = cal.select("well", (F.col("rec_end") - F.col("rec_start")).alias("total_duration"))
     return {"network_bursts": events.join(types.withColumnRenamed("decision", "typing_decision"), ["well", "start", "end"], "left"), "features": bins, "fits": fits, "metrics": intervals.level_metrics(events, total, VALUES, ["well"])}

@@ -13,7 +13,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import binning, smoothing, spikes as trains
+from spikeloom.functions.lineage import stored
+
+from . import binning, smoothing
+from . import spikes as trains
 
 FEATURES = (
     "post_frac_gt_0_5 post_mean post_std post_q90 post_entropy PFR participation FF0 FF1 FF2 FF3 llr_hmm_mean llr_hmm_std llr_hmm_q90 inv_isi_mean "
@@ -134,15 +137,17 @@ def features(spikes: DataFrame, counts: DataFrame, grids: DataFrame, n_units: Da
     rated = dense.join(counts, ["well", "unit_id", "bin"], "left").na.fill(0, ["n"])
     ratio, change = llr(F.col("n"), F.col("lambda_bg"), F.col("lambda_burst"), seconds), delta_rate(F.col("n"), F.col("lambda_bg"), seconds)
     rated = rated.groupBy("well", "bin").agg(F.avg(ratio).alias("llr_hmm_mean"), F.stddev_pop(ratio).alias("llr_hmm_std"), F.percentile(ratio, 0.9).alias("llr_hmm_q90"), F.avg(change).alias("dfr_unit_mean"), F.stddev_pop(change).alias("dfr_unit_std"))
+    rated = stored(rated)
     # over all units, those without a value counting as 0
     over_all = lambda df, v, mean, sd=None: df.groupBy("well", "bin").agg(F.sum(v).alias("_s"), F.sum(F.col(v) * F.col(v)).alias("_q")).join(n_units.select("well", "n_units"), "well").select("well", "bin", (F.col("_s") / F.col("n_units")).alias(mean), *([F.sqrt(F.greatest(F.col("_q") / F.col("n_units") - F.pow(F.col("_s") / F.col("n_units"), 2), F.lit(0.0))).alias(sd)] if sd else []))
     inverse = over_all(trains.inverse_intervals(spikes, grids, scale), "rate", "inv_isi_mean", "inv_isi_std")
-    uneven = trains.irregularity(spikes, grids, isi_window)
+    uneven = stored(trains.irregularity(spikes, grids, isi_window))
     parts = [posterior_aggregates(posteriors(fits)), rated, inverse, over_all(uneven, "cv", "cv_isi_mean"), over_all(uneven, "lv", "lv_mean")]
     parts += [binning.fano(counts, grids, n_units, f, ff_low, ff_high).withColumnRenamed("ff", f"_ff{k}") for k, f in enumerate(ff_factors)]
     out = base.join(n_fit, "well", "left")
-    for part in parts:
+    for k, part in enumerate(parts):
         out = out.join(part, ["well", "bin"], "left")
+        out = stored(out) if k % 4 == 3 or k == len(parts) - 1 else out
     out = out.withColumn("PFR", F.col("pfr").cast("double")).withColumn("participation", F.col("active") / F.greatest(F.coalesce("n_fit", F.col("n_units")), F.lit(1)))
     out = out.na.fill(0.0, [c for c in out.columns if c in FEATURES or c.startswith("_ff")])
     out = smoothing.gaussian(out, {f"FF{k}": f"_ff{k}" for k in range(len(ff_factors))}, 1.5)

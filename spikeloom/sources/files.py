@@ -38,14 +38,15 @@ def ini_settings(texts: DataFrame) -> DataFrame:
 
 
 def read_settings(spark: SparkSession, path: str) -> DataFrame:
-    text = spark.read.format("binaryFile").load(path).select("path", F.decode(F.col("content"), F.lit("UTF-8")).alias("value"))
+    text = spark.read.format("binaryFile").load(path).select("path", F.decode(F.col("content"), "UTF-8").alias("value"))
     return ini_settings(text)
 
 
 def read_catalog(spark: SparkSession, path: str, schema: str = RECORDING) -> DataFrame:
     """One row for each entry of a JSON catalog file; missing fields are null, and entries that aren't objects are left out."""
     text = spark.read.option("wholetext", True).text(path)
-    return text.select(F.explode(F.from_json("value", schema)).alias("cache_key", "e")).where("e IS NOT NULL").select("cache_key", "e.*")
+    entries = text.select(F.explode(F.from_json("value", "map<string,string>")).alias("cache_key", "e")).where(F.col("e").startswith("{"))
+    return entries.select("cache_key", F.from_json("e", schema.removeprefix("map<string,").removesuffix(">")).alias("e")).select("cache_key", "e.*")
 
 
 def read_pipeline(spark: SparkSession, path: str) -> DataFrame:
@@ -70,9 +71,9 @@ def read_sorted_folder(spark: SparkSession, root: str, keep: tuple[str, ...] = (
     parent = F.regexp_replace("path", "/[^/]*$", "")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(parent.alias("well"), F.element_at(F.split("path", "/"), -1).alias("name"), "content")
     numbers = lambda name, out: files.where(F.col("name") == name).select("well", F.posexplode(npy_values(F.col("content"))).alias("k", out))
-    rate = files.where("name = 'params.py'").select("well", F.regexp_extract(F.decode("content", F.lit("UTF-8")), r"(?m)^\s*(?:sample_rate|fs|sampling_rate)\s*=\s*([0-9.]+)", 1).cast("double").alias("rate"))
+    rate = files.where("name = 'params.py'").select("well", F.regexp_extract(F.decode("content", "UTF-8"), r"(?m)^\s*(?:sample_rate|fs|sampling_rate)\s*=\s*([0-9.]+)", 1).cast("double").alias("rate"))
     spikes = numbers("spike_times.npy", "sample").join(numbers("spike_clusters.npy", "cluster"), ["well", "k"]).join(F.broadcast(rate), "well")
-    lines = files.where("name IN ('cluster_group.tsv', 'cluster_KSLabel.tsv')").select("well", "name", F.explode(F.split(F.decode("content", F.lit("UTF-8")), r"\r?\n")).alias("line"))
+    lines = files.where("name IN ('cluster_group.tsv', 'cluster_KSLabel.tsv')").select("well", "name", F.explode(F.split(F.decode("content", "UTF-8"), r"\r?\n")).alias("line"))
     labels = lines.select("well", "name", F.split("line", "\t").alias("f")).where("size(f) >= 2").select("well", "name", F.expr("try_cast(f[0] AS double)").alias("cluster"), F.lower(F.expr("f[1]")).alias("label")).where("cluster IS NOT NULL")
     chosen = labels.join(labels.groupBy("well").agg(F.min("name").alias("name")), ["well", "name"])
     kept = spikes.join(chosen.where(F.col("label").isin(*keep)).select("well", "cluster"), ["well", "cluster"], "left_semi")
