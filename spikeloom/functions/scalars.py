@@ -50,7 +50,7 @@ def clamp(x: Column, low, high) -> Column:
 
 
 def split_list(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def short_hash(text: Column, digits: int = 16) -> Column:

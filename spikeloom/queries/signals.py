@@ -347,9 +347,9 @@ def bin_features(spark, d):
 @register()
 def peak_find(spark, d):
     """Peaks and extents of smoothed participation."""
-    _, e, _, sig = _signals(spark, d)
-    smooth = smoothing.gaussian(sig, {"ws": "participation"}, 1.5)
-    return detectors.peaks(smooth, binning.thresholds(smooth, "ws", e), "ws")
+    smooth = smoothing.gaussian(_signals(spark, d)[3], {"ws": "participation"}, 1.5)
+    limits = binning.median_and_mad(smooth, "ws").withColumn("threshold", F.col("baseline") + 0.75 * F.col("mad"))
+    return detectors.peaks(smooth, limits, "ws")
 
 
 @register()
