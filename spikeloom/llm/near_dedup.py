@@ -9,10 +9,14 @@ independent samples.
 1. Documents with equal sets are folded into one class, whose smallest id stands for it.
 2. Classes that share a band of 4 coordinates meet in a bucket. A bucket's task compares whole sketches (a byte for
    each coordinate), and links those that agree well enough for J >= 0.75 breadth-first, so it returns no more edges
-   than it has members. Buckets with the same members are looked at once.
+   than it has members. Buckets with the same members are looked at once. A bucket of more than BUCKET members is linked
+   to its smallest one without a look, which makes regions larger, never smaller.
 3. Connected components of these edges are the regions within which any link can lie; inside each, full sets are compared
    breadth-first from one document at a time against all that aren't reached yet, which finds every link between
    components without making all pairs.
+4. A region of more than BLOCK shingles is dealt over blocks by id. Each block is joined as in step 3, then the blocks'
+   heads are dealt and joined again while that leaves fewer of them. What is still apart is compared in pairs of blocks,
+   without the pairs that can't link: those within one large component, and those of too unlike sizes.
 
 With J = 0.75 a pair shares no band with probability (1 - 0.75**4)**32 < 6e-6, and falls below the sketch threshold with
 less. Null, empty and blank texts have an empty set and link with nothing. Texts of any length are taken whole, in pieces.
@@ -37,6 +41,8 @@ COORDINATES, ROWS = 128, 4
 #: A pair with J = 0.75 agrees in fewer coordinates than this with probability under 1e-6.
 SKETCH_SHARE = 0.55
 PIECE = 1 << 22
+#: The shingles in a block of a large region, and the documents of a bucket that one task compares.
+BLOCK, BUCKET = 1 << 20, 1 << 16
 _BLANK = re.compile(rb"[ \t-\r]")
 _SEEDS = mixed(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * U64(0xD1342543DE82EF95))
 _LOW = U64((1 << 48) - 1)
@@ -148,30 +154,93 @@ def _bucket(group: pa.Table) -> pa.Table:
     return pa.table({"a": ids[region[far]], "b": ids[far]})
 
 
+def _nearness(sets: list[np.ndarray]):
+    """A function from one of the sets and an array of others to which of those it links with."""
+    size = np.array([len(x) for x in sets])
+    _, element = np.unique(np.concatenate(sets), return_inverse=True)
+    start, mark, flat = np.cumsum(size) - size, np.zeros(element.max() + 1, bool), [None, None]
+
+    def near(at: int, rest: np.ndarray) -> np.ndarray:
+        if flat[0] is not rest:  # the elements of those not reached yet
+            flat[:] = rest, np.concatenate([element[start[k] : start[k] + size[k]] for k in rest])
+        own = element[start[at] : start[at] + size[at]]
+        mark[own] = True
+        common = np.add.reduceat(mark[flat[1]].astype(np.int64), np.cumsum(size[rest]) - size[rest])
+        mark[own] = False
+        return 100 * common >= PERCENT * (size[rest] + size[at] - common)
+
+    return near
+
+
 def _verified(group: pa.Table) -> pa.Table:
-    """The smallest id reachable over exact links for the members of a slot's regions; one region after the other."""
-    ids, regions = np.array(group["id"], np.int64), np.array(group["region"], np.int64)
+    """The smallest id reachable over exact links for the members of a slot's blocks; one block after the other."""
+    ids, regions = np.array(group["id"], np.int64), np.array(group["block"], np.int64)
     order, cuts = _split(regions, ids)
     ids, every, out = ids[order], group["elements"], []
     for low, high in zip(cuts, cuts[1:]):
         sets = [np.frombuffer(every[int(k)].as_py(), np.uint64) for k in order[low:high]]
-        size = np.array([len(x) for x in sets])
-        _, element = np.unique(np.concatenate(sets), return_inverse=True)
-        start, mark, flat = np.cumsum(size) - size, np.zeros(element.max() + 1, bool), [None, None]
-
-        def near(at: int, rest: np.ndarray, size=size, start=start, element=element, mark=mark, flat=flat) -> np.ndarray:
-            if flat[0] is not rest:  # the elements of those not reached yet
-                flat[:] = rest, np.concatenate([element[start[k] : start[k] + size[k]] for k in rest])
-            own = element[start[at] : start[at] + size[at]]
-            mark[own] = True
-            common = np.add.reduceat(mark[flat[1]].astype(np.int64), np.cumsum(size[rest]) - size[rest])
-            mark[own] = False
-            return 100 * common >= PERCENT * (size[rest] + size[at] - common)
-
-        out.append(ids[low + _regions(high - low, near)])
+        out.append(ids[low + _regions(high - low, _nearness(sets))])
     return pa.table({"id": ids, "component": np.concatenate(out)})
 
 
+def _across(group: pa.Table) -> pa.Table:
+    """Exact links between the two blocks of a pair (or within one) that join different components."""
+    order = np.argsort(np.array(group["id"], np.int64), kind="stable")
+    ids, label, side = (np.array(group[c], np.int64)[order] for c in ("id", "label", "side"))
+    every = group["elements"]
+    near, low, rest = _nearness([np.frombuffer(every[int(k)].as_py(), np.uint64) for k in order]), side == side.min(), {}
+    a, b, high = [], [], side == side.max()
+    for at in np.flatnonzero(low):
+        while True:
+            if label[at] not in rest:
+                rest[label[at]] = np.flatnonzero(high & (label != label[at]))
+            others = rest[label[at]]
+            hit = others[near(at, others)] if len(others) else others
+            for joined in np.unique(label[hit]):
+                a.append(ids[at])
+                b.append(ids[hit[label[hit] == joined][0]])
+            if not len(hit):
+                break
+            label[np.isin(label, label[hit])] = label[at]
+            rest = {}
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _dealt(members: DataFrame, by: list[str], turn: int = 0) -> DataFrame:
+    """`members` (id, size and the columns `by`) with a block each: about BLOCK shingles of the same `by`."""
+    n = members.groupBy(*by).agg(F.ceil(F.sum("size") / F.lit(BLOCK)).alias("blocks"))
+    return members.join(n, by).withColumn("block", F.xxhash64(*by, F.pmod(F.xxhash64("id", F.lit(turn)), "blocks"))).drop("blocks")
+
+
+def _large(sets: DataFrame, first: DataFrame) -> DataFrame:
+    """id, component of the members of large regions, from their sets (region, id, size, elements) and their blocks' components."""
+    own = sets.select("region", "id", "size")
+    links, heads, before, turn = first, first.select(F.col("component").alias("id")).distinct(), None, 0
+    while before is None or 10 * now < 9 * before:
+        turn += 1
+        blocks = _dealt(own.join(heads, "id", "left_semi"), ["region"], turn).select("id", "block")
+        more = cut(sets.select("id", "elements").join(blocks, "id").groupBy("block").applyInArrow(_verified, "id long, component long"))
+        before, links = more.count(), links.unionByName(more)
+        heads = more.select(F.col("component").alias("id")).distinct()
+        now = heads.count()
+    named = components(links.toDF("b", "a")).toDF("id", "label")
+    own = cut(own.join(named, "id", "left").select("region", "id", "size", F.coalesce("label", "id").alias("label")))
+    apart = own.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("region")
+    total = own.groupBy("region", "label").agg((F.sum("size") > BLOCK).alias("big"))
+    kind = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / PERCENT))).alias("kind")  # sets of kinds more than one apart can't link
+    parts = own.join(apart, "region", "left_semi").join(total, ["region", "label"]).select("region", "id", "size", "label", kind, "big", F.when(F.col("big"), F.col("label")).otherwise(0).alias("part"))
+    places = cut(_dealt(parts, ["region", "big", "part", "kind"]))
+    blocks = places.select("region", "block", "big", "part", "kind").distinct()
+    x, y = blocks.alias("x"), blocks.alias("y")
+    both = (F.col("x.region") == F.col("y.region")) & (F.abs(F.col("x.kind") - F.col("y.kind")) <= 1) & (F.col("x.block") <= F.col("y.block"))
+    pairs = x.join(y, both & ~(F.col("x.big") & F.col("y.big") & (F.col("x.part") == F.col("y.part")))).select(F.col("x.block").alias("low"), F.col("y.block").alias("high"))
+    sides = pairs.select("low", "high", F.col("low").alias("block"), F.lit(0).cast("long").alias("side")).unionByName(pairs.where("low <> high").select("low", "high", F.col("high").alias("block"), F.lit(1).cast("long").alias("side")))
+    shown = places.select("id", "label", "block").join(sides, "block").join(sets.select("id", "elements"), "id")
+    crossing = shown.select("low", "high", "id", "label", "side", "elements").groupBy("low", "high").applyInArrow(_across, "a long, b long")
+    final = components(links.toDF("b", "a").unionByName(crossing)).toDF("id", "component")
+    return own.select("id").join(final, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+
+
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row."""
     small_batches(docs.sparkSession)
@@ -200,19 +269,34 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
     marked = heads.select("id", F.explode("bands").alias("band"))
     buckets = marked.groupBy("band").agg(F.count("*").alias("m"), F.sum(F.xxhash64("id") % 1_000_000_007).alias("s"), F.min("id").alias("low"), F.max("id").alias("high")).where("m > 1")
-    distinct = buckets.groupBy("m", "s", "low", "high").agg(F.min("band").alias("band")).select("band")
-    members = marked.join(distinct, "band").join(heads.select("id", "n", "code"), "id")
+    distinct = buckets.groupBy("m", "s", "low", "high").agg(F.min("band").alias("band")).select("band", "m", "low")
+    found = marked.join(distinct, "band")
+    members = found.where(F.col("m") <= BUCKET).select("id", "band").join(heads.select("id", "n", "code"), "id")
+    stars = found.where(F.col("m") > BUCKET).select(F.col("low").alias("a"), F.col("id").alias("b"))
     slots = 8 * width(docs.sparkSession)
-    edges = members.groupBy(F.pmod(F.xxhash64("band"), F.lit(slots)).alias("slot")).applyInArrow(_bucket, "a long, b long").distinct()
+    edges = members.groupBy(F.pmod(F.xxhash64("band"), F.lit(slots)).alias("slot")).applyInArrow(_bucket, "a long, b long").unionByName(stars).distinct()
     regions = components(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("region"))
+    sized = base.where("n > 0").select("doc_id", "n").join(regions, "doc_id").groupBy("region").agg(F.ceil(F.sum("n") / F.lit(BLOCK)).alias("blocks"))
+    large = cut(sized.where("blocks > 1"))
+    some = not large.isEmpty()
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(data).tobytes() for data in utf8(batch["text"])]
             yield pa.RecordBatch.from_arrays([batch["region"], batch["doc_id"], pa.array(sets, pa.binary())], names=["region", "id", "elements"])
 
-    sets = rows.join(regions, "doc_id").select("region", "doc_id", "text").mapInArrow(full_sets, "region long, id long, elements binary")
-    linked = sets.groupBy(F.pmod(F.xxhash64("region"), F.lit(slots)).alias("slot")).applyInArrow(_verified, "id long, component long").groupBy("id").agg(F.min("component").alias("component"))
+    def small(sets: DataFrame) -> DataFrame:
+        return sets.groupBy(F.pmod(F.xxhash64("block"), F.lit(slots)).alias("slot")).applyInArrow(_verified, "id long, component long")
+
+    kind = "region long, id long, elements binary"
+    usual = regions.join(large, "region", "left_anti") if some else regions
+    linked = small(rows.join(usual, "doc_id").select("region", "doc_id", "text").mapInArrow(full_sets, kind).withColumnRenamed("region", "block"))
+    if some:
+        whole = rows.join(regions.join(large, "region", "left_semi"), "doc_id").select("region", "doc_id", "text").mapInArrow(full_sets, kind)
+        whole = cut(whole.withColumn("size", F.expr("length(elements) div 8")).dropDuplicates(["id"]))
+        blocks = _dealt(whole.select("region", "id", "size"), ["region"]).select("id", "block")
+        linked = linked.unionByName(_large(whole, cut(whole.select("id", "elements").join(blocks, "id").groupBy("block").applyInArrow(_verified, "id long, component long"))))
+    linked = linked.groupBy("id").agg(F.min("component").alias("component"))
     named = classes.join(linked, "id", "left").select("set_key", "n", F.coalesce("component", "id").alias("component_id"))
     return (
         base.select("doc_id", "n", "set_key")

@@ -90,6 +90,23 @@ def test_near_groups(docs, rows, empty):
     assert near_dedup.near_groups(empty).count() == 0
 
 
+def test_large_regions_and_buckets(spark, docs, rows, monkeypatch):
+    r, more = random.Random(6), []
+    for g in range(3):  # chains, whose ends don't link with each other
+        w = [prose(r, 1) for _ in range(100)]
+        for k in range(40):
+            w = list(w)
+            w[r.randrange(100)] = prose(r, 1) + str(k)
+            more.append((1000 + 40 * g + k, " ".join(w)))
+    more += [(2000 + k, t + " " + prose(r, n)) for k, (t, n) in enumerate([(more[0][1], 30), (more[0][1], 40), (more[5][1], 60)])]
+    sets = shingle_sets(rows + more)
+    want = reachable(list(sets), lambda a, b: bool(sets[a]) and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]))
+    monkeypatch.setattr(near_dedup, "BLOCK", 500)
+    monkeypatch.setattr(near_dedup, "BUCKET", 3)
+    every = docs.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string"))
+    assert {x.doc_id: x.component_id for x in near_dedup.near_groups(every).collect()} == want
+
+
 def test_sketch_fills_and_estimates():
     r = np.random.default_rng(3)
     for n in (1, 2, 7, 100, 3000):
