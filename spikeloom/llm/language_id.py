@@ -176,14 +176,15 @@ def predict_languages(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """`docs` without the rows whose language is undetermined: null texts and texts without letters."""
+    """`docs` without null texts and texts without letters. No score rejects a text, and where nothing could be learned those with letters stay."""
     small_batches(docs.sparkSession)
     model = prototypes(docs.where(F.coalesce(remainder("doc_id", 3) != 1, F.lit(False))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         label = labeller(model)
         for batch in batches:
-            names, _ = label(batch["text"].to_pylist())
-            yield batch.filter(pa.array([n != "und" for n in names], pa.bool_()))
+            texts = batch["text"].to_pylist()
+            names, _ = label(texts)
+            yield batch.filter(pa.array([n != "und" or bool(_NOT_LETTERS.sub("", t or "")) for n, t in zip(names, texts, strict=True)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -279,6 +279,11 @@ def test_language(spark, empty):
     assert n.sum() == 2 * 700_000  # pieces lose no trigram at their borders
 
 
+def test_texts_with_letters_stay_where_nothing_is_learned(spark):
+    docs = spark.createDataFrame([(1, "some words", None), (2, "12 !", None), (3, None, None), (4, "日本語", None)], "doc_id long, text string, lang string")
+    assert {x.doc_id for x in language_id.keep_identified(docs).collect()} == {1, 4}
+
+
 def test_toxicity(spark, empty):
     r = random.Random(4)
     words = [prose(r, 1) for _ in range(300)]
