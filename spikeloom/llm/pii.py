@@ -5,7 +5,7 @@ overlap and aren't retried when a check fails. Digits and letters are ASCII. The
 digits, so long texts without matches cost one pass.
 
 The field then labels stretches of text around anchors (@, spelt-out addresses, longer digit runs, credential words).
-Candidate segments are at most SPAN characters long and end where the text's own boundaries lie; whole-span features (shape,
+Candidate segments end where the text's own boundaries lie, and are at most SPAN characters long but for unbroken runs, which are whole; whole-span features (shape,
 groups of digits, checksums, separators, cues before and characters around it) score each candidate for each kind, and dynamic programming over
 the candidates' boundaries chooses all segments and kinds of a stretch jointly. Its weights maximise the penalised
 likelihood of sentences generated from fixed patterns with a fixed seed, with gradients by the forward-backward recursion. Its spans that
@@ -82,6 +82,7 @@ _SPELT_AT = r"\s?[\[({]\s?at\s?[\])}]\s?|\sat\s"
 _SPELT_DOT = r"\s?[\[({]\s?dot\s?[\])}]\s?|\sdot\s"
 _SPELT = re.compile(rf"[A-Za-z0-9_%+-]+(?:(?:{_SPELT_DOT}|\.)[A-Za-z0-9_%+-]+)*(?:{_SPELT_AT})[A-Za-z0-9-]+(?:(?:{_SPELT_DOT}|\.)[A-Za-z0-9-]+)+", re.I)
 _KEY = re.compile(r"[A-Za-z0-9_/+-]{12,}={0,2}")
+_RUN_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_/+-=")
 _CUES = [
     re.compile(r"(?:mail|contact|write|reach)\W{0,3}(?:\w{1,3}\W{1,2})?\Z", re.I),
     re.compile(r"(?:\bip|host|server|address)\W{0,3}(?:is\W)?\Z", re.I),
@@ -93,7 +94,10 @@ _CUES = [
 
 
 def proposals(text: str) -> list[tuple[int, int]]:
-    """Candidate segments of a stretch, each at most SPAN characters long, in the order of their ends."""
+    """Candidate segments of a stretch in the order of their ends: longer runs than SPAN as one each, others up to SPAN characters."""
+    long = [m.span() for m in _KEY.finditer(text) if m.end() - m.start() > SPAN]
+    if long:  # nothing within a run is a segment of its own, and the other scans stay short
+        text = _KEY.sub(lambda m: m[0] if m.end() - m.start() <= SPAN else "\0" * (m.end() - m.start()), text)
     found = {m.span() for r in (_MAIL, _SPELT, _KEY) for m in r.finditer(text)}
     for m in _RUN.finditer(text):
         groups = [(g.start() + m.start(), g.end() + m.start()) for g in re.finditer(r"[0-9]+", m[0])]
@@ -104,7 +108,7 @@ def proposals(text: str) -> list[tuple[int, int]]:
                     found.add((s - 1, e))
                 if s > 1 and text[s - 2 : s] == "+(":
                     found.add((s - 2, e))
-    return sorted((x for x in found if 6 <= x[1] - x[0] <= SPAN), key=lambda x: (x[1], x[0]))
+    return sorted([*long, *(x for x in found if 6 <= x[1] - x[0] <= SPAN)], key=lambda x: (x[1], x[0]))
 
 
 def _bucket(n: int, *edges: int) -> int:
@@ -287,12 +291,14 @@ def training_sentences(n: int = 700, seed: int = 11) -> list[tuple[str, list[tup
 
 
 def stretches_around(text: str) -> list[tuple[int, int]]:
-    """Parts of a text in which the field looks for segments: SPAN characters around anchors, overlapping ones joined."""
+    """Parts of a text in which the field looks for segments: SPAN characters around anchors and on to the ends of runs, overlapping ones joined."""
     out: list[list[int]] = []
     for m in _ANCHOR.finditer(text):
-        s, e = max(0, m.start() - SPAN), min(len(text), m.end() + SPAN)
-        while s > 0 and text[s - 1].isalnum() and m.start() - s < 2 * SPAN:
+        s, e, done = max(0, m.start() - SPAN), min(len(text), m.end() + SPAN), out[-1][1] if out else 0
+        while s > done and (text[s - 1] in _RUN_CHARS or text[s - 1].isalnum() and m.start() - s < 2 * SPAN):
             s -= 1
+        while done < e < len(text) and text[e - 1] in _RUN_CHARS and text[e] in _RUN_CHARS:
+            e += 1
         if out and s <= out[-1][1]:
             out[-1][1] = max(e, out[-1][1])
         else:

@@ -175,6 +175,18 @@ def test_pii(spark, docs, rows, empty):
     assert pii.digests(pii.find(docs, weights)).count() == len(rows) and pii.find(empty, weights).count() == 0
 
 
+def test_pii_of_long_keys():
+    r, weights = random.Random(9), pii.train(pii.training_sentences())
+    for n in (97, 128, 200, 5000):
+        for letters in ("0123456789abcdef", "ABCDEFabcdefghijkXYZ0123456789"):
+            key = "".join(r.choice(letters) for _ in range(n - 2)) + "a7"
+            for before, after in (('token = "', '" ok'), ("words api_key: ", " and then")):
+                _, every = pii.all_spans(before + key + after, weights)
+                assert (len(before), len(before) + n, 4) in every, (n, every)
+    for text in ("x1234567" * 200_000, ("x1234567" * 40 + " ") * 2000):
+        assert len(pii.stretches_around(text)) == 1  # in linear time
+
+
 def test_arc(spark, tmp_path):
     pages = [(1, "http://a/x y", "<p>é</p>"), (2, None, None), (3, "http://b", "<p>é</p>"), (4, "http://c", ""), (5, "http://d", "WARC/1.1\r\n\r\nx\r\n\r\n"), (6, "http://e", "z" * 200000)]
     got = {r.page_id: r for r in arc.archive(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
