@@ -4,8 +4,10 @@ Rows are grouped by a 128-bit hash of the normalised text together with the text
 bytes never meet in one group; partial aggregation folds copies before the shuffle, which keeps hot groups small. A
 second, narrow aggregation picks the row that stays, and a narrow join gives every row its group.
 
-Null and empty texts are equal to each other. Repeated ids are returned once per input row. An empty table gives an
-empty result. Columns other than `doc_id` and `text` are ignored.
+Null and empty texts are equal to each other. Repeated ids are returned once per input row. A null id is never the one
+that stays if its group has another; as in the SQL, `kept` is null for it, and true for each of some rows that repeat id and
+text. `keep_one` returns one row of each group, whatever its ids. An empty table gives an empty result. Columns other than
+`doc_id` and `text` are ignored.
 """
 
 from __future__ import annotations
@@ -26,15 +28,18 @@ def exact_groups(docs: DataFrame) -> DataFrame:
         .agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
         .select("h", F.sha2("norm", 256).alias("text_sha256"), "points", "first_id", "n")
     )
-    groups = folded.groupBy("h", "text_sha256").agg(F.sum("n").alias("group_size"), F.max_by("first_id", F.struct("points", -F.col("first_id"))).alias("keep_id"))
+    groups = folded.groupBy("h", "text_sha256").agg(F.sum("n").alias("group_size"), F.max_by("first_id", F.struct(F.col("first_id").isNotNull(), "points", -F.col("first_id"))).alias("keep_id"))
     keyed = rows.select("doc_id", F.unhex(F.md5("norm")).alias("h"), F.sha2("norm", 256).alias("text_sha256"))
     return keyed.join(groups, ["h", "text_sha256"]).select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """`docs` with one row of each group of equal texts, all columns as they are."""
-    staying = exact_groups(docs).where("kept").select("doc_id").distinct()
-    return docs.join(staying, "doc_id", "left_semi").select(*docs.columns)
+    original = F.coalesce(F.col("text"), F.lit(""))
+    norm = F.regexp_replace(original, BLANKS, "")
+    rank = F.struct(F.col("doc_id").isNotNull(), F.char_length(original), -F.col("doc_id"), F.xxhash64("text"))
+    rows = docs.select(F.unhex(F.md5(norm)).alias("h"), F.sha2(norm, 256).alias("text_sha256"), F.struct(*docs.columns).alias("row"), rank.alias("rank"))
+    return rows.groupBy("h", "text_sha256").agg(F.max_by("row", "rank").alias("row")).select("row.*")
 
 
 ORACLE_SQL = """

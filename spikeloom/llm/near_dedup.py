@@ -20,7 +20,7 @@ independent samples.
 
 With J = 0.75 a pair shares no band with probability (1 - 0.75**4)**32 < 6e-6, and falls below the sketch threshold with
 less. Null, empty and blank texts have an empty set and link with nothing. Texts of any length are taken whole, in pieces.
-Rows with a null doc_id don't take part. Other columns are ignored.
+Rows with a null doc_id don't take part in groups; `keep_one` gives them ids of their own, behind all others. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import U64, components, cut, mixed, powers, prefix_hash, small_batches, utf8, width
@@ -307,6 +307,11 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """`docs` with one row of each near-duplicate group, all columns as they are."""
-    staying = near_groups(docs).where("kept").select("doc_id").distinct()
-    return docs.join(staying, "doc_id", "left_semi").select(*docs.columns)
+    """`docs` with one row of each near-duplicate group, all columns as they are; of rows that repeat id and text, one stays."""
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 62)))  # of the text, so that it's the same in each scan
+    own = docs.select(F.struct(*docs.columns).alias("row"), key.alias("key"))
+    groups = near_groups(own.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text")))
+    staying = groups.where("kept").groupBy(F.col("doc_id").alias("key")).agg(F.min("n_shingles").alias("least"))
+    again = Window.partitionBy("key", F.xxhash64("row.text")).orderBy("key")
+    kept = own.join(staying, "key").withColumn("place", F.row_number().over(again))
+    return kept.where("place = 1 OR least = 0").select("row.*")

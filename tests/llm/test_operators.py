@@ -58,6 +58,14 @@ def test_exact_groups(docs, rows, empty):
     assert exact_dedup.keep_one(docs).columns == docs.columns and exact_dedup.keep_one(docs).count() == len(groups)
 
 
+def test_exact_dedup_of_null_and_repeated_ids(spark):
+    rows = [(None, "a b ", "x"), (7, "ab", "y"), (None, "alone", "x"), (None, "twice", "x"), (None, "twice", "x"), (3, "same", "x"), (3, "same", "x"), (3, "other", "x"), (4, "other", "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((r.text, r.doc_id) for r in exact_dedup.keep_one(docs).collect())
+    assert got == [("ab", 7), ("alone", None), ("other", 3), ("same", 3), ("twice", None)]  # a row with an id stays
+    assert {r.keep_id for r in exact_dedup.exact_groups(docs).where("doc_id = 7").collect()} == {7}
+
+
 def shingle_sets(rows):
     out = {}
     for i, t, *_ in rows:
@@ -90,6 +98,16 @@ def test_near_groups(docs, rows, empty):
     assert near_dedup.near_groups(empty).count() == 0
 
 
+def test_near_dedup_of_null_and_repeated_ids(spark):
+    r = random.Random(8)
+    a, b, c = prose(r, 90), prose(r, 90), prose(r, 90)
+    rows = [(None, a), (5, a + " end"), (None, b), (None, b + " end"), (6, c), (6, c), (None, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = [(x.doc_id, x.text) for x in near_dedup.keep_one(docs).collect()]
+    assert len(got) == 5 and (5, a + " end") in got and (6, c) in got and got.count((None, None)) == 2
+    assert sum(x in got for x in ((None, b), (None, b + " end"))) == 1
+
+
 def test_large_regions_and_buckets(spark, docs, rows, monkeypatch):
     r, more = random.Random(6), []
     for g in range(3):  # chains, whose ends don't link with each other
