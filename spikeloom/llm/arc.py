@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_folder, small_batches
+from .common import portions, shared_folder
 
 VERSIONS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
@@ -89,7 +89,6 @@ def http_payload(body: bytes) -> bytes:
 
 def as_arc(pages: DataFrame) -> DataFrame:
     """(page_ids, arc): ARC files of both versions in turn, of about SHARD_BYTES, and the ids of their records in order."""
-    small_batches(pages.sparkSession, 500)
     kind = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,7 +97,7 @@ def as_arc(pages: DataFrame) -> DataFrame:
         def flushed() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([ids], kind), pa.array([b"".join(parts)], pa.binary())], names=["page_ids", "arc"])
 
-        for batch in batches:
+        for batch in portions(batches, "html"):
             for page_id, url, html in zip(batch["page_id"].to_pylist(), batch["url"].to_pylist(), batch["html"].to_pylist(), strict=True):
                 if not parts:
                     parts.append(arc_head(version, "legacy.arc"))
@@ -128,7 +127,7 @@ def convert(arcs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in RECORD.split(",")]
         kinds = [pa.int64(), *[pa.string()] * 5, pa.int64(), pa.string(), pa.string()]
-        for batch in batches:
+        for batch in portions(batches, "arc"):
             for ids, arc in zip(batch["page_ids"].to_pylist(), batch["arc"].to_pylist(), strict=True):
                 out = []
                 for page_id, r in zip(ids, parse_arc(arc), strict=True):
@@ -188,10 +187,9 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     """
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # a file at a time
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, "content"):
             for content in batch["content"].to_pylist():
                 out = []
                 for fields, block in parse_warc(gzip.decompress(content)):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import portions
 
 TEMPLATE = {
     "open": "<|im_start|>",
@@ -73,7 +73,6 @@ def read_back(formatted: str, template: dict = TEMPLATE) -> list[tuple[str, str]
 
 def format_conversations(rows: DataFrame, template: dict = TEMPLATE) -> DataFrame:
     """conv_id, formatted, segments array<struct<start,end,loss>> (code points, end exclusive), valid."""
-    small_batches(rows.sparkSession)
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     gathered = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
     kind = gathered.schema["conv_id"].dataType.simpleString()
@@ -102,7 +101,7 @@ def digests(formatted: DataFrame, template: dict = TEMPLATE) -> DataFrame:
     kind = formatted.schema["conv_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, "formatted"):
             out = []
             for text, marks in zip(batch["formatted"].to_pylist(), batch["segments"].to_pylist(), strict=True):
                 turns = read_back(text, template)

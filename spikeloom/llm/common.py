@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,42 +12,82 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
+#: Bytes of text that a Python worker takes up at a time; a longer text is taken up alone.
+PORTION = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of at most `rows` rows, so that a Python worker holds a few MB of text at a time."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-
-
 def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_local: dict[str, str] = {}
+
+
+def shared_root(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; where that is unset, a temporary folder if driver and executors are one local process."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = _local.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="spark-")
+        _local[spark.sparkContext.applicationId] = root
+    return root
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share: below spark.checkpoint.dir, or a temporary one where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    return f"{root}/{name}-{uuid.uuid4().hex}"
+    """The name of a new folder that driver and executors share."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` as Parquet to the shared folder and read it from there; any executor may be lost afterwards."""
+    folder = shared_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Write `df` to the cluster's checkpoint folder and read it from there; any executor may be lost afterwards."""
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-cut-"))
+        context.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark remove the shuffle files of finished steps, once no variable refers to their DataFrames any more."""
-    for _ in range(2):  # what the first round frees in Python is garbage for the JVM only in the second
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.3)
+def portions(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = PORTION) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about `most` bytes of a string or binary column, without copies; at least a row each."""
+    for batch in batches:
+        ends = texts_of(batch[column])[1]
+        at = 0
+        while at < len(batch):
+            upto = max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1)
+            yield batch.slice(at, upto - at)
+            at = upto
+
+
+def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of an Arrow string or binary column, without a copy of the bytes; null is empty."""
+    c = column.cast(pa.large_binary())
+    if not len(c):
+        return np.empty(0, np.uint8), np.zeros(1, np.int64)
+    _, offsets, data = c.buffers()
+    return np.frombuffer(data or b"", np.uint8), np.frombuffer(offsets, np.int64, len(c) + 1, 8 * c.offset)
+
+
+def blobs(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """A binary Arrow column whose values are consecutive parts of an array; ends: after how many of its items each ends."""
+    raw = np.ascontiguousarray(data)
+    offsets = np.concatenate([[0], ends]) * raw.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(raw.view(np.uint8))]).cast(pa.binary())
 
 
 def utf8(column: pa.Array) -> list[bytes]:
@@ -93,25 +132,25 @@ def prefix_hash(data: np.ndarray) -> np.ndarray:
     return c
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) for an undirected edge table (a, b) of longs: component is the smallest node reachable.
 
-    Alternates large-star and small-star steps; each round is cut into the checkpoint folder, and only two numbers of a
-    round reach the driver. Nodes without an edge to another node don't appear.
+    Alternates large-star and small-star steps until a round leaves every edge as it was; each round is cut into the
+    checkpoint folder, and only counts reach the driver. Partial aggregation folds the edges of a hub before they meet.
+    Nodes without an edge to another node don't appear.
     """
-    e = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    e, before = cut(e), None
+    e = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     for _ in range(rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = cut(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v") % 1_000_003).alias("s")).first()
-        if now == before:
+        after = cut(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        # settled: every node has one edge, to its component's smallest node, which has none upwards
+        if after.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").isEmpty() and after.join(after.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
             break
-        before = now
+        e = after
     else:
         raise RuntimeError("components did not settle")
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+    return after.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(after.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, mixed, powers, small_batches
+from .common import U64, mixed, portions, powers
 
 WINDOW, STEP, EDITS, Q = 64, 8, 6, 8
 BLOCK = 2_000_000
@@ -180,13 +180,12 @@ _loaded: dict = {}
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, windows, edits for each document that holds a passage of an item."""
-    small_batches(docs.sparkSession)
     rows, out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), None
     for load in _blocks(benchmark):
 
         def run(batches: Iterator[pa.RecordBatch], load=load) -> Iterator[pa.RecordBatch]:
             index = load()
-            for batch in batches:
+            for batch in portions(batches):
                 found = [(d, i, len(w), e) for d, t in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True) for i, (w, e) in sorted(index.search(t).items())]
                 columns = list(zip(*found, strict=True)) or [[]] * 4
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int32()), strict=True)], names=["doc_id", "item_id", "windows", "edits"])
@@ -198,12 +197,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """`docs` without the rows that hold a passage of an item, all columns as they are."""
-    small_batches(docs.sparkSession)
     for load in _blocks(benchmark):
 
         def run(batches: Iterator[pa.RecordBatch], load=load) -> Iterator[pa.RecordBatch]:
             index = load()
-            for batch in batches:
+            for batch in portions(batches):
                 yield batch.filter(pa.array([not index.search(t) for t in batch["text"].to_pylist()], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)

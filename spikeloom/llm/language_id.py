@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, mixed, remainder, small_batches
+from .common import U64, mixed, portions, remainder
 
 DIMENSIONS = 1024
 PIECE = 1 << 20
@@ -113,7 +113,7 @@ def prototypes(training: DataFrame) -> dict[str, np.ndarray]:
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         bundler = Bundler()
-        for batch in batches:
+        for batch in portions(batches):
             by: dict[str, list] = {}
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
                 by.setdefault(lang, []).append(text or "")
@@ -159,7 +159,7 @@ def identify(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         label = labeller(model)
-        for batch in batches:
+        for batch in portions(batches):
             names, score = label(batch["text"].to_pylist())
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], pa.array(names, pa.string()), pa.array(score)], names=["doc_id", "held_out", "lang_pred", "score"])
 
@@ -170,19 +170,17 @@ def identify(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
 
 def predict_languages(docs: DataFrame) -> DataFrame:
     """Learns from the rows that are not held out, then predicts every row."""
-    small_batches(docs.sparkSession)
     model = prototypes(docs.where(F.coalesce(remainder("doc_id", 3) != 1, F.lit(False))))
     return identify(docs, model)
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """`docs` without null texts and texts without letters. No score rejects a text, and where nothing could be learned those with letters stay."""
-    small_batches(docs.sparkSession)
     model = prototypes(docs.where(F.coalesce(remainder("doc_id", 3) != 1, F.lit(False))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         label = labeller(model)
-        for batch in batches:
+        for batch in portions(batches):
             texts = batch["text"].to_pylist()
             names, _ = label(texts)
             yield batch.filter(pa.array([n != "und" or bool(_NOT_LETTERS.sub("", t or "")) for n, t in zip(names, texts, strict=True)], pa.bool_()))

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U64, components, cut, mixed, powers, prefix_hash, small_batches, utf8, width
+from .common import U64, components, cut, mixed, portions, powers, prefix_hash, utf8, width
 
 WORDS, PERCENT = 5, 75
 COORDINATES, ROWS = 128, 4
@@ -243,11 +243,10 @@ def _large(sets: DataFrame, first: DataFrame) -> DataFrame:
 
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row."""
-    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             n, keys, codes, marks = [], [], [], []
             for data in utf8(batch["text"]):
                 own = shingles(data)
@@ -281,7 +280,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     some = not large.isEmpty()
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             sets = [shingles(data).tobytes() for data in utf8(batch["text"])]
             yield pa.RecordBatch.from_arrays([batch["region"], batch["doc_id"], pa.array(sets, pa.binary())], names=["region", "id", "elements"])
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import portions
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ROOM = 300_000
@@ -209,12 +209,11 @@ def _model(df: DataFrame, path: str):
 
 def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """`docs` with a column `ids` array<int> in place of `text`."""
-    small_batches(docs.sparkSession, 500)
     model, others = _model(docs, path), [c for c in docs.columns if c not in ("text", "ids")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = transducer(model.value)
-        for batch in batches:
+        for batch in portions(batches):
             coded = [np.frombuffer(fst.encode(t or ""), "<i4") for t in batch["text"].to_pylist()]
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in coded])]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*coded, np.empty(0, "<i4")])))
@@ -241,14 +240,13 @@ def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
 
 def digests(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """doc_id, n_pieces, n_byte_pieces, ids_sha256 (ids as little-endian int32), decoded_sha256, round_trip for every row."""
-    small_batches(docs.sparkSession, 500)
     model = _model(docs, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = transducer(model.value)
         is_byte = np.zeros(len(fst.strings), bool)
         is_byte[fst.byte] = True
-        for batch in batches:
+        for batch in portions(batches):
             out = []
             for text in batch["text"].to_pylist():
                 coded = fst.encode(text or "")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import portions
 
 KINDS = ["email", "ip", "card", "phone", "secret"]
 BASE = KINDS[:4]
@@ -320,12 +320,11 @@ def all_spans(text: str, weights: dict[str, list[float]]) -> tuple[list[tuple[in
 
 def find(docs: DataFrame, weights: dict[str, list[float]] | None = None) -> DataFrame:
     """doc_id, spans array<struct<kind,start,end,base>> for every row: code points, end exclusive."""
-    small_batches(docs.sparkSession, 500)
     w = weights or train(training_sentences())
     cell = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             out = []
             for text in batch["text"].to_pylist():
                 base, every = all_spans(text or "", w)

@@ -3,18 +3,24 @@
 A string of LENGTH bytes has one minimiser: its K-byte substring with the smallest hash, the first on ties. So equal strings
 have equal minimisers, and all that must be sorted together are the stretches of text around equal minimisers.
 
-1. Each document's distinct minimiser hashes go, packed into one row for each slot and batch, to the slot of their hash.
-   There, hashes that are in several documents are found and sent back to their documents.
-2. Those documents cut the stretches (runs of strings with one minimiser, 50 to 2 * 50 - K bytes) around such hashes. Equal
-   stretches are folded into one, which carries the smallest doc_id, by the task that cuts them and again in their slot.
-3. A slot of stretches is sorted by suffixes in two stages. Suffixes smaller than their successors are sorted directly, by
+1. Each document's distinct minimiser hashes go, packed for each slot and portion of text, to the slot of their hash. A hash that
+   several documents of a portion have is sent once for all of them. Slots tell documents which of their hashes others have as well.
+2. Those documents cut the stretches (runs of strings with one minimiser, 50 to 2 * 50 - K bytes) around such hashes. A task sends
+   a stretch's bytes once, with the smallest doc_id that it knows of, and the places where it stands beside them.
+3. A slot's stretches are sorted by suffixes in two stages. Suffixes smaller than their successors are sorted directly, by
    words of eight bytes; scanning the buckets of first bytes upwards then induces the order of the others, because a
-   suffix of theirs stands in its bucket in the order of the suffix that follows it. Common prefixes of adjacent suffixes then delimit
-   the groups of equal LENGTH-byte strings, and a group's smallest doc_id is known for each of its members.
-4. A document drops the strings whose smallest doc_id is below its own.
-
-Texts are taken whole as UTF-8, in pieces that overlap by LENGTH - 1 bytes. Null texts are empty; texts below LENGTH bytes
-keep all. Rows with equal doc_id are taken as one document's parts, with one result each; null ids lose nothing and cause no loss.
+   suffix of theirs stands in its bucket in the order of the suffix that follows it. Suffixes that neither begin a string nor
+   induce one that does are left out. Common prefixes of adjacent suffixes then delimit the groups of equal LENGTH-byte strings, and a
+   group's smallest doc_id is known for each of its members.
+4. A slot's places follow its stretches as a stream and are told which of their strings a smaller doc_id has; a
+   document drops these.
+
+A slot's stretches are sorted about SORTED bytes at a time, by minimiser. A minimiser that is in more than HOT documents and makes up
+a large part of its slot is no unit of work: its strings are dealt one by one, by a hash of their own bytes. There are at most SHARE such
+minimisers for each slot, and only their hashes reach the driver.
+
+Texts are taken whole as UTF-8. Null texts are empty; texts below LENGTH bytes keep all. Rows with equal doc_id are one
+document: they don't remove each other's strings, and each gets a result of its own; null ids lose nothing and cause no loss.
 Other columns are ignored.
 """
 
@@ -25,77 +31,103 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, mixed, powers, prefix_hash, release, shared_folder, small_batches, utf8, width
+from .common import U64, blobs, mixed, portions, powers, prefix_hash, remove_folder, shared_folder, texts_of, width
 
 LENGTH, K = 50, 20
-PIECE = 1 << 22
+PIECE = 1 << 16
 REMEMBERED = 300_000
+SORTED = 1 << 21
+HOT, SHARE = 1 << 20, 8
 _HIGH = U64(0xFFFFFFFFFF000000)
-_SHORT = U64((1 << 48) - 1)
-
-
-def stretches(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first, last): runs of string starts first..last whose strings have the same occurrence of a minimiser."""
-    found = []
-    for begin in range(0, len(data) - LENGTH + 1, PIECE):
-        a = np.frombuffer(data, np.uint8, min(len(data) - begin, PIECE + LENGTH - 1), begin)
-        n = len(a) - K + 1
-        c = prefix_hash(a)
-        h = mixed((c[K:] - c[:-K]) * powers(len(a))[1][:n])
-        v = (h & _HIGH) | np.arange(n, dtype=np.uint64)
-        w, span = LENGTH - K + 1, 1
-        while span * 2 <= w:
-            v = np.minimum(v[:-span], v[span:])
-            span *= 2
-        if span < w:
-            v = np.minimum(v[: len(v) - (w - span)], v[w - span :])
-        at = (v & ~_HIGH).astype(np.int64)
-        first = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1])
-        last = np.concatenate([first[1:] - 1, [len(at) - 1]])
-        found.append((h[at[first]], first + begin, last + begin))
-    if not found:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
-
-
-def suffix_array(text: np.ndarray, words: np.ndarray) -> np.ndarray:
+_CODE = U64((1 << 48) - 1)
+_SECOND = U64(0xC2B2AE3D27D4EB4F)
+
+
+def stretches(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int, np.ndarray]]:
+    """(text number, hash, first, last, where the piece begins, the piece's bytes) of texts that lie in a row in `data`:
+    runs of string starts first..last, as positions in `data`, whose strings have the same occurrence of a minimiser.
+
+    Long texts are cut at multiples of PIECE from their own beginnings, so a text's runs don't depend on its neighbours.
+    """
+    long = np.flatnonzero(np.diff(offsets) > PIECE)
+    borders = np.unique(np.concatenate([offsets, *(np.arange(offsets[d], offsets[d + 1], PIECE) for d in long)]))
+    begin = borders[0]
+    while begin < borders[-1]:
+        end = borders[min(np.searchsorted(borders, begin + PIECE), len(borders) - 1)]
+        a = data[begin : min(end + LENGTH - 1, offsets[-1])]
+        if len(a) >= LENGTH:
+            n = len(a) - K + 1
+            c = prefix_hash(a)
+            h = mixed((c[K:] - c[:-K]) * powers(len(a))[1][:n])
+            v = (h & _HIGH) | np.arange(n, dtype=np.uint64)
+            w, span = LENGTH - K + 1, 1
+            while span * 2 <= w:
+                v = np.minimum(v[:-span], v[span:])
+                span *= 2
+            if span < w:
+                v = np.minimum(v[: len(v) - (w - span)], v[w - span :])
+            at = (v & ~_HIGH).astype(np.int64)[: end - begin]
+            edge = np.ones(len(at), bool)
+            edge[1:] = at[1:] != at[:-1]
+            inner = borders[(borders > begin) & (borders < begin + len(at))] - begin
+            edge[inner] = True
+            ends = offsets[(offsets >= begin + LENGTH) & (offsets < begin + len(at) + LENGTH - 1)] - begin - LENGTH + 1
+            edge[ends] = True  # strings from here on would leave their text
+            first = np.flatnonzero(edge)
+            last = np.append(first[1:], len(at)) - 1
+            text = np.searchsorted(offsets, first + begin, "right") - 1
+            whole = first + begin + LENGTH <= offsets[text + 1]
+            text, first, last = text[whole], first[whole], last[whole]
+            yield text, h[at[first]], first + begin, last + begin, int(begin), a
+        begin = end
+
+
+def suffix_array(text: np.ndarray, words: np.ndarray, wanted: np.ndarray | None = None) -> np.ndarray:
     """The sorted suffixes of `text` (values 1 to 256, and 0 at the end of each stretch; a suffix ends at its first 0).
 
-    words: the eight values from each position on, as one number; equal suffixes stay in the order of their positions.
+    words: the eight values from each position on, as one number. wanted: the suffixes asked for; others that they
+    follow from are in the result as well. Equal suffixes come in no certain order.
     """
     n = len(text)
-    step = np.sign(np.diff(text.astype(np.int16), append=np.int16(-1)))  # 1 where the next value is larger
-    turn = np.flatnonzero(step)
-    rising = step[turn[np.searchsorted(turn, np.arange(n))]] > 0  # smaller than its successor, runs included
-    rising |= text == 0
+    turn = np.flatnonzero(text[1:] != text[:-1])  # the last place of each run of equal values
+    turn = np.append(turn, n - 1)
+    up = np.append(text[turn[:-1]] < text[turn[1:]], False) | (text[turn] == 0)
+    rising = np.repeat(up, np.diff(turn, prepend=-1))  # smaller than its successor, runs included
+    if wanted is None:
+        within = np.ones(n, bool)
+    else:  # a falling suffix follows from the next one, so all up to the next rising one
+        stops = np.flatnonzero(rising)
+        till = stops[np.searchsorted(stops, np.flatnonzero(wanted & np.append(~wanted[1:], True)))]
+        begins = np.flatnonzero(wanted & np.append(True, ~wanted[:-1]))
+        steps = np.bincount(begins, minlength=n + 1) - np.bincount(till + 1, minlength=n + 1)
+        within = np.cumsum(steps[:n]) > 0
     # directly: ties are sorted again by the next eight values, until their stretches end
-    direct = np.flatnonzero(rising)
-    direct = direct[np.argsort(words[direct], kind="stable")]
-    tied = np.concatenate([[False], words[direct][1:] == words[direct][:-1]])
-    depth = 8
-    ended = _ended(words)
+    direct = np.flatnonzero(rising & within)
+    key = words[direct]
+    order = np.argsort(key)
+    direct, key = direct[order], key[order]
+    tied = np.append(False, key[1:] == key[:-1])
+    depth, going = 8, ~_ended(words)
     while True:
-        open_ = tied & ~ended[np.minimum(direct + depth - 8, n - 1)]
-        member = open_ | np.concatenate([open_[1:], [False]])
-        if not member.any():
+        tied &= going[np.minimum(direct + (depth - 8), n - 1)]
+        where = np.flatnonzero(tied | np.append(tied[1:], False))
+        if not len(where):
             break
-        where = np.flatnonzero(member)
-        group = np.cumsum(~open_[where])
+        group = np.cumsum(~tied[where])
         key = words[np.minimum(direct[where] + depth, n - 1)]
-        order = np.lexsort((direct[where], key, group))
+        order = np.lexsort((key, group))
         direct[where] = direct[where][order]
         key, group = key[order], group[order]
-        same = np.concatenate([[False], (key[1:] == key[:-1]) & (group[1:] == group[:-1])])
         tied = np.zeros(len(direct), bool)
-        tied[where] = same
+        tied[where] = np.append(False, (key[1:] == key[:-1]) & (group[1:] == group[:-1]))
         depth += 8
     # induced: each bucket's falling suffixes come from buckets scanned before, or from its own front
     heads = np.split(direct, np.searchsorted(text[direct], np.arange(1, 257)))
+    falling = ~rising & within
     induced: list[list[np.ndarray]] = [[] for _ in range(257)]
     out = []
     for c in range(257):
@@ -103,65 +135,35 @@ def suffix_array(text: np.ndarray, words: np.ndarray) -> np.ndarray:
         while len(wave):
             own.append(wave)
             before = wave[wave > 0] - 1
-            wave = before[(text[before] == c) & ~rising[before]]
+            wave = before[(text[before] == c) & falling[before]]
         bucket = np.concatenate([*own, heads[c]]) if own else heads[c]
+        if not len(bucket):
+            continue
         out.append(bucket)
         before = bucket[bucket > 0] - 1
-        before = before[(text[before] > c) & ~rising[before]]
+        before = before[falling[before]]
         values = text[before]
-        before = before[np.argsort(values, kind="stable")]
-        for value, part in zip(*_runs(np.sort(values), before), strict=True):
+        more = values > c
+        values, before = values[more], before[more]
+        order = np.argsort(values, kind="stable")
+        for value, part in _runs(values[order], before[order]):
             induced[value].append(part)
-    return np.concatenate(out)
-
-
-def _short(h: np.ndarray) -> bytes:
-    """The low 48 bits of hashes, 6 bytes each; a slot's hashes also agree in what made the slot."""
-    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-
-
-def _long(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    return out.reshape(-1).view("<u8")
-
+    return np.concatenate(out) if out else np.empty(0, np.int64)
 
-def _pack(rows: list[tuple[int, bytes, int, bool]]) -> bytes:
-    """(sub-slot, stretch, owner, whether several documents have it) rows, compressed; neighbouring stretches overlap much."""
-    head = np.array([(sub + 16 * several, len(part)) for sub, part, _, several in rows], np.uint8).T.tobytes()
-    owners = np.array([owner for _, _, owner, _ in rows], "<i8").tobytes()
-    return len(rows).to_bytes(4, "little") + zstandard.compress(head + owners + b"".join(part for _, part, _, _ in rows), 3)
 
-
-def _unpack(blob: bytes) -> Iterator[tuple[int, bytes, int, bool]]:
-    n, data = int.from_bytes(blob[:4], "little"), zstandard.decompress(blob[4:])
-    owners = np.frombuffer(data, "<i8", n, 2 * n).tolist()
-    at = 10 * n
-    for k in range(n):
-        size = data[n + k]
-        yield data[k] & 15, data[at : at + size], owners[k], data[k] > 15
-        at += size
-
-
-def _key(part: bytes) -> tuple[int, int]:
-    """96 bits that stand for a stretch in the join back to its places."""
-    return xxhash.xxh3_64_intdigest(part) - (1 << 63), xxhash.xxh32_intdigest(part) - (1 << 31)
-
-
-def _runs(values: np.ndarray, members: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
-    if not len(values):
-        return [], []
-    cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
-    return values[np.concatenate([[0], cuts])].tolist(), np.split(members, cuts)
+def _runs(values: np.ndarray, members: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The members of each run of equal values."""
+    if len(values):
+        cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
+        yield from zip(values[np.append(0, cuts)].tolist(), np.split(members, cuts), strict=True)
 
 
 def _words(text: np.ndarray) -> np.ndarray:
     """Eight values from each position on, as one number (values fit a byte, as UTF-8 has no byte 255)."""
-    padded = np.concatenate([text, np.zeros(8, text.dtype)]).astype(np.uint64)
-    out = np.zeros(len(text), np.uint64)
-    for k in range(8):
-        out = (out << U64(8)) | padded[k : k + len(text)]
-    return out
+    out = np.concatenate([text, np.zeros(8, text.dtype)]).astype(np.uint64)
+    for k in (1, 2, 4):
+        out[:-k] = (out[:-k] << U64(8 * k)) | out[k:]
+    return out[: len(text)]
 
 
 def _ended(words: np.ndarray) -> np.ndarray:
@@ -169,196 +171,416 @@ def _ended(words: np.ndarray) -> np.ndarray:
     return ((words - U64(0x0101010101010101)) & ~words & U64(0x8080808080808080)) != 0
 
 
-def equal_strings(parts: list[bytes], owners: np.ndarray) -> list[np.ndarray]:
-    """For each stretch, the smallest owner of every LENGTH-byte string in it, by start."""
-    size = np.array([len(p) for p in parts])
-    joined = np.frombuffer(b"\xff".join(parts) + b"\xff", np.uint8)
-    text = (joined + np.uint8(1)).astype(np.uint8)  # 0xFF, which UTF-8 doesn't have, ends a stretch as 0
+def _from(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The positions starts[k] .. starts[k] + sizes[k] - 1 of all k in a row."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def equal_strings(joined: np.ndarray, size: np.ndarray, owners: np.ndarray) -> np.ndarray:
+    """The smallest owner of every LENGTH-byte string of stretches that lie in a row in `joined`, in their order."""
+    end = np.cumsum(size)
+    text = np.zeros(len(joined) + len(size), np.uint8)
+    text[_from(end - size + np.arange(len(size)), size)] = joined + np.uint8(1)  # 0 ends a stretch
+    begin = end - size + np.arange(len(size))
+    strings = _from(begin, size - LENGTH + 1)
+    wanted = np.zeros(len(text), bool)
+    wanted[strings] = True
     words = _words(text)
-    order = suffix_array(text, words)
-    begin = np.cumsum(size + 1) - size - 1
-    part = np.repeat(np.arange(len(parts)), size + 1)
-    left = (begin + size)[part] - np.arange(len(text))
-    order = order[left[order] >= LENGTH]
+    order = suffix_array(text, words, wanted)
+    order = order[wanted[order]]
     same = np.ones(max(len(order) - 1, 0), bool)  # a common prefix of LENGTH bytes with the one before
     for k in range(0, LENGTH, 8):
         w = words[order + k] if k + 8 <= LENGTH else words[order + k] >> U64(8 * (k + 8 - LENGTH))
         same &= w[1:] == w[:-1]
-    starts = np.concatenate([[0], np.flatnonzero(~same) + 1])
-    least = np.minimum.reduceat(owners[part[order]], starts)
-    by_start = np.full(len(text), -1, np.int64)
-    by_start[order] = np.repeat(least, np.diff(np.concatenate([starts, [len(order)]])))
-    return [by_start[b : b + n - LENGTH + 1] for b, n in zip(begin, size, strict=True)]
+    starts = np.append(0, np.flatnonzero(~same) + 1)
+    owner = np.repeat(owners, size + 1)[order]
+    by_start = np.zeros(len(text), np.int64)
+    by_start[order] = np.repeat(np.minimum.reduceat(owner, starts), np.diff(np.append(starts, len(order))))
+    return by_start[strings]
+
+
+# --- packed arrays --------------------------------------------------------------------------------------------------
+def _six(codes: np.ndarray) -> bytes:
+    """The low 48 bits of numbers, 6 bytes each."""
+    return np.ascontiguousarray(codes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def _eight(data: bytes | np.ndarray) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, :6] = raw
+    return out.reshape(-1).view("<u8")
+
+
+def _joined(column: pa.ChunkedArray, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def _table(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    """Rows as a batch; schema: 'name kind, ...' with kinds int, long and binary."""
+    fields = [x.split() for x in schema.split(", ")]
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    columns = list(zip(*rows, strict=True)) or [[]] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
+
+
+def _buckets(ids: np.ndarray, tags: np.ndarray, n: int) -> np.ndarray:
+    return (mixed(ids.view(np.uint64) ^ mixed(tags.view(np.uint64))) % U64(n)).astype(np.int64)
+
+
+REPLIES = "bucket int, ids binary, tags binary, counts binary, codes binary"
+SPANS = "bucket int, ids binary, tags binary, counts binary, starts binary, ends binary"
+
+
+def _by_document(group: pa.Table, *columns: tuple[str, str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(ids, tags) of a bucket's documents, the number of each entry's document, and the entries of `columns`."""
+    ids, tags, counts = _joined(group["ids"], "<i8"), _joined(group["tags"], "<i8"), _joined(group["counts"], "<i4")
+    order = np.lexsort((tags, ids))
+    fresh = np.append(True, (ids[order][1:] != ids[order][:-1]) | (tags[order][1:] != tags[order][:-1]))[: len(ids)]
+    number = np.empty(len(ids), np.int64)
+    number[order] = np.cumsum(fresh) - 1
+    first = order[np.flatnonzero(fresh)]
+    return ids[first], tags[first], np.repeat(number, counts), [_eight(b"".join(group[c].to_pylist())) if k == "six" else _joined(group[c], k) for c, k in columns]
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    known = docs if dict(docs.dtypes)["doc_id"] == "bigint" else docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    return known.where("doc_id IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    """doc_id, tag (a hash of the text, which tells rows with equal ids apart) and text of the rows with an id."""
+    text = F.coalesce("text", F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), text.alias("text")).where("doc_id IS NOT NULL")
 
 
-def shared_hashes(texts: DataFrame, slots: int) -> DataFrame:
-    """(doc_id, hashes): each document's minimiser hashes that other documents have as well, written to the shared folder."""
+def shared_hashes(texts: DataFrame, slots: int, folder: str) -> tuple[DataFrame, np.ndarray]:
+    """(doc_id, tag, codes): each document's minimiser hashes that other documents have as well, written to `folder`; and the
+    codes of hot ones."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = np.array(batch["doc_id"], np.int64)
-            own = [np.unique(stretches(data)[0]) for data in utf8(batch["text"])]
-            h = np.concatenate([*own, np.empty(0, np.uint64)])
-            which = np.repeat(np.arange(len(ids)), [len(x) for x in own])
-            slot = (mixed(h) % U64(slots)).astype(np.int64)
-            order = np.argsort(slot, kind="stable")
-            out = []
-            for s, at in zip(*_runs(slot[order], order), strict=True):
-                doc, n = np.unique(which[at], return_counts=True)
-                out.append((s, ids[doc].tobytes(), n.astype("<i4").tobytes(), _short(h[at])))
-            columns = list(zip(*out, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["slot", "ids", "counts", "hashes"])
+        for batch in portions(batches):
+            ids, tags = (np.array(batch[c], np.int64) for c in ("doc_id", "tag"))
+            found = list(stretches(*texts_of(batch["text"])))
+            if not found:
+                continue
+            which, h = (np.concatenate(x) for x in list(zip(*found, strict=True))[:2])
+            order = np.lexsort((which, h))
+            which, h = which[order], h[order]
+            again = np.append(False, h[1:] == h[:-1])
+            keep = ~again | np.append(True, which[1:] != which[:-1])
+            which, h, again = which[keep], h[keep], again[keep]
+            start = np.flatnonzero(~again)
+            n = np.diff(np.append(start, len(h)))
+            least, most = np.minimum.reduceat(ids[which], start), np.maximum.reduceat(ids[which], start)
+            several = least < most
+            told = np.repeat(several, n)  # these documents needn't wait for the slot's answer
+            code = mixed(h) & _CODE
+            rows = [(-1 - b, *x, None) for b, *x in _replies(ids, tags, which[told], code[told], slots)]
+            one = ~told | ~again  # all of those that have no other document here, the first one of the others
+            slot, weight = (h % U64(slots)).astype(np.int64)[one], np.where(several, np.ceil(np.log2(np.maximum(n, 2))), 0).astype(np.uint8)[np.cumsum(~again) - 1][one]
+            which, code = which[one], code[one]
+            order = np.lexsort((which, slot))
+            for s, at in _runs(slot[order], order):
+                cuts = np.flatnonzero(np.append(True, which[at][1:] != which[at][:-1]))
+                own = which[at][cuts]
+                rows.append((s, ids[own].tobytes(), tags[own].tobytes(), np.diff(np.append(cuts, len(at))).astype("<i4").tobytes(), _six(code[at]), weight[at].tobytes()))
+            yield _table(rows, "slot int, ids binary, tags binary, counts binary, codes binary, weights binary")
 
     def shared(group: pa.Table) -> pa.Table:
-        ids, counts = (np.frombuffer(b"".join(group[c].to_pylist()), k) for c, k in (("ids", "<i8"), ("counts", "<i4")))
-        hashes = _long(b"".join(group["hashes"].to_pylist()))
-        doc = np.repeat(ids, counts)
-        order = np.lexsort((doc, hashes))
-        h, d = hashes[order], doc[order]
-        again = np.concatenate([[False], h[1:] == h[:-1]])
-        starts = np.flatnonzero(~again)
-        several = d[starts] != d[np.concatenate([starts[1:] - 1, [len(d) - 1]])] if len(d) else np.empty(0, bool)
-        keep = np.repeat(several, np.diff(np.concatenate([starts, [len(d)]])))
-        h, d = h[keep], d[keep]
-        order = np.argsort(d, kind="stable")
-        names, parts = _runs(d[order], h[order])
-        return pa.table({"doc_id": pa.array(names, pa.int64()), "hashes": pa.array([_short(x) for x in parts], pa.binary())})
-
-    packs = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(packed, "slot int, ids binary, counts binary, hashes binary")
-    found = packs.groupBy("slot").applyInArrow(shared, "doc_id long, hashes binary").groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes"))
-    folder = shared_folder(texts.sparkSession, "shared-hashes")
+        slot = group["slot"][0].as_py()
+        if slot < 0:  # answers given beforehand
+            return pa.table([pa.array([-1 - slot] * len(group), pa.int32()), *(group[c] for c in ("ids", "tags", "counts", "codes"))], names=[x.split()[0] for x in REPLIES.split(", ")])
+        ids, tags, number, (code, weight) = _by_document(group, ("codes", "six"), ("weights", "u1"))
+        order = np.lexsort((ids[number], code))
+        c, d, w = code[order], number[order], weight[order].astype(np.int64)
+        start = np.flatnonzero(np.append(True, c[1:] != c[:-1]))
+        size = np.diff(np.append(start, len(c)))
+        several = (ids[d[start]] != ids[d[start + size - 1]]) | (np.maximum.reduceat(w, start) > 0)
+        keep = np.repeat(several, size) & (w == 0)
+        documents = np.add.reduceat(1 << w, start)
+        hot = c[start[(documents > HOT) & (documents * SHARE > documents.sum())]]
+        rows = _replies(ids, tags, d[keep], c[keep], slots)
+        return pa.Table.from_batches([_table([(-1, b"", b"", b"", _six(hot))] * (len(hot) > 0) + rows, REPLIES)])
+
+    def gathered(group: pa.Table) -> pa.Table:
+        if group["bucket"][0].as_py() < 0:
+            codes = b"".join(group["codes"].to_pylist())
+            return pa.table({"doc_id": pa.array([None], pa.int64()), "tag": pa.array([0], pa.int64()), "codes": pa.array([codes], pa.binary())})
+        ids, tags, number, (code,) = _by_document(group, ("codes", "six"))
+        order = np.lexsort((code, number))
+        number, code = number[order], code[order]
+        keep = np.append(True, (number[1:] != number[:-1]) | (code[1:] != code[:-1]))
+        ends = np.cumsum(np.bincount(number[keep], minlength=len(ids)))
+        return pa.table({"doc_id": ids, "tag": tags, "codes": blobs(np.frombuffer(_six(code[keep]), "V6"), ends)})
+
+    packs = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(packed, "slot int, ids binary, tags binary, counts binary, codes binary, weights binary")
+    found = packs.groupBy("slot").applyInArrow(shared, REPLIES).groupBy("bucket").applyInArrow(gathered, "doc_id long, tag long, codes binary")
     found.write.parquet(folder)
-    return texts.sparkSession.read.parquet(folder)
-
-
-def covered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, text) of every row with an id, and (doc_id, spans array<struct<s,e>>): the removed byte ranges, not merged, of
-    documents that lose any."""
-    small_batches(docs.sparkSession)
-    slots = width(docs.sparkSession)
-    texts = _texts(docs)
-    again = shared_hashes(texts, slots)
-    release(docs.sparkSession)  # the packed hashes' shuffle
-
-    def own_stretches(batch: pa.RecordBatch) -> Iterator[tuple[int, dict[tuple[int, bytes], list[int]]]]:
-        """Each document's distinct stretches around shared hashes, as (hash, bytes) -> starts."""
-        for doc_id, data, wanted in zip(batch["doc_id"].to_pylist(), utf8(batch["text"]), batch["hashes"].to_pylist(), strict=True):
-            if not wanted:
+    spark = texts.sparkSession
+    again = spark.read.schema("doc_id long, tag long, codes binary").parquet(folder)
+    hot = [_eight(r.codes) for r in again.where("doc_id IS NULL").select("codes").collect()]  # at most SHARE numbers for each slot
+    return again.where("doc_id IS NOT NULL"), np.unique(np.concatenate([*hot, np.empty(0, "<u8")]))
+
+
+def _replies(ids: np.ndarray, tags: np.ndarray, which: np.ndarray, code: np.ndarray, buckets: int) -> list[tuple]:
+    """Packed (bucket, ids, tags, counts, codes) rows that tell documents their codes."""
+    bucket = _buckets(ids, tags, buckets)[which] if len(which) else which
+    order, out = np.lexsort((which, bucket)), []
+    for b, at in _runs(bucket[order], order):
+        cuts = np.flatnonzero(np.append(True, which[at][1:] != which[at][:-1]))
+        own = which[at][cuts]
+        out.append((b, ids[own].tobytes(), tags[own].tobytes(), np.diff(np.append(cuts, len(at))).astype("<i4").tobytes(), _six(code[at])))
+    return out
+
+
+class _Cutter:
+    """Cuts the stretches of a task's portions of text."""
+
+    def __init__(self, slots: int, hot: np.ndarray):
+        self.slots, self.hot = slots, hot
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys, self.more, self.owners, self.several = np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool)
+
+    def cut(self, batch: pa.RecordBatch) -> list[tuple[int, int, bytes]]:
+        """(slot, kind, blob) rows: stretches that tell the slot something new as kind 0, places as kind 1."""
+        ids, tags = (np.array(batch[c], np.int64) for c in ("doc_id", "tag"))
+        data, offsets = texts_of(batch["text"])
+        codes, ends = texts_of(batch["codes"])
+        known = np.sort(np.repeat(np.arange(len(ids), dtype=np.uint64) << U64(48), np.diff(ends) // 6) | _eight(codes[ends[0] : ends[-1]]))
+        found = []
+        for text, h, first, last, begin, a in stretches(data, offsets):
+            code = mixed(h) & _CODE
+            own = text.astype(np.uint64) << U64(48) | code
+            at = np.flatnonzero(known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own) if len(known) else []
+            if not len(at):
                 continue
-            h, first, last = stretches(data)
-            known, low = np.sort(_long(b"".join(wanted))), h & _SHORT
-            at = np.flatnonzero(known[np.minimum(np.searchsorted(known, low), len(known) - 1)] == low)
-            own: dict[tuple[int, bytes], list[int]] = {}
-            for x, f, e in zip((mixed(h[at]) % U64(16 * slots)).tolist(), first[at].tolist(), last[at].tolist(), strict=True):
-                own.setdefault((x, data[f : e + LENGTH]), []).append(f)
-            yield doc_id, own
-
-    def cut_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: dict[int, tuple[int, bool]] = {}  # a task sends a stretch again only if that tells something new, or once it has forgotten it
-        for batch in batches:
-            least: dict[tuple[int, bytes], tuple[int, bool]] = {}
-            for doc_id, own in own_stretches(batch):
-                for k in own:
-                    known = least.get(k)
-                    least[k] = (doc_id, False) if known is None else (min(doc_id, known[0]), known[1] or doc_id != known[0])
-            if len(sent) > REMEMBERED:
-                sent.clear()
-            out: dict[int, list[tuple[int, bytes, int, bool]]] = {}
-            for (x, part), (owner, several) in least.items():
-                key = xxhash.xxh3_64_intdigest(part)
-                known = sent.get(key)
-                fresh = (owner, several) if known is None else (min(owner, known[0]), True)
-                if fresh != known:
-                    sent[key] = fresh
-                    out.setdefault(x // 16, []).append((x % 16, part, *fresh))
-            packed_rows = [(slot, _pack(rows)) for slot, rows in out.items()]
-            columns = list(zip(*packed_rows, strict=True)) or [[]] * 2
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.binary()), strict=True)], names=["slot", "parts"])
-
-    def cut_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [(doc_id, *_key(part), np.array(starts, "<i4").tobytes()) for doc_id, own in own_stretches(batch) for (_, part), starts in own.items()]
-            columns = list(zip(*out, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["doc_id", "key", "more", "starts"])
-
-    def sorted_slot(group: pa.Table) -> pa.Table:
-        folded: list[dict[bytes, tuple[int, bool]]] = [{} for _ in range(16)]
-        for blob in group["parts"].to_pylist():
-            for sub, part, owner, several in _unpack(blob):
-                known = folded[sub].get(part)
-                folded[sub][part] = (owner, several) if known is None else (min(owner, known[0]), known[1] or several or owner != known[0])
-        return pa.concat_tables([repeated(own) for own in folded if own])
-
-    def repeated(folded: dict[bytes, tuple[int, bool]]) -> pa.Table:
-        """The runs of equal smallest owners of each stretch, but for stretches that only their one document has."""
-        parts, owners = list(folded), np.array([o for o, _ in folded.values()], np.int64)
-        key, more = (np.array(c, t) for c, t in zip(zip(*map(_key, parts), strict=True), (np.int64, np.int32), strict=True))
-        least = equal_strings(parts, owners)
-        runs = [np.concatenate([[0], np.flatnonzero(x[1:] != x[:-1]) + 1, [len(x)]]) for x in least]
-        k = np.repeat(np.arange(len(runs)), [len(c) - 1 for c in runs])
-        out = {"key": key[k], "more": more[k], "low": np.concatenate([c[:-1] for c in runs]), "high": np.concatenate([c[1:] - 1 for c in runs]), "least": np.concatenate([x[c[:-1]] for x, c in zip(least, runs, strict=True)])}
-        return pa.table(out).filter(pa.array((out["least"] < owners[k]) | np.array([s for _, s in folded.values()], bool)[k]))
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            starts = [np.frombuffer(x, "<i4").astype(np.int64) for x in batch["starts"].to_pylist()]
-            k = np.repeat(np.arange(len(starts)), [len(x) for x in starts])
-            at = np.concatenate([*starts, np.empty(0, np.int64)])
-            ids, low, high = (np.array(batch[c], np.int64)[k] for c in ("doc_id", "low", "high"))
-            s, e = at + low, at + high + LENGTH
-            order = np.lexsort((s, ids))
-            ids, s, e = ids[order], s[order], e[order]
-            ends = np.ones(len(s), bool)  # neighbours of a run of stretches become one span
-            ends[:-1] = (ids[1:] != ids[:-1]) | (s[1:] > np.maximum(e[:-1], 0))
-            starts_at = np.concatenate([[True], ends[:-1]])[: len(s)]
-            top = np.maximum.reduceat(e, np.flatnonzero(starts_at)) if len(s) else e
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[starts_at], s[starts_at], top)], names=["doc_id", "s", "e"])
-
-    found = texts.join(again, "doc_id", "left").select("doc_id", "text", "hashes")  # all uses share one exchange of texts
-    least = found.mapInArrow(cut_parts, "slot int, parts binary").groupBy("slot").applyInArrow(sorted_slot, "key long, more int, low long, high long, least long")
-    lost = found.mapInArrow(cut_places, "doc_id long, key long, more int, starts binary").join(least, ["key", "more"]).where("least < doc_id")
-    spans = lost.select("doc_id", "low", "high", "starts").mapInArrow(spread, "doc_id long, s long, e long")
-    return found, spans.groupBy("doc_id").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-
-
-def remaining(data: bytes, spans: list[dict] | None) -> tuple[bytes, int, int]:
-    """(the kept bytes, how many go, in how many maximal runs)."""
-    if not spans:
-        return data, 0, 0
-    spans = sorted((x["s"], x["e"]) for x in spans)
-    kept, at, runs, gone = [], 0, 0, 0
-    end = -1
-    for s, e in spans:
-        if s > end:  # a run that doesn't touch the one before
-            kept.append(data[at:s])
-            runs += 1
-            gone += e - s
-        elif e > end:
-            gone += e - end
-        end = max(end, e)
-        at = end
-    kept.append(data[at:])
-    return b"".join(kept), gone, runs
+            text, h, first, last, code = text[at], h[at], first[at], last[at], code[at]
+            single = np.isin(code, self.hot) if len(self.hot) else np.zeros(len(at), bool)
+            if single.any():  # a stretch for each string of a hot minimiser
+                n = np.where(single, last - first + 1, 1)
+                k, first = np.repeat(np.arange(len(at)), n), _from(first, n)
+                last, text, h, single = np.where(single[k], first, last[k]), text[k], h[k], single[k]
+            s, e = first - begin, last - begin + LENGTH
+            up, down = powers(len(a) + 1)
+            c, d = prefix_hash(a), np.zeros(len(a) + 1, np.uint64)
+            np.cumsum(mixed((a.astype(np.uint64) + U64(1)) * _SECOND) * up[: len(a)], out=d[1:])
+            key = mixed((c[e] - c[s]) * down[s] + (e - s).astype(np.uint64))
+            more = mixed((d[e] - d[s]) * down[s]) >> U64(32)
+            found.append((text, np.where(single, key, h), key, more, first, last))
+        if not found:
+            return []
+        text, h, key, more, first, last = (np.concatenate(x) for x in zip(*found, strict=True))
+        slot = h % U64(self.slots)
+        order = np.lexsort((key, slot))
+        text, h, key, more, first, last, slot = (x[order] for x in (text, h, key, more, first, last, slot))
+        start = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (more[1:] != more[:-1])))
+        size = np.diff(np.append(start, len(key)))
+        owner = np.minimum.reduceat(ids[text], start)
+        several = owner < np.maximum.reduceat(ids[text], start)
+        told, owner, several = self._fresh(key[start], more[start], owner, several)
+        rows, cuts = [], np.flatnonzero(np.append(True, slot[start][1:] != slot[start][:-1]))
+        for low, high in zip(cuts.tolist(), [*cuts[1:].tolist(), len(start)]):
+            k = start[low:high]
+            n = np.flatnonzero(told[low:high])
+            s = int(slot[k[0]])
+            if len(n):
+                own = k[n]
+                length = last[own] - first[own] + LENGTH
+                head = [length.astype("u1"), several[low:high][n].astype("u1"), (h[own] // U64(self.slots) % U64(1 << 16)).astype("<u2"), more[own].astype("<u4"), key[own].astype("<u8"), owner[low:high][n].astype("<i8")]
+                rows.append((s, 0, len(n).to_bytes(4, "little") + zstandard.compress(b"".join(x.tobytes() for x in head) + data[_from(first[own], length)].tobytes(), 1)))
+            at = slice(k[0], start[high] if high < len(start) else len(key))
+            whose, which = np.unique(text[at], return_inverse=True)
+            place = (first[at] - offsets[text[at]]).astype("<i4")
+            head = np.array([high - low, len(whose), len(which)], "<i4")
+            rows.append((s, 1, b"".join(x.tobytes() for x in (head, key[k], ids[whose], tags[whose], more[k].astype("<u4"), size[low:high].astype("<i4"), place, which.astype("<i4")))))
+        return rows
+
+    def _fresh(self, key: np.ndarray, more: np.ndarray, owner: np.ndarray, several: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which stretches tell more than this task has sent before, and what is known of them by now."""
+        if len(self.keys) > REMEMBERED:
+            self.forget()
+        at = np.searchsorted(self.keys, key)
+        near = np.minimum(at, len(self.keys) - 1)
+        old = (self.keys[near] == key) & (self.more[near] == more) if len(self.keys) else np.zeros(len(key), bool)
+        told = ~old
+        if old.any():
+            k = near[old]
+            several = several.copy()
+            several[old] |= self.several[k] | (self.owners[k] != owner[old])
+            owner = owner.copy()
+            owner[old] = np.minimum(owner[old], self.owners[k])
+            told[old] = (owner[old] != self.owners[k]) | (several[old] != self.several[k])
+            self.owners[k], self.several[k] = owner[old], several[old]
+        new = np.flatnonzero(~old)
+        new = new[np.argsort(key[new])]
+        place = np.searchsorted(self.keys, key[new])
+        self.keys, self.more = np.insert(self.keys, place, key[new]), np.insert(self.more, place, more[new])
+        self.owners, self.several = np.insert(self.owners, place, owner[new]), np.insert(self.several, place, several[new])
+        return told, owner, several
+
+
+class _Slot:
+    """What is known of a slot's stretches: runs of strings that some document with a smaller id has."""
+
+    def __init__(self, packs: list[bytes]):
+        heads, data = [], []
+        for blob in packs:
+            n, raw = int.from_bytes(blob[:4], "little"), zstandard.decompress(blob[4:])
+            at, own = 0, []
+            for kind in ("u1", "u1", "<u2", "<u4", "<u8", "<i8"):
+                own.append(np.frombuffer(raw, kind, n, at))
+                at += own[-1].nbytes
+            heads.append(own)
+            data.append(np.frombuffer(raw, np.uint8, offset=at))
+        if not heads:
+            heads = [[np.empty(0, k) for k in ("u1", "u1", "<u2", "<u4", "<u8", "<i8")]]
+        length, several, sub, more, key, owner = (np.concatenate(x) for x in zip(*heads, strict=True))
+        data, length = np.concatenate([*data, np.empty(0, np.uint8)]), length.astype(np.int64)
+        begin = np.cumsum(length) - length
+        order = np.lexsort((more, key, sub))
+        again = np.append(False, (key[order][1:] == key[order][:-1]) & (more[order][1:] == more[order][:-1]))[: len(order)]
+        first = np.flatnonzero(~again)
+        if len(first):  # equal stretches of several tasks are one
+            low, high = np.minimum.reduceat(owner[order], first), np.maximum.reduceat(owner[order], first)
+            several = (np.maximum.reduceat(several[order], first) > 0) | (low != high)
+            order, owner = order[first], low
+            length, begin, key, more, sub = (x[order] for x in (length, begin, key, more, sub))
+        found, cuts = [], np.flatnonzero(np.append(True, sub[1:] != sub[:-1]))
+        upto, at = np.append(cuts[1:], len(sub)), 0
+        ends = np.cumsum(length)
+        while at < len(upto) and len(first):
+            low, bytes_before = cuts[at], ends[cuts[at]] - length[cuts[at]]
+            at = max(at + 1, int(np.searchsorted(ends[upto - 1], bytes_before + SORTED, "right")))
+            k = slice(low, upto[at - 1])
+            found.append(self._runs(data[_from(begin[k], length[k])], length[k], owner[k], several[k], low))
+        part, self.low, self.high, self.least = (np.concatenate(x) for x in zip(*found, strict=True)) if found else [np.empty(0, np.int64)] * 4
+        order = np.lexsort((more, key))
+        self.key, self.more = key[order], more[order]
+        self.count = np.bincount(part, minlength=len(key))[order]
+        self.begin = (np.cumsum(np.bincount(part, minlength=len(key))) - np.bincount(part, minlength=len(key)))[order]
+
+    @staticmethod
+    def _runs(joined: np.ndarray, size: np.ndarray, owner: np.ndarray, several: np.ndarray, offset: int) -> tuple[np.ndarray, ...]:
+        """(stretch, first, last, least): runs of equal smallest owners, but for those that only the stretch's one document has."""
+        least = equal_strings(joined, size, owner)
+        n = size - LENGTH + 1
+        begin = np.cumsum(n) - n
+        part = np.repeat(np.arange(len(n)), n)
+        edge = np.append(True, (least[1:] != least[:-1]) | (part[1:] != part[:-1]))
+        s = np.flatnonzero(edge)
+        e = np.append(s[1:], len(least))
+        k = part[s]
+        keep = several[k] | (least[s] < owner[k])
+        s, e, k = s[keep], e[keep], k[keep]
+        return k + offset, s - begin[k], e - 1 - begin[k], least[s]
+
+    def spans(self, blob: bytes) -> tuple[np.ndarray, ...]:
+        """(ids, tags, number, start, end): the bytes that the places of a blob lose; number counts in ids and tags."""
+        m, documents, places = np.frombuffer(blob, "<i4", 3).tolist()
+        at, own = 12, []
+        for kind, n in (("<u8", m), ("<i8", documents), ("<i8", documents), ("<u4", m), ("<i4", m), ("<i4", places), ("<i4", places)):
+            own.append(np.frombuffer(blob, kind, n, at))
+            at += own[-1].nbytes
+        key, ids, tags, more, size, start, which = own
+        k = np.searchsorted(self.key, key)
+        while (wrong := self.more[k] != more).any():  # keys that agree in 64 bits only
+            k[wrong] += 1
+        n = np.repeat(self.count[k], size)
+        run = _from(np.repeat(self.begin[k], size), n)
+        start, which = np.repeat(start, n).astype(np.int64), np.repeat(which, n)
+        lost = self.least[run] < ids[which]
+        run, start, which = run[lost], start[lost], which[lost]
+        return ids, tags, which, start + self.low[run], start + self.high[run] + LENGTH
+
+
+def _merged(number: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of numbered documents in order, those that overlap or touch as one."""
+    order = np.lexsort((start, number))
+    number, start, end = number[order], start[order], end[order]
+    if not len(number):
+        return number, start, end
+    far = int(end.max()) + 1
+    reach = np.maximum.accumulate(number * far + end)
+    first = np.flatnonzero(np.append(True, number[1:] * far + start[1:] > reach[:-1]))
+    return number[first], start[first], reach[np.append(first[1:], len(reach)) - 1] - number[first] * far
+
+
+def _span_rows(found: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatch:
+    sizes = [len(x[0]) for x in found]
+    ids, tags = (np.concatenate([x[k] for x in found]) for k in (0, 1))
+    number = np.concatenate([x[2] + before for x, before in zip(found, np.cumsum([0, *sizes[:-1]]), strict=True)])
+    number, start, end = _merged(number.astype(np.int64), *(np.concatenate([x[k] for x in found]) for k in (3, 4)))
+    bucket, rows = _buckets(ids, tags, buckets)[number], []
+    order = np.argsort(bucket, kind="stable")
+    for b, at in _runs(bucket[order], order):
+        cuts = np.flatnonzero(np.append(True, number[at][1:] != number[at][:-1]))
+        own = number[at][cuts]
+        rows.append((b, ids[own].tobytes(), tags[own].tobytes(), np.diff(np.append(cuts, len(at))).astype("<i4").tobytes(), start[at].astype("<i4").tobytes(), end[at].astype("<i4").tobytes()))
+    return _table(rows, SPANS)
+
+
+def covered(texts: DataFrame, folder: str) -> DataFrame:
+    """(doc_id, tag, spans): the removed byte ranges of documents that lose any, merged, as pairs of 32-bit numbers."""
+    slots = width(texts.sparkSession)
+    again, hot = shared_hashes(texts, slots, folder)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cutter = _Cutter(slots, hot)
+        for batch in portions(batches):
+            yield _table(cutter.cut(batch), "slot int, kind int, pack binary")
+
+    def resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A partition is a slot, whose stretches come before their places."""
+        packs, slot, found, n = [], None, [], 0
+        for batch in portions(batches, "pack"):
+            for kind, pack in zip(batch["kind"].to_pylist(), batch["pack"].to_pylist(), strict=True):
+                if kind == 0:
+                    packs.append(pack)
+                    continue
+                if slot is None:
+                    slot, packs = _Slot(packs), []
+                found.append(slot.spans(pack))
+                n += len(found[-1][0]) + len(found[-1][3])
+                if n > 1_000_000:
+                    yield _span_rows(found, slots)
+                    found, n = [], 0
+        if found:
+            yield _span_rows(found, slots)
+
+    def gathered(group: pa.Table) -> pa.Table:
+        ids, tags, number, (start, end) = _by_document(group, ("starts", "<i4"), ("ends", "<i4"))
+        number, start, end = _merged(number, start.astype(np.int64), end.astype(np.int64))
+        pairs = np.stack([start, end], axis=1).astype("<i4")
+        return pa.table({"doc_id": ids, "tag": tags, "spans": blobs(pairs.reshape(-1).view("<i8"), np.cumsum(np.bincount(number, minlength=len(ids))))})
+
+    rows = texts.join(again, ["doc_id", "tag"]).mapInArrow(cut, "slot int, kind int, pack binary")
+    spans = rows.repartitionById(slots, "slot").sortWithinPartitions("kind").select("kind", "pack").mapInArrow(resolved, SPANS)
+    return spans.groupBy("bucket").applyInArrow(gathered, "doc_id long, tag long, spans binary")
 
 
 def strip_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row."""
-    found, spans = covered(docs)
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    alone = own.where("doc_id IS NULL").withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
-    rows = found.join(spans, "doc_id", "left").unionByName(alone, allowMissingColumns=True)  # with all columns of `found`, so that its exchanges are shared
+    texts, spark = _texts(docs), docs.sparkSession
+    lost = covered(texts, shared_folder(spark, "shared-hashes"))
+    alone = docs.where("doc_id IS NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).cast("long").alias("tag"), F.coalesce("text", F.lit("")).alias("text"), F.lit(None).cast("binary").alias("spans"))
+    rows = texts.join(lost, ["doc_id", "tag"], "left").unionByName(alone)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
+            data, offsets = texts_of(batch["text"])
+            raw, ends = memoryview(data), offsets.tolist()
             out = []
-            for data, own in zip(utf8(batch["text"]), batch["spans"].to_pylist(), strict=True):
-                kept, gone, runs = remaining(data, own)
-                out.append((len(data), gone, runs, hashlib.sha256(kept).hexdigest()))
+            for k, own in enumerate(batch["spans"].to_pylist()):
+                low, high = ends[k], ends[k + 1]
+                if not own:
+                    out.append((high - low, 0, 0, hashlib.sha256(raw[low:high]).hexdigest()))
+                    continue
+                spans, at, gone, digest = np.frombuffer(own, "<i4").reshape(-1, 2).tolist(), low, 0, hashlib.sha256()
+                for s, e in spans:
+                    digest.update(raw[at : low + s])
+                    at = low + e
+                    gone += e - s
+                digest.update(raw[at:high])
+                out.append((high - low, gone, len(spans), digest.hexdigest()))
             columns = list(zip(*out, strict=True)) or [[]] * 4
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])

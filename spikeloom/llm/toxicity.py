@@ -28,7 +28,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, remainder, small_batches, utf8
+from .common import cut, portions, remainder, utf8
 
 SAMPLE = 20_000
 LEXICON = 4_000
@@ -58,7 +58,7 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = (Counter(), Counter())
-        for batch in batches:
+        for batch in portions(batches):
             for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist(), strict=True):
                 count[toxic].update(_grams(text or ""))
         keys = list(count[0].keys() | count[1].keys())
@@ -120,7 +120,7 @@ def with_features(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(lexicon)
-        for batch in batches:
+        for batch in portions(batches):
             rows = [scorer.features(data) for data in utf8(batch["text"])]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in others), pa.array(rows, pa.list_(pa.float64()))], names=[*others, "features"])
 
@@ -130,7 +130,6 @@ def with_features(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
 
 def predict(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of `docs`."""
-    small_batches(docs.sparkSession)
     known = labels.where(F.col("toxic").isin(0, 1) & (remainder("doc_id", 4) != 2)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)  # at most SAMPLE rows of two numbers: small enough to broadcast
     sample = cut(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")))

@@ -142,27 +142,66 @@ def test_suffix_array_sorts(spark):
     for _ in range(60):
         parts = [bytes(r.integers(97, 97 + r.integers(1, 5), r.integers(50, 90)).astype(np.uint8)) for _ in range(r.integers(1, 20))]
         text = (np.frombuffer(b"\xff".join(parts) + b"\xff", np.uint8) + np.uint8(1)).astype(np.uint8)
-        order, raw = suffix_dedup.suffix_array(text, suffix_dedup._words(text)), text.tobytes()
+        words = suffix_dedup._words(text)
+        order, raw = suffix_dedup.suffix_array(text, words), text.tobytes()
         suffixes = [raw[k : raw.index(b"\0", k) + 1] for k in order]
         assert sorted(order.tolist()) == list(range(len(text))) and all(a <= b for a, b in zip(suffixes, suffixes[1:]))
+        wanted = r.random(len(text)) < 0.3
+        some = suffix_dedup.suffix_array(text, words, wanted)
+        suffixes = [raw[k : raw.index(b"\0", k) + 1] for k in some]
+        assert set(np.flatnonzero(wanted)) <= set(some.tolist()) and len(set(some.tolist())) == len(some) and all(a <= b for a, b in zip(suffixes, suffixes[1:]))
 
 
-def test_strip_repeats(docs, rows, empty):
-    first, want = {}, {}
-    data = sorted((i, (t or "").encode()) for i, t, *_ in rows)
+def stripped(rows):
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row, by brute force."""
+    first, want = {}, []
+    data = [(i, (t or "").encode()) for i, t in rows]
     for i, b in data:
         for k in range(len(b) - 49):
-            first.setdefault(b[k : k + 50], i)
+            first[b[k : k + 50]] = min(i, first.get(b[k : k + 50], i)) if i is not None else first.get(b[k : k + 50], 1 << 60)
     for i, b in data:
         gone = np.zeros(len(b), bool)
         for k in range(len(b) - 49):
-            if first[b[k : k + 50]] < i:
+            if i is not None and first[b[k : k + 50]] < i:
                 gone[k : k + 50] = True
         kept = bytes(np.frombuffer(b, np.uint8)[~gone]) if len(b) else b""
-        want[i] = (len(b), int(gone.sum()), int((np.diff(gone.astype(int), prepend=0) == 1).sum()), hashlib.sha256(kept).hexdigest())
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.strip_repeats(docs).collect()}
-    assert got == want and sum(v[1] for v in want.values()) > 0
-    assert suffix_dedup.strip_repeats(empty).count() == 0
+        want.append((i, len(b), int(gone.sum()), int((np.diff(gone.astype(int), prepend=0) == 1).sum()), hashlib.sha256(kept).hexdigest()))
+    return sorted(want, key=str)
+
+
+def strips(docs):
+    return sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.strip_repeats(docs).collect()), key=str)
+
+
+def test_stretches_cover_all_strings(monkeypatch):
+    r = random.Random(12)
+    texts = [prose(r, n).encode() for n in (60, 9, 200, 30, 15)] + [b"", b"short", b"ab" * 300]
+    offsets = np.cumsum([0, *map(len, texts)])
+    for piece in (100, 1 << 16):
+        monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+        seen = {}
+        for text, h, first, last, *_ in suffix_dedup.stretches(np.frombuffer(b"".join(texts), np.uint8), offsets):
+            for d, x, s, e in zip(text, h, first, last):
+                for k in range(s, e + 1):
+                    assert (d, k) not in seen
+                    seen[d, k] = x
+        assert set(seen) == {(d, int(offsets[d]) + k) for d, t in enumerate(texts) for k in range(len(t) - 49)}
+        by = {}
+        for (d, k), x in seen.items():
+            assert by.setdefault(texts[d][k - offsets[d] : k - offsets[d] + 50], x) == x  # equal strings have equal minimisers
+
+
+@pytest.mark.parametrize("hot", [1 << 20, 1])
+def test_strip_repeats(spark, docs, rows, empty, monkeypatch, hot):
+    """Also with all minimisers of several documents as hot ones."""
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "SHARE", 1 << 20)
+    own = [(i, t) for i, t, *_ in rows]
+    long = next(t for _, t in own if t and len(t.split()) == 2000)
+    own += [(None, long), (3, long[500:900]), (3, long[700:1200]), (3, long[700:1200]), (1, "ab" * 90 + long[:300]), (2, "ab" * 50), (500, long[::-1] + long[3000:])]
+    want = stripped(own)
+    assert strips(spark.createDataFrame(own, "doc_id long, text string").repartition(3)) == want and sum(v[2] for v in want) > 1000
+    assert suffix_dedup.strip_repeats(empty).count() == 0 and suffix_dedup.strip_repeats(docs).count() == len(rows)
 
 
 def plain_spans(text):
