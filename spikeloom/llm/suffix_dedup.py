@@ -27,6 +27,7 @@ Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,7 +44,7 @@ REMEMBERED = 300_000
 SORTED = 1 << 21
 HOT, SHARE = 1 << 20, 8
 _HIGH = U64(0xFFFFFFFFFF000000)
-_CODE = U64((1 << 48) - 1)
+_CODE = U64((1 << 40) - 1)
 _SECOND = U64(0xC2B2AE3D27D4EB4F)
 
 
@@ -201,15 +202,15 @@ def equal_strings(joined: np.ndarray, size: np.ndarray, owners: np.ndarray) -> n
 
 
 # --- packed arrays --------------------------------------------------------------------------------------------------
-def _six(codes: np.ndarray) -> bytes:
-    """The low 48 bits of numbers, 6 bytes each."""
-    return np.ascontiguousarray(codes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+def _five(codes: np.ndarray) -> bytes:
+    """The low 40 bits of numbers, 5 bytes each; a slot's hashes also agree in what made the slot."""
+    return np.ascontiguousarray(codes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
 
 
 def _eight(data: bytes | np.ndarray) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    raw = np.frombuffer(data, np.uint8).reshape(-1, 5)
     out = np.zeros((len(raw), 8), np.uint8)
-    out[:, :6] = raw
+    out[:, :5] = raw
     return out.reshape(-1).view("<u8")
 
 
@@ -225,38 +226,39 @@ def _table(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
 
 
-def _buckets(ids: np.ndarray, tags: np.ndarray, n: int) -> np.ndarray:
-    return (mixed(ids.view(np.uint64) ^ mixed(tags.view(np.uint64))) % U64(n)).astype(np.int64)
+def _buckets(ids: np.ndarray, n: int) -> np.ndarray:
+    return (mixed(ids.view(np.uint64)) % U64(n)).astype(np.int64)
 
 
-REPLIES = "bucket int, ids binary, tags binary, counts binary, codes binary"
+REPLIES = "bucket int, ids binary, counts binary, codes binary"
 SPANS = "bucket int, ids binary, tags binary, counts binary, starts binary, ends binary"
 
 
 def _by_document(group: pa.Table, *columns: tuple[str, str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """(ids, tags) of a bucket's documents, the number of each entry's document, and the entries of `columns`."""
-    ids, tags, counts = _joined(group["ids"], "<i8"), _joined(group["tags"], "<i8"), _joined(group["counts"], "<i4")
+    """(ids, tags) of a group's documents, the number of each entry's document, and the entries of `columns`."""
+    ids, counts = _joined(group["ids"], "<i8"), _joined(group["counts"], "<i4")
+    tags = _joined(group["tags"], "<i4") if "tags" in group.column_names else np.zeros(len(ids), np.int32)
     order = np.lexsort((tags, ids))
     fresh = np.append(True, (ids[order][1:] != ids[order][:-1]) | (tags[order][1:] != tags[order][:-1]))[: len(ids)]
     number = np.empty(len(ids), np.int64)
     number[order] = np.cumsum(fresh) - 1
     first = order[np.flatnonzero(fresh)]
-    return ids[first], tags[first], np.repeat(number, counts), [_eight(b"".join(group[c].to_pylist())) if k == "six" else _joined(group[c], k) for c, k in columns]
+    return ids[first], tags[first], np.repeat(number, counts), [_eight(b"".join(group[c].to_pylist())) if k == "five" else _joined(group[c], k) for c, k in columns]
 
 
 def _texts(docs: DataFrame) -> DataFrame:
     """doc_id, tag (a hash of the text, which tells rows with equal ids apart) and text of the rows with an id."""
     text = F.coalesce("text", F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), text.alias("text")).where("doc_id IS NOT NULL")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash(text).alias("tag"), text.alias("text")).where("doc_id IS NOT NULL")
 
 
 def shared_hashes(texts: DataFrame, slots: int, folder: str) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, tag, codes): each document's minimiser hashes that other documents have as well, written to `folder`; and the
+    """(doc_id, codes): each document's minimiser hashes that other documents have as well, written to `folder`; and the
     codes of hot ones."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches):
-            ids, tags = (np.array(batch[c], np.int64) for c in ("doc_id", "tag"))
+            ids = np.array(batch["doc_id"], np.int64)
             found = list(stretches(*texts_of(batch["text"])))
             if not found:
                 continue
@@ -272,7 +274,7 @@ def shared_hashes(texts: DataFrame, slots: int, folder: str) -> tuple[DataFrame,
             several = least < most
             told = np.repeat(several, n)  # these documents needn't wait for the slot's answer
             code = mixed(h) & _CODE
-            rows = [(-1 - b, *x, None) for b, *x in _replies(ids, tags, which[told], code[told], slots)]
+            rows = [(-1 - b, *x, None) for b, *x in _replies(ids, which[told], code[told], slots)]
             one = ~told | ~again  # all of those that have no other document here, the first one of the others
             slot, weight = (h % U64(slots)).astype(np.int64)[one], np.where(several, np.ceil(np.log2(np.maximum(n, 2))), 0).astype(np.uint8)[np.cumsum(~again) - 1][one]
             which, code = which[one], code[one]
@@ -280,14 +282,14 @@ def shared_hashes(texts: DataFrame, slots: int, folder: str) -> tuple[DataFrame,
             for s, at in _runs(slot[order], order):
                 cuts = np.flatnonzero(np.append(True, which[at][1:] != which[at][:-1]))
                 own = which[at][cuts]
-                rows.append((s, ids[own].tobytes(), tags[own].tobytes(), np.diff(np.append(cuts, len(at))).astype("<i4").tobytes(), _six(code[at]), weight[at].tobytes()))
-            yield _table(rows, "slot int, ids binary, tags binary, counts binary, codes binary, weights binary")
+                rows.append((s, ids[own].tobytes(), np.diff(np.append(cuts, len(at))).astype("<i4").tobytes(), _five(code[at]), weight[at].tobytes()))
+            yield _table(rows, "slot int, ids binary, counts binary, codes binary, weights binary")
 
     def shared(group: pa.Table) -> pa.Table:
         slot = group["slot"][0].as_py()
         if slot < 0:  # answers given beforehand
-            return pa.table([pa.array([-1 - slot] * len(group), pa.int32()), *(group[c] for c in ("ids", "tags", "counts", "codes"))], names=[x.split()[0] for x in REPLIES.split(", ")])
-        ids, tags, number, (code, weight) = _by_document(group, ("codes", "six"), ("weights", "u1"))
+            return pa.table([pa.array([-1 - slot] * len(group), pa.int32()), *(group[c] for c in ("ids", "counts", "codes"))], names=[x.split()[0] for x in REPLIES.split(", ")])
+        ids, _, number, (code, weight) = _by_document(group, ("codes", "five"), ("weights", "u1"))
         order = np.lexsort((ids[number], code))
         c, d, w = code[order], number[order], weight[order].astype(np.int64)
         start = np.flatnonzero(np.append(True, c[1:] != c[:-1]))
@@ -296,37 +298,37 @@ def shared_hashes(texts: DataFrame, slots: int, folder: str) -> tuple[DataFrame,
         keep = np.repeat(several, size) & (w == 0)
         documents = np.add.reduceat(1 << w, start)
         hot = c[start[(documents > HOT) & (documents * SHARE > documents.sum())]]
-        rows = _replies(ids, tags, d[keep], c[keep], slots)
-        return pa.Table.from_batches([_table([(-1, b"", b"", b"", _six(hot))] * (len(hot) > 0) + rows, REPLIES)])
+        rows = _replies(ids, d[keep], c[keep], slots)
+        return pa.Table.from_batches([_table([(-1, b"", b"", _five(hot))] * (len(hot) > 0) + rows, REPLIES)])
 
     def gathered(group: pa.Table) -> pa.Table:
         if group["bucket"][0].as_py() < 0:
             codes = b"".join(group["codes"].to_pylist())
-            return pa.table({"doc_id": pa.array([None], pa.int64()), "tag": pa.array([0], pa.int64()), "codes": pa.array([codes], pa.binary())})
-        ids, tags, number, (code,) = _by_document(group, ("codes", "six"))
+            return pa.table({"doc_id": pa.array([None], pa.int64()), "codes": pa.array([codes], pa.binary())})
+        ids, _, number, (code,) = _by_document(group, ("codes", "five"))
         order = np.lexsort((code, number))
         number, code = number[order], code[order]
         keep = np.append(True, (number[1:] != number[:-1]) | (code[1:] != code[:-1]))
         ends = np.cumsum(np.bincount(number[keep], minlength=len(ids)))
-        return pa.table({"doc_id": ids, "tag": tags, "codes": blobs(np.frombuffer(_six(code[keep]), "V6"), ends)})
+        return pa.table({"doc_id": ids, "codes": blobs(np.frombuffer(_five(code[keep]), "V5"), ends)})
 
-    packs = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(packed, "slot int, ids binary, tags binary, counts binary, codes binary, weights binary")
-    found = packs.groupBy("slot").applyInArrow(shared, REPLIES).groupBy("bucket").applyInArrow(gathered, "doc_id long, tag long, codes binary")
+    packs = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(packed, "slot int, ids binary, counts binary, codes binary, weights binary")
+    found = packs.groupBy("slot").applyInArrow(shared, REPLIES).groupBy("bucket").applyInArrow(gathered, "doc_id long, codes binary")
     found.write.parquet(folder)
     spark = texts.sparkSession
-    again = spark.read.schema("doc_id long, tag long, codes binary").parquet(folder)
+    again = spark.read.schema("doc_id long, codes binary").parquet(folder)
     hot = [_eight(r.codes) for r in again.where("doc_id IS NULL").select("codes").collect()]  # at most SHARE numbers for each slot
     return again.where("doc_id IS NOT NULL"), np.unique(np.concatenate([*hot, np.empty(0, "<u8")]))
 
 
-def _replies(ids: np.ndarray, tags: np.ndarray, which: np.ndarray, code: np.ndarray, buckets: int) -> list[tuple]:
-    """Packed (bucket, ids, tags, counts, codes) rows that tell documents their codes."""
-    bucket = _buckets(ids, tags, buckets)[which] if len(which) else which
+def _replies(ids: np.ndarray, which: np.ndarray, code: np.ndarray, buckets: int) -> list[tuple]:
+    """Packed (bucket, ids, counts, codes) rows that tell documents their codes."""
+    bucket = _buckets(ids, buckets)[which] if len(which) else which
     order, out = np.lexsort((which, bucket)), []
     for b, at in _runs(bucket[order], order):
         cuts = np.flatnonzero(np.append(True, which[at][1:] != which[at][:-1]))
         own = which[at][cuts]
-        out.append((b, ids[own].tobytes(), tags[own].tobytes(), np.diff(np.append(cuts, len(at))).astype("<i4").tobytes(), _six(code[at])))
+        out.append((b, ids[own].tobytes(), np.diff(np.append(cuts, len(at))).astype("<i4").tobytes(), _five(code[at])))
     return out
 
 
@@ -338,14 +340,16 @@ class _Cutter:
         self.forget()
 
     def forget(self) -> None:
-        self.keys, self.more, self.owners, self.several = np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool)
+        """Begins anew: a slot's stretches are counted from 0 on, under another name of the sender."""
+        self.sender, self.sent = uuid.uuid4().bytes, np.zeros(self.slots, np.int64)
+        self.keys, self.more, self.owners, self.several, self.index = np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool), np.empty(0, np.int64)
 
     def cut(self, batch: pa.RecordBatch) -> list[tuple[int, int, bytes]]:
         """(slot, kind, blob) rows: stretches that tell the slot something new as kind 0, places as kind 1."""
-        ids, tags = (np.array(batch[c], np.int64) for c in ("doc_id", "tag"))
+        ids, tags = np.array(batch["doc_id"], np.int64), np.array(batch["tag"], np.int32)
         data, offsets = texts_of(batch["text"])
         codes, ends = texts_of(batch["codes"])
-        known = np.sort(np.repeat(np.arange(len(ids), dtype=np.uint64) << U64(48), np.diff(ends) // 6) | _eight(codes[ends[0] : ends[-1]]))
+        known = np.sort(np.repeat(np.arange(len(ids), dtype=np.uint64) << U64(48), np.diff(ends) // 5) | _eight(codes[ends[0] : ends[-1]]))
         found = []
         for text, h, first, last, begin, a in stretches(data, offsets):
             code = mixed(h) & _CODE
@@ -376,7 +380,10 @@ class _Cutter:
         size = np.diff(np.append(start, len(key)))
         owner = np.minimum.reduceat(ids[text], start)
         several = owner < np.maximum.reduceat(ids[text], start)
-        told, owner, several = self._fresh(key[start], more[start], owner, several)
+        if len(self.keys) > REMEMBERED:
+            self.forget()
+        before = self.sent.copy()
+        told, owner, several, index = self._fresh(key[start], more[start], slot[start], owner, several)
         rows, cuts = [], np.flatnonzero(np.append(True, slot[start][1:] != slot[start][:-1]))
         for low, high in zip(cuts.tolist(), [*cuts[1:].tolist(), len(start)]):
             k = start[low:high]
@@ -385,78 +392,80 @@ class _Cutter:
             if len(n):
                 own = k[n]
                 length = last[own] - first[own] + LENGTH
-                head = [length.astype("u1"), several[low:high][n].astype("u1"), (h[own] // U64(self.slots) % U64(1 << 16)).astype("<u2"), more[own].astype("<u4"), key[own].astype("<u8"), owner[low:high][n].astype("<i8")]
-                rows.append((s, 0, len(n).to_bytes(4, "little") + zstandard.compress(b"".join(x.tobytes() for x in head) + data[_from(first[own], length)].tobytes(), 1)))
+                head = [length.astype("u1"), several[low:high][n].astype("u1"), (h[own] // U64(self.slots) % U64(1 << 16)).astype("<u2"), owner[low:high][n].astype("<i8")]
+                rows.append((s, 0, self.sender + np.array([before[s], len(n)], "<i4").tobytes() + zstandard.compress(b"".join(x.tobytes() for x in head) + data[_from(first[own], length)].tobytes(), 3)))
             at = slice(k[0], start[high] if high < len(start) else len(key))
             whose, which = np.unique(text[at], return_inverse=True)
             place = (first[at] - offsets[text[at]]).astype("<i4")
-            head = np.array([high - low, len(whose), len(which)], "<i4")
-            rows.append((s, 1, b"".join(x.tobytes() for x in (head, key[k], ids[whose], tags[whose], more[k].astype("<u4"), size[low:high].astype("<i4"), place, which.astype("<i4")))))
+            parts = [index[low:high].astype("<i4"), size[low:high].astype("<i4"), ids[whose], tags[whose], place, which.astype("<i4")]
+            rows.append((s, 1, self.sender + np.array([high - low, len(whose), len(which)], "<i4").tobytes() + zstandard.compress(b"".join(x.tobytes() for x in parts), 1)))
         return rows
 
-    def _fresh(self, key: np.ndarray, more: np.ndarray, owner: np.ndarray, several: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Which stretches tell more than this task has sent before, and what is known of them by now."""
-        if len(self.keys) > REMEMBERED:
-            self.forget()
-        at = np.searchsorted(self.keys, key)
-        near = np.minimum(at, len(self.keys) - 1)
+    def _fresh(self, key: np.ndarray, more: np.ndarray, slot: np.ndarray, owner: np.ndarray, several: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Which stretches tell more than has been sent before, what is known of them by now, and their numbers among those sent to their slots."""
+        near = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         old = (self.keys[near] == key) & (self.more[near] == more) if len(self.keys) else np.zeros(len(key), bool)
-        told = ~old
-        if old.any():
-            k = near[old]
-            several = several.copy()
-            several[old] |= self.several[k] | (self.owners[k] != owner[old])
-            owner = owner.copy()
-            owner[old] = np.minimum(owner[old], self.owners[k])
-            told[old] = (owner[old] != self.owners[k]) | (several[old] != self.several[k])
-            self.owners[k], self.several[k] = owner[old], several[old]
+        told, index = ~old, np.zeros(len(key), np.int64)
+        k = near[old]
+        several[old] |= self.several[k] | (self.owners[k] != owner[old]) if len(k) else False
+        owner[old] = np.minimum(owner[old], self.owners[k]) if len(k) else owner[old]
+        told[old] = (owner[old] != self.owners[k]) | (several[old] != self.several[k]) if len(k) else False
+        index[old] = self.index[k] if len(k) else 0
+        fresh = slot[told]  # slots in order
+        begin = np.flatnonzero(np.append(True, fresh[1:] != fresh[:-1]))[: len(fresh)]
+        count = np.diff(np.append(begin, len(fresh)))
+        index[told] = self.sent[fresh] + np.arange(len(fresh)) - np.repeat(begin, count)
+        self.sent[fresh[begin]] += count
+        if len(k):
+            self.owners[k], self.several[k], self.index[k] = owner[old], several[old], index[old]
         new = np.flatnonzero(~old)
         new = new[np.argsort(key[new])]
         place = np.searchsorted(self.keys, key[new])
-        self.keys, self.more = np.insert(self.keys, place, key[new]), np.insert(self.more, place, more[new])
+        self.keys, self.more, self.index = np.insert(self.keys, place, key[new]), np.insert(self.more, place, more[new]), np.insert(self.index, place, index[new])
         self.owners, self.several = np.insert(self.owners, place, owner[new]), np.insert(self.several, place, several[new])
-        return told, owner, several
+        return told, owner, several, index
 
 
 class _Slot:
     """What is known of a slot's stretches: runs of strings that some document with a smaller id has."""
 
     def __init__(self, packs: list[bytes]):
-        heads, data = [], []
+        packs = sorted(packs, key=lambda x: (x[:16], int.from_bytes(x[16:20], "little")))
+        kinds, heads, data, self.begin, n = ("u1", "u1", "<u2", "<i8"), [], [], {}, 0
         for blob in packs:
-            n, raw = int.from_bytes(blob[:4], "little"), zstandard.decompress(blob[4:])
-            at, own = 0, []
-            for kind in ("u1", "u1", "<u2", "<u4", "<u8", "<i8"):
-                own.append(np.frombuffer(raw, kind, n, at))
-                at += own[-1].nbytes
-            heads.append(own)
+            self.begin.setdefault(blob[:16], n)
+            own, raw, at = int.from_bytes(blob[20:24], "little"), zstandard.decompress(blob[24:]), 0
+            n += own
+            head = []
+            for kind in kinds:
+                head.append(np.frombuffer(raw, kind, own, at))
+                at += head[-1].nbytes
+            heads.append(head)
             data.append(np.frombuffer(raw, np.uint8, offset=at))
-        if not heads:
-            heads = [[np.empty(0, k) for k in ("u1", "u1", "<u2", "<u4", "<u8", "<i8")]]
-        length, several, sub, more, key, owner = (np.concatenate(x) for x in zip(*heads, strict=True))
+        length, several, sub, owner = (np.concatenate(x) for x in zip(*heads, [np.empty(0, k) for k in kinds], strict=True))
         data, length = np.concatenate([*data, np.empty(0, np.uint8)]), length.astype(np.int64)
         begin = np.cumsum(length) - length
-        order = np.lexsort((more, key, sub))
-        again = np.append(False, (key[order][1:] == key[order][:-1]) & (more[order][1:] == more[order][:-1]))[: len(order)]
-        first = np.flatnonzero(~again)
-        if len(first):  # equal stretches of several tasks are one
-            low, high = np.minimum.reduceat(owner[order], first), np.maximum.reduceat(owner[order], first)
-            several = (np.maximum.reduceat(several[order], first) > 0) | (low != high)
-            order, owner = order[first], low
-            length, begin, key, more, sub = (x[order] for x in (length, begin, key, more, sub))
-        found, cuts = [], np.flatnonzero(np.append(True, sub[1:] != sub[:-1]))
-        upto, at = np.append(cuts[1:], len(sub)), 0
-        ends = np.cumsum(length)
-        while at < len(upto) and len(first):
-            low, bytes_before = cuts[at], ends[cuts[at]] - length[cuts[at]]
-            at = max(at + 1, int(np.searchsorted(ends[upto - 1], bytes_before + SORTED, "right")))
-            k = slice(low, upto[at - 1])
-            found.append(self._runs(data[_from(begin[k], length[k])], length[k], owner[k], several[k], low))
+        order = np.argsort(sub, kind="stable")
+        upto = np.append(np.flatnonzero(sub[order][1:] != sub[order][:-1]) + 1, n)
+        ends, at, low, folded = np.cumsum(length[order]), 0, 0, 0
+        self.part, found = np.empty(n, np.int64), []
+        while low < n:
+            before = ends[low] - length[order[low]]
+            at = max(at + 1, int(np.searchsorted(ends[upto - 1], before + SORTED, "right")))
+            k = order[low : upto[at - 1]]
+            joined = data[_from(begin[k], length[k])]
+            which, first = _equal(joined, length[k])
+            self.part[k] = which + folded
+            own = np.argsort(which, kind="stable")
+            starts = np.searchsorted(which[own], np.arange(len(first)))
+            least, most = np.minimum.reduceat(owner[k][own], starts), np.maximum.reduceat(owner[k][own], starts)
+            shared = (np.maximum.reduceat(several[k][own], starts) > 0) | (least != most)
+            offset = np.cumsum(length[k]) - length[k]
+            found.append(self._runs(joined[_from(offset[first], length[k][first])], length[k][first], least, shared, folded))
+            low, folded = upto[at - 1], folded + len(first)
         part, self.low, self.high, self.least = (np.concatenate(x) for x in zip(*found, strict=True)) if found else [np.empty(0, np.int64)] * 4
-        order = np.lexsort((more, key))
-        self.key, self.more = key[order], more[order]
-        self.count = np.bincount(part, minlength=len(key))[order]
-        self.begin = (np.cumsum(np.bincount(part, minlength=len(key))) - np.bincount(part, minlength=len(key)))[order]
+        self.count = np.bincount(part, minlength=folded)
+        self.run = np.cumsum(self.count) - self.count
 
     @staticmethod
     def _runs(joined: np.ndarray, size: np.ndarray, owner: np.ndarray, several: np.ndarray, offset: int) -> tuple[np.ndarray, ...]:
@@ -475,23 +484,39 @@ class _Slot:
 
     def spans(self, blob: bytes) -> tuple[np.ndarray, ...]:
         """(ids, tags, number, start, end): the bytes that the places of a blob lose; number counts in ids and tags."""
-        m, documents, places = np.frombuffer(blob, "<i4", 3).tolist()
-        at, own = 12, []
-        for kind, n in (("<u8", m), ("<i8", documents), ("<i8", documents), ("<u4", m), ("<i4", m), ("<i4", places), ("<i4", places)):
-            own.append(np.frombuffer(blob, kind, n, at))
+        m, documents, places = np.frombuffer(blob, "<i4", 3, 16).tolist()
+        raw, at, own = zstandard.decompress(blob[28:]), 0, []
+        for kind, n in (("<i4", m), ("<i4", m), ("<i8", documents), ("<i4", documents), ("<i4", places), ("<i4", places)):
+            own.append(np.frombuffer(raw, kind, n, at))
             at += own[-1].nbytes
-        key, ids, tags, more, size, start, which = own
-        k = np.searchsorted(self.key, key)
-        while (wrong := self.more[k] != more).any():  # keys that agree in 64 bits only
-            k[wrong] += 1
+        index, size, ids, tags, start, which = own
+        k = self.part[self.begin[blob[:16]] + index.astype(np.int64)]
         n = np.repeat(self.count[k], size)
-        run = _from(np.repeat(self.begin[k], size), n)
+        run = _from(np.repeat(self.run[k], size), n)
         start, which = np.repeat(start, n).astype(np.int64), np.repeat(which, n)
         lost = self.least[run] < ids[which]
         run, start, which = run[lost], start[lost], which[lost]
         return ids, tags, which, start + self.low[run], start + self.high[run] + LENGTH
 
 
+def _equal(joined: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each stretch among the different ones, and one stretch of each number; hashes propose, bytes decide."""
+    end = np.cumsum(size)
+    c = prefix_hash(joined)
+    h = (c[end] - c[end - size]) * powers(len(joined) + 1)[1][end - size]
+    order = np.lexsort((size, h))
+    a, b = order[:-1], order[1:]
+    same = np.flatnonzero((h[a] == h[b]) & (size[a] == size[b]))
+    again = np.zeros(len(size), bool)
+    if len(same):
+        a, b, n = a[same], b[same], size[order[same]]
+        equal = joined[_from((end - size)[a], n)] == joined[_from((end - size)[b], n)]
+        again[same + 1] = np.logical_and.reduceat(equal, np.cumsum(n) - n)
+    number = np.empty(len(size), np.int64)
+    number[order] = np.cumsum(~again) - 1
+    return number, order[~again]
+
+
 def _merged(number: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Spans of numbered documents in order, those that overlap or touch as one."""
     order = np.lexsort((start, number))
@@ -509,7 +534,7 @@ def _span_rows(found: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBa
     ids, tags = (np.concatenate([x[k] for x in found]) for k in (0, 1))
     number = np.concatenate([x[2] + before for x, before in zip(found, np.cumsum([0, *sizes[:-1]]), strict=True)])
     number, start, end = _merged(number.astype(np.int64), *(np.concatenate([x[k] for x in found]) for k in (3, 4)))
-    bucket, rows = _buckets(ids, tags, buckets)[number], []
+    bucket, rows = _buckets(ids, buckets)[number], []
     order = np.argsort(bucket, kind="stable")
     for b, at in _runs(bucket[order], order):
         cuts = np.flatnonzero(np.append(True, number[at][1:] != number[at][:-1]))
@@ -552,16 +577,16 @@ def covered(texts: DataFrame, folder: str) -> DataFrame:
         pairs = np.stack([start, end], axis=1).astype("<i4")
         return pa.table({"doc_id": ids, "tag": tags, "spans": blobs(pairs.reshape(-1).view("<i8"), np.cumsum(np.bincount(number, minlength=len(ids))))})
 
-    rows = texts.join(again, ["doc_id", "tag"]).mapInArrow(cut, "slot int, kind int, pack binary")
+    rows = texts.join(again, "doc_id").mapInArrow(cut, "slot int, kind int, pack binary")
     spans = rows.repartitionById(slots, "slot").sortWithinPartitions("kind").select("kind", "pack").mapInArrow(resolved, SPANS)
-    return spans.groupBy("bucket").applyInArrow(gathered, "doc_id long, tag long, spans binary")
+    return spans.groupBy("bucket").applyInArrow(gathered, "doc_id long, tag int, spans binary")
 
 
 def strip_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row."""
     texts, spark = _texts(docs), docs.sparkSession
     lost = covered(texts, shared_folder(spark, "shared-hashes"))
-    alone = docs.where("doc_id IS NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).cast("long").alias("tag"), F.coalesce("text", F.lit("")).alias("text"), F.lit(None).cast("binary").alias("spans"))
+    alone = docs.where("doc_id IS NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).alias("tag"), F.coalesce("text", F.lit("")).alias("text"), F.lit(None).cast("binary").alias("spans"))
     rows = texts.join(lost, ["doc_id", "tag"], "left").unionByName(alone)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
