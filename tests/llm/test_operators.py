@@ -299,11 +299,39 @@ def test_decontaminate(spark, empty):
     assert decontaminate.leaks(empty, bench).count() == 0 and decontaminate.leaks(docs, bench.limit(0)).count() == 0
 
 
+def a_model(pieces_, kind, **flags):
+    """A model file of (piece, score, kind) rows, as the format's messages."""
+
+    def varint(n):
+        return bytes([n]) if n < 128 else bytes([n & 127 | 128]) + varint(n >> 7)
+
+    def field(number, value):
+        return varint(number << 3 | 2) + varint(len(value)) + value if isinstance(value, bytes) else varint(number << 3) + varint(value)
+
+    rows = b"".join(field(1, field(1, p.encode()) + varint(2 << 3 | 5) + np.float32(s).tobytes() + field(3, k)) for p, s, k in pieces_)
+    settings = field(1, b"identity") + field(2, flags.get("charsmap", b"")) + field(3, flags.get("lead", 1)) + field(4, flags.get("squeeze", 0)) + field(5, 1)
+    return rows + field(2, field(3, kind) + field(35, 1)) + field(3, settings)
+
+
+def vocabulary(r, letters="abcdé▁", n=60):
+    """Pieces of a made-up model: controls, bytes, letters, and strings that grow from earlier ones."""
+    out = [("<unk>", 0, 2), ("<s>", 0, 3), ("</s>", 0, 3)] + [(f"<0x{k:02X}>", 0, 6) for k in range(256)]
+    normal = list(letters)
+    while len(normal) < n:
+        x = r.choice(normal) + r.choice(normal)
+        if x not in normal and len(x) < 9 and "▁" not in x[1:]:
+            normal.append(x)
+    return out, normal
+
+
+TEXTS = ["  a  b ", "a\tb\nc", "▁x ▁", "<s>hi</s><0x41>", "x² ².", "ab_cd _", "the🤦‍♀️end", "한국어 ไทย", "x" * 300, "ab" * 40 + " " + "é" * 60]
+
+
 def test_pieces(docs, rows, empty):
     sentencepiece = pytest.importorskip("sentencepiece")
     library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
-    texts = [t or "" for _, t, *_ in rows] + ["  a  b ", "a\tb\nc", "▁x ▁", "<s>hi</s><0x41>", "x² ².", "ab_cd _", "the🤦‍♀️end", "한국어 ไทย"]
-    fst = pieces.Transducer(pieces.read_model(open(pieces.MODEL, "rb").read()))
+    texts = [t or "" for _, t, *_ in rows] + TEXTS
+    fst = pieces.Transducer(*pieces.read_model(open(pieces.MODEL, "rb").read()))
     for t in texts:
         ids = np.frombuffer(fst.encode(t), "<i4")
         assert ids.tolist() == library.encode(t), t
@@ -316,6 +344,55 @@ def test_pieces(docs, rows, empty):
     assert pieces.digests(empty).count() == 0
 
 
+@pytest.mark.parametrize("kind", [pieces.UNIGRAM, pieces.MERGES])
+def test_made_up_models(spark, tmp_path, kind):
+    """Both kinds of models against the public library, with and without their weights."""
+    sentencepiece = pytest.importorskip("sentencepiece")
+    r, changed, differ = random.Random(7), 0, 0
+    for turn in range(6):
+        head, normal = vocabulary(r, n=r.choice([20, 60, 200]))
+        scores = [-float(k) for k in range(len(normal))] if kind == pieces.MERGES else [-8 * r.random() * len(x) ** 0.5 for x in normal]
+        if kind == pieces.MERGES:  # letters come last in merge models
+            normal = normal[6:] + normal[:6]
+        data = a_model([*head, *((p, s, 1) for p, s in zip(normal, scores, strict=True))], kind, lead=turn % 2)
+        library = sentencepiece.SentencePieceProcessor(model_proto=data)
+        fst, flat = pieces.Transducer(*pieces.read_model(data)), pieces.Transducer(*pieces.read_model(data))
+        flat.weight, flat.weights = [0.0] * len(flat.weight), flat.weights * 0
+        texts = ["".join(r.choice("abcdé  zß") for _ in range(r.randint(0, 70))) for _ in range(300)] + TEXTS
+        for t in texts:
+            ids = np.frombuffer(fst.encode(t), "<i4").tolist()
+            want = library.encode(t)  # of paths that cost the same in a unigram model, the library's rounding chooses
+            cost = [sum(fst.weight[i] if i > 258 else 0.0 for i in x) for x in (ids, want)]
+            assert ids == want or kind == pieces.UNIGRAM and abs(cost[0] - cost[1]) < 1e-4, (turn, t)
+            differ += ids != want
+            assert fst.decode(np.array(ids, np.int64)) == library.decode(ids)
+            assert [i for c in fst.chunks(fst.lead + t.replace("▁", " ")) for i in fst.shortest(c.replace(" ", "▁"))] == ids or not t
+            changed += ids != np.frombuffer(flat.encode(t), "<i4").tolist()
+    assert changed > 50 and differ < 100  # the weights choose the paths
+    (tmp_path / "m.model").write_bytes(data)
+    docs = spark.createDataFrame([(1, "ab é", "x"), (None, None, "y"), (1, "", "z")], "doc_id long, text string, ids string")
+    got = [(x.doc_id, x.round_trip, x.n_pieces) for x in pieces.digests(docs, str(tmp_path / "m.model")).collect()]
+    assert (1, True, len(library.encode("ab é"))) in got and (None, True, 0) in got and len(got) == 3
+
+
+def test_refused_models():
+    head, normal = vocabulary(random.Random(1))
+    every = [*head, *((p, -1.0, 1) for p in normal)]
+    pieces.read_model(a_model(every, 1))
+    for bad in (a_model(every, 3), a_model(every, 1, charsmap=b"x"), a_model(every, 1, squeeze=1), a_model(every[3:100], 1), a_model([*every, ("own", 0, 4)], 2)):
+        with pytest.raises(ValueError):
+            pieces.read_model(bad)
+
+
+def test_tables():
+    r, table, known = np.random.default_rng(2), pieces.Table(4, 12), {}
+    for _ in range(40):
+        keys = np.unique(r.integers(0, 3000, 50))
+        fresh = keys[table.get(keys) < 0]
+        table.put(fresh, (fresh % 7).astype(np.int32))
+        assert (table.get(keys) == keys % 7).all()
+
+
 def test_chat(spark):
     rows = [(1, 0, "system", "be \\ nice"), (1, 1, "user", "a<|im_end|>\nb"), (1, 2, "assistant", "</s>\\[INST]"), (2, 0, "assistant", "first"), (2, 1, None, None), (3, 0, "user", ""), (4, None, "user", "x"), (4, None, "user", "x")]
     conv = chat.with_probe(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
