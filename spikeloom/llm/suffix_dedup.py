@@ -40,11 +40,11 @@ from .common import U64, blobs, mixed, portions, powers, prefix_hash, remove_fol
 
 LENGTH, K = 50, 20
 PIECE = 1 << 16
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
 SORTED = 1 << 21
 HOT, SHARE = 1 << 20, 8
 _HIGH = U64(0xFFFFFFFFFF000000)
-_CODE = U64((1 << 40) - 1)
+_CODE = U64((1 << 32) - 1)  # of a hash in its slot; equal codes of different hashes only cost work
 _SECOND = U64(0xC2B2AE3D27D4EB4F)
 
 
@@ -202,18 +202,6 @@ def equal_strings(joined: np.ndarray, size: np.ndarray, owners: np.ndarray) -> n
 
 
 # --- packed arrays --------------------------------------------------------------------------------------------------
-def _five(codes: np.ndarray) -> bytes:
-    """The low 40 bits of numbers, 5 bytes each; a slot's hashes also agree in what made the slot."""
-    return np.ascontiguousarray(codes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
-
-
-def _eight(data: bytes | np.ndarray) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8).reshape(-1, 5)
-    out = np.zeros((len(raw), 8), np.uint8)
-    out[:, :5] = raw
-    return out.reshape(-1).view("<u8")
-
-
 def _joined(column: pa.ChunkedArray, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind)
 
@@ -243,7 +231,7 @@ def _by_document(group: pa.Table, *columns: tuple[str, str]) -> tuple[np.ndarray
     number = np.empty(len(ids), np.int64)
     number[order] = np.cumsum(fresh) - 1
     first = order[np.flatnonzero(fresh)]
-    return ids[first], tags[first], np.repeat(number, counts), [_eight(b"".join(group[c].to_pylist())) if k == "five" else _joined(group[c], k) for c, k in columns]
+    return ids[first], tags[first], np.repeat(number, counts), [_joined(group[c], k) for c, k in columns]
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -282,14 +270,14 @@ def shared_hashes(texts: DataFrame, slots: int, folder: str) -> tuple[DataFrame,
             for s, at in _runs(slot[order], order):
                 cuts = np.flatnonzero(np.append(True, which[at][1:] != which[at][:-1]))
                 own = which[at][cuts]
-                rows.append((s, ids[own].tobytes(), np.diff(np.append(cuts, len(at))).astype("<i4").tobytes(), _five(code[at]), weight[at].tobytes()))
+                rows.append((s, ids[own].tobytes(), np.diff(np.append(cuts, len(at))).astype("<i4").tobytes(), code[at].astype("<u4").tobytes(), weight[at].tobytes()))
             yield _table(rows, "slot int, ids binary, counts binary, codes binary, weights binary")
 
     def shared(group: pa.Table) -> pa.Table:
         slot = group["slot"][0].as_py()
         if slot < 0:  # answers given beforehand
             return pa.table([pa.array([-1 - slot] * len(group), pa.int32()), *(group[c] for c in ("ids", "counts", "codes"))], names=[x.split()[0] for x in REPLIES.split(", ")])
-        ids, _, number, (code, weight) = _by_document(group, ("codes", "five"), ("weights", "u1"))
+        ids, _, number, (code, weight) = _by_document(group, ("codes", "<u4"), ("weights", "u1"))
         order = np.lexsort((ids[number], code))
         c, d, w = code[order], number[order], weight[order].astype(np.int64)
         start = np.flatnonzero(np.append(True, c[1:] != c[:-1]))
@@ -299,26 +287,26 @@ def shared_hashes(texts: DataFrame, slots: int, folder: str) -> tuple[DataFrame,
         documents = np.add.reduceat(1 << w, start)
         hot = c[start[(documents > HOT) & (documents * SHARE > documents.sum())]]
         rows = _replies(ids, d[keep], c[keep], slots)
-        return pa.Table.from_batches([_table([(-1, b"", b"", _five(hot))] * (len(hot) > 0) + rows, REPLIES)])
+        return pa.Table.from_batches([_table([(-1, b"", b"", hot.astype("<u4").tobytes())] * (len(hot) > 0) + rows, REPLIES)])
 
     def gathered(group: pa.Table) -> pa.Table:
         if group["bucket"][0].as_py() < 0:
             codes = b"".join(group["codes"].to_pylist())
             return pa.table({"doc_id": pa.array([None], pa.int64()), "codes": pa.array([codes], pa.binary())})
-        ids, _, number, (code,) = _by_document(group, ("codes", "five"))
+        ids, _, number, (code,) = _by_document(group, ("codes", "<u4"))
         order = np.lexsort((code, number))
         number, code = number[order], code[order]
         keep = np.append(True, (number[1:] != number[:-1]) | (code[1:] != code[:-1]))
         ends = np.cumsum(np.bincount(number[keep], minlength=len(ids)))
-        return pa.table({"doc_id": ids, "codes": blobs(np.frombuffer(_five(code[keep]), "V5"), ends)})
+        return pa.table({"doc_id": ids, "codes": blobs(code[keep], ends)})
 
     packs = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(packed, "slot int, ids binary, counts binary, codes binary, weights binary")
     found = packs.groupBy("slot").applyInArrow(shared, REPLIES).groupBy("bucket").applyInArrow(gathered, "doc_id long, codes binary")
     found.write.parquet(folder)
     spark = texts.sparkSession
     again = spark.read.schema("doc_id long, codes binary").parquet(folder)
-    hot = [_eight(r.codes) for r in again.where("doc_id IS NULL").select("codes").collect()]  # at most SHARE numbers for each slot
-    return again.where("doc_id IS NOT NULL"), np.unique(np.concatenate([*hot, np.empty(0, "<u8")]))
+    hot = [np.frombuffer(r.codes, "<u4") for r in again.where("doc_id IS NULL").select("codes").collect()]  # at most SHARE numbers for each slot
+    return again.where("doc_id IS NOT NULL"), np.unique(np.concatenate([*hot, np.empty(0, "<u4")]))
 
 
 def _replies(ids: np.ndarray, which: np.ndarray, code: np.ndarray, buckets: int) -> list[tuple]:
@@ -328,7 +316,7 @@ def _replies(ids: np.ndarray, which: np.ndarray, code: np.ndarray, buckets: int)
     for b, at in _runs(bucket[order], order):
         cuts = np.flatnonzero(np.append(True, which[at][1:] != which[at][:-1]))
         own = which[at][cuts]
-        out.append((b, ids[own].tobytes(), np.diff(np.append(cuts, len(at))).astype("<i4").tobytes(), _five(code[at])))
+        out.append((b, ids[own].tobytes(), np.diff(np.append(cuts, len(at))).astype("<i4").tobytes(), code[at].astype("<u4").tobytes()))
     return out
 
 
@@ -349,7 +337,7 @@ class _Cutter:
         ids, tags = np.array(batch["doc_id"], np.int64), np.array(batch["tag"], np.int32)
         data, offsets = texts_of(batch["text"])
         codes, ends = texts_of(batch["codes"])
-        known = np.sort(np.repeat(np.arange(len(ids), dtype=np.uint64) << U64(48), np.diff(ends) // 5) | _eight(codes[ends[0] : ends[-1]]))
+        known = np.sort(np.repeat(np.arange(len(ids), dtype=np.uint64) << U64(48), np.diff(ends) // 4) | codes[ends[0] : ends[-1]].view("<u4"))
         found = []
         for text, h, first, last, begin, a in stretches(data, offsets):
             code = mixed(h) & _CODE
