@@ -6,7 +6,7 @@ random one of T bins, in round T + b all fall into bin b, and a bin keeps its fi
 fills within 2T rounds, and two sets agree in the expected share J of coordinates with concentration as for T
 independent samples.
 
-1. Documents with equal sets are folded into one class, whose smallest id stands for it.
+1. Documents with equal sets are folded into one class, which has a number of its own and the smallest id of its documents.
 2. Classes that share a band of 4 coordinates meet in a bucket. A bucket's task compares whole sketches (a byte for
    each coordinate), and links those that agree well enough for J >= 0.75 breadth-first, so it returns no more edges
    than it has members. Buckets with the same members are looked at once. A bucket of more than BUCKET members is linked
@@ -20,7 +20,8 @@ independent samples.
 
 With J = 0.75 a pair shares no band with probability (1 - 0.75**4)**32 < 6e-6, and falls below the sketch threshold with
 less. Null, empty and blank texts have an empty set and link with nothing. Texts of any length are taken whole, in pieces.
-Rows with a null doc_id don't take part in groups; `keep_one` gives them ids of their own, behind all others. Other columns are ignored.
+Every row is a document of its own: rows with equal doc_id and different texts are linked by their texts only. Rows with a null
+doc_id link with nothing, have a null component and aren't kept; `keep_one` gives them ids of their own, behind all others. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -241,9 +242,9 @@ def _large(sets: DataFrame, first: DataFrame) -> DataFrame:
     return own.select("id").join(final, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _grouped(rows: DataFrame) -> DataFrame:
+    """doc_id, tag, n_shingles, component_id, component, kept for every row of (doc_id, tag, text); component is a number of
+    the component, null for rows that can't link."""
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches):
@@ -260,57 +261,64 @@ def near_groups(docs: DataFrame) -> DataFrame:
                 values = sketch(own)
                 codes.append((mixed(values) & U64(255)).astype(np.uint8).tobytes())
                 marks.append(bands(values))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(codes, pa.binary()), pa.array(marks, pa.list_(pa.int64()))], names=["doc_id", "n", "set_key", "code", "bands"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["tag"], pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(codes, pa.binary()), pa.array(marks, pa.list_(pa.int64()))], names=["doc_id", "tag", "n", "set_key", "code", "bands"])
 
-    base = cut(rows.mapInArrow(sketched, "doc_id long, n long, set_key binary, code binary, bands array<long>"))
-    classes = base.where("n > 0 AND doc_id IS NOT NULL").groupBy("set_key", "n").agg(F.min("doc_id").alias("id"))
-    heads = base.where("n > 0").join(classes.select(F.col("id").alias("doc_id"), "set_key"), ["doc_id", "set_key"], "left_semi").select(F.col("doc_id").alias("id"), "n", "code", "bands").dropDuplicates(["id"])
+    base = cut(rows.mapInArrow(sketched, "doc_id long, tag long, n long, set_key binary, code binary, bands array<long>"))
+    folded = base.where("n > 0 AND doc_id IS NOT NULL").groupBy("set_key", "n").agg(F.min("doc_id").alias("doc_id"), F.first("code").alias("code"), F.first("bands").alias("bands"))
+    classes = cut(folded.withColumn("id", F.monotonically_increasing_id()))  # fixed by being stored
 
-    marked = heads.select("id", F.explode("bands").alias("band"))
+    marked = classes.select("id", F.explode("bands").alias("band"))
     buckets = marked.groupBy("band").agg(F.count("*").alias("m"), F.sum(F.xxhash64("id") % 1_000_000_007).alias("s"), F.min("id").alias("low"), F.max("id").alias("high")).where("m > 1")
     distinct = buckets.groupBy("m", "s", "low", "high").agg(F.min("band").alias("band")).select("band", "m", "low")
     found = marked.join(distinct, "band")
-    members = found.where(F.col("m") <= BUCKET).select("id", "band").join(heads.select("id", "n", "code"), "id")
+    members = found.where(F.col("m") <= BUCKET).select("id", "band").join(classes.select("id", "n", "code"), "id")
     stars = found.where(F.col("m") > BUCKET).select(F.col("low").alias("a"), F.col("id").alias("b"))
-    slots = 8 * width(docs.sparkSession)
+    slots = 8 * width(rows.sparkSession)
     edges = members.groupBy(F.pmod(F.xxhash64("band"), F.lit(slots)).alias("slot")).applyInArrow(_bucket, "a long, b long").unionByName(stars).distinct()
-    regions = components(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("region"))
-    sized = base.where("n > 0").select("doc_id", "n").join(regions, "doc_id").groupBy("region").agg(F.ceil(F.sum("n") / F.lit(BLOCK)).alias("blocks"))
+    regions = cut(components(edges).toDF("id", "region").join(classes.select("id", "doc_id", "set_key", "n"), "id"))
+    sized = regions.groupBy("region").agg(F.ceil(F.sum("n") / F.lit(BLOCK)).alias("blocks"))
     large = cut(sized.where("blocks > 1"))
     some = not large.isEmpty()
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches):
             sets = [shingles(data).tobytes() for data in utf8(batch["text"])]
-            yield pa.RecordBatch.from_arrays([batch["region"], batch["doc_id"], pa.array(sets, pa.binary())], names=["region", "id", "elements"])
+            own = pa.array([xxhash.xxh3_128_digest(x) == k for x, k in zip(sets, batch["set_key"].to_pylist(), strict=True)], pa.bool_())  # not those of other rows with this doc_id
+            yield pa.RecordBatch.from_arrays([batch["region"], batch["id"], pa.array(sets, pa.binary())], names=["region", "id", "elements"]).filter(own)
 
-    def small(sets: DataFrame) -> DataFrame:
-        return sets.groupBy(F.pmod(F.xxhash64("block"), F.lit(slots)).alias("slot")).applyInArrow(_verified, "id long, component long")
+    def sets_of(some_regions: DataFrame) -> DataFrame:
+        return rows.join(some_regions.drop("n"), "doc_id").select("region", "id", "set_key", "text").mapInArrow(full_sets, "region long, id long, elements binary")
 
-    kind = "region long, id long, elements binary"
     usual = regions.join(large, "region", "left_anti") if some else regions
-    linked = small(rows.join(usual, "doc_id").select("region", "doc_id", "text").mapInArrow(full_sets, kind).withColumnRenamed("region", "block"))
+    linked = sets_of(usual).withColumnRenamed("region", "block").groupBy(F.pmod(F.xxhash64("block"), F.lit(slots)).alias("slot")).applyInArrow(_verified, "id long, component long")
     if some:
-        whole = rows.join(regions.join(large, "region", "left_semi"), "doc_id").select("region", "doc_id", "text").mapInArrow(full_sets, kind)
+        whole = sets_of(regions.join(large, "region", "left_semi"))
         whole = cut(whole.withColumn("size", F.expr("length(elements) div 8")).dropDuplicates(["id"]))
         blocks = _dealt(whole.select("region", "id", "size"), ["region"]).select("id", "block")
         linked = linked.unionByName(_large(whole, cut(whole.select("id", "elements").join(blocks, "id").groupBy("block").applyInArrow(_verified, "id long, component long"))))
-    linked = linked.groupBy("id").agg(F.min("component").alias("component"))
-    named = classes.join(linked, "id", "left").select("set_key", "n", F.coalesce("component", "id").alias("component_id"))
+    linked = cut(linked.groupBy("id").agg(F.min("component").alias("component")).join(regions.select("id", "doc_id", "set_key", "n"), "id"))
+    smallest = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    named = linked.join(smallest, "component").select("set_key", "n", "component_id", "component")
+    alone = classes.join(regions.select("id"), "id", "left_anti").select("set_key", "n", F.col("doc_id").alias("component_id"), F.col("id").alias("component"))
     return (
-        base.select("doc_id", "n", "set_key")
-        .join(named, ["set_key", "n"], "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
-        .withColumn("kept", F.col("doc_id") == F.col("component_id"))
+        base.select("doc_id", "tag", "n", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
+        .join(named.unionByName(alone), ["set_key", "n"], "left")
+        .select("doc_id", "tag", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "component")
+        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
     )
 
 
+def near_groups(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row."""
+    return _grouped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).cast("long").alias("tag"), "text")).drop("tag", "component")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """`docs` with one row of each near-duplicate group, all columns as they are; of rows that repeat id and text, one stays."""
+    """`docs` with one row of each near-duplicate group, all columns as they are; texts without shingles all stay."""
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 62)))  # of the text, so that it's the same in each scan
-    own = docs.select(F.struct(*docs.columns).alias("row"), key.alias("key"))
-    groups = near_groups(own.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text")))
-    staying = groups.where("kept").groupBy(F.col("doc_id").alias("key")).agg(F.min("n_shingles").alias("least"))
-    again = Window.partitionBy("key", F.xxhash64("row.text")).orderBy("key")
-    kept = own.join(staying, "key").withColumn("place", F.row_number().over(again))
-    return kept.where("place = 1 OR least = 0").select("row.*")
+    own = docs.select(F.struct(*docs.columns).alias("row"), key.alias("key"), F.xxhash64("text", F.lit("row")).alias("tag"))  # a tag tells rows with equal ids apart
+    groups = _grouped(own.select(F.col("key").alias("doc_id"), "tag", F.col("row.text").alias("text")))
+    first = groups.where("kept AND component IS NOT NULL").groupBy("component").agg(F.min(F.struct(F.col("doc_id").alias("key"), "tag")).alias("x")).select("x.*", F.lit(True).alias("one"))
+    staying = first.unionByName(groups.where("component IS NULL").select(F.col("doc_id").alias("key"), "tag", F.lit(False).alias("one")).distinct())
+    again = Window.partitionBy("key", "tag").orderBy("key")
+    return own.join(staying, ["key", "tag"]).withColumn("place", F.row_number().over(again)).where("place = 1 OR NOT one").select("row.*")
