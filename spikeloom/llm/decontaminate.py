@@ -6,14 +6,19 @@ WINDOW - Q + 1 - Q * e of its q-grams there, and their diagonals (document minus
 some band of diagonals 2(e + 1) wide, of bands that overlap by half, holds them all. Windows that reach this count in a
 band are verified by banded alignment, which gives the exact number of edits up to the budget.
 
+A long text is searched in blocks of PIECE characters that overlap; blocks that repeat are searched once, and so are candidates whose
+characters repeat, so repetitive texts cost no more than others. Hits are taken up HITS at a time.
+
 The result has a row for each document and item with at least one window within its budget: `windows` counts these, `edits` is the
 smallest number. It equals a search for every window by brute force. Null and empty texts match nothing; items below Q
-characters are too short to search for. Items with equal ids are one item. The benchmark goes to all executors in blocks of at most
+characters are too short to search for. Items with equal ids are one item, rows with equal doc_id one document; rows with a null
+doc_id are searched as one document without an id, and `keep_clean` looks at each row's text alone. The benchmark goes to all executors in blocks of at most
 BLOCK characters, so its size is bounded by a parameter however long it is. Other columns are ignored, or passed through.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -26,7 +31,8 @@ from .common import U64, mixed, portions, powers
 
 WINDOW, STEP, EDITS, Q = 64, 8, 6, 8
 BLOCK = 2_000_000
-PIECE = 1 << 20
+PIECE = 1 << 13
+HITS = 1 << 22
 _FILTER_BITS = 22
 
 
@@ -86,17 +92,20 @@ class Index:
         k = np.minimum(np.searchsorted(self.grams, h[at]), len(self.grams) - 1)
         real = self.grams[k] == h[at]
         at, k = at[real], k[real]
-        n = self.count[k]
-        total = int(n.sum())
-        if not total:
+        if not len(at):
             return none
-        place = self.places[np.repeat(self.first[k] - (np.cumsum(n) - n), n) + np.arange(total)]
-        diagonal = np.repeat(at, n) - place
-        half = EDITS + 1
-        band = np.concatenate([diagonal // half, diagonal // half - 1])
-        place = np.concatenate([place, place])
-        order = np.lexsort((place, band))
-        band, place = band[order], place[order]
+        half, n, hits = EDITS + 1, self.count[k], []
+        upto = np.cumsum(n)
+        cuts = np.unique(np.searchsorted(upto, np.arange(HITS, upto[-1] + HITS, HITS), "right"))
+        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(k)]):  # distinct (band, place) of some hits at a time
+            if low < high:
+                m, own = n[low:high], k[low:high]
+                place = self.places[np.repeat(self.first[own] - (np.cumsum(m) - m), m) + np.arange(m.sum())]
+                band = (np.repeat(at[low:high], m) - place) // half
+                hits.append(np.unique(np.concatenate([band, band - 1]) * len(self.points) + np.concatenate([place, place])))
+        hits = np.unique(np.concatenate(hits)) if len(hits) > 1 else hits[0]
+        band = np.floor_divide(hits, len(self.points))
+        place = hits - band * len(self.points)
         # a band's hits by place: windows are looked up only where the least count of hits lies within one window
         least = max(1, int((self.sizes - Q + 1 - Q * self.budgets).min()))
         dense = np.zeros(len(band), bool)
@@ -110,7 +119,7 @@ class Index:
         out_w, out_d = [], []
         cuts = np.concatenate([[0], np.flatnonzero(band[1:] != band[:-1]) + 1, [len(band)]])
         for low, high in zip(cuts, cuts[1:]):
-            own = np.unique(place[low:high])
+            own = place[low:high]
             w = np.arange(*np.searchsorted(self.starts, [own[0] - WINDOW, own[-1] + 1]))
             hits = np.searchsorted(own, self.starts[w] + self.sizes[w] - Q, "right") - np.searchsorted(own, self.starts[w])
             w = w[hits >= self.sizes[w] - Q + 1 - Q * self.budgets[w]]
@@ -119,10 +128,22 @@ class Index:
         return np.concatenate(out_w), np.concatenate(out_d)
 
     def edits(self, points: np.ndarray, window: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
-        """The edits of each candidate's window against its band of the text, by alignment of all of them at once."""
+        """The edits of each candidate's window against its band of the text; candidates of equal characters are aligned once."""
         wide = 4 * EDITS + 3
         padded = np.concatenate([np.full(WINDOW * 2, 0xFFFFFFFE, np.uint32), points, np.full(WINDOW * 3, 0xFFFFFFFE, np.uint32)])
         out = np.empty(len(window), np.int64)
+        for low in range(0, len(window), 1 << 14):
+            w, d = window[low : low + (1 << 14)], diagonal[low : low + (1 << 14)]
+            begin = np.clip((self.starts[w] + d - EDITS + 2 * WINDOW)[:, None] + np.arange(WINDOW + wide), 0, len(padded) - 1)
+            both = np.ascontiguousarray(np.concatenate([self.sizes[w, None].astype(np.uint32), self.points[self.starts[w, None] + np.arange(WINDOW)], padded[begin]], axis=1))
+            _, first, where = np.unique(both.view(f"V{4 * both.shape[1]}").ravel(), return_index=True, return_inverse=True) if len(w) > 64 else (None, np.arange(len(w)), np.arange(len(w)))
+            out[low : low + len(w)] = self._aligned(padded, w[first], d[first])[where]
+        return out
+
+    def _aligned(self, padded: np.ndarray, window: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
+        """Banded alignment of all candidates at once."""
+        wide = 4 * EDITS + 3
+        out = np.empty(len(window), np.int64)
         for size in np.unique(self.sizes[window]):
             k = np.flatnonzero(self.sizes[window] == size)
             begin = self.starts[window[k]]
@@ -141,9 +162,14 @@ class Index:
     def search(self, text: str | None) -> dict[int, tuple[set[int], int]]:
         """item id -> (its windows found, the smallest number of edits)."""
         found: dict[int, tuple[set[int], int]] = {}
-        whole = normal(text)
+        whole, seen = normal(text), set()
         for k in range(0, max(1, len(whole)), PIECE):
             points = whole[max(0, k - 2 * WINDOW) : k + PIECE]
+            if len(whole) > 4 * PIECE:
+                key = hashlib.blake2b(points.tobytes(), digest_size=16).digest()
+                if key in seen:
+                    continue
+                seen.add(key)
             window, diagonal = self.candidates(points)
             if not len(window):
                 continue
