@@ -9,9 +9,10 @@ Candidate segments end where the text's own boundaries lie, and are at most SPAN
 groups of digits, checksums, separators, cues before and characters around it) score each candidate for each kind, and dynamic programming over
 the candidates' boundaries chooses all segments and kinds of a stretch jointly. Its weights maximise the penalised
 likelihood of sentences generated from fixed patterns with a fixed seed, with gradients by the forward-backward recursion. Its spans that
-touch no base span are added: further e-mail (spelt out), phone (without +) and `secret` spans.
+touch no base span are added: further e-mail (spelt out), phone (without +) and `secret` spans. Candidates are looked for around marks, and
+no run of characters is scanned more than once for each rule, so the time grows with a text's length whatever it holds.
 
-Null and empty texts have no spans. Every row gets a result. Other columns are ignored.
+Null and empty texts have no spans. Every row gets a result, also those with null or repeated doc_id. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -80,6 +81,9 @@ _RUN = re.compile(r"[+(]?[0-9](?:[ ().-]{0,2}[0-9])*")
 _MAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _SPELT_AT = r"\s?[\[({]\s?at\s?[\])}]\s?|\sat\s"
 _SPELT_DOT = r"\s?[\[({]\s?dot\s?[\])}]\s?|\sdot\s"
+_SPELT_MARK = re.compile(_SPELT_AT, re.I)
+_BEFORE_AT = re.compile(rf"(?<![A-Za-z0-9_%+-])[A-Za-z0-9_%+-]+(?:(?:{_SPELT_DOT}|\.)[A-Za-z0-9_%+-]+)*\Z", re.I)
+_AFTER_AT = re.compile(rf"[A-Za-z0-9-]+(?:(?:{_SPELT_DOT}|\.)[A-Za-z0-9-]+)+", re.I)
 _SPELT = re.compile(rf"[A-Za-z0-9_%+-]+(?:(?:{_SPELT_DOT}|\.)[A-Za-z0-9_%+-]+)*(?:{_SPELT_AT})[A-Za-z0-9-]+(?:(?:{_SPELT_DOT}|\.)[A-Za-z0-9-]+)+", re.I)
 _KEY = re.compile(r"[A-Za-z0-9_/+-]{12,}={0,2}")
 _RUN_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_/+-=")
@@ -93,16 +97,45 @@ _CUES = [
 ]
 
 
+def addresses(text: str) -> set[tuple[int, int]]:
+    """Written and spelt-out e-mail addresses of up to SPAN characters; looked for around their marks, so that no run is scanned twice."""
+    out, free, at = set(), 0, text.find("@")
+    while at >= 0:
+        begin = at
+        while begin > max(free, at - SPAN) and text[begin - 1] in _LOCAL_CHARS:
+            begin -= 1
+        m = _DOMAIN.match(text, at, at + SPAN + 1) if begin < at else None
+        if m:
+            out.add((begin, m.end()))
+            free = m.end()
+        at = text.find("@", max(at + 1, free))
+    free = 0
+    for mark in _SPELT_MARK.finditer(text):
+        low = max(free, mark.start() - SPAN)
+        before = _BEFORE_AT.search(text[low : mark.start()])
+        after = before and _AFTER_AT.match(text, mark.end(), mark.end() + SPAN)
+        if after and not (before.start() == 0 and low > free):  # else it goes on beyond SPAN
+            out.add((low + before.start(), after.end()))
+            free = after.end()
+    return out
+
+
 def proposals(text: str) -> list[tuple[int, int]]:
     """Candidate segments of a stretch in the order of their ends: longer runs than SPAN as one each, others up to SPAN characters."""
     long = [m.span() for m in _KEY.finditer(text) if m.end() - m.start() > SPAN]
     if long:  # nothing within a run is a segment of its own, and the other scans stay short
         text = _KEY.sub(lambda m: m[0] if m.end() - m.start() <= SPAN else "\0" * (m.end() - m.start()), text)
-    found = {m.span() for r in (_MAIL, _SPELT, _KEY) for m in r.finditer(text)}
+    found = {m.span() for m in _KEY.finditer(text)} | addresses(text)
     for m in _RUN.finditer(text):
         groups = [(g.start() + m.start(), g.end() + m.start()) for g in re.finditer(r"[0-9]+", m[0])]
         for i, (s, _) in enumerate(groups):
-            for _, e in groups[i : i + 6]:
+            digits = 0
+            for a, e in groups[i : i + 6]:
+                digits += e - a
+                if e - s > SPAN:
+                    break
+                if digits < 7 and "." not in text[s:e]:
+                    continue
                 found.add((s, e))
                 if s > 0 and text[s - 1] in "+(":
                     found.add((s - 1, e))
@@ -306,14 +339,27 @@ def stretches_around(text: str) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted spans, those that overlap as one."""
+    out: list[tuple[int, int]] = []
+    for s, e in spans:
+        if out and s < out[-1][1]:
+            out[-1] = out[-1][0], max(e, out[-1][1])
+        else:
+            out.append((s, e))
+    return out
+
+
 def all_spans(text: str, weights: dict[str, list[float]]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """(base spans, base spans and those the field adds)."""
     base = base_spans(text)
-    added = []
+    added, taken, at = [], merged([(s, e) for s, e, _ in base]), 0
     if _MAYBE.search(text):
         for s, e in stretches_around(text):
             for a, b, k in best_segments(text[s:e], weights):
-                if all(a + s >= y or b + s <= x for x, y, _ in base):
+                while at < len(taken) and taken[at][1] <= a + s:
+                    at += 1
+                if at == len(taken) or taken[at][0] >= b + s:
                     added.append((a + s, b + s, k))
     return base, sorted([*base, *added], key=lambda x: (x[0], x[2]))
 
