@@ -6,8 +6,10 @@ side); a language's prototype is the sum of its training texts. A text gets the
 largest cosine with it, the first in alphabetical order on ties.
 
 Prototypes are bundled over every training row: each task sums its rows by language, Spark adds the sums, and DIMENSIONS
-numbers for each learned language reach the driver. A null text or one without letters gets `und` and score 0, as does every text if nothing could be
-learned. The score is (1 + cosine) / 2. Very long texts are taken in pieces. Other columns are ignored.
+numbers for each learned language reach the driver. A null text or one without letters (characters that str.isalpha() takes; other numbers
+than digits, as in "\u00b2", are none) gets `und` and score 0, as does every text if nothing could be learned. The score is (1 + cosine) / 2.
+Very long texts are taken in pieces. Rows with a null doc_id teach nothing, aren't held out, and get a result; of repeated ids each row gets one.
+Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +26,9 @@ from .common import U64, mixed, portions, remainder
 
 DIMENSIONS = 1024
 PIECE = 1 << 20
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: Characters that count as part of a word, but are no letters: numbers that aren't digits.
+_NUMBERS = "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_NOT_LETTERS = re.compile(rf"[\W\d_{_NUMBERS}]+")
 
 
 def letter_vectors(points: np.ndarray) -> np.ndarray:
