@@ -3,7 +3,7 @@
 `TEMPLATE` lists the states that may follow each role, which roles are learned from, the marks around a turn and the
 control strings. The machine walks a conversation's turns and emits text segments, each with a loss flag; marks and
 roles are never under the loss, an assistant's text always is. Inside roles and texts a backslash is doubled and a control string
-gets one after its first character, so no mark can be forged and reading back is exact.
+gets one after its first character; in a role a line end gets one in front. So no mark can be forged and reading back is exact.
 
 Turns go in the order of (turn, role, text), nulls first. Null texts and roles are empty. A conversation that breaks the order
 (or ends with a system turn, or has an unknown role) is still formatted whole, with `valid` false. Rows with a null conv_id
@@ -41,6 +41,11 @@ def escaped(text: str, template: dict = TEMPLATE) -> str:
     return text
 
 
+def escaped_role(role: str, template: dict = TEMPLATE) -> str:
+    """A role ends at the first line end without a backslash in front."""
+    return escaped(role, template).replace(template["between"], f"\\{template['between']}")
+
+
 def unescaped(text: str) -> str:
     return re.sub(r"\\(.)", r"\1", text, flags=re.DOTALL) if "\\" in text else text
 
@@ -51,7 +56,7 @@ def segments(turns: list[tuple[str, str]], template: dict = TEMPLATE) -> tuple[l
     for role, text in turns:
         valid = valid and role in template["next"].get(state, [])
         state = role
-        out.append((f"{template['open']}{escaped(role, template)}{template['between']}", False))
+        out.append((f"{template['open']}{escaped_role(role, template)}{template['between']}", False))
         out.append((escaped(text, template), role in template["loss"]))
         out.append((template["close"], False))
     return out, valid and state in template["final"]
@@ -59,14 +64,14 @@ def segments(turns: list[tuple[str, str]], template: dict = TEMPLATE) -> tuple[l
 
 def read_back(formatted: str, template: dict = TEMPLATE) -> list[tuple[str, str]]:
     """The turns of a formatted conversation."""
-    out, k = [], 0
+    out, k, role_end = [], 0, re.compile(rf"(?:[^\\]|\\.)*?{re.escape(template['between'])}", re.DOTALL)
     while k < len(formatted):
         if not formatted.startswith(template["open"], k):
             raise ValueError(f"no turn begins at {k}")
         k += len(template["open"])
         end = formatted.index(template["close"], k)
-        role, _, text = formatted[k:end].partition(template["between"])
-        out.append((unescaped(role), unescaped(text)))
+        begin = role_end.match(formatted, k, end).end()
+        out.append((unescaped(formatted[k : begin - len(template["between"])]), unescaped(formatted[begin:end])))
         k = end + len(template["close"])
     return out
 
@@ -82,7 +87,7 @@ def format_conversations(rows: DataFrame, template: dict = TEMPLATE) -> DataFram
         for batch in batches:
             texts, marks, valid = [], [], []
             for turns in batch["turns"].to_pylist():
-                parts, ok = segments([(t["role"].replace("\n", " ") if "\n" in t["role"] else t["role"], t["text"]) for t in turns], template)
+                parts, ok = segments([(t["role"], t["text"]) for t in turns], template)
                 at, own = 0, []
                 for text, loss in parts:
                     own.append({"start": at, "end": at + len(text), "loss": loss})
@@ -135,7 +140,7 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum({marks} + length({escape.format("role")}) + length({escape.format("text")})) AS BIGINT) AS formatted_chars,
+  CAST(sum({marks} + length({escape.format("role")}) + length(role) - length(replace(role, chr(10), '')) + length({escape.format("text")})) AS BIGINT) AS formatted_chars,
   bool_and(CASE WHEN before = '' THEN role IN ('system', 'user') WHEN before IN ('system', 'assistant') THEN role = 'user' WHEN before = 'user' THEN role = 'assistant' ELSE false END
     AND (NOT final OR role IN ('user', 'assistant'))) AS valid
 FROM o GROUP BY conv_id
