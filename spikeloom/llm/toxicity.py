@@ -1,16 +1,17 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
 1. Labels are taken from rows whose crc32(doc_id as text) mod 4 is not 2. SAMPLE of these at most, the first by a hash of the
-   id, are the bounded sample everything is fitted on.
-2. A lexicon is learned from it: words, and stems of STEMS characters, that are far more frequent among toxic
+   id, are the bounded sample everything is fitted on; a fifth of it is set aside for step 4.
+2. A lexicon is learned from the other four fifths: words, and stems of STEMS characters, that are far more frequent among toxic
    texts (log odds of LEAST or more, in FEWEST texts or more). A short fixed list of insults is always part of it.
 3. A text's features are densities of lexicon words and stems, how near they are to a second person, capitals, punctuation
    and obfuscation rates (digits or marks within words, and lexicon words that appear when these are undone).
-4. Trees are boosted on four fifths of the sample, and their margin is made a probability by isotonic regression on the
-   last fifth. A small share of the margin's own probability keeps the order within a step of the isotonic curve.
+4. Trees are boosted on the same four fifths, and their margin is made a probability by isotonic regression on the
+   last fifth, which neither lexicon nor trees have seen. A small share of the margin's own probability keeps the order within a step of the isotonic curve.
 
 Null and empty texts have all-zero features and get a score like any other. Without labels of both kinds the score is the
-share of label 1, or 0. Repeated labels count by their largest value; repeated ids are scored for each row. Other columns are ignored.
+share of label 1, or 0. Repeated labels count by their largest value; repeated ids are scored for each row, and of those with a label
+each text teaches it. Rows with a null doc_id teach nothing, aren't held out, and are scored. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -132,16 +133,19 @@ def predict(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of `docs`."""
     known = labels.where(F.col("toxic").isin(0, 1) & (remainder("doc_id", 4) != 2)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)  # at most SAMPLE rows of two numbers: small enough to broadcast
-    sample = cut(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")))
+    sample = cut(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"), (F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(5)) == 4).alias("last")))
     rows = docs.select("doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "text")
     total, pos = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     final = lambda score: ["doc_id", "held_out", score.alias("score"), F.when(score >= THRESHOLD, 1).otherwise(0).alias("predicted")]
     if pos < 2 or total - pos < 2:
         return rows.select(*final(F.lit(pos / total if total else 0.0)))
 
-    lexicon = learn_lexicon(sample)
+    learned = sample.where("NOT last")
+    if learned.select("toxic").distinct().count() < 2:
+        return rows.select(*final(F.lit(pos / total)))
+    lexicon = learn_lexicon(learned)
     vector = lambda df: df.withColumn("features", array_to_vector("features"))
-    fitted = cut(with_features(sample, lexicon).withColumn("label", F.col("toxic").cast("double")).withColumn("last", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(5)) == 4))
+    fitted = cut(with_features(sample, lexicon).withColumn("label", F.col("toxic").cast("double")))
     fitted = vector(fitted)
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, minInstancesPerNode=5, seed=7).fit(fitted.where("NOT last"))
     margin = vector_to_array("rawPrediction")[1]
