@@ -3,13 +3,19 @@
 An ARC file begins with a version block, `filedesc://...`, whose second line names the version. Version 1 records have the
 header line `URL IP-address Archive-date Content-type Archive-length`, version 2 adds result code, checksum, location,
 offset and filename before the length. A record's body is what its declared length says, whatever it holds. The converter
-walks these lines and lengths and makes WARC/1.1 records of them: a record id derived from the content of the header line and the
-body, the timestamp in ISO 8601, the type and base32 SHA-1 digests of block and payload. Of records with equal
-payloads the one with the smallest page id is a `response`, others are `revisit` records that refer to it and carry no payload.
-
-WARC files are written by Spark's text writer, whose line separator is the two line ends that close a record, as gzip, and
-read back as binary files by declared lengths. Null html is an empty payload, a null url is replaced by one made of the page id. Rows
-with equal page_id and payload are all responses. Rows with a null page_id get their records too. Other columns are ignored.
+walks these lines and lengths and makes WARC/1.1 records of them: version blocks become `warcinfo`, HTTP responses `response` and other
+bodies `resource` records, with a record id derived from the content of the header line and the body, the timestamp in ISO
+8601 and base32 SHA-1 digests of block and payload. Of records with equal payloads the one with the smallest page id is kept
+whole, others are `revisit` records that refer to it by record id, URI and date, and carry no payload.
+
+A WARC file is a row of gzip members, one for each record and a `warcinfo` record in front, of about FILE_BYTES. Tasks make them; Spark's
+text writer puts the bytes as they are into the shared folder (with the zero byte that gzip allows as padding at the end), and its binary
+reader takes them up again, a record at a time. Bodies are bytes throughout.
+
+`convert` takes any table with ARC files in a column `content`, as Spark's binary reader makes it; a column `page_ids`, if there
+is one, has the ids of each file's records in order. Null html is an empty payload, a null url is replaced by one made of the page
+id. Rows that repeat page_id, url and html have one record id and are all kept whole. Null page ids come last in the order of ids. Other
+columns are ignored; an empty table gives no records.
 """
 
 from __future__ import annotations
@@ -17,6 +23,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import re
 import uuid
 from collections.abc import Iterator
@@ -33,7 +40,7 @@ VERSIONS = {
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
 SHARD_BYTES = 4 << 20
-RECORDS_PER_FILE = 2000
+FILE_BYTES = 32 << 20
 MIN_BYTES = 0
 _EPOCH = datetime(2001, 1, 1, tzinfo=timezone.utc)
 
@@ -56,7 +63,7 @@ def arc_head(version: int, filename: str) -> bytes:
 
 
 def parse_arc(data: bytes) -> Iterator[dict]:
-    """url, ip, date, mime, status, body of each record after the version block."""
+    """url, ip, date, mime, status, body of each record, version blocks included."""
     names, k = VERSIONS[1].split(), 0
     while k < len(data):
         end = data.find(b"\n", k)
@@ -66,11 +73,10 @@ def parse_arc(data: bytes) -> Iterator[dict]:
         k = end + 1
         if not line.strip():
             continue
-        if line.startswith("filedesc://"):
-            body = data[k : k + int(line.rsplit(" ", 1)[1])]
-            names = body.decode("utf-8", "replace").split("\n")[1].split()
-            k += len(body)
-            continue
+        block = line.startswith("filedesc://")
+        if block:  # its own line is of the version that the block names
+            size = int(line.rsplit(" ", 1)[1])
+            names = data[k : k + size].decode("utf-8", "replace").split("\n")[1].split()
         fields = line.rsplit(" ", len(names) - 1)  # an unescaped blank can only be in the url, which comes first
         if len(fields) != len(names) or not fields[-1].isdigit():
             raise ValueError(f"bad header line at byte {k}")
@@ -78,8 +84,8 @@ def parse_arc(data: bytes) -> Iterator[dict]:
         size = int(own["Archive-length"])
         if k + size > len(data):
             raise ValueError(f"record at byte {k} is cut short")
-        yield {"url": own["URL"], "ip": own["IP-address"], "date": own["Archive-date"], "mime": own["Content-type"], "status": own.get("Result-code"), "body": data[k : k + size]}
-        k += size + 1
+        yield {"url": own["URL"], "ip": own["IP-address"], "date": own["Archive-date"], "mime": own["Content-type"], "status": own.get("Result-code"), "body": data[k : k + size], "version": block}
+        k += size + (not block)
 
 
 def http_payload(body: bytes) -> bytes:
@@ -88,14 +94,14 @@ def http_payload(body: bytes) -> bytes:
 
 
 def as_arc(pages: DataFrame) -> DataFrame:
-    """(page_ids, arc): ARC files of both versions in turn, of about SHARD_BYTES, and the ids of their records in order."""
+    """(page_ids, content): ARC files of both versions in turn, of about SHARD_BYTES, and the ids of their records in order."""
     kind = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         version, ids, parts, size = 1, [], [], 0
 
         def flushed() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([ids], kind), pa.array([b"".join(parts)], pa.binary())], names=["page_ids", "arc"])
+            return pa.RecordBatch.from_arrays([pa.array([ids], kind), pa.array([b"".join(parts)], pa.binary())], names=["page_ids", "content"])
 
         for batch in portions(batches, "html"):
             for page_id, url, html in zip(batch["page_id"].to_pylist(), batch["url"].to_pylist(), batch["html"].to_pylist(), strict=True):
@@ -115,95 +121,126 @@ def as_arc(pages: DataFrame) -> DataFrame:
         if parts:
             yield flushed()
 
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(run, "page_ids array<long>, arc binary")
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(run, "page_ids array<long>, content binary")
 
 
-RECORD = "page_id long, uri string, date string, ip string, record_id string, block string, payload_bytes long, payload_digest string, block_digest string"
+RECORD = "page_id long, kind string, uri string, date string, ip string, mime string, record_id string, block binary, payload_bytes long, payload_digest string, block_digest string"
 
 
 def convert(arcs: DataFrame) -> DataFrame:
-    """A row for each ARC record with what its WARC record needs."""
+    """A row for each record of the ARC files in `content`, with what its WARC record needs."""
+    known = "page_ids" in arcs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [x.split()[0] for x in RECORD.split(",")]
-        kinds = [pa.int64(), *[pa.string()] * 5, pa.int64(), pa.string(), pa.string()]
-        for batch in portions(batches, "arc"):
-            for ids, arc in zip(batch["page_ids"].to_pylist(), batch["arc"].to_pylist(), strict=True):
-                out = []
-                for page_id, r in zip(ids, parse_arc(arc), strict=True):
-                    payload = http_payload(r["body"])
-                    when = datetime.strptime(r["date"], "%Y%m%d%H%M%S").strftime("%Y-%m-%dT%H:%M:%SZ")
-                    own = uuid.UUID(bytes=hashlib.sha1(f"{page_id} {r['url']} {r['date']} ".encode() + r["body"]).digest()[:16], version=5)
-                    out.append((page_id, r["url"], when, r["ip"], f"<urn:uuid:{own}>", r["body"].decode("utf-8", "replace"), len(payload), base32_sha1(payload), base32_sha1(r["body"])))
+        names, kinds = [x.split()[0] for x in RECORD.split(", ")], [pa.int64(), *[pa.string()] * 6, pa.binary(), pa.int64(), pa.string(), pa.string()]
+        for batch in portions(batches, "content", 1):
+            ids, out, size = iter(batch["page_ids"][0].as_py()) if known else None, [], 0
+            for r in parse_arc(batch["content"][0].as_py()):
+                body, page_id = r["body"], None if r["version"] or ids is None else next(ids)
+                kind = "warcinfo" if r["version"] else "response" if body.startswith(b"HTTP/") else "resource"
+                payload = http_payload(body)
+                when = datetime.strptime(r["date"][:14].ljust(14, "0"), "%Y%m%d%H%M%S").strftime("%Y-%m-%dT%H:%M:%SZ")
+                own = uuid.UUID(bytes=hashlib.sha1(f"{page_id} {r['url']} {r['date']} ".encode() + body).digest()[:16], version=5)
+                out.append((page_id, kind, r["url"], when, r["ip"], r["mime"], f"<urn:uuid:{own}>", body, len(payload), base32_sha1(payload), base32_sha1(body)))
+                size += len(body)
+                if size > SHARD_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+                    out, size = [], 0
+            if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
-    return arcs.mapInArrow(run, RECORD)
+    return arcs.select("content", *["page_ids"] * known).mapInArrow(run, RECORD)
+
+
+def warc_record(kind: str, fields: list[tuple[str, str | None]], block: bytes) -> bytes:
+    """A record as a gzip member; fields without a value are left out."""
+    lines = [f"{name}: {value}\r\n" for name, value in [("WARC-Type", kind), *fields, ("Content-Length", str(len(block)))] if value is not None]
+    return gzip.compress(f"WARC/1.1\r\n{''.join(lines)}\r\n".encode() + block + b"\r\n\r\n", 5, mtime=0)
+
+
+def _file_head(members: list[bytes]) -> bytes:
+    own = uuid.UUID(bytes=hashlib.sha1(b"".join(members)).digest()[:16], version=5)
+    return warc_record("warcinfo", [("WARC-Record-ID", f"<urn:uuid:{own}>"), ("WARC-Date", _EPOCH.strftime("%Y-%m-%dT%H:%M:%SZ")), ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\ndescription: converted from ARC\r\n")
 
 
 def write_warc(records: DataFrame, folder: str) -> None:
     """Writes the records as WARC files; copies of a payload become revisits of the one with the smallest page id."""
-    first = records.where(F.col("payload_bytes") >= MIN_BYTES).groupBy("payload_digest", "payload_bytes").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n")
-    known = records.join(first, ["payload_digest", "payload_bytes"], "left").withColumn("again", F.coalesce(F.col("first_id") < F.col("page_id"), F.lit(False)))
-    line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
-    revisit, block = F.col("again"), F.when(F.col("again"), F.lit("")).otherwise(F.col("block"))
-    head = [
-        F.lit("WARC/1.1\r\n"),
-        line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
-        line("WARC-Record-ID", F.col("record_id")),
-        line("WARC-Date", F.col("date")),
-        line("WARC-Target-URI", F.col("uri")),
-        line("WARC-IP-Address", F.col("ip")),
-        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "payload_digest")),
-        F.when(~revisit, line("WARC-Block-Digest", F.concat(F.lit("sha1:"), "block_digest"))).otherwise(""),
-        F.when(revisit, F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\n")).otherwise(""),
-        F.when(F.col("page_id").isNotNull(), line("X-Page-ID", F.col("page_id").cast("string"))).otherwise(""),
-        line("X-Payload-Length", F.col("payload_bytes").cast("string")),
-        F.when(revisit, line("X-Refers-To-Page-ID", F.col("first_id").cast("string"))).otherwise(""),
-        line("Content-Type", F.lit("application/http;msgtype=response")),
-        line("Content-Length", F.octet_length(block).cast("string")),
-        F.lit("\r\n"),
-        block,
-    ]
-    known.select(F.concat(*head).alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(folder)
+    order = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", F.col("record_id").alias("first"), F.col("uri").alias("first_uri"), F.col("date").alias("first_date"))
+    first = records.where((F.col("payload_bytes") >= MIN_BYTES) & (F.col("kind") != "warcinfo")).groupBy("payload_digest", "payload_bytes").agg(F.min(order).alias("f"), F.count("*").alias("n"))
+    first = first.where("n > 1").select("payload_digest", "payload_bytes", F.col("f.page_id").alias("first_page"), "f.first", "f.first_uri", "f.first_date")
+    known = records.join(first, ["payload_digest", "payload_bytes"], "left").withColumn("again", F.coalesce((F.col("kind") != "warcinfo") & (F.col("first") != F.col("record_id")), F.lit(False)))
+    slim = known.withColumn("block", F.when(~F.col("again"), F.col("block")))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        members, size = [], 0
+
+        def flushed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([b"".join([_file_head(members), *members])], pa.binary())], names=["file"])
+
+        for batch in portions(batches, "block"):
+            for r in batch.to_pylist():
+                again, page, first_page = r["again"], r["page_id"], r["first_page"]
+                members.append(warc_record("revisit" if again else r["kind"], [
+                    ("WARC-Record-ID", r["record_id"]), ("WARC-Date", r["date"]), ("WARC-Target-URI" if r["kind"] != "warcinfo" else "WARC-Filename", r["uri"]), ("WARC-IP-Address", r["ip"] if r["kind"] != "warcinfo" and r["ip"] != "-" else None),
+                    ("WARC-Payload-Digest", f"sha1:{r['payload_digest']}"), ("WARC-Block-Digest", None if again else f"sha1:{r['block_digest']}"),
+                    ("WARC-Refers-To", r["first"] if again else None), ("WARC-Refers-To-Target-URI", r["first_uri"] if again else None), ("WARC-Refers-To-Date", r["first_date"] if again else None),
+                    ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest" if again else None),
+                    ("X-Page-ID", None if page is None else str(page)), ("X-Payload-Length", str(r["payload_bytes"])), ("X-Refers-To-Page-ID", str(first_page) if again and first_page is not None else None),
+                    ("Content-Type", "application/http;msgtype=response" if r["kind"] == "response" else r["mime"]),
+                ], r["block"] or b""))
+                size += len(members[-1])
+                if size >= FILE_BYTES:
+                    yield flushed()
+                    members, size = [], 0
+        if members:
+            yield flushed()
+
+    files = slim.mapInArrow(pack, "file binary").select(F.col("file").cast("string").alias("value"))  # the bytes as they are
+    files.write.option("lineSep", "\0").option("maxRecordsPerFile", 1).text(folder)
 
 
 def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(header fields, block) of each record, by declared lengths."""
-    k = 0
-    while k < len(data):
-        if not data.startswith(b"WARC/1.", k):
-            raise ValueError(f"no record begins at byte {k}")
-        end = data.index(b"\r\n\r\n", k)
-        fields = dict(x.split(": ", 1) for x in data[k:end].decode().split("\r\n")[1:])
-        size = int(fields["Content-Length"])
-        yield fields, data[end + 4 : end + 4 + size]
-        k = end + 8 + size
+    """(header fields, block) of each record of a file's gzip members, by declared lengths, a record in memory at a time."""
+    with io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(data))) as stream:
+        while line := stream.readline():
+            if not line.startswith(b"WARC/1."):
+                raise ValueError(f"no record begins with {line[:20]!r}")
+            fields = {}
+            while (line := stream.readline().rstrip(b"\r\n")):
+                name, value = line.decode().split(": ", 1)
+                fields[name] = value
+            size = int(fields["Content-Length"])
+            block = stream.read(size)
+            if len(block) != size or stream.read(4) != b"\r\n\r\n":
+                raise ValueError(f"{fields['WARC-Record-ID']}: the record isn't as long as it says")
+            yield fields, block
 
 
 def read_warc(spark: SparkSession, folder: str) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to of each record of the files in `folder`.
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of each record with a payload of the files in `folder`.
 
-    A response's length and digest are taken from its payload and must agree with its header.
+    A payload's length and digest are taken from the bytes that are there and must agree with the header.
     """
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in portions(batches, "content"):
-            for content in batch["content"].to_pylist():
-                out = []
-                for fields, block in parse_warc(gzip.decompress(content)):
-                    digest, size = fields["WARC-Payload-Digest"].removeprefix("sha1:"), int(fields["X-Payload-Length"])
-                    if fields["WARC-Type"] == "response":
-                        payload = http_payload(block)
-                        if (len(payload), base32_sha1(payload)) != (size, digest):
-                            raise ValueError(f"{fields['WARC-Record-ID']}: the payload isn't what its header says")
-                    page, first = fields.get("X-Page-ID"), fields.get("X-Refers-To-Page-ID")
-                    out.append((page and int(page), size, digest, fields["WARC-Type"], first and int(first)))
-                columns = list(zip(*out, strict=True)) or [[]] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder).select("content")
+        for batch in portions(batches, "content", 1):
+            out = []
+            for fields, block in parse_warc(batch["content"][0].as_py()):
+                if fields["WARC-Type"] == "warcinfo":
+                    continue
+                digest, size = fields["WARC-Payload-Digest"].removeprefix("sha1:"), int(fields["X-Payload-Length"])
+                if fields["WARC-Type"] != "revisit":
+                    payload = http_payload(block)
+                    if (len(payload), base32_sha1(payload)) != (size, digest):
+                        raise ValueError(f"{fields['WARC-Record-ID']}: the payload isn't what its header says")
+                page, first = fields.get("X-Page-ID"), fields.get("X-Refers-To-Page-ID")
+                out.append((page and int(page), size, digest, fields["WARC-Type"], first and int(first)))
+            columns = list(zip(*out, strict=True)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder).select("content")
     return files.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 

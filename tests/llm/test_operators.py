@@ -252,11 +252,42 @@ def test_arc(spark, tmp_path):
     assert arc.archive(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
     for version in (1, 2):
         data = arc.arc_head(version, "f") + arc.arc_record(version, "http://u/a b", "1.2.3.4", "20010203040506", "text/html", b"a\n\nb") + arc.arc_record(version, "u", "-", "20010203040506", "x", b"")
-        assert [(r["url"], r["body"], r["status"]) for r in arc.parse_arc(data)] == [("http://u/a b", b"a\n\nb", "200" if version == 2 else None), ("u", b"", "200" if version == 2 else None)]
+        assert [(r["url"], r["body"], r["status"]) for r in arc.parse_arc(data) if not r["version"]] == [("http://u/a b", b"a\n\nb", "200" if version == 2 else None), ("u", b"", "200" if version == 2 else None)]
     with pytest.raises(ValueError):
         list(arc.parse_arc(arc.arc_head(1, "f") + b"u - 20010203040506 x 99\nshort\n"))
 
 
+def test_arc_files_of_others(spark, tmp_path, monkeypatch):
+    """ARC files read by Spark, with bodies that are no UTF-8, into WARC files of a few records each."""
+    monkeypatch.setattr(arc, "FILE_BYTES", 300)
+    page = b"HTTP/1.0 200 OK\r\nA: b\r\n\r\n" + "é".encode("latin-1") * 50
+    bodies = [("http://a/", page), ("http://b/ c", page), ("dns:c", b"1.2.3.4"), ("ftp://d", bytes(range(256)) * 4), ("http://e/", b"HTTP/1.0 404\r\n\r\n")]
+    for version in (1, 2):
+        (tmp_path / f"{version}.arc").write_bytes(arc.arc_head(version, "f") + b"".join(arc.arc_record(version, u, "1.2.3.4", "2001020304050" + str(version), "x/y", b) for u, b in bodies))
+    records = arc.convert(spark.read.format("binaryFile").load(str(tmp_path)))
+    assert sorted((r.kind, bytes(r.block)) for r in records.where("kind <> 'warcinfo'").collect()) == sorted(("response" if b.startswith(b"HTTP/") else "resource", b) for _, b in bodies * 2)
+    folder = arc.shared_folder(spark, "test-warc")
+    arc.write_warc(records, folder)
+    files = [f.content for f in spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder).collect()]
+    every = [x for f in files for x in arc.parse_warc(bytes(f))]
+    assert len(files) > 2 and sum(f["WARC-Type"] == "warcinfo" for f, _ in every) == len(files) + 2
+    whole = {f["WARC-Record-ID"]: f for f, _ in every if f["WARC-Type"] in ("response", "resource")}
+    again = [f for f, b in every if f["WARC-Type"] == "revisit" and not b]
+    assert len(whole) == 4 and len(again) == 6
+    for f in again:
+        first = whole[f["WARC-Refers-To"]]
+        assert (f["WARC-Refers-To-Target-URI"], f["WARC-Refers-To-Date"], f["WARC-Payload-Digest"]) == (first["WARC-Target-URI"], first["WARC-Date"], first["WARC-Payload-Digest"])
+    got = arc.read_warc(spark, folder).collect()
+    assert len(got) == 10 and {r.page_id for r in got} == {None}
+
+
+def test_arc_of_null_and_repeated_ids(spark):
+    rows = [(None, "u", "x"), (7, "u", "x"), (7, "u", "x"), (7, "v", "x"), (9, "u", "x"), (None, None, "alone")]
+    got = sorted(((r.page_id, r.record_type, r.refers_to) for r in arc.archive(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()), key=str)
+    assert [x for x in got if x[0] == 9] == [(9, "revisit", 7)] and (None, "response", None) in got and (None, "revisit", 7) in got
+    assert sum(x[1] == "response" for x in got if x[0] == 7) in (1, 2) and len(got) == 6
+
+
 def sellers(p, t):
     c, ramp = np.zeros(len(t) + 1, int), np.arange(len(t) + 1)
     for ch in p:
