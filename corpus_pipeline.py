@@ -1,18 +1,16 @@
 """The corpus pipeline: language ID, exact dedup, near-dedup, decontamination, SentencePiece coding.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its output is written as Parquet and read again as the
-next stage's documents.
+next stage's documents. A stage's output is removed once the next one's is complete. All stages but the last return the columns of their
+documents; what each does with null and repeated ids, null and empty texts stands in its operator.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from spikeloom.llm import decontaminate, exact_dedup, language_id, near_dedup, pieces
+from spikeloom.llm.common import remove_folder, shared_folder
 
 
 def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,9 +46,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`; stage outputs go to the cluster's shared folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-pipeline-")
-    docs, own = spark.read.parquet(f"{sf_dir}/documents.parquet"), f"{root}/pipeline-{uuid.uuid4().hex}"
-    for k, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{own}/{k}-{name}")
-        docs = spark.read.parquet(f"{own}/{k}-{name}")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES:
+        folder = shared_folder(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(folder)
+        docs = spark.read.parquet(folder)
+        if before:
+            remove_folder(spark, before)
+        before = folder
     return docs
