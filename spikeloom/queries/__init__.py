@@ -1,6 +1,7 @@
 """Registered queries of the burst-analytics operators and their SQL."""
 
-from . import flows, reports, signals
+from . import browse, flows, reports, signals
 
-QUERIES: dict = {**signals.QUERIES, **reports.QUERIES, **flows.QUERIES}
-ORACLES: dict = {**signals.ORACLES, **reports.ORACLES, **flows.ORACLES}
+PARTS = (signals, reports, flows, browse)
+QUERIES: dict = {name: f for part in PARTS for name, f in part.QUERIES.items()}
+ORACLES: dict = {name: sql for part in PARTS for name, sql in part.ORACLES.items()}
