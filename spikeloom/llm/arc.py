@@ -40,7 +40,7 @@ VERSIONS = {
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
 SHARD_BYTES = 4 << 20
-FILE_BYTES = 32 << 20
+FILE_BYTES = 8 << 20
 MIN_BYTES = 0
 _EPOCH = datetime(2001, 1, 1, tzinfo=timezone.utc)
 
@@ -93,63 +93,65 @@ def http_payload(body: bytes) -> bytes:
     return body[body.find(b"\r\n\r\n") + 4 :] if body.startswith(b"HTTP/") and b"\r\n\r\n" in body else body
 
 
-def as_arc(pages: DataFrame) -> DataFrame:
-    """(page_ids, content): ARC files of both versions in turn, of about SHARD_BYTES, and the ids of their records in order."""
-    kind = pa.list_(pa.int64())
+def _arcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    version, ids, parts, size = 1, [], [], 0
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        version, ids, parts, size = 1, [], [], 0
+    def flushed() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(pa.int64())), pa.array([b"".join(parts)], pa.binary())], names=["page_ids", "content"])
 
-        def flushed() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([ids], kind), pa.array([b"".join(parts)], pa.binary())], names=["page_ids", "content"])
-
-        for batch in portions(batches, "html"):
-            for page_id, url, html in zip(batch["page_id"].to_pylist(), batch["url"].to_pylist(), batch["html"].to_pylist(), strict=True):
-                if not parts:
-                    parts.append(arc_head(version, "legacy.arc"))
-                    size = len(parts[0])
-                payload = (html or "").encode()
-                body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload) + payload
-                date = (_EPOCH + timedelta(seconds=(page_id or 0) % 800_000_000)).strftime("%Y%m%d%H%M%S")
-                clean = re.sub(r"\s", "%20", url) if url else f"urn:x-page:{page_id}"
-                parts.append(arc_record(version, clean, "192.0.2.1", date, "text/html", body, size, "legacy.arc"))
-                ids.append(page_id)
-                size += len(parts[-1])
-                if size >= SHARD_BYTES:
-                    yield flushed()
-                    version, ids, parts = 3 - version, [], []
-        if parts:
-            yield flushed()
+    for batch in portions(batches, "html"):
+        for page_id, url, html in zip(batch["page_id"].to_pylist(), batch["url"].to_pylist(), batch["html"].to_pylist(), strict=True):
+            if not parts:
+                parts.append(arc_head(version, "legacy.arc"))
+                size = len(parts[0])
+            payload = (html or "").encode()
+            body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload) + payload
+            date = (_EPOCH + timedelta(seconds=(page_id or 0) % 800_000_000)).strftime("%Y%m%d%H%M%S")
+            clean = re.sub(r"\s", "%20", url) if url else f"urn:x-page:{page_id}"
+            parts.append(arc_record(version, clean, "192.0.2.1", date, "text/html", body, size, "legacy.arc"))
+            ids.append(page_id)
+            size += len(parts[-1])
+            if size >= SHARD_BYTES:
+                yield flushed()
+                version, ids, parts = 3 - version, [], []
+    if parts:
+        yield flushed()
 
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(run, "page_ids array<long>, content binary")
 
+def _pages(pages: DataFrame) -> DataFrame:
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
 
-RECORD = "page_id long, kind string, uri string, date string, ip string, mime string, record_id string, block binary, payload_bytes long, payload_digest string, block_digest string"
 
+def as_arc(pages: DataFrame) -> DataFrame:
+    """(page_ids, content): ARC files of both versions in turn, of about SHARD_BYTES, and the ids of their records in order."""
+    return _pages(pages).mapInArrow(_arcs, "page_ids array<long>, content binary")
 
-def convert(arcs: DataFrame) -> DataFrame:
-    """A row for each record of the ARC files in `content`, with what its WARC record needs."""
-    known = "page_ids" in arcs.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, kinds = [x.split()[0] for x in RECORD.split(", ")], [pa.int64(), *[pa.string()] * 6, pa.binary(), pa.int64(), pa.string(), pa.string()]
-        for batch in portions(batches, "content", 1):
-            ids, out, size = iter(batch["page_ids"][0].as_py()) if known else None, [], 0
-            for r in parse_arc(batch["content"][0].as_py()):
-                body, page_id = r["body"], None if r["version"] or ids is None else next(ids)
-                kind = "warcinfo" if r["version"] else "response" if body.startswith(b"HTTP/") else "resource"
-                payload = http_payload(body)
-                when = datetime.strptime(r["date"][:14].ljust(14, "0"), "%Y%m%d%H%M%S").strftime("%Y-%m-%dT%H:%M:%SZ")
-                own = uuid.UUID(bytes=hashlib.sha1(f"{page_id} {r['url']} {r['date']} ".encode() + body).digest()[:16], version=5)
-                out.append((page_id, kind, r["url"], when, r["ip"], r["mime"], f"<urn:uuid:{own}>", body, len(payload), base32_sha1(payload), base32_sha1(body)))
-                size += len(body)
-                if size > SHARD_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
-                    out, size = [], 0
-            if out:
+RECORD = "page_id long, kind string, uri string, date string, ip string, mime string, record_id string, block binary, payload_bytes long, payload_digest string, block_digest string"
+
+
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names, kinds = [x.split()[0] for x in RECORD.split(", ")], [pa.int64(), *[pa.string()] * 6, pa.binary(), pa.int64(), pa.string(), pa.string()]
+    for batch in portions(batches, "content", 1):
+        ids, out, size = iter(batch["page_ids"][0].as_py()) if "page_ids" in batch.schema.names else None, [], 0
+        for r in parse_arc(batch["content"][0].as_py()):
+            body, page_id = r["body"], None if r["version"] or ids is None else next(ids)
+            kind = "warcinfo" if r["version"] else "response" if body.startswith(b"HTTP/") else "resource"
+            payload = http_payload(body)
+            when = datetime.strptime(r["date"][:14].ljust(14, "0"), "%Y%m%d%H%M%S").strftime("%Y-%m-%dT%H:%M:%SZ")
+            own = uuid.UUID(bytes=hashlib.sha1(f"{page_id} {r['url']} {r['date']} ".encode() + body).digest()[:16], version=5)
+            out.append((page_id, kind, r["url"], when, r["ip"], r["mime"], f"<urn:uuid:{own}>", body, len(payload), base32_sha1(payload), base32_sha1(body)))
+            size += len(body)
+            if size > SHARD_BYTES // 4:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+                out, size = [], 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
-    return arcs.select("content", *["page_ids"] * known).mapInArrow(run, RECORD)
+
+def convert(arcs: DataFrame) -> DataFrame:
+    """A row for each record of the ARC files in `content`, with what its WARC record needs."""
+    return arcs.select("content", *["page_ids"] * ("page_ids" in arcs.columns)).mapInArrow(_records, RECORD)
 
 
 def warc_record(kind: str, fields: list[tuple[str, str | None]], block: bytes) -> bytes:
@@ -245,8 +247,11 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def archive(pages: DataFrame) -> DataFrame:
-    """Lays the pages out as ARC files, converts them, writes WARC files to the shared folder and reads these back."""
+    """Lays the pages out as ARC files, converts them, writes WARC files to the shared folder and reads these back.
+
+    A task converts the ARC files that it lays out, so that these are never held or shuffled by Spark.
+    """
     spark = pages.sparkSession
     folder = shared_folder(spark, "warc")
-    write_warc(convert(as_arc(pages)), folder)
+    write_warc(_pages(pages).mapInArrow(lambda batches: _records(_arcs(batches)), RECORD), folder)
     return read_warc(spark, folder)
