@@ -55,6 +55,11 @@ def plate(spark, outputs: DataFrame, columns: int = 6, slots: int = 24) -> DataF
     return out.withColumn("row", F.expr(f"slot div {columns}")).withColumn("col", F.col("slot") % columns).withColumn("name", F.concat(letter, (F.col("col") + 1).cast("string")))
 
 
+def plate_task(spark, outputs: DataFrame, aggregates: list[Column]) -> DataFrame:
+    """A task over whole plates: its slots, those without an output too, are made one row of each recording."""
+    return plate(spark, outputs).groupBy("recording_key").agg(*aggregates)
+
+
 def group_colours(rows: DataFrame, group: str, colours: int = 6) -> DataFrame:
     names = rows.select(group).where(F.col(group).isNotNull()).distinct()
     return names.withColumn("colour", (F.dense_rank().over(Window.orderBy(group)) - 1) % colours)

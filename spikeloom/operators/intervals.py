@@ -123,13 +123,13 @@ def overlaps(a: DataFrame, b: DataFrame, by: list[str], least: float, width: flo
     return pairs.withColumn("overlap", overlap(*sides)).where(F.col("overlap") >= least).withColumn("iou", F.try_divide("overlap", hull(*sides)))
 
 
-def greedy_matches(detected: DataFrame, truth: DataFrame, by: list[str], least: float, order: str) -> DataFrame:
+def greedy_matches(detected: DataFrame, truth: DataFrame, by: list[str], least: float, order: str, width: float = 60.0) -> DataFrame:
     """One-to-one matches (by, start, end, truth_start, truth_end, overlap).
 
     order "largest": pairs by overlap, the largest first. order "earliest": detections in turn take their first free truth.
     Each group's candidate pairs are scanned once; only overlapping pairs reach the scan.
     """
-    pairs = overlaps(detected, truth, by, least, 60.0)
+    pairs = overlaps(detected, truth, by, least, width)
     keys = ["overlap", "a_start", "b_start"] if order == "largest" else ["a_start", "a_end", "b_start"]
     kinds = ", ".join(f"{c} {detected.schema[c].dataType.simpleString()}" for c in by)
 

@@ -127,6 +127,20 @@ def posterior_aggregates(post: DataFrame, quantile: float = 0.9) -> DataFrame:
     )
 
 
+def unit_statistics(rows: DataFrame, value: str, prefix: str, quantile: float = 0.9) -> DataFrame:
+    """Mean, deviation and upper quantile over the units of each bin; NaN counts as missing."""
+    x = F.nanvl(F.col(value).cast("double"), F.lit(None))
+    return rows.groupBy("well", "bin").agg(F.avg(x).alias(f"{prefix}mean"), F.stddev_pop(x).alias(f"{prefix}std"), F.percentile(x, quantile).alias(f"{prefix}q{round(quantile * 100)}"))
+
+
+def standardised(rows: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
+    """`rows` with each column less its group's mean over its population deviation, which is 1 where there is none."""
+    stats = rows.groupBy(*by).agg(*[F.avg(c).alias(f"_m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"_s_{c}") for c in columns])
+    out = rows.join(stats, by)
+    scaled = {c: (F.col(c) - F.col(f"_m_{c}")) / F.when(F.col(f"_s_{c}") < 1e-12, 1.0).otherwise(F.col(f"_s_{c}")) for c in columns}
+    return out.withColumns(scaled).drop(*[f"_{k}_{c}" for k in "ms" for c in columns])
+
+
 def features(spikes: DataFrame, counts: DataFrame, grids: DataFrame, n_units: DataFrame, fits: DataFrame, scale: float = 1.0, ff_factors: tuple = (0.5, 1.0, 2.0, 5.0), ff_low: float = 0.005, ff_high: float = 0.1, isi_window: int = 25) -> DataFrame:
     """(well, bin, t_low, t_high, t_center, 26 features); quantities that don't exist are 0. unit_id must be a string."""
     seconds = F.col("step") * F.lit(scale)
@@ -195,9 +209,13 @@ def burst_clusters(rows: DataFrame, label: str, value: str, mad_scale: float = 3
     return ranks.join(spread, by).join(top, by).withColumn("limit", limit).where((F.col("position") == 1) | (F.col("score") > F.col("limit"))).select(*by, label, "score", "limit", "position")
 
 
-def composition(events: DataFrame, bins: DataFrame, by: list[str]) -> DataFrame:
-    """Share of each label among the bins with start <= t_center < end: (by, start, end, label, share); 0 for the group's other labels."""
-    inside = events.select(*by, "start", "end").join(bins.select(*by, "t_center", "label"), by).where("t_center >= start AND t_center < end")
+def composition(events: DataFrame, bins: DataFrame, by: list[str], width: float) -> DataFrame:
+    """Share of each label among the bins with start <= t_center < end: (by, start, end, label, share); 0 for the group's other labels.
+
+    Events and bins meet by blocks of time of `width`.
+    """
+    blocks = events.select(*by, "start", "end").distinct().withColumn("_b", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor(F.col("end") / width))))
+    inside = blocks.join(bins.select(*by, "t_center", "label", F.floor(F.col("t_center") / width).alias("_b")), [*by, "_b"]).where("t_center >= start AND t_center < end")
     counts = inside.groupBy(*by, "start", "end", "label").agg(F.count("*").alias("k"))
     total = counts.groupBy(*by, "start", "end").agg(F.sum("k").alias("total"))
     labels = bins.select(*by, "label").distinct()

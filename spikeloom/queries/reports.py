@@ -259,11 +259,6 @@ def overlap_join_iou(spark, d):
     return out.select("well", F.round("a_start", 4).alias("a_start"), F.round("b_start", 4).alias("b_start"), F.round("overlap", 4).alias("overlap"), F.round("iou", 6).alias("iou"))
 
 
-@register()
-def detection_scores(spark, d):
-    return intervals.detection_scores(_iv(spark, d, 0, 3000).withColumn("start", F.col("start") / 1000).withColumn("end", F.col("end") / 1000), _iv(spark, d, 1, 5000).withColumn("start", F.col("start") / 1000).withColumn("end", F.col("end") / 1000), ["well"])
-
-
 @register("SELECT p_partkey, regexp_extract(p_brand, '(\\d+)$', 1) AS digits, CAST(nullif(regexp_extract(p_brand, '(\\d+)$', 1), '') AS INT) AS number, substr(sha1(p_name), 1, 16) AS hash, 'unit_' || lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0') AS padded, least(greatest(p_retailprice, 950.0), 1100.0) AS clamped, split_part(p_type, ' ', 1) || '/' || p_brand AS compound FROM part")
 def scalar_functions(spark, d):
     p = table(spark, d, "part")

@@ -358,12 +358,3 @@ def kmeans_typing(spark, d):
     g, m, ev = _events(spark, d)
     sized = detectors._over(ev, m, [F.sum("total").cast("double").alias("total_spikes"), F.max("participation").alias("peak"), F.avg("rate").alias("rate")])
     return models.burst_types(sized.withColumn("length", (F.col("end_idx") - F.col("start_idx") + 1).cast("double")), ["total_spikes", "peak", "rate", "length"])
-
-
-@register()
-def greedy_match(spark, d):
-    """Bursts of each well matched one to one with those of all events together, the largest overlap first."""
-    _, _, ev = _events(spark, d)
-    hours = ev.select("well", (F.col("start") / HOUR).alias("start"), (F.col("end") / HOUR).alias("end"))
-    truth = intervals.union(hours.where("well <> 'view'").withColumn("all", F.lit(1)), ["all"]).crossJoin(hours.select("well").distinct()).select("well", "start", "end")
-    return intervals.greedy_matches(hours, truth, ["well"], 0.03, "largest")
