@@ -4,12 +4,24 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+_local: dict[str, str] = {}
+
+
+def shared_root(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; where that is unset, a temporary folder if driver and executors are one local process."""
+    root, context = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
+    if root is None:
+        if context.master != "local" and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = _local[context.applicationId] = _local.get(context.applicationId) or tempfile.mkdtemp(prefix="spark-")
+    return root
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """`df` written to spark.checkpoint.dir (a temporary folder where that is unset) and read from there, with a short plan."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-stored-"))
+    """`df` written to the shared folder and read from there, with a short plan."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint(eager=True)

@@ -61,6 +61,16 @@ def padded_id(prefix: str, number: Column, width: int = 3) -> Column:
     return F.format_string(f"{prefix}%0{width}d", number)
 
 
+def iso_seconds(t: Column) -> Column:
+    """A time in ISO 8601, to the second."""
+    return F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")
+
+
+def guarded(x: Column) -> Column:
+    """NaN, infinities and nulls as 0."""
+    return F.coalesce(finite(x), F.lit(0.0))
+
+
 def finite(x: Column) -> Column:
     """NaN and infinities as null."""
     return F.when(F.abs(x) < float("inf"), F.nanvl(x, F.lit(None)))

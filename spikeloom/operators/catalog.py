@@ -69,10 +69,8 @@ def dag(spark, tasks: dict[str, list[str]] = TASKS) -> DataFrame:
 
 def cascade(dag: DataFrame, roots: DataFrame) -> DataFrame:
     """(root, task): each root and all tasks that depend on it, directly or not. roots: (task)."""
-    spark = dag.sparkSession
-    dag.createOrReplaceTempView("_dag")
-    roots.createOrReplaceTempView("_roots")
-    return spark.sql("WITH RECURSIVE r(root, task) AS (SELECT task, task FROM _roots UNION ALL SELECT r.root, d.task FROM r JOIN _dag d ON d.dep = r.task) SELECT DISTINCT root, task FROM r")
+    recursive = "WITH RECURSIVE r(root, task) AS (SELECT task, task FROM {roots} UNION ALL SELECT r.root, d.task FROM r JOIN {dag} d ON d.dep = r.task) SELECT DISTINCT root, task FROM r"
+    return dag.sparkSession.sql(recursive, roots=roots, dag=dag)
 
 
 def ready(status: DataFrame, dag: DataFrame, retry_failed: bool = False) -> DataFrame:

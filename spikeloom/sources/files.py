@@ -16,9 +16,14 @@ PIPELINE = "map<string,struct<recording_key:string,well_id:string,created_at:dou
 def scan_recordings(spark: SparkSession, root: str, name: str = "data.raw.h5") -> DataFrame:
     """Recordings below `root`, from paths sample/date/plate/scan/run/name; only listings are read. Others are left out."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", name).load(root)
-    part = lambda k: F.try_element_at(F.split("path", "/"), F.lit(k))
-    rows = files.select(part(-6).alias("sample_id"), part(-5).alias("date"), part(-4).alias("plate_id"), part(-3).alias("scan_type"), part(-2).alias("run_id"), F.col("path").alias("data_path"), F.col("length").alias("file_size"), F.unix_micros("modificationTime").alias("mtime_us"))
-    return rows.where(F.col("date").rlike("^[0-9]{6}$") & F.col("run_id").rlike("^[0-9]+$")).withColumn("cache_key", F.concat_ws("/", "sample_id", "date", "plate_id", "scan_type", "run_id"))
+    return parsed_paths(files.select("path", F.col("path").alias("data_path"), F.col("length").alias("file_size"), F.unix_micros("modificationTime").alias("mtime_us")))
+
+
+def parsed_paths(files: DataFrame) -> DataFrame:
+    """`files` with the parts of their `path`, sample/date/plate/scan/run/name, in place of it; paths without a six-digit date and a numeric run are left out."""
+    names = ["sample_id", "date", "plate_id", "scan_type", "run_id"]
+    rows = files.withColumns({n: F.try_element_at(F.split("path", "/"), F.lit(k)) for n, k in zip(names, range(-6, -1), strict=True)})
+    return rows.where(F.col("date").rlike("^[0-9]{6}$") & F.col("run_id").rlike("^[0-9]+$")).withColumn("cache_key", F.concat_ws("/", *names)).drop("path")
 
 
 def new_partitions(found: DataFrame, known: DataFrame) -> DataFrame:

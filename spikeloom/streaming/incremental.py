@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spikeloom.functions.lineage import shared_root
+
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir, or a temporary one where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    return f"{root}/{name}-{uuid.uuid4().hex}"
+    """The name of a new folder that driver and executors share."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def window_counts(stream: DataFrame, time: str, keys: list[str], width: str, late: str) -> DataFrame:
@@ -23,6 +23,10 @@ def window_counts(stream: DataFrame, time: str, keys: list[str], width: str, lat
 def drain(result: DataFrame, mode: str = "append") -> DataFrame:
     """Runs a streaming result over all files there are, into Parquet files in the shared folder, and reads these."""
     spark, folder = result.sparkSession, shared_folder(result.sparkSession, "stream")
+    if mode == "complete":
+        keep = lambda batch, _: batch.write.mode("overwrite").parquet(f"{folder}/rows")
+        result.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+        return spark.read.schema(result.schema).parquet(f"{folder}/rows")
     query = result.writeStream.outputMode(mode).format("parquet").option("checkpointLocation", f"{folder}/state").option("path", f"{folder}/rows").trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(result.schema).parquet(f"{folder}/rows")
