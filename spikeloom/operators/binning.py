@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spikeloom.functions import order
+
 
 def grid(extents: DataFrame, step: Column | float | int) -> DataFrame:
     """Bins of width `step` from the first spike; the last spike lies in the last bin (whose right edge is closed)."""
@@ -49,8 +51,8 @@ def median_and_mad(rows: DataFrame, value: str, by: list[str] | None = None) ->
     """`baseline` (median) and `mad` (unscaled median absolute deviation) of each group; NaN counts as missing."""
     by = by or ["well"]
     x = F.nanvl(F.col(value).cast("double"), F.lit(None))
-    middle = rows.groupBy(*by).agg(F.percentile(x, 0.5).alias("baseline"))
-    return rows.join(middle, by).groupBy(*by, "baseline").agg(F.percentile(F.abs(x - F.col("baseline")), 0.5).alias("mad"))
+    middle = order.quantile(rows, x, 0.5, by, "baseline")
+    return middle.join(order.quantile(rows.join(middle, by), F.abs(x - F.col("baseline")), 0.5, by, "mad"), by)
 
 
 def participation_floor(n_units: Column) -> Column:

@@ -75,11 +75,11 @@ def cascade(dag: DataFrame, roots: DataFrame) -> DataFrame:
 
 def ready(status: DataFrame, dag: DataFrame, retry_failed: bool = False) -> DataFrame:
     """Tasks that may run: not run yet (or failed, if asked), all their dependencies complete; a missing one isn't."""
-    keys = ["recording_key", "well_id"]
-    open_ = status.where(F.col("status").isin(["NOT_RUN", "FAILED"] if retry_failed else ["NOT_RUN"]))
-    done = status.select(*keys, F.col("task").alias("dep"), (F.col("status") == "COMPLETE").alias("done"))
-    blocked = open_.select(*keys, "task").join(F.broadcast(dag), "task").join(done, [*keys, "dep"], "left").where("NOT coalesce(done, false)")
-    return open_.join(blocked.select(*keys, "task").distinct(), [*keys, "task"], "left_anti")
+    done = F.collect_set(F.when(F.col("status") == "COMPLETE", F.col("task")))
+    wells = status.groupBy("recording_key", "well_id").agg(done.alias("_done"), F.collect_list(F.struct(*status.columns)).alias("_rows"))  # a well's few tasks
+    rows = wells.select("_done", F.inline("_rows")).where(F.col("status").isin(["NOT_RUN", "FAILED"] if retry_failed else ["NOT_RUN"]))
+    needs = F.broadcast(dag.groupBy("task").agg(F.collect_set("dep").alias("_needs")))
+    return rows.join(needs, "task", "left").where(F.size(F.array_except(F.coalesce("_needs", F.array().cast("array<string>")), "_done")) == 0).select(*status.columns)
 
 
 def ready_top(status: DataFrame, dag: DataFrame, order: list[str], n: int, retry_failed: bool = False) -> DataFrame:

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+BLOCK = 64
+
 
 def islands(rows: DataFrame, mask: str, by: list[str]) -> DataFrame:
     """(by, start_idx, end_idx, n) of maximal runs of consecutive bins whose mask is true."""
@@ -48,19 +50,17 @@ def complement(intervals: DataFrame, by: list[str], bounds: DataFrame) -> DataFr
 def valleys(events: DataFrame, signal: DataFrame, value: str, by: list[str]) -> DataFrame:
     """`events` with `prev_end` and `valley`: the least signal with prev_end <= t_center <= start, null without bins there.
 
-    events: (by, start, end), signal: (by, t_center, value). Running maximum of ends is the earlier end.
+    events: (by, start, end), signal: (by, t_center, value). Running maximum of ends is the earlier end. Gaps and bins meet by blocks of
+    time that hold about BLOCK bins, so a gap is compared with the bins around it alone.
     """
     w = Window.partitionBy(*by).orderBy("start", "end")
     known = events.withColumn("prev_end", F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))).withColumn("last_end", F.lag("end").over(w))
     own = [*by, "start", "end"]
-    low = (
-        known.where("last_end IS NOT NULL")
-        .select(*own, "last_end")
-        .join(signal.select(*by, "t_center", value), by)
-        .where("t_center >= last_end AND t_center <= start")
-        .groupBy(*own)
-        .agg(F.min(value).alias("valley"))
-    )
+    blocks = signal.groupBy(*by).agg(F.greatest((F.max("t_center") - F.min("t_center")) / F.greatest(F.count("*") - 1, F.lit(1)) * BLOCK, F.lit(1e-12)).alias("_w"))
+    block = lambda t: F.floor(F.col(t) / F.col("_w"))
+    gaps = known.where("last_end <= start").select(*own, "last_end").join(blocks, by).withColumn("_b", F.explode(F.sequence(block("last_end"), block("start"))))
+    bins = signal.select(*by, "t_center", value).join(blocks, by).withColumn("_b", block("t_center")).drop("_w")
+    low = gaps.join(bins, [*by, "_b"]).where("t_center >= last_end AND t_center <= start").groupBy(*own).agg(F.min(value).alias("valley"))
     return known.join(low, own, "left")
 
 

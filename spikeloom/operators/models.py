@@ -7,17 +7,18 @@ from __future__ import annotations
 
 import math
 
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spikeloom.functions import order
 from spikeloom.functions.lineage import stored
 
 from . import binning, smoothing
 from . import spikes as trains
 
+#: The features' names in their order.
 FEATURES = (
     "post_frac_gt_0_5 post_mean post_std post_q90 post_entropy PFR participation FF0 FF1 FF2 FF3 llr_hmm_mean llr_hmm_std llr_hmm_q90 inv_isi_mean "
     "inv_isi_std cv_isi_mean lv_mean dfr_unit_mean dfr_unit_std dPFR_short dPFR_long dParticipation_short dParticipation_long dLLR_short dLLR_long"
@@ -49,15 +50,37 @@ def _smooth_chain(emission: np.ndarray, move: np.ndarray, start: np.ndarray) ->
     return gamma / gamma.sum(axis=1, keepdims=True), moved, float(np.log(scale).sum() + top.sum())
 
 
-def fit_counts(n: np.ndarray, step: float, *, max_iter: int = 100, tol: float = 1e-3, min_spikes: int = 50, min_ratio: float = 1.5) -> dict:
-    """A two-state Poisson chain fitted to one unit's counts; rates are per second, state 1 is the faster one."""
+def quantile_start(n: np.ndarray) -> tuple[float, float]:
+    """Rates to start from: low and high quantiles, kept apart."""
+    slow = max(float(np.quantile(n, 0.25)), 0.01)
+    return slow, max(float(np.quantile(n, 0.95)), 2 * slow, slow + 0.5)
+
+
+def two_means(n: np.ndarray, steps: int = 20) -> tuple[float, float]:
+    """Rates to start from: means of two clusters of counts, begun a quarter within their range; quantiles if they are no two clusters."""
+    low, high = float(n.min()), float(n.max())
+    a, b = low + 0.25 * (high - low), low + 0.75 * (high - low)
+    for _ in range(steps):
+        upper = np.abs(n - b) < np.abs(n - a)
+        c, d = float(n[~upper].mean()) if (~upper).any() else a, float(n[upper].mean()) if upper.any() else b
+        done, a, b = np.allclose((c, d), (a, b)), c, d
+        if done:
+            break
+    a, b = min(a, b), max(a, b)
+    return quantile_start(n) if high <= low or b < 2 * max(a, 1e-3) else (max(a, 1e-3), b)
+
+
+def fit_counts(n: np.ndarray, step: float, *, max_iter: int = 100, tol: float = 1e-3, min_spikes: int = 50, min_ratio: float = 1.5, start_from: str = "quantile") -> dict:
+    """A two-state Poisson chain fitted to one unit's counts; rates are per second, state 1 is the faster one.
+
+    A unit without a fit has a reason: `low_spike_count`, `low_rate_ratio` (with the rates, and what was reached) or `numerical_failure`.
+    """
     none = {"skipped": None, "lambda_bg": None, "lambda_burst": None, "iterations": 0, "log_likelihood": None, "p": None}
     if n.sum() < min_spikes or len(n) < 4:
         return none | {"skipped": "low_spike_count"}
-    slow = max(float(np.quantile(n, 0.25)), 0.01)
-    fast = max(float(np.quantile(n, 0.95)), 2 * slow, slow + 0.5)
-    if fast / slow < min_ratio:
-        return none | {"skipped": "low_rate_ratio"}
+    slow, fast = two_means(n) if start_from == "two_means" else quantile_start(n)
+    if fast / max(slow, 1e-6) < min_ratio:
+        return none | {"skipped": "low_rate_ratio", "lambda_bg": slow / step, "lambda_burst": fast / step}
     factorial = np.array([math.lgamma(k + 1) for k in range(int(n.max()) + 1)])[n.astype(int)]
     rates, move, start, last, done = np.array([slow, fast]), np.array(TRANSITION), np.array(START), -np.inf, 0
 
@@ -67,18 +90,20 @@ def fit_counts(n: np.ndarray, step: float, *, max_iter: int = 100, tol: float =
 
     for done in range(1, max_iter + 1):
         gamma, moved, ll = _smooth_chain(emission(), move, start)
-        weight = gamma.sum(axis=0)
-        rates = np.maximum((gamma * n[:, None]).sum(axis=0) / np.maximum(weight, 1e-12), 1e-6)
-        move = moved / np.maximum(moved.sum(axis=1, keepdims=True), 1e-12)
+        if not (np.isfinite(ll) and np.isfinite(gamma).all()):
+            return none | {"skipped": "numerical_failure", "iterations": done}
+        weight, out = gamma.sum(axis=0), moved.sum(axis=1, keepdims=True)
+        rates = np.maximum(np.where(weight > 1e-12, (gamma * n[:, None]).sum(axis=0) / np.maximum(weight, 1e-12), rates), 1e-6)  # a state that nothing is in stays as it was
+        move = np.where(out > 1e-12, moved / np.maximum(out, 1e-12), move)
         start = gamma[0]
         if abs(ll - last) < tol:
             break
         last = ll
     if rates[0] > rates[1]:
         rates, move, start = rates[::-1], move[::-1, ::-1], start[::-1]
-    if rates[1] / rates[0] < min_ratio:
-        return none | {"skipped": "low_rate_ratio", "iterations": done}
-    gamma, _, ll = _smooth_chain(emission(), move, start)
+    if rates[1] / step / max(rates[0] / step, 1e-6) < min_ratio:
+        return none | {"skipped": "low_rate_ratio", "lambda_bg": rates[0] / step, "lambda_burst": rates[1] / step, "iterations": done, "log_likelihood": ll}
+    gamma, _, _ = _smooth_chain(emission(), move, start)
     return {"skipped": None, "lambda_bg": rates[0] / step, "lambda_burst": rates[1] / step, "iterations": done, "log_likelihood": ll, "p": gamma[:, 1]}
 
 
@@ -180,7 +205,7 @@ def threshold_clusters(rows: DataFrame, value: str = "post_frac_gt_0_5", thresho
 def background_normalised(rows: DataFrame, columns: list[str], rank: str, quantile: float = 0.5, by: list[str] | None = None) -> DataFrame:
     """`rows` with z_<column>: mean and deviation are those of rows whose rank is at most the group's quantile."""
     by = by or ["well"]
-    cutoff = rows.groupBy(*by).agg(F.percentile(rank, quantile).alias("_cut"), F.percentile(rank, max(quantile, 0.5)).alias("_cut5"), F.count("*").alias("_n"))
+    cutoff = order.quantile(rows, F.col(rank), quantile, by, "_cut").join(order.quantile(rows, F.col(rank), max(quantile, 0.5), by, "_cut5"), by).join(rows.groupBy(*by).agg(F.count("*").alias("_n")), by)
     few = rows.join(cutoff, by).groupBy(*by).agg(F.count_if(F.col(rank) <= F.col("_cut")).alias("_k"))
     cutoff = cutoff.join(few, by).select(*by, F.when(F.col("_k") < F.greatest(F.lit(2), F.floor(0.05 * F.col("_n"))), F.col("_cut5")).otherwise(F.col("_cut")).alias("_cut"))
     inside = rows.join(cutoff, by).where(F.col(rank) <= F.col("_cut"))
@@ -202,7 +227,7 @@ def burst_clusters(rows: DataFrame, label: str, value: str, mad_scale: float = 3
     """The top cluster of each group, and those whose score exceeds an adaptive threshold of the lower half."""
     by = by or ["well"]
     ranks = cluster_ranks(rows, label, value, by)
-    lower = rows.join(rows.groupBy(*by).agg(F.percentile(value, 0.5).alias("_half")), by).where(F.col(value) <= F.col("_half"))
+    lower = rows.join(order.quantile(rows, F.col(value), 0.5, by, "_half"), by).where(F.col(value) <= F.col("_half"))
     spread = binning.median_and_mad(lower, value, by)
     top = ranks.where("position = 1").select(*by, F.col("score").alias("top"))
     limit = F.greatest(F.col("baseline") + mad_scale * F.greatest(F.col("mad"), F.lit(1e-6)), F.col("baseline") + 0.25 * (F.col("top") - F.col("baseline")))
@@ -244,11 +269,13 @@ def _lloyd(x: np.ndarray, k: int, seed: int, starts: int = 10) -> np.ndarray:
 
 
 def _silhouette(x: np.ndarray, label: np.ndarray) -> float:
-    distance = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
     names, out = np.unique(label), []
     if len(names) < 2:
         return -1.0
-    mean = np.array([distance[:, label == c].sum(axis=1) for c in names]).T
+    mean = np.empty((len(x), len(names)))
+    for k in range(0, len(x), 256):  # sums of distances to each cluster, some rows at a time
+        distance = np.sqrt(np.maximum((x[k : k + 256] ** 2).sum(axis=1)[:, None] + (x**2).sum(axis=1)[None] - 2 * x[k : k + 256] @ x.T, 0.0))
+        mean[k : k + 256] = np.array([distance[:, label == c].sum(axis=1) for c in names]).T
     size = np.array([(label == c).sum() for c in names])
     for i, c in enumerate(np.searchsorted(names, label)):
         if size[c] == 1:

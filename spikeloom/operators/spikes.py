@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spikeloom.functions import order
+
 UNIT = ["well", "unit_id"]
 
 
@@ -27,7 +29,7 @@ def intervals(spikes: DataFrame) -> DataFrame:
 
 def median_log_interval(spikes: DataFrame, scale: float = 1.0) -> DataFrame:
     """`isi`: ten to the median of the pooled log10 intervals of each well (times `scale`, for units of time)."""
-    return intervals(spikes).groupBy("well").agg(F.pow(F.lit(10.0), F.percentile(F.log10(F.col("isi") * scale), 0.5)).alias("isi"))
+    return order.quantile(intervals(spikes), F.log10(F.col("isi") * scale), 0.5, ["well"], "_m").select("well", F.pow(F.lit(10.0), "_m").alias("isi"))
 
 
 def calibration(spikes: DataFrame, *, scale: float = 1.0, low: float = 0.010, high: float = 0.030, gap_min: float = 0.75) -> DataFrame:
@@ -63,8 +65,8 @@ def inverse_intervals(spikes: DataFrame, grid: DataFrame, scale: float = 1.0) ->
 def irregularity(spikes: DataFrame, grid: DataFrame, window_bins: int = 25) -> DataFrame:
     """(well, unit_id, bin, cv, lv): CV of intervals and local variation in a centred window of bins, 0 where undefined.
 
-    An interval belongs to the bin of its later spike, a pair of intervals to that of the last one. Bins of a unit are made
-    by its window's sums over rows keyed by bin, so a unit costs its bins once, whatever the window.
+    An interval belongs to the bin of its later spike, a pair of intervals to that of the last one. Bins whose window holds no interval
+    have no row: rows are made for the bins around intervals only, each once, so a silent stretch costs nothing.
     """
     half = max(1, window_bins // 2)
     w = Window.partitionBy(*UNIT).orderBy("t")
@@ -79,8 +81,11 @@ def irregularity(spikes: DataFrame, grid: DataFrame, window_bins: int = 25) -> D
     )
     pair = 3 * F.pow(F.col("last_isi") - F.col("isi"), 2) / F.greatest(F.pow(F.col("last_isi") + F.col("isi"), 2), F.lit(1e-12))
     sums = rows.groupBy(*UNIT, "bin").agg(F.count("*").alias("n"), F.sum("isi").alias("s"), F.sum(F.col("isi") * F.col("isi")).alias("q"), F.count("last_isi").alias("m"), F.sum(pair).alias("v"))
-    units = spikes.select(*UNIT).distinct().join(grid, "well")
-    dense = units.select(*UNIT, F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_bins") - 1)).alias("bin")).join(sums, [*UNIT, "bin"], "left")
+    own = Window.partitionBy(*UNIT).orderBy("bin")
+    spans = sums.select(*UNIT, "bin").join(grid.select("well", "n_bins"), "well").withColumn("before", F.lag("bin").over(own)).withColumn("after", F.lead("bin").over(own))
+    left, right = F.greatest(F.col("bin") - half, F.coalesce(F.col("before") + half + 1, F.lit(0))), F.least(F.col("bin") + half, F.coalesce("after", "n_bins") - 1)
+    to_left = F.when(left < F.col("bin"), F.sequence(left, F.col("bin") - 1)).otherwise(F.array().cast("array<bigint>"))
+    dense = spans.select(*UNIT, F.explode(F.concat(to_left, F.sequence("bin", right))).alias("bin")).join(sums, [*UNIT, "bin"], "left")
     frame = Window.partitionBy(*UNIT).orderBy("bin").rangeBetween(-half, half)
     n, s, q, m, v = (F.coalesce(F.sum(c).over(frame), F.lit(0)) for c in ("n", "s", "q", "m", "v"))
     mean = F.try_divide(s, n)

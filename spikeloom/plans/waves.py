@@ -23,18 +23,28 @@ class Registry:
         self.needs[name], self.runs[name] = needs, run
 
 
-def drain(status: DataFrame, registry: Registry, keep: Callable[[DataFrame], DataFrame], max_waves: int = 20) -> DataFrame:
-    """Runs ready tasks until none is left; each well's task runs once at most. `keep` stores a status table and returns what it stored."""
+def drain(status: DataFrame, registry: Registry, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Runs ready tasks until none is left; each well's task runs once at most. `keep` stores a status table and returns what it stored.
+
+    A wave that leaves any of its tasks NOT_RUN is a RuntimeError, so the number of waves is at most that of the tasks. Errors go
+    into the column `error`.
+    """
     dag = catalog.dag(status.sparkSession, registry.needs)
     keys = ["recording_key", "well_id", "task"]
-    for _ in range(max_waves):
+    status = status if "error" in status.columns else status.withColumn("error", F.lit(None).cast("string"))
+    while True:
         todo = catalog.ready(status, dag)
         names = [r.task for r in todo.select("task").distinct().collect() if r.task in registry.runs]  # at most the number of tasks
         if not names:
             break
         done = None
         for name in names:
-            own = registry.runs[name](todo.where(F.col("task") == name)).select("recording_key", "well_id", F.lit(name).alias("task"), F.col("status").alias("_new"))
+            own = registry.runs[name](todo.where(F.col("task") == name))
+            error = F.col("error") if "error" in own.columns else F.lit(None).cast("string")
+            own = own.select("recording_key", "well_id", F.lit(name).alias("task"), F.col("status").alias("_new"), error.alias("_error"))
             done = own if done is None else done.unionByName(own)
-        status = keep(status.join(done, keys, "left").withColumn("status", F.coalesce("_new", "status")).drop("_new"))
+        before = status
+        status = keep(before.join(done, keys, "left").withColumn("error", F.when(F.col("_new").isNotNull(), F.col("_error")).otherwise(F.col("error"))).withColumn("status", F.coalesce("_new", "status")).drop("_new", "_error"))
+        if not status.where(F.col("task").isin(names) & (F.col("status") == "NOT_RUN")).join(todo.select(*keys), keys, "left_semi").isEmpty():
+            raise RuntimeError(f"tasks that were to run have not: {names}")
     return status

@@ -27,7 +27,7 @@ def register(sql: str | None = None):
 def stream_window_counts(spark, d):
     schema = table(spark, d, "events").schema
     rows = spark.readStream.schema(schema).option("pathGlobFilter", "events*").parquet(d) if not _is_folder(spark, f"{d}/events.parquet") else spark.readStream.schema(schema).parquet(f"{d}/events.parquet")
-    counts = rows.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("end", F.lit(None).cast("timestamp")).groupBy("event_type", F.window("ts", "6 hours").alias("w")).agg(F.count("*").alias("n"))
+    counts = rows.groupBy("event_type", F.window("ts", "6 hours").alias("w")).agg(F.count("*").alias("n"))
     folder = incremental.shared_folder(spark, "counts")
 
     def keep(batch, number):
@@ -42,11 +42,12 @@ def _is_folder(spark, path: str) -> bool:
     return found.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(found).isDirectory()
 
 
-@register("SELECT o_orderpriority AS level, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') GROUP BY ALL")
+@register("SELECT o_orderpriority AS level, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY ALL")
 def event_table_round_trip(spark, d):
-    """Writes two levels as one partitioned table and reads them back."""
+    """Writes every level as one partitioned table and reads them back."""
     folder, o = incremental.shared_folder(spark, "events"), table(spark, d, "orders")
-    levels = {p: o.where(F.col("o_orderpriority") == p).select("o_orderkey", "o_totalprice") for p in ("1-URGENT", "2-HIGH")}
+    names = [r.p for r in o.select(F.col("o_orderpriority").alias("p")).distinct().collect()]  # five levels
+    levels = {p: o.where(F.col("o_orderpriority") == p).select("o_orderkey", "o_totalprice") for p in names}
     files.write_events(levels, folder)
     return files.read_events(spark, folder).groupBy("level").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
@@ -68,7 +69,17 @@ ORACLES["settings_table"] = "SELECT CAST(p_partkey AS VARCHAR) AS path, p_brand
 
 @register()
 def network_bursts(spark, d):
-    """The population detector over the event stream, at one second for an hour, so that its adaptive bins fit."""
+    """The population detector over the event stream of each well, at six seconds for thirty days, so that bins hold enough units for bursts."""
+    return detectors.population_bursts(_quick_spikes(spark, d, F.col("user_id").cast("string")))["network_bursts"]
+
+
+def _quick_spikes(spark, d, unit):
     micros = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'2024-01-01 00:00:00', ts)")
-    spikes = table(spark, d, "events").select(F.lit("all").alias("well"), F.col("user_id").cast("string").alias("unit_id"), (micros / 3.6e9).alias("t"))
-    return detectors.population_bursts(spikes)["network_bursts"]
+    return table(spark, d, "events").select(F.col("event_type").alias("well"), unit.alias("unit_id"), (micros / (30 * 86400e6 / 6)).alias("t"))
+
+
+@register()
+def model_bursts(spark, d):
+    """The model detector over the same stream, with ten units a well, so that they have enough spikes to be fitted."""
+    unit = F.concat(F.lit("u"), (F.col("user_id") % 10).cast("string"))
+    return detectors.model_bursts(_quick_spikes(spark, d, unit))["network_bursts"]

@@ -94,7 +94,7 @@ def ready_queue(spark, d):
 @register(f"WITH RECURSIVE {_STATUS}, {_DAG}, r(root, task) AS (SELECT task, task FROM (SELECT DISTINCT task FROM st) UNION SELECT r.root, dag.task FROM r JOIN dag ON dag.dep = r.task), c AS (SELECT root, st.task, count(*) FILTER (status <> 'NOT_RUN') AS n FROM r JOIN st ON st.task = r.task GROUP BY ALL) SELECT * FROM c")
 def dag_cascade(spark, d):
     st = _status(spark, d)
-    closure = catalog.cascade(catalog.dag(spark), st.select("task").distinct())
+    closure = catalog.cascade(catalog.dag(spark), spark.createDataFrame([(t,) for t in catalog.TASKS], "task string"))
     counts = st.groupBy("task").agg(F.count_if(F.col("status") != "NOT_RUN").alias("n"))
     return closure.join(counts, "task").select("root", "task", "n")
 
@@ -182,73 +182,85 @@ def category_rollup(spark, d):
 
 
 def _coordinates(spark, d):
-    return table(spark, d, "embeddings").select("vec_id", F.col("label").cast("long").alias("label"), *[F.col("embedding")[k].cast("double").alias(f"x{k}") for k in range(6)])
+    """All coordinates as an array, and their mean, by which rows are ranked."""
+    v = F.col("embedding").cast("array<double>")
+    return table(spark, d, "embeddings").select("vec_id", F.col("label").cast("long").alias("label"), v.alias("v"), (F.aggregate(v, F.lit(0.0), lambda a, x: a + x) / F.size(v)).alias("r"))
 
 
-_X = "x AS (SELECT vec_id, CAST(label AS BIGINT) AS label, " + ", ".join(f"CAST(embedding[{k + 1}] AS DOUBLE) AS x{k}" for k in range(6)) + " FROM embeddings)"
+_X = "x AS (SELECT vec_id, CAST(label AS BIGINT) AS label, CAST(embedding AS DOUBLE[]) AS v, list_avg(CAST(embedding AS DOUBLE[])) AS r FROM embeddings)"
+_LONG = "k AS (SELECT vec_id, r, unnest(range(0, 64)) AS k, unnest(v) AS y FROM x)"
 
 
-@register(f"WITH {_X} " + " UNION ALL ".join(f"SELECT 'x{i}' AS a, 'x{j}' AS b, round(abs(coalesce(corr(x{i}, x{j}), 0)), 6) AS r FROM x" for i in range(6) for j in range(i + 1, 6)))
+@register(f"WITH {_X}, {_LONG} SELECT 'x' || a.k AS a, 'x' || b.k AS b, round(abs(coalesce(corr(a.y, b.y), 0)), 6) AS r FROM k a JOIN k b ON a.vec_id = b.vec_id AND a.k < b.k GROUP BY a.k, b.k")
 def corr_matrix(spark, d):
-    pairs = [(i, j) for i in range(6) for j in range(i + 1, 6)]
-    row = _coordinates(spark, d).agg(*[F.round(F.abs(F.coalesce(F.corr(f"x{i}", f"x{j}"), F.lit(0.0))), 6).alias(f"r{i}_{j}") for i, j in pairs])
-    cells = F.explode(F.array(*[F.struct(F.lit(f"x{i}").alias("a"), F.lit(f"x{j}").alias("b"), F.col(f"r{i}_{j}").alias("r")) for i, j in pairs]))
-    return row.select(cells.alias("c")).select("c.*")
+    """Absolute correlations of all pairs of coordinates, from one pass over the rows."""
+    from pyspark.ml.stat import Correlation
 
+    rows = _coordinates(spark, d).select(array_to_vector("v").alias("v"))
+    matrix = Correlation.corr(rows, "v").first()[0]  # as many numbers as pairs of coordinates
+    cells = [(f"x{i}", f"x{j}", float(matrix[i, j])) for i in range(matrix.numRows) for j in range(i + 1, matrix.numCols)]
+    return spark.createDataFrame(cells, "a string, b string, r double").withColumn("r", F.round(F.abs(F.coalesce(F.nanvl("r", F.lit(None)), F.lit(0.0))), 6))
 
-@register(f"WITH {_X} " + " UNION ALL ".join(f"SELECT 'x{k}' AS feature, round(stddev_pop(x{k}), 6) AS spread FROM x" for k in range(6)))
+
+@register(f"WITH {_X}, {_LONG} SELECT 'x' || k AS feature, round(stddev_pop(y), 6) AS spread FROM k GROUP BY k")
 def feature_spread(spark, d):
-    row = _coordinates(spark, d).agg(*[F.round(F.stddev_pop(f"x{k}"), 6).alias(f"x{k}") for k in range(6)])
-    return row.select(F.explode(F.array(*[F.struct(F.lit(f"x{k}").alias("feature"), F.col(f"x{k}").alias("spread")) for k in range(6)])).alias("c")).select("c.*")
+    cells = _coordinates(spark, d).select(F.posexplode("v").alias("k", "y"))
+    return cells.groupBy(F.concat(F.lit("x"), F.col("k").cast("string")).alias("feature")).agg(F.round(F.stddev_pop("y"), 6).alias("spread"))
 
 
-_BG = "q AS (SELECT quantile_cont(x1, 0.5) AS cut FROM x), m AS (SELECT avg(x0) AS m0, stddev_pop(x0) AS s0 FROM x, q WHERE x1 <= cut)"
+_BG = "q AS (SELECT quantile_cont(r, 0.5) AS cut FROM x), m AS (SELECT k, avg(y) AS m0, stddev_pop(y) AS s0 FROM k, q WHERE r <= cut GROUP BY k)"
 
 
-@register(f"WITH {_X}, {_BG} SELECT vec_id, round((x0 - m0) / CASE WHEN s0 < 1e-6 THEN 1 ELSE s0 END, 6) AS z_x0 FROM x, m")
+@register(f"WITH {_X}, {_LONG}, {_BG} SELECT vec_id, 'x' || k.k AS feature, round((y - m0) / CASE WHEN s0 < 1e-6 THEN 1 ELSE s0 END, 6) AS z FROM k JOIN m USING (k)")
 def zscore_background(spark, d):
-    rows = _coordinates(spark, d).withColumn("well", F.lit(0))
-    return models.background_normalised(rows, ["x0"], "x1").select("vec_id", F.round("z_x0", 6).alias("z_x0"))
+    """Every coordinate against the rows of the lower half."""
+    cells = _coordinates(spark, d).withColumn("well", F.lit(0)).select("well", "vec_id", "r", F.posexplode("v").alias("k", "y"))
+    return models.background_normalised(cells, ["y"], "r", by=["k"]).select("vec_id", F.concat(F.lit("x"), F.col("k").cast("string")).alias("feature"), F.round("z_y", 6).alias("z"))
 
 
-@register(f"WITH {_X}, r AS (SELECT label, avg(x0) AS score, count(*) AS n FROM x WHERE label >= 0 GROUP BY label) SELECT label, round(score, 6) AS score, n, row_number() OVER (ORDER BY score DESC, label) AS position FROM r")
+@register(f"WITH {_X}, r AS (SELECT label, avg(r) AS score, count(*) AS n FROM x WHERE label >= 0 GROUP BY label) SELECT label, round(score, 6) AS score, n, row_number() OVER (ORDER BY score DESC, label) AS position FROM r")
 def cluster_rank(spark, d):
-    out = models.cluster_ranks(_coordinates(spark, d).withColumn("well", F.lit(0)), "label", "x0")
+    out = models.cluster_ranks(_coordinates(spark, d).withColumn("well", F.lit(0)), "label", "r")
     return out.select("label", F.round("score", 6).alias("score"), "n", F.col("position").cast("long").alias("position"))
 
 
 @register(
-    f"WITH {_X}, r AS (SELECT label, avg(x0) AS score FROM x WHERE label >= 0 GROUP BY label), h AS (SELECT x0 FROM x WHERE x0 <= (SELECT quantile_cont(x0, 0.5) FROM x)), b AS (SELECT quantile_cont(x0, 0.5) AS med FROM h), s AS (SELECT quantile_cont(abs(x0 - med), 0.5) AS mad FROM h, b), t AS (SELECT max(score) AS top FROM r) SELECT label, round(score, 6) AS score FROM r, b, s, t WHERE score = top OR score > greatest(med + 3 * greatest(mad, 1e-6), med + 0.25 * (top - med))"
+    f"WITH {_X}, r AS (SELECT label, avg(r) AS score FROM x WHERE label >= 0 GROUP BY label), h AS (SELECT r FROM x WHERE r <= (SELECT quantile_cont(r, 0.5) FROM x)), b AS (SELECT quantile_cont(r, 0.5) AS med FROM h), s AS (SELECT quantile_cont(abs(r - med), 0.5) AS mad FROM h, b), t AS (SELECT max(score) AS top FROM r) SELECT label, round(score, 6) AS score FROM r, b, s, t WHERE score = top OR score > greatest(med + 3 * greatest(mad, 1e-6), med + 0.25 * (top - med))"
 )
 def burst_clusters(spark, d):
-    return models.burst_clusters(_coordinates(spark, d).withColumn("well", F.lit(0)), "label", "x0").select("label", F.round("score", 6).alias("score"))
+    return models.burst_clusters(_coordinates(spark, d).withColumn("well", F.lit(0)), "label", "r").select("label", F.round("score", 6).alias("score"))
 
 
-@register(f"WITH {_X} SELECT vec_id, CASE WHEN x0 > 0.1 THEN 1 ELSE -1 END AS label, round(least(greatest(x0, 0), 1), 6) AS probability FROM x")
+@register(f"WITH {_X} SELECT vec_id, CASE WHEN r > 0.01 THEN 1 ELSE -1 END AS label, round(least(greatest(r, 0), 1), 6) AS probability FROM x")
 def threshold_cluster(spark, d):
-    return models.threshold_clusters(_coordinates(spark, d).drop("label"), "x0", 0.1).select("vec_id", "label", F.round("probability", 6).alias("probability"))
+    return models.threshold_clusters(_coordinates(spark, d).drop("label"), "r", 0.01).select("vec_id", "label", F.round("probability", 6).alias("probability"))
 
 
 # orders' price ranges stand for intervals, by customer
 _IV = "iv AS (SELECT o_custkey AS well, o_totalprice AS s, o_totalprice + 3000 AS e FROM orders WHERE o_orderkey % 2 = 0), tv AS (SELECT o_custkey AS well, o_totalprice AS s, o_totalprice + 5000 AS e FROM orders WHERE o_orderkey % 2 = 1)"
 
 
-def _iv(spark, d, odd: int, width: int):
-    o = table(spark, d, "orders").where(F.col("o_orderkey") % 2 == odd)
+_ALL = "iv AS (SELECT o_custkey AS well, o_totalprice AS s, o_totalprice + 3000 AS e FROM orders)"
+
+
+def _iv(spark, d, odd: int | None, width: int):
+    """All orders' intervals, or those of one of two sides that are compared."""
+    o = table(spark, d, "orders")
+    o = o if odd is None else o.where(F.col("o_orderkey") % 2 == odd)
     return o.select(F.col("o_custkey").alias("well"), F.col("o_totalprice").alias("start"), (F.col("o_totalprice") + width).alias("end"))
 
 
 _UNION = "c AS (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY well ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS f FROM iv), u AS (SELECT well, min(s) AS s, max(e) AS e FROM (SELECT *, sum(f) OVER (PARTITION BY well ORDER BY s, e) AS g FROM c) GROUP BY well, g)"
 
 
-@register(f'WITH {_IV}, {_UNION} SELECT well, round(s, 4) AS start, round(e, 4) AS "end" FROM u')
+@register(f'WITH {_ALL}, {_UNION} SELECT well, round(s, 4) AS start, round(e, 4) AS "end" FROM u')
 def interval_union(spark, d):
-    return intervals.union(_iv(spark, d, 0, 3000), ["well"]).select("well", F.round("start", 4).alias("start"), F.round("end", 4).alias("end"))
+    return intervals.union(_iv(spark, d, None, 3000), ["well"]).select("well", F.round("start", 4).alias("start"), F.round("end", 4).alias("end"))
 
 
-@register(f'WITH {_IV}, {_UNION}, x AS (SELECT well, greatest(s, 0) AS s, least(e, 300000) AS e FROM u WHERE least(e, 300000) > greatest(s, 0) UNION ALL SELECT DISTINCT well, 0, 0 FROM iv), y AS (SELECT well, e AS a, coalesce(lead(s) OVER (PARTITION BY well ORDER BY e), 300000) AS b FROM x) SELECT well, round(a, 4) AS start, round(b, 4) AS "end" FROM y WHERE b > a')
+@register(f'WITH {_ALL}, {_UNION}, x AS (SELECT well, greatest(s, 0) AS s, least(e, 300000) AS e FROM u WHERE least(e, 300000) > greatest(s, 0) UNION ALL SELECT DISTINCT well, 0, 0 FROM iv), y AS (SELECT well, e AS a, coalesce(lead(s) OVER (PARTITION BY well ORDER BY e), 300000) AS b FROM x) SELECT well, round(a, 4) AS start, round(b, 4) AS "end" FROM y WHERE b > a')
 def interval_complement(spark, d):
-    iv = _iv(spark, d, 0, 3000)
+    iv = _iv(spark, d, None, 3000)
     bounds = iv.select("well").distinct().withColumn("low", F.lit(0.0)).withColumn("high", F.lit(300000.0))
     return intervals.complement(iv, ["well"], bounds).select("well", F.round("start", 4).alias("start"), F.round("end", 4).alias("end"))
 

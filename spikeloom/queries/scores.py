@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from spikeloom.operators import curation, intervals, models, scoring
-from spikeloom.operators import spikes as trains
+from spikeloom.functions.lineage import stored
+from spikeloom.operators import browse, curation, intervals, models, scoring
 
-from .common import HOUR, SECONDS, grid_chain, signal_chain, spikes, table, with_sql, SPIKES_SQL, EXTENT_SQL, COUNTS_SQL
+from .common import HOUR, SECONDS, SPIKES_SQL, COUNTS_SQL, grid_chain, signal_chain, spikes, table, with_sql
 from .reports import _IV, _iv
-from .signals import _EVENTS, _MASK, _events, _mask, _rates, _RATES, _signals, _grid
+from .signals import _EVENTS, _RATES, _events, _rates, _signals
 
 QUERIES, ORACLES = {}, {}
 
@@ -144,8 +143,6 @@ def quality_join(spark, d):
     li = table(spark, d, "lineitem")
     scores = li.groupBy(F.col("l_suppkey").alias("method"), F.col("l_linenumber").alias("dataset")).agg(F.sum("l_quantity").cast("long").alias("n"))
     quality = li.where("l_returnflag = 'R' AND l_tax > 0.05").groupBy(F.col("l_suppkey").alias("method"), F.col("l_linenumber").alias("dataset")).agg(F.count("*").alias("n"), F.max("l_tax").alias("worst"))
-    from spikeloom.operators import browse
-
     return browse.suffixed_join(scores, quality, ["method", "dataset"], "_quality")
 
 
@@ -178,7 +175,7 @@ _BINS = [*signal_chain(), "bins AS (SELECT well, bin, total % 4 - 1 AS label, pa
 
 
 def _bins(spark, d):
-    return _signals(spark, d)[3].select("well", "bin", (F.col("total") % 4 - 1).alias("label"), F.col("participation").alias("rank"), (F.col("total") / 10.0).alias("x"), (F.col("active") / 20.0).alias("y"))
+    return stored(_signals(spark, d)[3]).select("well", "bin", (F.col("total") % 4 - 1).alias("label"), F.col("participation").alias("rank"), (F.col("total") / 10.0).alias("x"), (F.col("active") / 20.0).alias("y"))
 
 
 _RANKED = "rk AS (SELECT well, label, avg(rank) AS score, count(*) AS n_bins, row_number() OVER (PARTITION BY well ORDER BY avg(rank) DESC, label) AS position FROM bins WHERE label >= 0 GROUP BY well, label)"

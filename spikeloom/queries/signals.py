@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from spikeloom.functions.lineage import stored
 from spikeloom.operators import binning, detectors, intervals, models, smoothing
 from spikeloom.operators import spikes as trains
 
@@ -105,13 +106,13 @@ _UNEVEN = with_sql(
 )
 
 
-@register(_UNEVEN + "SELECT well, unit_id, bin, round(CASE WHEN coalesce(n, 0) >= 2 AND s / n > 1e-9 THEN sqrt(greatest(q / n - (s / n) ** 2, 0)) / (s / n) ELSE 0 END, 4) AS cv FROM f")
+@register(_UNEVEN + "SELECT well, unit_id, bin, round(CASE WHEN coalesce(n, 0) >= 2 AND s / n > 1e-9 THEN sqrt(greatest(q / n - (s / n) ** 2, 0)) / (s / n) ELSE 0 END, 4) AS cv FROM f WHERE n > 0")
 def sliding_cv_isi(spark, d):
     s = spikes(spark, d)
     return trains.irregularity(s, _grid(s, 6 * HOUR)).select("well", "unit_id", "bin", F.round("cv", 4).alias("cv"))
 
 
-@register(_UNEVEN + "SELECT well, unit_id, bin, round(CASE WHEN coalesce(m, 0) > 0 THEN v / m ELSE 0 END, 5) AS lv FROM f")
+@register(_UNEVEN + "SELECT well, unit_id, bin, round(CASE WHEN coalesce(m, 0) > 0 THEN v / m ELSE 0 END, 5) AS lv FROM f WHERE n > 0")
 def sliding_lv(spark, d):
     s = spikes(spark, d)
     return trains.irregularity(s, _grid(s, 6 * HOUR)).select("well", "unit_id", "bin", F.round("lv", 5).alias("lv"))
@@ -150,14 +151,15 @@ _MASK = [*_LIMITS, "m AS (SELECT sig.*, participation > baseline + 0.75 * mad +
 @register(with_sql(*_LIMITS) + f"SELECT well, round(baseline, 9) AS baseline, round(mad, 9) AS mad, round(greatest({_FLOOR}, baseline + 0.75 * mad), 9) AS threshold FROM l")
 def baseline_mad(spark, d):
     _, e, _, sig = _signals(spark, d)
-    return binning.thresholds(sig, "participation", e).select("well", *[F.round(c, 9).alias(c) for c in ("baseline", "mad", "threshold")])
+    return binning.thresholds(stored(sig), "participation", e).select("well", *[F.round(c, 9).alias(c) for c in ("baseline", "mad", "threshold")])
 
 
 def _mask(spark, d):
-    """Bins above baseline and spread; without the floor, which chance firing rarely reaches."""
+    """Bins above baseline and spread; without the floor, which chance firing rarely reaches. The signals are stored, as all that follows reads them."""
     _, _, g, sig = _signals(spark, d)
-    limits = binning.median_and_mad(sig, "participation")
-    return g, sig.join(limits, "well").withColumn("hot", F.col("participation") > F.col("baseline") + 0.75 * F.col("mad") + 1e-9)
+    sig = stored(sig)
+    limits = stored(binning.median_and_mad(sig, "participation"))
+    return g, sig.join(F.broadcast(limits), "well").withColumn("hot", F.col("participation") > F.col("baseline") + 0.75 * F.col("mad") + 1e-9)
 
 
 @register(with_sql(*_MASK) + "SELECT well, bin, hot FROM m")
@@ -187,7 +189,7 @@ def _events(spark, d):
     """Islands as intervals in microseconds."""
     g, m = _mask(spark, d)
     runs = intervals.islands(m, "hot", ["well"]).join(g, "well")
-    return g, m, runs.select("well", "start_idx", "end_idx", (F.col("start") + F.col("start_idx") * F.col("step")).alias("start"), (F.col("start") + (F.col("end_idx") + 1) * F.col("step")).alias("end"))
+    return g, m, stored(runs.select("well", "start_idx", "end_idx", (F.col("start") + F.col("start_idx") * F.col("step")).alias("start"), (F.col("start") + (F.col("end_idx") + 1) * F.col("step")).alias("end")))
 
 
 _EVENTS = [*_MASK, _ISLANDS, "ev AS (SELECT isl.well, start_idx, end_idx, start + start_idx * step AS s, start + (end_idx + 1) * step AS e FROM isl JOIN grid USING (well))"]
@@ -209,7 +211,7 @@ _MERGED = [*_VALLEY, f"f AS (SELECT v.*, sum(CASE WHEN pe IS NULL OR s - pe > {4
 
 def _merged(spark, d):
     g, m, ev = _events(spark, d)
-    return g, m, intervals.merge(ev, m, "participation", ["well"], gap=F.lit(4 * HOUR), step=F.lit(HOUR), accept=F.col("valley") >= 0.05)
+    return g, m, stored(intervals.merge(ev, m, "participation", ["well"], gap=F.lit(4 * HOUR), step=F.lit(HOUR), accept=F.col("valley") >= 0.05))
 
 
 @register(with_sql(*_MERGED) + 'SELECT well, CAST(merged AS BIGINT) AS merged, min(s) AS start, max(e) AS "end", count(*) AS n_sub_events FROM f GROUP BY well, merged')
@@ -322,8 +324,8 @@ def rank_histogram(spark, d):
 
 
 def _wells(spark, d):
-    """Events at one-hour bins with unit ids as strings, and all that model queries need."""
-    s = spikes(spark, d).withColumn("unit_id", F.col("unit_id").cast("string"))
+    """Events at six-hour bins with ten units a well, as strings, and all that model queries need."""
+    s = spikes(spark, d).withColumn("unit_id", F.concat(F.lit("u"), (F.col("unit_id") % 10).cast("string")))
     g = _grid(s, 6 * HOUR)
     return s, trains.extents(s), g, binning.unit_bins(s, g)
 
@@ -332,24 +334,39 @@ def _wells(spark, d):
 def hmm_posterior(spark, d):
     """Per-unit two-state fits over six-hour bins of the event stream."""
     s, e, g, counts = _wells(spark, d)
-    fits = models.fit_units(counts, g, SECONDS, min_spikes=5, min_ratio=1.2, max_iter=20)
-    return fits.select("well", "unit_id", "skipped", F.round("lambda_bg", 9).alias("lambda_bg"), F.round("lambda_burst", 9).alias("lambda_burst"), "iterations")
+    fits = models.fit_units(counts, g, SECONDS)
+    rates = fits.select("well", "unit_id", "skipped", F.round("lambda_bg", 9).alias("lambda_bg"), F.round("lambda_burst", 9).alias("lambda_burst"), "iterations")
+    return rates.join(models.posteriors(fits), ["well", "unit_id"], "left").withColumn("p", F.round("p", 6))
 
 
 @register()
 def bin_features(spark, d):
     """The 26 features of every six-hour bin."""
     s, e, g, counts = _wells(spark, d)
-    fits = models.fit_units(counts, g, SECONDS, min_spikes=5, min_ratio=1.2, max_iter=20).persist()
+    fits = stored(models.fit_units(counts, g, SECONDS))
     return models.features(s, counts, g, e, fits, SECONDS, ff_low=float(HOUR), ff_high=24.0 * HOUR)
 
 
-@register()
+_PEAKS = [
+    *_LIMITS,
+    "lim AS (SELECT well, baseline + 0.75 * mad + 1e-9 AS threshold, greatest(0.5 * mad, 0.02) AS least FROM l)",
+    "lev AS (SELECT well, r, any_value(x) AS x, min(bin) AS a, max(bin) AS b FROM (SELECT well, bin, participation AS x, sum(step) OVER (PARTITION BY well ORDER BY bin) AS r FROM (SELECT well, bin, participation, CASE WHEN participation = lag(participation) OVER (PARTITION BY well ORDER BY bin) THEN 0 ELSE 1 END AS step FROM sig)) GROUP BY well, r)",
+    "cand AS (SELECT * FROM (SELECT *, lag(x) OVER w AS lx, lead(x) OVER w AS rx FROM lev WINDOW w AS (PARTITION BY well ORDER BY r)) JOIN lim USING (well) WHERE x > lx AND x > rx AND x >= threshold)",
+    "base AS (SELECT c.well, c.r, c.x, c.a, c.b, c.threshold, c.least, (SELECT max(h.r) FROM lev h WHERE h.well = c.well AND h.r < c.r AND h.x > c.x) AS lr, (SELECT min(h.r) FROM lev h WHERE h.well = c.well AND h.r > c.r AND h.x > c.x) AS rr FROM cand c)",
+    "prom AS (SELECT *, (SELECT min(h.x) FROM lev h WHERE h.well = base.well AND h.r < base.r AND h.r >= coalesce(base.lr, 0)) AS lmin, (SELECT min(h.x) FROM lev h WHERE h.well = base.well AND h.r > base.r AND (base.rr IS NULL OR h.r <= base.rr)) AS rmin FROM base)",
+    "pk AS (SELECT well, (a + b) // 2 AS peak, greatest(threshold, 0.3 * x) AS floor FROM prom WHERE x - greatest(lmin, rmin) >= least)",
+]
+
+
+@register(
+    with_sql(*_PEAKS)
+    + "SELECT well, peak, coalesce((SELECT max(s.bin) FROM sig s WHERE s.well = pk.well AND s.bin < pk.peak AND s.participation < pk.floor) + 1, 0) AS start_idx, coalesce((SELECT min(s.bin) FROM sig s WHERE s.well = pk.well AND s.bin > pk.peak AND s.participation < pk.floor), (SELECT max(s.bin) + 1 FROM sig s WHERE s.well = pk.well)) - 1 AS end_idx FROM pk"
+)
 def peak_find(spark, d):
-    """Peaks and extents of smoothed participation."""
-    smooth = smoothing.gaussian(_signals(spark, d)[3], {"ws": "participation"}, 1.5)
-    limits = binning.median_and_mad(smooth, "ws").withColumn("threshold", F.col("baseline") + 0.75 * F.col("mad"))
-    return detectors.peaks(smooth, limits, "ws")
+    """Peaks of participation by height and prominence, and how far they reach."""
+    sig = stored(_signals(spark, d)[3])
+    limits = binning.median_and_mad(sig, "participation").withColumn("threshold", F.col("baseline") + 0.75 * F.col("mad") + 1e-9)
+    return detectors.peaks(sig, limits, "participation")
 
 
 @register()

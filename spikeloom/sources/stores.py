@@ -36,11 +36,15 @@ class ParquetStore:
         found = [s.getPath() for s in fs.listStatus(path)] if fs.exists(path) else []
         return sorted(p.getName() for p in found if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
 
-    def _version(self) -> int:
+    def _versions(self) -> dict[int, bool]:
+        """The versions' numbers, and whether they are complete."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
         fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
-        return max((int(n[1:]) for n in names if n.startswith("v") and self._listed(f"/{n}")), default=-1)
+        return {int(n[1:]): bool(self._listed(f"/{n}")) for n in names if n.startswith("v")}
+
+    def _version(self) -> int:
+        return max((v for v, whole in self._versions().items() if whole), default=-1)
 
     def load(self) -> DataFrame:
         version = self._version()
@@ -50,11 +54,11 @@ class ParquetStore:
         return self.spark.read.option("mergeSchema", "true").parquet(*parts)
 
     def save(self, rows: DataFrame) -> None:
-        rows.write.parquet(f"{self.folder}/v{self._version() + 1:06d}/p000000")
+        rows.write.parquet(f"{self.folder}/v{max(self._versions(), default=-1) + 1:06d}/p000000")
 
     def append(self, rows: DataFrame) -> None:
         version = max(self._version(), 0)
-        rows.write.parquet(f"{self.folder}/v{version:06d}/p{len(self._listed(f'/v{version:06d}')):06d}")
+        rows.write.mode("overwrite").parquet(f"{self.folder}/v{version:06d}/p{len(self._listed(f'/v{version:06d}')):06d}")
 
 
 def result_key(source: str, method: str, settings: dict) -> str:
