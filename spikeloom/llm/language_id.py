@@ -26,9 +26,19 @@ from .common import U64, mixed, portions, remainder
 
 DIMENSIONS = 1024
 PIECE = 1 << 20
-#: Characters that count as part of a word, but are no letters: numbers that aren't digits.
-_NUMBERS = "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_NOT_LETTERS = re.compile(rf"[\W\d_{_NUMBERS}]+")
+_NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: Characters that count as part of a word, but are no letters: numbers that aren't digits. Those of the first plane are one set, which is a fast test.
+_NUMBER = re.compile("[" + "".join(c for c in map(chr, range(0x80, 0xD800)) if c.isalnum() and not c.isalpha() and not c.isdecimal()) + "]")
+_BEYOND = re.compile("[\uE000-\U0010FFFF]")
+
+
+def letters(text: str, blank: str = "") -> str:
+    """A text with `blank` for every run of characters that are no letters."""
+    if not text.isascii():
+        text = _NUMBER.sub(" ", text)
+        if _BEYOND.search(text):
+            text = "".join(c if c < "\uE000" or c.isalpha() else " " for c in text)
+    return _NOT_LETTERS.sub(blank, text)
 
 
 def letter_vectors(points: np.ndarray) -> np.ndarray:
@@ -42,7 +52,7 @@ def trigrams(text: str) -> tuple[np.ndarray, np.ndarray]:
     codes, counts = [], []
     for k in range(0, max(len(text), 1), PIECE):  # a trigram over a piece's border belongs to the earlier piece
         lead = text[max(0, k - 1) : k] if k else ""
-        words = _NOT_LETTERS.sub(" ", (lead + text[k : k + PIECE + 1 if k + PIECE < len(text) else None]).lower())
+        words = letters((lead + text[k : k + PIECE + 1 if k + PIECE < len(text) else None]).lower(), " ")
         if not words.strip():
             continue
         words = words if k else " " + words.lstrip(" ")
@@ -187,6 +197,6 @@ def keep_identified(docs: DataFrame) -> DataFrame:
         for batch in portions(batches):
             texts = batch["text"].to_pylist()
             names, _ = label(texts)
-            yield batch.filter(pa.array([n != "und" or bool(_NOT_LETTERS.sub("", t or "")) for n, t in zip(names, texts, strict=True)], pa.bool_()))
+            yield batch.filter(pa.array([n != "und" or bool(letters(t or "")) for n, t in zip(names, texts, strict=True)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
