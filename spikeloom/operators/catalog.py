@@ -74,12 +74,19 @@ def cascade(dag: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def ready(status: DataFrame, dag: DataFrame, retry_failed: bool = False) -> DataFrame:
-    """Tasks that may run: not run yet (or failed, if asked), all their dependencies complete; a missing one isn't."""
-    done = F.collect_set(F.when(F.col("status") == "COMPLETE", F.col("task")))
-    wells = status.groupBy("recording_key", "well_id").agg(done.alias("_done"), F.collect_list(F.struct(*status.columns)).alias("_rows"))  # a well's few tasks
-    rows = wells.select("_done", F.inline("_rows")).where(F.col("status").isin(["NOT_RUN", "FAILED"] if retry_failed else ["NOT_RUN"]))
-    needs = F.broadcast(dag.groupBy("task").agg(F.collect_set("dep").alias("_needs")))
-    return rows.join(needs, "task", "left").where(F.size(F.array_except(F.coalesce("_needs", F.array().cast("array<string>")), "_done")) == 0).select(*status.columns)
+    """Tasks that may run: not run yet (or failed, if asked), all their dependencies complete; a missing one isn't.
+
+    A well's complete tasks are the bits of one number, made in one shuffle by well; the DAG is a handful of rows.
+    """
+    edges = [(r.task, r.dep) for r in dag.select("task", "dep").collect()]
+    bit = {t: 1 << k for k, t in enumerate(sorted({x for e in edges for x in e}))}
+    if len(bit) > 62:
+        raise ValueError(f"too many tasks: {len(bit)}")
+    needs = {t: sum({bit[d] for s, d in edges if s == t}) for t in bit}
+    of_task = lambda numbers: F.coalesce(*[F.when(F.col("task") == t, F.lit(n).cast("long")) for t, n in numbers.items()], F.lit(0).cast("long"))
+    done = F.bit_or(F.when(F.col("status") == "COMPLETE", of_task(bit)).otherwise(F.lit(0).cast("long"))).over(Window.partitionBy("recording_key", "well_id"))
+    rows = status.withColumn("_done", done).where(F.col("status").isin(["NOT_RUN", "FAILED"] if retry_failed else ["NOT_RUN"]))
+    return rows.where(F.col("_done").bitwiseAND(of_task(needs)) == of_task(needs)).drop("_done")
 
 
 def ready_top(status: DataFrame, dag: DataFrame, order: list[str], n: int, retry_failed: bool = False) -> DataFrame:
