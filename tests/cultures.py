@@ -7,12 +7,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 
-def poisson(rng: np.random.Generator, rate: float, spans: list[tuple[float, float]]) -> np.ndarray:
-    """Homogeneous spikes within each span."""
-    parts = [rng.uniform(a, b, rng.poisson(rate * (b - a))) for a, b in spans if b > a]
-    return np.sort(np.concatenate(parts)) if parts else np.empty(0)
-
-
 def culture(spark: SparkSession, specs: list[dict]) -> tuple[DataFrame, DataFrame]:
     """(spikes, truth) of cultures; a spec has well, units, duration, centers, width, burst_rate, base_rate, recruitment, seed.
 
@@ -21,13 +15,17 @@ def culture(spark: SparkSession, specs: list[dict]) -> tuple[DataFrame, DataFram
     truth = [(s["well"], float(c - s["width"] / 2), float(c + s["width"] / 2)) for s in specs for c in s["centers"]]
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        def poisson(rate: float, spans: list[tuple[float, float]]) -> np.ndarray:
+            """Homogeneous spikes within each span."""
+            return np.concatenate([np.empty(0), *(rng.uniform(a, b, rng.poisson(rate * (b - a))) for a, b in spans if b > a)])
+
         out = []
         for s in pdf.to_dict("records"):
             rng, spans = np.random.default_rng(int(s["seed"])), [(c - s["width"] / 2, c + s["width"] / 2) for c in s["centers"]]
             edges = [0.0, *[x for span in spans for x in span], s["duration"]]
             for u in range(int(s["units"])):
-                base = poisson(rng, s["base_rate"], list(zip(edges[::2], edges[1::2])))
-                burst = poisson(rng, s["burst_rate"], [x for x in spans if rng.random() < s["recruitment"]])
+                base = poisson(s["base_rate"], list(zip(edges[::2], edges[1::2])))
+                burst = poisson(s["burst_rate"], [x for x in spans if rng.random() < s["recruitment"]])
                 out.append(pd.DataFrame({"well": s["well"], "unit_id": f"unit_{u:03d}", "t": np.sort(np.concatenate([base, burst]))}))
         return pd.concat(out)
 

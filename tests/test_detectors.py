@@ -1,16 +1,17 @@
 import numpy as np
 import pytest
+from cultures import culture
 
-from spikeloom.operators import detectors, intervals, models, synth
+from spikeloom.operators import detectors, intervals, models
 
-STRONG = {"well": "strong", "units": 20, "duration": 120.0, "centers": [15.25, 35.25, 55.25, 75.25, 95.25], "width": 0.5, "burst_rate": 100.0, "base_rate": 0.02, "recruitment": 1.0, "seed": 99}
-QUIET = {"well": "quiet", "units": 32, "duration": 60.0, "centers": [], "width": 0.5, "burst_rate": 0.0, "base_rate": 1.0, "recruitment": 0.0, "seed": 0}
-CASCADE = {"well": "cascade", "units": 18, "duration": 80.0, "centers": [10.0, 25.0, 40.0, 55.0, 70.0], "width": 0.5, "burst_rate": 60.0, "base_rate": 2.0, "recruitment": 0.9, "seed": 20260522}
+STRONG = {"well": "strong", "units": 24, "duration": 110.0, "centers": [12.5, 31.0, 50.5, 70.0, 91.5], "width": 0.5, "burst_rate": 90.0, "base_rate": 0.03, "recruitment": 1.0, "seed": 7}
+QUIET = {"well": "quiet", "units": 30, "duration": 50.0, "centers": [], "width": 0.5, "burst_rate": 0.0, "base_rate": 0.9, "recruitment": 0.0, "seed": 8}
+CASCADE = {"well": "cascade", "units": 16, "duration": 85.0, "centers": [9.0, 26.5, 43.0, 58.5, 74.0], "width": 0.5, "burst_rate": 65.0, "base_rate": 1.8, "recruitment": 0.9, "seed": 9}
 
 
 @pytest.fixture(scope="module")
 def cultures(spark):
-    spikes, truth = synth.culture(spark, [STRONG, QUIET, CASCADE])
+    spikes, truth = culture(spark, [STRONG, QUIET, CASCADE])
     return spikes.cache(), truth.cache()
 
 
@@ -38,9 +39,9 @@ def test_model_bursts_find_the_injected_ones(cultures):
 
 
 def test_fit_recovers_rates():
-    rng = np.random.default_rng(42)
+    rng = np.random.default_rng(12)
     n = rng.poisson(2 * 0.02, 4000)
-    for a, b in ((200, 300), (1200, 1340), (2500, 2620), (3500, 3600)):
+    for a, b in ((150, 260), (1100, 1230), (2300, 2440), (3300, 3410)):
         n[a:b] = rng.poisson(40 * 0.02, b - a)
     fit = models.fit_counts(n.astype(float), 0.02)
     assert fit["skipped"] is None and abs(fit["lambda_bg"] - 2) < 1 and abs(fit["lambda_burst"] - 40) < 20
