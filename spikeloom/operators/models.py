@@ -216,6 +216,17 @@ def background_normalised(rows: DataFrame, columns: list[str], rank: str, quanti
     return out.drop(*[f"_m_{c}" for c in columns], *[f"_s_{c}" for c in columns])
 
 
+def principal_axes(rows: DataFrame, column: str, k: int) -> tuple[DataFrame, list[float]]:
+    """`rows` with `axes`, their first k principal components, and the components' shares of the variance. column: arrays of numbers."""
+    from pyspark.ml.feature import PCA, StandardScaler
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    vectors = rows.withColumn("_v", array_to_vector(F.col(column).cast("array<double>")))
+    centred = StandardScaler(inputCol="_v", outputCol="_c", withMean=True, withStd=False).fit(vectors).transform(vectors)
+    model = PCA(k=k, inputCol="_c", outputCol="_p").fit(centred)
+    return model.transform(centred).withColumn("axes", vector_to_array("_p")).drop("_v", "_c", "_p"), [float(x) for x in model.explainedVariance.toArray()]
+
+
 def cluster_ranks(rows: DataFrame, label: str, value: str, by: list[str] | None = None) -> DataFrame:
     """(by, label, score, n, position): mean value of each cluster (label >= 0), the largest first, ties by label."""
     by = by or ["well"]

@@ -187,6 +187,12 @@ def trajectories(bins: DataFrame, activity: str, features: list[str], most_to_re
     return out.withColumn("picked", (F.col("label") != F.col("rest")) & (F.col("to_rest") < most_to_rest) & (F.col("amplitude") >= least_amplitude)).drop("_far", "spread")
 
 
+def label_mask(bins: DataFrame, burst: DataFrame) -> DataFrame:
+    """`bins` with `on`: whether their label is among the well's burst clusters. burst: (well, label)."""
+    chosen = burst.select("well", "label").distinct().withColumn("on", F.lit(True))
+    return bins.join(F.broadcast(chosen), ["well", "label"], "left").withColumn("on", F.coalesce("on", F.lit(False)))  # a few clusters a well
+
+
 def against_known(picks: DataFrame, known: DataFrame) -> DataFrame:
     """(well, hit, missed, false_pick): sorted labels that are both picked and really bursts, really but not picked, picked but junk. known: (well, real array, junk array)."""
     chosen = picks.groupBy("well").agg(F.collect_set(F.when(F.col("picked"), F.col("label"))).alias("p"))

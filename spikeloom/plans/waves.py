@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -17,24 +18,29 @@ class Registry:
         self.needs: dict[str, list[str]] = {}
         self.runs: dict[str, Callable[[DataFrame], DataFrame]] = {}
 
-    def add(self, name: str, needs: list[str], run: Callable[[DataFrame], DataFrame]) -> None:
+    def add(self, name: str, needs: list[str], run: Callable[..., DataFrame], defaults: dict | None = None, settings: dict | None = None) -> None:
+        """`run` gets the ready wells and, if the task has defaults, these with the settings over them; unknown settings are a ValueError."""
         if name in self.needs or any(n not in self.needs for n in needs):
             raise ValueError(f"{name}: already there, or needs an unknown task")
-        self.needs[name], self.runs[name] = needs, run
+        if unknown := sorted(set(settings or {}) - set(defaults or {})):
+            raise ValueError(f"{name}: unknown settings {unknown}")
+        both = {**(defaults or {}), **(settings or {})}
+        self.needs[name], self.runs[name] = needs, functools.partial(run, **both) if both else run
 
 
-def drain(status: DataFrame, registry: Registry, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def drain(status: DataFrame, registry: Registry, keep: Callable[[DataFrame], DataFrame], serial: bool = False) -> DataFrame:
     """Runs ready tasks until none is left; each well's task runs once at most. `keep` stores a status table and returns what it stored.
 
     A wave that leaves any of its tasks NOT_RUN is a RuntimeError, so the number of waves is at most that of the tasks. Errors go
-    into the column `error`.
+    into the column `error`. `serial` runs one task at a time, in the registry's order.
     """
     dag = catalog.dag(status.sparkSession, registry.needs)
     keys = ["recording_key", "well_id", "task"]
     status = status if "error" in status.columns else status.withColumn("error", F.lit(None).cast("string"))
     while True:
         todo = catalog.ready(status, dag)
-        names = [r.task for r in todo.select("task").distinct().collect() if r.task in registry.runs]  # at most the number of tasks
+        found = {r.task for r in todo.select("task").distinct().collect()}  # at most the number of tasks
+        names = [n for n in registry.runs if n in found][: 1 if serial else None]
         if not names:
             break
         done = None

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -288,13 +288,8 @@ def dotted_path(spark, d):
 @register()
 def pca_axes(spark, d):
     """Share of variance of the first two principal axes of centred embeddings, and each row's place along them."""
-    from pyspark.ml.feature import PCA, StandardScaler
-
-    rows = table(spark, d, "embeddings").select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
-    centred = StandardScaler(inputCol="v", outputCol="c", withMean=True, withStd=False).fit(rows).transform(rows)
-    model = PCA(k=2, inputCol="c", outputCol="p").fit(centred)
-    share = [float(x) for x in model.explainedVariance.toArray()]
-    return model.transform(centred).select("vec_id", *[vector_to_array("p")[k].alias(f"pc{k + 1}") for k in range(2)], *[F.lit(x).alias(f"share{k + 1}") for k, x in enumerate(share)])
+    rows, share = models.principal_axes(table(spark, d, "embeddings"), "embedding", 2)
+    return rows.select("vec_id", *[F.col("axes")[k].alias(f"pc{k + 1}") for k in range(2)], *[F.lit(x).alias(f"share{k + 1}") for k, x in enumerate(share)])
 
 
 @register("SELECT l_shipdate::DATE AS day, count(*) AS n, round(sum(count(*)) OVER (ORDER BY l_shipdate::DATE) / (SELECT count(*) FROM lineitem), 9) AS cumulative FROM lineitem GROUP BY 1")

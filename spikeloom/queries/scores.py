@@ -194,6 +194,12 @@ def method_stats(spark, d):
     return out.select("well", "n_burst", F.round("recall_hi", 9).alias("recall_hi"), F.round("fp_resting", 9).alias("fp_resting"), "n_clusters", "runs")
 
 
+@register(with_sql(*_BINS, _RANKED) + "SELECT b.well, b.bin, coalesce(score > 0.02, false) AS on_burst FROM bins b LEFT JOIN rk USING (well, label)")
+def burst_label_mask(spark, d):
+    b = _bins(spark, d)
+    return scoring.label_mask(b, models.cluster_ranks(b, "label", "rank").where("score > 0.02")).select("well", "bin", F.col("on").alias("on_burst"))
+
+
 _TRIPS = [
     *_BINS, _RANKED,
     "rest AS (SELECT well, arg_min(label, (score, label)) AS rest FROM rk GROUP BY well)",

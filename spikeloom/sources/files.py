@@ -68,6 +68,19 @@ def npy_values(content: Column) -> Column:
     return F.pandas_udf(parsed, "array<double>")(content)
 
 
+def read_curated(spark: SparkSession, root: str) -> DataFrame:
+    """(well, unit_id, t in seconds) of .npz files of spike times by unit, the file's folder being the well; times that aren't finite or are negative are left out."""
+    cell = "array<struct<unit_id:string,times:array<double>>>"
+
+    def parsed(contents: pd.Series) -> pd.Series:
+        return pd.Series([[{"unit_id": k, "times": np.asarray(v, float).ravel()} for k, v in np.load(io.BytesIO(x), allow_pickle=False).items()] for x in contents])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.npz").load(root)
+    units = files.select(F.regexp_replace("path", "/[^/]*$", "").alias("well"), F.explode(F.pandas_udf(parsed, cell)("content")).alias("u"))
+    t = F.nanvl("t", F.lit(None))
+    return units.select("well", "u.unit_id", F.explode("u.times").alias("t")).where((t >= 0) & (t < float("inf")))
+
+
 def read_sorted_folder(spark: SparkSession, root: str, keep: tuple[str, ...] = ("good",)) -> DataFrame:
     """(well, unit_id, t in seconds) of folders with spike_times.npy, spike_clusters.npy, params.py and cluster label tables.
 

@@ -240,3 +240,32 @@ def test_late_rows_are_dropped(spark, tmp_path):
     incremental.new_files(spark, "t timestamp, k string", str(tmp_path / "in"), str(tmp_path / "state"), lambda batch, _: seen.append(batch.count()))
     incremental.new_files(spark, "t timestamp, k string", str(tmp_path / "in"), str(tmp_path / "state"), lambda batch, _: seen.append(batch.count()))
     assert sum(seen) == 5
+
+
+def test_tasks_with_settings_run_serially(spark):
+    registry, seen = waves.Registry(), []
+    run = lambda ready, word: (seen.append(word), ready.select("recording_key", "well_id").withColumn("status", F.lit("COMPLETE")))[1]
+    registry.add("a", [], run, {"word": "x"})
+    registry.add("b", [], run, {"word": "x"}, {"word": "y"})
+    with pytest.raises(ValueError):
+        registry.add("c", [], run, {"word": "x"}, {"other": 1})
+    status = spark.createDataFrame([("r", "w", t, "NOT_RUN") for t in "ab"], "recording_key string, well_id string, task string, status string")
+    done = waves.drain(status, registry, lambda df: spark.createDataFrame(df.collect(), df.schema), serial=True)
+    assert seen == ["x", "y"] and {r.status for r in done.collect()} == {"COMPLETE"}
+
+
+def test_curated_files_and_tables(spark, tmp_path):
+    (tmp_path / "w1").mkdir()
+    np.savez(tmp_path / "w1" / "curated.npz", u1=np.array([2.0, -1.0, np.nan, 1.0]), u2=np.array([]))
+    assert sorted((r.unit_id, r.t) for r in files.read_curated(spark, str(tmp_path / "w1")).collect()) == [("u1", 1.0), ("u1", 2.0)]
+    stores.write_tables({"a": spark.range(2), "b": spark.range(3)}, str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out" / "b")).count() == 3
+
+
+def test_mixture_typing(spark):
+    r = np.random.default_rng(4)
+    rows = [("w", float(k), k + 0.5, float(v), float(u)) for k, (v, u) in enumerate(np.concatenate([r.normal(0, 0.1, (20, 2)), r.normal(5, 0.1, (20, 2))]))]
+    events = spark.createDataFrame(rows, "well string, start double, end double, x double, y double")
+    for method in ("kmeans", "mixture"):
+        got = models.burst_types(events, ["x", "y"], method=method, max_k=3).toPandas().sort_values("start")
+        assert got.burst_type[:20].nunique() == 1 and got.burst_type.iloc[0] != got.burst_type.iloc[-1] or method == "mixture" and got.k.iloc[0] >= 2
