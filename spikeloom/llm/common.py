@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,6 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spikeloom.functions.lineage import shared_root
+from spikeloom.functions.lineage import stored as cut
+
+__all__ = ["cut", "shared_root"]
 U64 = np.uint64
 #: Bytes of text that a Python worker takes up at a time; a longer text is taken up alone.
 PORTION = 2 << 20
@@ -24,20 +27,6 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-_local: dict[str, str] = {}
-
-
-def shared_root(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where that is unset, a temporary folder if driver and executors are one local process."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        root = _local.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="spark-")
-        _local[spark.sparkContext.applicationId] = root
-    return root
-
-
 def shared_folder(spark: SparkSession, name: str) -> str:
     """The name of a new folder that driver and executors share."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
@@ -55,14 +44,6 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write `df` to the cluster's checkpoint folder and read it from there; any executor may be lost afterwards."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(df.sparkSession))
-    return df.checkpoint(eager=True)
-
-
 def portions(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = PORTION) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about `most` bytes of a string or binary column, without copies; at least a row each."""
     for batch in batches:
