@@ -41,7 +41,7 @@ _RECURSIVE = "WITH RECURSIVE "
 
 
 def _small(spark, d, scale: float = 1.0):
-    cut = lambda df: df.select("well", (F.col("start") / scale).alias("start"), (F.col("end") / scale).alias("end")).distinct()
+    cut = lambda df: stored(df.select("well", (F.col("start") / scale).alias("start"), (F.col("end") / scale).alias("end")).distinct())
     return cut(_iv(spark, d, 0, 3000)), cut(_iv(spark, d, 1, 5000))
 
 
