@@ -18,7 +18,7 @@ from spikeloom.sources import files, metadata, stores
 from spikeloom.streaming import incremental
 
 DATA = "/root/testdata/sf0.001"
-QUICK = sorted(set(queries.ORACLES) - {"gaussian_rate", "morph_closing", "local_reference", "common_reference", "corr_matrix", "stream_late_counts"})[::3] + ["valley_merge", "peak_find", "greedy_match", "event_scores", "well_metadata", "status_log", "catalog_append", "ready_topn", "trajectory_stats"]
+QUICK = sorted(set(queries.ORACLES) - {"gaussian_rate", "morph_closing", "local_reference", "common_reference", "corr_matrix", "stream_late_counts"})[::6] + ["valley_merge", "peak_find", "greedy_match", "event_scores", "well_metadata", "status_log", "catalog_append", "ready_topn", "trajectory_stats"]
 
 
 def value(v):
