@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import arc, chat, decontaminate, exact_dedup, language_id, near_dedup, pieces, pii, suffix_dedup, toxicity
+from . import arc, chat, decontaminate, exact_dedup, fingerprint, language_id, near_dedup, pieces, pii, suffix_dedup, toxicity
 from .common import table
 
 
@@ -46,5 +46,9 @@ def op10_language_id(spark, sf_dir):
     return language_id.predict_languages(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_suffix_dedup, op3_toxicity, op4_arc_to_warc, op5_near_dedup, op6_decontaminate, op7_exact_dedup, op8_sentencepiece, op9_chat_format, op10_language_id)}
-ORACLES = {"op7_exact_dedup": exact_dedup.ORACLE_SQL, "op9_chat_format": chat.ORACLE_SQL}
+def op13_fingerprint(spark, sf_dir):
+    return fingerprint.edited_and_next(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_suffix_dedup, op3_toxicity, op4_arc_to_warc, op5_near_dedup, op6_decontaminate, op7_exact_dedup, op8_sentencepiece, op9_chat_format, op10_language_id, op13_fingerprint)}
+ORACLES = {"op7_exact_dedup": exact_dedup.ORACLE_SQL, "op9_chat_format": chat.ORACLE_SQL, "op13_fingerprint": fingerprint.ORACLE_SQL}
