@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import arc, chat, decontaminate, exact_dedup, fingerprint, language_id, near_dedup, negatives, pieces, pii, suffix_dedup, toxicity
+from . import alignment, arc, chat, decontaminate, exact_dedup, fingerprint, language_id, near_dedup, negatives, pieces, pii, suffix_dedup, toxicity
 from .common import table
 
 
@@ -46,6 +46,10 @@ def op10_language_id(spark, sf_dir):
     return language_id.predict_languages(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark, sf_dir):
+    return alignment.links(table(spark, sf_dir, "documents"))
+
+
 def op12_hard_negatives(spark, sf_dir):
     return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
 
@@ -54,5 +58,5 @@ def op13_fingerprint(spark, sf_dir):
     return fingerprint.edited_and_next(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_suffix_dedup, op3_toxicity, op4_arc_to_warc, op5_near_dedup, op6_decontaminate, op7_exact_dedup, op8_sentencepiece, op9_chat_format, op10_language_id, op12_hard_negatives, op13_fingerprint)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_suffix_dedup, op3_toxicity, op4_arc_to_warc, op5_near_dedup, op6_decontaminate, op7_exact_dedup, op8_sentencepiece, op9_chat_format, op10_language_id, op11_token_alignment, op12_hard_negatives, op13_fingerprint)}
 ORACLES = {"op7_exact_dedup": exact_dedup.ORACLE_SQL, "op9_chat_format": chat.ORACLE_SQL, "op12_hard_negatives": negatives.ORACLE_SQL, "op13_fingerprint": fingerprint.ORACLE_SQL}
