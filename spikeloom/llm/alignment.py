@@ -312,7 +312,7 @@ def _by_join(rows: DataFrame, counts: DataFrame) -> DataFrame:
     """The same by a join; a pair that many rows hold is met by them in several partitions."""
     salts = 16
     each = rows.select("row", F.explode(F.arrays_zip("codes", "times")).alias("x")).select("row", F.col("x.codes").cast("long").alias("code"), F.col("x.times").alias("t"), F.pmod(F.xxhash64("row"), F.lit(salts)).alias("salt"))
-    spread = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    spread = counts.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     sums = each.join(spread, ["code", "salt"]).groupBy("row").agg(F.sum(F.when(F.col("best"), F.col("t")).otherwise(0)).alias("n_best"), F.sum(F.col("t") * F.col("n")).alias("count_sum"))
     whole = rows.select("row", *FIRST, "groups_sha256").join(sums, "row", "left")
     return whole.select(*FIRST, *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_best", "count_sum")), "groups_sha256")
