@@ -9,14 +9,14 @@ independent samples.
 1. Documents with equal sets are folded into one class, which has a number of its own and the smallest id of its documents.
 2. Classes that share a band of 4 coordinates meet in a bucket. A bucket's task compares whole sketches (a byte for
    each coordinate), and links those that agree well enough for J >= 0.75 breadth-first, so it returns no more edges
-   than it has members. Buckets with the same members are looked at once. A bucket of more than BUCKET members is linked
-   to its smallest one without a look, which makes regions larger, never smaller.
-3. Connected components of these edges are the regions within which any link can lie; inside each, full sets are compared
-   breadth-first from one document at a time against all that aren't reached yet, which finds every link between
-   components without making all pairs.
+   than it has members. Buckets with the same members (by count, ends and 128 bits of their ids) are looked at once. A bucket of more than
+   BUCKET members is linked to its smallest one without a look, which makes regions larger, never smaller.
+3. Connected components of these edges are the regions within which any link can lie. Inside each, full sets are compared if they share
+   one of their rarest shingles, which all that link do (`_Joiner`), and only until their components meet. So neither unlike texts
+   with common shingles nor copies cost pairs; what does is texts that share rare shingles and yet don't link.
 4. A region of more than BLOCK shingles is dealt over blocks by id. Each block is joined as in step 3, then the blocks'
-   heads are dealt and joined again while that leaves fewer of them. What is still apart is compared in pairs of blocks,
-   without the pairs that can't link: those within one large component, and those of too unlike sizes.
+   heads are dealt and joined again while that leaves fewer of them. What is still apart meets by its rarest shingles in the whole
+   region (`_postings`), in cells of about BLOCK shingles.
 
 With J = 0.75 a pair shares no band with probability (1 - 0.75**4)**32 < 6e-6, and falls below the sketch threshold with
 less. Null, empty and blank texts have an empty set and link with nothing. Texts of any length are taken whole, in pieces.
@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U64, components, cut, mixed, portions, powers, prefix_hash, utf8, width
+from .common import U64, components, cut, mixed, portions, powers, prefix_hash, texts_of, utf8, width
 
 WORDS, PERCENT = 5, 75
 COORDINATES, ROWS = 128, 4
@@ -43,7 +43,7 @@ COORDINATES, ROWS = 128, 4
 SKETCH_SHARE = 0.55
 PIECE = 1 << 22
 #: The shingles in a block of a large region, and the documents of a bucket that one task compares.
-BLOCK, BUCKET = 1 << 20, 1 << 16
+BLOCK, BUCKET = 1 << 20, 1 << 8
 _BLANK = re.compile(rb"[ \t-\r]")
 _SEEDS = mixed(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * U64(0xD1342543DE82EF95))
 _LOW = U64((1 << 48) - 1)
@@ -155,22 +155,85 @@ def _bucket(group: pa.Table) -> pa.Table:
     return pa.table({"a": ids[region[far]], "b": ids[far]})
 
 
-def _nearness(sets: list[np.ndarray]):
-    """A function from one of the sets and an array of others to which of those it links with."""
-    size = np.array([len(x) for x in sets])
-    _, element = np.unique(np.concatenate(sets), return_inverse=True)
-    start, mark, flat = np.cumsum(size) - size, np.zeros(element.max() + 1, bool), [None, None]
-
-    def near(at: int, rest: np.ndarray) -> np.ndarray:
-        if flat[0] is not rest:  # the elements of those not reached yet
-            flat[:] = rest, np.concatenate([element[start[k] : start[k] + size[k]] for k in rest])
-        own = element[start[at] : start[at] + size[at]]
-        mark[own] = True
-        common = np.add.reduceat(mark[flat[1]].astype(np.int64), np.cumsum(size[rest]) - size[rest])
-        mark[own] = False
-        return 100 * common >= PERCENT * (size[rest] + size[at] - common)
-
-    return near
+class _Joiner:
+    """Exact links among some sets, found by a prefix filter; sets with equal labels are joined from the start.
+
+    Elements are ordered by rarity. Two sets that link share PERCENT of the larger one, so they share one of the first
+    n - ceil(n * PERCENT / 100) + 1 elements of each; sets are compared only if they do, and only until their components meet.
+    """
+
+    def __init__(self, sets: list[np.ndarray], label: np.ndarray):
+        self.size = np.array([len(x) for x in sets], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        _, self.element, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        self.mark = np.zeros(len(count), bool)
+        _, first, same = np.unique(label, return_index=True, return_inverse=True)
+        self.parent, self.links = first[same], []
+        self.weight = np.bincount(self.parent, minlength=len(sets))
+        owner = np.repeat(np.arange(len(sets)), self.size)
+        order = np.lexsort((self.element, count[self.element], owner))
+        early = np.arange(len(owner)) - self.start[owner] <= (self.size + -PERCENT * self.size // 100)[owner]
+        kept = order[early & (count[self.element[order]] > 1)]
+        kept = kept[np.argsort(self.element[kept], kind="stable")]
+        self.owner, of = owner[kept], self.element[kept]
+        cuts = np.concatenate([[0], np.flatnonzero(of[1:] != of[:-1]) + 1, [len(of)]]) if len(of) else np.zeros(1, np.int64)
+        self.postings = [(a, b) for a, b in zip(cuts.tolist(), cuts[1:].tolist()) if b - a > 1]
+
+    def roots(self, some: np.ndarray) -> np.ndarray:
+        at = self.parent[some]
+        while True:
+            up = self.parent[at]
+            if np.array_equal(up, at):
+                self.parent[some] = at
+                return at
+            at = up
+
+    def union(self, a: int, others: np.ndarray) -> None:
+        for b in others.tolist():
+            x, y = self.roots(np.array([a, b])).tolist()
+            if x != y:
+                x, y = (x, y) if self.weight[x] >= self.weight[y] else (y, x)
+                self.parent[y] = x
+                self.weight[x] += self.weight[y]
+                self.links.append((a, b))
+
+    def near(self, at: int, rest: np.ndarray) -> np.ndarray:
+        """Those of `rest` that link with a set."""
+        n = self.size[rest]
+        rest = rest[100 * np.minimum(n, self.size[at]) >= PERCENT * np.maximum(n, self.size[at])]
+        if not len(rest):
+            return rest
+        n = self.size[rest]
+        begin = np.cumsum(n) - n
+        own = self.element[self.start[at] : self.start[at] + self.size[at]]
+        self.mark[own] = True
+        common = np.add.reduceat(self.mark[self.element[np.repeat(self.start[rest] - begin, n) + np.arange(n.sum())]].astype(np.int64), begin)
+        self.mark[own] = False
+        return rest[100 * common >= PERCENT * (n + self.size[at] - common)]
+
+    def run(self) -> list[tuple[int, int]]:
+        """A link for each pair of components that one joins."""
+        for low, high in sorted(self.postings, key=lambda x: x[0] - x[1]):  # many sets at once, where there are many
+            if high - low > 8:
+                own = self.owner[low:high]
+                root = self.roots(own)
+                if (root != root[0]).any():
+                    self.union(int(own[0]), self.near(int(own[0]), own[root != root[0]]))
+        asks: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for low, high in self.postings:  # sets outside a posting's largest component look at those inside, and at later ones outside
+            own = self.owner[low:high]
+            root = self.roots(own)
+            if (root != root[0]).any():
+                names, n = np.unique(root, return_counts=True)
+                inside = root == names[n.argmax()]
+                for x in own[~inside].tolist():
+                    asks.setdefault(x, []).append((own, inside))
+        for x, where in asks.items():
+            rest, step = np.unique(np.concatenate([own[inside | (own > x)] for own, inside in where])), 16
+            while len(rest := rest[self.roots(rest) != self.roots(np.array([x]))[0]]):
+                self.union(x, self.near(x, rest[:step]))
+                rest, step = rest[step:], 2 * step
+        return self.links
 
 
 def _verified(group: pa.Table) -> pa.Table:
@@ -179,32 +242,18 @@ def _verified(group: pa.Table) -> pa.Table:
     order, cuts = _split(regions, ids)
     ids, every, out = ids[order], group["elements"], []
     for low, high in zip(cuts, cuts[1:]):
-        sets = [np.frombuffer(every[int(k)].as_py(), np.uint64) for k in order[low:high]]
-        out.append(ids[low + _regions(high - low, _nearness(sets))])
+        joiner = _Joiner([np.frombuffer(every[int(k)].as_py(), np.uint64) for k in order[low:high]], np.arange(high - low))
+        joiner.run()
+        _, first, same = np.unique(joiner.roots(np.arange(high - low)), return_index=True, return_inverse=True)
+        out.append(ids[low + first[same]])
     return pa.table({"id": ids, "component": np.concatenate(out)})
 
 
 def _across(group: pa.Table) -> pa.Table:
-    """Exact links between the two blocks of a pair (or within one) that join different components."""
-    order = np.argsort(np.array(group["id"], np.int64), kind="stable")
-    ids, label, side = (np.array(group[c], np.int64)[order] for c in ("id", "label", "side"))
-    every = group["elements"]
-    near, low, rest = _nearness([np.frombuffer(every[int(k)].as_py(), np.uint64) for k in order]), side == side.min(), {}
-    a, b, high = [], [], side == side.max()
-    for at in np.flatnonzero(low):
-        while True:
-            if label[at] not in rest:
-                rest[label[at]] = np.flatnonzero(high & (label != label[at]))
-            others = rest[label[at]]
-            hit = others[near(at, others)] if len(others) else others
-            for joined in np.unique(label[hit]):
-                a.append(ids[at])
-                b.append(ids[hit[label[hit] == joined][0]])
-            if not len(hit):
-                break
-            label[np.isin(label, label[hit])] = label[at]
-            rest = {}
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    """Exact links between members of two blocks (or of one) that join different components."""
+    ids, label = np.array(group["id"], np.int64), np.array(group["label"], np.int64)
+    links = _Joiner([np.frombuffer(x.as_py(), np.uint64) for x in group["elements"]], label).run()
+    return pa.table({"a": ids[[a for a, _ in links]].astype(np.int64), "b": ids[[b for _, b in links]].astype(np.int64)}) if links else pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
 
 
 def _dealt(members: DataFrame, by: list[str], turn: int = 0) -> DataFrame:
@@ -213,6 +262,46 @@ def _dealt(members: DataFrame, by: list[str], turn: int = 0) -> DataFrame:
     return members.join(n, by).withColumn("block", F.xxhash64(*by, F.pmod(F.xxhash64("id", F.lit(turn)), "blocks"))).drop("blocks")
 
 
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each element of each set."""
+    for batch in portions(batches, "elements"):
+        flat, ends = texts_of(batch["elements"])
+        n = np.diff(ends) // 8
+        which = np.repeat(np.arange(len(batch)), n)
+        names = ["region", "id", "label", "size"]
+        yield pa.RecordBatch.from_arrays([*(batch[c].take(pa.array(which)) for c in names), pa.array(flat[ends[0] : ends[-1]].view(np.int64))], names=[*names, "element"])
+
+
+def _postings(sets: DataFrame, members: DataFrame) -> DataFrame:
+    """Links (a, b) between members (region, id, size, label) of different labels, by the prefix filter of `_Joiner` over whole regions.
+
+    Members of different labels that share one of their rarest elements meet, and no others. The postings of many elements make a cell of about
+    BLOCK shingles; one of more than BLOCK is dealt over blocks, which meet in pairs, but for those that hold the same label alone.
+    """
+    each = sets.select("id", "elements").join(members, "id").select("region", "id", "label", "size", "elements").mapInArrow(_elements, "region long, id long, label long, size long, element long")
+    counts = each.groupBy("region", "element").agg(F.count("*").alias("c"))
+    ranked = each.join(counts, ["region", "element"]).groupBy("region", "id", "label", "size").agg(F.sort_array(F.collect_list(F.struct("c", "element"))).alias("x"))  # a document's own elements
+    early = F.slice("x", F.lit(1), (F.col("size") - F.ceil(F.col("size") * PERCENT / 100) + 1).cast("int"))
+    prefix = ranked.select("region", "id", "label", "size", F.explode(early).alias("x")).where("x.c > 1").select("region", "id", "label", "size", "x.element")
+    prefix = cut(prefix)
+    shared = prefix.groupBy("region", "element").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.sum("size").alias("total")).where("low <> high").select("region", "element", (F.col("total") > BLOCK).alias("hot"))
+    kept = cut(prefix.join(shared, ["region", "element"]))
+    cells = max(1, -(-(kept.where("NOT hot").agg(F.sum("size")).first()[0] or 0) // BLOCK))
+    usual = kept.where("NOT hot").select(F.pmod(F.xxhash64("region", "element"), F.lit(cells)).alias("block"), "id").distinct()
+    found = sets.select("id", "elements").join(usual, "id").groupBy("block").applyInArrow(_verified, "id long, component long").select(F.col("component").alias("a"), F.col("id").alias("b")).where("a <> b")
+    hot = kept.where("hot")
+    if hot.isEmpty():
+        return found
+    places = cut(_dealt(hot, ["region", "element"]))
+    blocks = places.groupBy("region", "element", "block").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    x, y = blocks.alias("x"), blocks.alias("y")
+    alike = (F.col("x.low") == F.col("x.high")) & (F.col("y.low") == F.col("y.high")) & (F.col("x.low") == F.col("y.low"))
+    pairs = x.join(y, (F.col("x.region") == F.col("y.region")) & (F.col("x.element") == F.col("y.element")) & (F.col("x.block") <= F.col("y.block")) & ~alike).select(F.col("x.block").alias("low"), F.col("y.block").alias("high"))
+    sides = pairs.select("low", "high", F.explode(F.array_distinct(F.array("low", "high"))).alias("block"))
+    shown = places.select("id", "label", "block").join(sides, "block").join(sets.select("id", "elements"), "id")
+    return found.unionByName(shown.select("low", "high", "id", "label", "elements").groupBy("low", "high").applyInArrow(_across, "a long, b long"))
+
+
 def _large(sets: DataFrame, first: DataFrame) -> DataFrame:
     """id, component of the members of large regions, from their sets (region, id, size, elements) and their blocks' components."""
     own = sets.select("region", "id", "size")
@@ -227,17 +316,7 @@ def _large(sets: DataFrame, first: DataFrame) -> DataFrame:
     named = components(links.toDF("b", "a")).toDF("id", "label")
     own = cut(own.join(named, "id", "left").select("region", "id", "size", F.coalesce("label", "id").alias("label")))
     apart = own.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("region")
-    total = own.groupBy("region", "label").agg((F.sum("size") > BLOCK).alias("big"))
-    kind = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100 / PERCENT))).alias("kind")  # sets of kinds more than one apart can't link
-    parts = own.join(apart, "region", "left_semi").join(total, ["region", "label"]).select("region", "id", "size", "label", kind, "big", F.when(F.col("big"), F.col("label")).otherwise(0).alias("part"))
-    places = cut(_dealt(parts, ["region", "big", "part", "kind"]))
-    blocks = places.select("region", "block", "big", "part", "kind").distinct()
-    x, y = blocks.alias("x"), blocks.alias("y")
-    both = (F.col("x.region") == F.col("y.region")) & (F.abs(F.col("x.kind") - F.col("y.kind")) <= 1) & (F.col("x.block") <= F.col("y.block"))
-    pairs = x.join(y, both & ~(F.col("x.big") & F.col("y.big") & (F.col("x.part") == F.col("y.part")))).select(F.col("x.block").alias("low"), F.col("y.block").alias("high"))
-    sides = pairs.select("low", "high", F.col("low").alias("block"), F.lit(0).cast("long").alias("side")).unionByName(pairs.where("low <> high").select("low", "high", F.col("high").alias("block"), F.lit(1).cast("long").alias("side")))
-    shown = places.select("id", "label", "block").join(sides, "block").join(sets.select("id", "elements"), "id")
-    crossing = shown.select("low", "high", "id", "label", "side", "elements").groupBy("low", "high").applyInArrow(_across, "a long, b long")
+    crossing = _postings(sets, own.join(apart, "region", "left_semi"))
     final = components(links.toDF("b", "a").unionByName(crossing)).toDF("id", "component")
     return own.select("id").join(final, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
@@ -268,8 +347,8 @@ def _grouped(rows: DataFrame) -> DataFrame:
     classes = cut(folded.withColumn("id", F.monotonically_increasing_id()))  # fixed by being stored
 
     marked = classes.select("id", F.explode("bands").alias("band"))
-    buckets = marked.groupBy("band").agg(F.count("*").alias("m"), F.sum(F.xxhash64("id") % 1_000_000_007).alias("s"), F.min("id").alias("low"), F.max("id").alias("high")).where("m > 1")
-    distinct = buckets.groupBy("m", "s", "low", "high").agg(F.min("band").alias("band")).select("band", "m", "low")
+    buckets = marked.groupBy("band").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("id")).alias("s"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("s1"), F.min("id").alias("low"), F.max("id").alias("high")).where("m > 1")
+    distinct = buckets.groupBy("m", "s", "s1", "low", "high").agg(F.min("band").alias("band")).select("band", "m", "low")
     found = marked.join(distinct, "band")
     members = found.where(F.col("m") <= BUCKET).select("id", "band").join(classes.select("id", "n", "code"), "id")
     stars = found.where(F.col("m") > BUCKET).select(F.col("low").alias("a"), F.col("id").alias("b"))
