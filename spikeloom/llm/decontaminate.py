@@ -6,14 +6,15 @@ WINDOW - Q + 1 - Q * e of its q-grams there, and their diagonals (document minus
 some band of diagonals 2(e + 1) wide, of bands that overlap by half, holds them all. Windows that reach this count in a
 band are verified by banded alignment, which gives the exact number of edits up to the budget.
 
-A long text is searched in blocks of PIECE characters that overlap; blocks that repeat are searched once, and so are candidates whose
-characters repeat, so repetitive texts cost no more than others. Hits are taken up HITS at a time.
+Windows of equal content are one window of the index, and a long text is searched in pieces of PIECE characters that overlap. A piece
+with more than MANY hits is searched in segments of SEGMENT characters, those of equal content once; so repetitive texts and items cost what
+their different parts cost. Hits are taken up HITS at a time.
 
 The result has a row for each document and item with at least one window within its budget: `windows` counts these, `edits` is the
-smallest number. It equals a search for every window by brute force. Null and empty texts match nothing; items below Q
+smallest number. Both are of the item's distinct windows and the document's rows together, however many blocks there are. It equals a search for every window by brute force. Null and empty texts match nothing; items below Q
 characters are too short to search for. Items with equal ids are one item, rows with equal doc_id one document; rows with a null
-doc_id are searched as one document without an id, and `keep_clean` looks at each row's text alone. The benchmark goes to all executors in blocks of at most
-BLOCK characters, so its size is bounded by a parameter however long it is. Other columns are ignored, or passed through.
+doc_id are searched as one document without an id, and `keep_clean` looks at each row's text alone. The benchmark goes to all executors in blocks of about
+BLOCK characters, dealt by item_id (an item that is longer is a block by itself). Other columns are ignored, or passed through.
 """
 
 from __future__ import annotations
@@ -30,9 +31,10 @@ from pyspark.sql import functions as F
 from .common import U64, mixed, portions, powers
 
 WINDOW, STEP, EDITS, Q = 64, 8, 6, 8
-BLOCK = 2_000_000
-PIECE = 1 << 13
-HITS = 1 << 22
+BLOCK = 500_000
+PIECE, SEGMENT = 1 << 13, 256
+#: Hits taken up at a time, and those of a piece from which on it is searched by segments.
+HITS, MANY = 1 << 22, 1 << 17
 _FILTER_BITS = 22
 
 
@@ -51,81 +53,66 @@ def qgrams(points: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """The q-grams and windows of a block of items."""
+    """The windows of a block of items, each content once, and their q-grams."""
 
     def __init__(self, items: list[tuple[int, str]]):
+        texts, starts, sizes, owner, at = [normal(t) for _, t in items], [], [], [], 0
         self.names = [i for i, _ in items]
-        texts = [normal(t) for _, t in items]
-        starts, sizes, budgets, owner, grams, places, at = [], [], [], [], [], [], 0
+        self.points = np.full(sum(len(p) + WINDOW for p in texts) + WINDOW, 0xFFFFFFFF, np.uint32)
         for k, p in enumerate(texts):
             if len(p) >= Q:
                 size = min(WINDOW, len(p))
                 own = sorted({*range(0, len(p) - size + 1, STEP), len(p) - size})
                 starts += [at + s for s in own]
                 sizes += [size] * len(own)
-                budgets += [min(EDITS * size // WINDOW, (size - Q) // Q)] * len(own)
                 owner += [k] * len(own)
-                grams.append(qgrams(p))
-                places.append(at + np.arange(len(grams[-1])))
-            at += len(p) + 4 * WINDOW  # diagonals of different items stay apart from each other's bands
-        self.points = np.full(at + WINDOW, 0xFFFFFFFF, np.uint32)
-        at = 0
-        for p in texts:
             self.points[at : at + len(p)] = p
-            at += len(p) + 4 * WINDOW
-        self.starts, self.sizes, self.budgets, self.owner = (np.array(x, np.int64) for x in (starts, sizes, budgets, owner))
-        grams, places = np.concatenate([*grams, np.empty(0, np.uint64)]), np.concatenate([*places, np.empty(0, np.int64)])
+            at += len(p) + WINDOW
+        starts, sizes, self.owner = (np.array(x, np.int64) for x in (starts, sizes, owner))
+        # a content's windows: those of `members` from first to last of its number
+        whole = np.where(np.arange(WINDOW) < sizes[:, None], self.points[starts[:, None] + np.arange(WINDOW)], np.uint32(0xFFFFFFFE))
+        _, first, same = np.unique(np.ascontiguousarray(whole).view(f"V{4 * WINDOW}").ravel(), return_index=True, return_inverse=True) if len(starts) else (None, *[np.zeros(0, np.int64)] * 2)
+        self.members, self.ends = np.argsort(same, kind="stable"), np.cumsum(np.bincount(same, minlength=len(first)))
+        self.starts, self.sizes = starts[first], sizes[first]
+        self.budgets = np.minimum(EDITS * self.sizes // WINDOW, (self.sizes - Q) // Q)
+        self.least = self.sizes - Q + 1 - Q * self.budgets
+        place = np.arange(WINDOW - Q + 1)
+        window, place = np.nonzero(place < (self.sizes - Q + 1)[:, None])
+        grams = qgrams(self.points)[self.starts[window] + place] if len(window) else np.zeros(0, np.uint64)
         order = np.argsort(grams, kind="stable")
-        grams, self.places = grams[order], places[order]
-        self.grams, self.first = np.unique(grams, return_index=True)
-        self.count = np.diff(np.append(self.first, len(grams)))
+        self.window, self.place = window[order].astype(np.int32), place[order].astype(np.int32)
+        self.grams, self.first, self.count = np.unique(grams[order], return_index=True, return_counts=True)
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         self.filter[(self.grams >> U64(64 - _FILTER_BITS)).astype(np.int64)] = True
 
-    def candidates(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, first diagonal of a band) pairs that reach the window's count."""
-        none = np.empty(0, np.int64), np.empty(0, np.int64)
+    def hits(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places of a text's q-grams that windows have, and the numbers of these q-grams."""
         h = qgrams(points)
         at = np.flatnonzero(self.filter[(h >> U64(64 - _FILTER_BITS)).astype(np.int64)])
         if not len(at) or not len(self.grams):
-            return none
+            return np.empty(0, np.int64), np.empty(0, np.int64)
         k = np.minimum(np.searchsorted(self.grams, h[at]), len(self.grams) - 1)
         real = self.grams[k] == h[at]
-        at, k = at[real], k[real]
-        if not len(at):
-            return none
-        half, n, hits = EDITS + 1, self.count[k], []
-        upto = np.cumsum(n)
-        cuts = np.unique(np.searchsorted(upto, np.arange(HITS, upto[-1] + HITS, HITS), "right"))
-        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(k)]):  # distinct (band, place) of some hits at a time
+        return at[real], k[real]
+
+    def candidates(self, at: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(window, first diagonal of a band) pairs that reach the window's count, from what `hits` returns."""
+        half, n = EDITS + 1, self.count[k]
+        upto, found = np.cumsum(n), [np.empty(0, np.int64)]
+        wide = int(at[-1]) // half + 2 * WINDOW if len(at) else 1  # bands of a window
+        cuts = np.unique(np.searchsorted(upto, np.arange(HITS, upto[-1] + HITS, HITS), "right")).tolist() if len(at) else []
+        for low, high in zip([0, *cuts], [*cuts, len(k)]):  # distinct (window, band, place) of some hits at a time
             if low < high:
                 m, own = n[low:high], k[low:high]
-                place = self.places[np.repeat(self.first[own] - (np.cumsum(m) - m), m) + np.arange(m.sum())]
-                band = (np.repeat(at[low:high], m) - place) // half
-                hits.append(np.unique(np.concatenate([band, band - 1]) * len(self.points) + np.concatenate([place, place])))
-        hits = np.unique(np.concatenate(hits)) if len(hits) > 1 else hits[0]
-        band = np.floor_divide(hits, len(self.points))
-        place = hits - band * len(self.points)
-        # a band's hits by place: windows are looked up only where the least count of hits lies within one window
-        least = max(1, int((self.sizes - Q + 1 - Q * self.budgets).min()))
-        dense = np.zeros(len(band), bool)
-        if len(band) >= least:
-            ok = (band[least - 1 :] == band[: len(band) - least + 1]) & (place[least - 1 :] - place[: len(band) - least + 1] <= WINDOW - Q)
-            run = np.concatenate([[0], np.cumsum(np.bincount(np.flatnonzero(ok), minlength=len(band)) - np.bincount(np.flatnonzero(ok) + least, minlength=len(band) + 1)[: len(band)])])[1:]
-            dense = run > 0
-        band, place = band[dense], place[dense]
-        if not len(band):
-            return none
-        out_w, out_d = [], []
-        cuts = np.concatenate([[0], np.flatnonzero(band[1:] != band[:-1]) + 1, [len(band)]])
-        for low, high in zip(cuts, cuts[1:]):
-            own = place[low:high]
-            w = np.arange(*np.searchsorted(self.starts, [own[0] - WINDOW, own[-1] + 1]))
-            hits = np.searchsorted(own, self.starts[w] + self.sizes[w] - Q, "right") - np.searchsorted(own, self.starts[w])
-            w = w[hits >= self.sizes[w] - Q + 1 - Q * self.budgets[w]]
-            out_w.append(w)
-            out_d.append(np.full(len(w), band[low] * half))
-        return np.concatenate(out_w), np.concatenate(out_d)
+                entry = np.repeat(self.first[own] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+                place = self.place[entry]
+                band = (np.repeat(at[low:high], m) - place) // half + WINDOW
+                key = (self.window[entry].astype(np.int64) * wide + band) * WINDOW + place
+                found.append(np.unique(np.concatenate([key, key - WINDOW])))
+        both, count = np.unique(np.unique(np.concatenate(found)) // WINDOW, return_counts=True)
+        window = both // wide
+        on = count >= self.least[window]
+        return window[on], (both[on] - window[on] * wide - WINDOW) * half
 
     def edits(self, points: np.ndarray, window: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
         """The edits of each candidate's window against its band of the text; candidates of equal characters are aligned once."""
@@ -134,7 +121,7 @@ class Index:
         out = np.empty(len(window), np.int64)
         for low in range(0, len(window), 1 << 14):
             w, d = window[low : low + (1 << 14)], diagonal[low : low + (1 << 14)]
-            begin = np.clip((self.starts[w] + d - EDITS + 2 * WINDOW)[:, None] + np.arange(WINDOW + wide), 0, len(padded) - 1)
+            begin = np.clip((d - EDITS + 2 * WINDOW)[:, None] + np.arange(WINDOW + wide), 0, len(padded) - 1)
             both = np.ascontiguousarray(np.concatenate([self.sizes[w, None].astype(np.uint32), self.points[self.starts[w, None] + np.arange(WINDOW)], padded[begin]], axis=1))
             _, first, where = np.unique(both.view(f"V{4 * both.shape[1]}").ravel(), return_index=True, return_inverse=True) if len(w) > 64 else (None, np.arange(len(w)), np.arange(len(w)))
             out[low : low + len(w)] = self._aligned(padded, w[first], d[first])[where]
@@ -148,7 +135,7 @@ class Index:
             k = np.flatnonzero(self.sizes[window] == size)
             begin = self.starts[window[k]]
             pattern = self.points[begin[:, None] + np.arange(size)]
-            zero = begin + diagonal[k] - EDITS + 2 * WINDOW
+            zero = diagonal[k] - EDITS + 2 * WINDOW
             text = padded[np.clip(zero[:, None] + np.arange(size + wide), 0, len(padded) - 1)]
             ramp = np.arange(wide)
             cost = np.zeros((len(k), wide), np.int64)
@@ -161,23 +148,36 @@ class Index:
 
     def search(self, text: str | None) -> dict[int, tuple[set[int], int]]:
         """item id -> (its windows found, the smallest number of edits)."""
-        found: dict[int, tuple[set[int], int]] = {}
+        least: dict[int, int] = {}
         whole, seen = normal(text), set()
-        for k in range(0, max(1, len(whole)), PIECE):
-            points = whole[max(0, k - 2 * WINDOW) : k + PIECE]
-            if len(whole) > 4 * PIECE:
+
+        def look(begin: int, end: int, finer: bool) -> None:
+            points = whole[begin:end]
+            if finer:  # what repeats is searched once
                 key = hashlib.blake2b(points.tobytes(), digest_size=16).digest()
                 if key in seen:
-                    continue
+                    return
                 seen.add(key)
-            window, diagonal = self.candidates(points)
-            if not len(window):
-                continue
+            at, k = self.hits(points)
+            if not finer and self.count[k].sum() > MANY:
+                for cut in range(begin, end, SEGMENT):
+                    look(max(0, cut - 2 * WINDOW), min(end, cut + SEGMENT), True)
+                return
+            window, diagonal = self.candidates(at, k)
             edits = self.edits(points, window, diagonal)
-            for w, e in zip(window[edits <= self.budgets[window]].tolist(), edits[edits <= self.budgets[window]].tolist(), strict=True):
-                own, least = found.get(self.names[self.owner[w]], (set(), e))
-                own.add(w)
-                found[self.names[self.owner[w]]] = own, min(least, e)
+            good = edits <= self.budgets[window]
+            for w, e in zip(window[good].tolist(), edits[good].tolist(), strict=True):
+                least[w] = min(e, least.get(w, e))
+
+        for k in range(0, max(1, len(whole)), PIECE):
+            look(max(0, k - 2 * WINDOW), k + PIECE, False)
+        found: dict[int, tuple[set[int], int]] = {}
+        for w, e in least.items():
+            for own in self.members[self.ends[w - 1] if w else 0 : self.ends[w]].tolist():
+                windows, before = found.setdefault(self.names[self.owner[own]], (set(), e))
+                windows.add(own)
+                if e < before:
+                    found[self.names[self.owner[own]]] = windows, e
         return found
 
 
@@ -188,7 +188,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[Callable[[], Index]]:
     chars = items.agg(F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()[0]
     n = max(1, -(-chars // BLOCK))
     for b in range(n):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).distinct().orderBy("item_id", "text").collect()  # about BLOCK characters
+        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == b).distinct().orderBy("item_id", "text").collect()  # about BLOCK characters
         sent = spark.sparkContext.broadcast([(r.item_id, r.text) for r in rows])
         key = uuid.uuid4().hex
 
@@ -212,13 +212,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch], load=load) -> Iterator[pa.RecordBatch]:
             index = load()
             for batch in portions(batches):
-                found = [(d, i, len(w), e) for d, t in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True) for i, (w, e) in sorted(index.search(t).items())]
+                found = [(d, i, sorted(w), e) for d, t in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True) for i, (w, e) in sorted(index.search(t).items())]
                 columns = list(zip(*found, strict=True)) or [[]] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int32()), strict=True)], names=["doc_id", "item_id", "windows", "edits"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32()), strict=True)], names=["doc_id", "item_id", "own", "edits"])
 
-        part = rows.mapInArrow(run, "doc_id long, item_id long, windows long, edits int")
+        part = rows.mapInArrow(run, "doc_id long, item_id long, own array<long>, edits int").select("doc_id", "item_id", "edits", F.explode("own").alias("own"))
         out = part if out is None else out.unionByName(part)
-    return out.groupBy("doc_id", "item_id").agg(F.max("windows").alias("windows"), F.min("edits").alias("edits"))
+    return out.groupBy("doc_id", "item_id").agg(F.countDistinct("own").alias("windows"), F.min("edits").alias("edits"))  # an item is in one block
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
