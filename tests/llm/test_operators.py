@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -125,6 +126,42 @@ def test_large_regions_and_buckets(spark, docs, rows, monkeypatch):
     assert {x.doc_id: x.component_id for x in near_dedup.near_groups(every).collect()} == want
 
 
+def test_repetitive_texts_and_items_cost_what_differs_in_them():
+    for unit in ("a", "ab cd", "abcdefg hij klmno pqrs tuvwxyz 0123456789 "):
+        began = time.time()
+        found = decontaminate.Index([(1, unit * (100_000 // len(unit)))]).search(unit * (20_000 // len(unit)))
+        assert time.time() - began < 10 and found[1][1] == 0 and len(found[1][0]) > 12_000
+
+
+def test_prefix_filter_finds_the_components_of_all_pairs():
+    r = random.Random(1)
+    for _ in range(60):
+        base, sets = [r.sample(range(60), r.randint(3, 30)) for _ in range(4)], []
+        for _ in range(r.randint(2, 50)):
+            own = list(r.choice(base))
+            for _ in range(r.randint(0, 5)):
+                own[r.randrange(len(own))] = r.randint(0, 90)
+            sets.append(frozenset(own if r.random() < 0.8 else own[: r.randint(1, len(own))]))
+        want = reachable(range(len(sets)), lambda a, b: 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]))
+        label = [want[k] if r.random() < 0.3 else -1 - k for k in range(len(sets))]
+        for start in (np.arange(len(sets)), np.array(label)):
+            joiner = near_dedup._Joiner([np.array(sorted(x), np.uint64) for x in sets], start)
+            links, root = joiner.run(), joiner.roots(np.arange(len(sets)))
+            assert {(a, b): root[a] == root[b] for a in want for b in want} == {(a, b): want[a] == want[b] for a in want for b in want}
+            assert len(links) == len(set(start.tolist())) - len(set(want.values()))
+
+
+def test_unlike_texts_and_copies_cost_no_pairs():
+    r = np.random.default_rng(0)
+    core = r.integers(0, 1 << 60, 100).astype(np.uint64)
+    short = [np.unique(np.array([1, 2, *r.integers(1000, 1 << 60, 2)], np.uint64)) for _ in range(64_000)]
+    copies = [np.unique(np.concatenate([core[r.permutation(100)[:95]], r.integers(0, 1 << 60, 5).astype(np.uint64)])) for _ in range(5_000)]
+    for sets, links in ((short, 0), (copies, 4_999)):
+        began = time.time()
+        assert len(near_dedup._Joiner(sets, np.arange(len(sets))).run()) == links
+        assert time.time() - began < 10
+
+
 def test_sketch_fills_and_estimates():
     r = np.random.default_rng(3)
     for n in (1, 2, 7, 100, 3000):
@@ -296,10 +333,13 @@ def sellers(p, t):
     return int(c.min())
 
 
-def test_decontaminate(spark, empty):
+@pytest.mark.parametrize("block", [None, 300])
+def test_decontaminate(spark, empty, monkeypatch, block):
+    if block:  # several blocks, items with several texts and documents with several rows
+        monkeypatch.setattr(decontaminate, "BLOCK", block)
     r = random.Random(1)
     words = [prose(r, 1) for _ in range(60)]
-    items = [(i, prose(r, r.randint(4, 40), words)) for i in range(8)] + [(20, None), (21, "tiny")]
+    items = [(i, prose(r, r.randint(4, 40), words)) for i in range(8)] + [(20, None), (21, "tiny"), (22, "ab cd " * 30), (23, "ab cd " * 50)] + [(i, prose(r, 30, words)) for i in (2, 3)]
 
     def edited(t, n):
         t = list(t)
@@ -313,20 +353,23 @@ def test_decontaminate(spark, empty):
         x = r.choice(items[:8])[1]
         a = r.randrange(max(1, len(x) - 60))
         texts.append(prose(r, r.randint(0, 60), words) + " " + edited(x[a : a + r.randint(60, 140)], r.randint(0, 14)))
-    texts += [None, "", "short"]
-    index = decontaminate.Index([x for x in items if x[1]])
-    want = {}
-    for d, t in enumerate(texts):
-        for w, (s, n, b, k) in enumerate(zip(index.starts, index.sizes, index.budgets, index.owner)):
-            e = sellers(index.points[s : s + n], decontaminate.normal(t))
-            if e <= b:
-                count, least = want.get((d, index.names[k]), (0, 99))
-                want[d, index.names[k]] = count + 1, min(least, e)
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    texts += [None, "", "short", "xx " + "ab cd " * 20, items[-1][1] + " z"]
+    rows = [*enumerate(texts), (0, items[0][1]), (0, items[-2][1])]
+    found = {}
+    for name, text in items:
+        p = decontaminate.normal(text)
+        size = min(decontaminate.WINDOW, len(p))
+        for s in sorted({*range(0, len(p) - size + 1, decontaminate.STEP), len(p) - size}) if size >= decontaminate.Q else []:
+            for d, t in rows:
+                e = sellers(p[s : s + size], decontaminate.normal(t))
+                if e <= min(decontaminate.EDITS * size // decontaminate.WINDOW, (size - decontaminate.Q) // decontaminate.Q):
+                    found.setdefault((d, name), []).append((text, s, e))
+    want = {k: (len({x[:2] for x in v}), min(x[2] for x in v)) for k, v in found.items()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {(x.doc_id, x.item_id): (x.windows, x.edits) for x in decontaminate.leaks(docs, bench).collect()}
     assert got == want and want
-    assert {x.doc_id for x in decontaminate.keep_clean(docs, bench).collect()} == set(range(len(texts))) - {d for d, _ in want}
+    assert {x.doc_id for x in decontaminate.keep_clean(docs, bench).collect()} - {0} == set(range(1, len(texts))) - {d for d, _ in want}
     assert decontaminate.leaks(empty, bench).count() == 0 and decontaminate.leaks(docs, bench.limit(0)).count() == 0
 
 
