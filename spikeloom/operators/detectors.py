@@ -1,7 +1,7 @@
 """Network-burst detectors as compositions of the other operators.
 
 `population_bursts` thresholds smoothed participation, grows bursts around peaks and merges them twice; `model_bursts` scores
-bins by per-unit hidden Markov fits, closes and merges the mask, gates and types the events.
+bins by per-unit hidden Markov fits, clusters them by density, closes and merges the mask of the burst clusters, gates and types the events.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from spikeloom.functions.lineage import stored
 
-from . import binning, intervals, models, smoothing
+from . import binning, density, intervals, models, smoothing
 from . import spikes as trains
 
 VALUES = ["duration", "synchrony_energy", "participation", "total_spikes", "burst_peak", "peak_synchrony"]
@@ -113,16 +113,47 @@ def population_bursts(spikes: DataFrame, extent_frac: float = 0.30, gap_min: flo
     return {"burstlets": burstlets, "network_bursts": network, "superbursts": superb, "metrics": metrics, "signals": signal, "limits": limits.join(cal.drop("n_units"), "well")}
 
 
-def model_bursts(spikes: DataFrame, *, min_modulation: float = 0.1, closing_bins: int = 3, mad_scale: float = 0.75, floor_frac: float = 0.70, gap_min: float = 0.75, typing: str = "kmeans", fit_options: dict | None = None) -> dict[str, DataFrame]:
-    """network_bursts (typed), features, fits and metrics of each well; clusters by the threshold decision."""
+RANK = "post_frac_gt_0_5"
+
+
+def cluster_bins(bins: DataFrame, *, clustering: str = "density", min_cluster_size: int = 30, min_samples: int = 5, axes: int = 0, background: float = 0.5, mad_scale: float = 3.0, threshold: float = 0.3) -> DataFrame:
+    """`bins` with label, probability, decision and `on`: whether the bin belongs to a burst cluster of its well.
+
+    Features are normalised on background bins, optionally reduced to principal axes, and clustered by density. Burst clusters are
+    those that rank high by RANK. A well whose bins are all noise, or any with clustering "threshold", is labelled by a threshold on RANK.
+    """
+    if clustering == "threshold":
+        return models.threshold_clusters(bins, RANK, threshold).withColumn("decision", F.lit("threshold")).withColumn("on", F.col("label") == 1)
+    scaled = models.background_normalised(bins, models.FEATURES, RANK, background)
+    rows = scaled.select("well", F.col("bin").alias("id"), F.array(*[f"z_{c}" for c in models.FEATURES]).alias("x"))
+    if axes:
+        rows = density.principal_axes(rows, ["well"], axes)[0].select("well", "id", F.col("axes").alias("x"))
+    found = density.clusters(stored(rows), ["well"], min_cluster_size, min_samples).withColumnRenamed("id", "bin")
+    labelled = stored(bins.join(found, ["well", "bin"]))
+    n = labelled.where("label >= 0").groupBy("well").agg(F.countDistinct("label").alias("_clusters"))
+    burst = models.burst_clusters(labelled, "label", RANK, mad_scale).select("well", "label", F.lit(True).alias("_burst"))
+    known = labelled.join(n, "well", "left").join(burst, ["well", "label"], "left")
+    noise, high = F.col("_clusters").isNull(), F.col(RANK) > threshold
+    return known.withColumns(
+        {
+            "label": F.when(~noise, F.col("label")).when(high, 1).otherwise(-1),
+            "probability": F.when(~noise, F.col("probability")).otherwise(F.least(F.greatest(F.col(RANK), F.lit(0.0)), F.lit(1.0))),
+            "decision": F.when(noise, "all_noise").when(F.col("_clusters") == 1, "density_single").otherwise("density"),
+            "on": F.when(noise, high).otherwise(F.col("_burst").isNotNull()),
+        }
+    ).drop("_clusters", "_burst")
+
+
+def model_bursts(spikes: DataFrame, *, min_modulation: float = 0.1, closing_bins: int = 3, mad_scale: float = 0.75, floor_frac: float = 0.70, gap_min: float = 0.75, typing: str = "kmeans", fit_options: dict | None = None, **clustering) -> dict[str, DataFrame]:
+    """network_bursts (typed), features, fits and metrics of each well; `clustering` are options of `cluster_bins`."""
     spikes = spikes.withColumn("unit_id", F.col("unit_id").cast("string"))
     cal = stored(trains.calibration(spikes, gap_min=gap_min))
     grids = cal.select("well", F.col("rec_start").alias("start"), F.col("bin_size").alias("step"), F.ceil((F.col("rec_end") - F.col("rec_start")) / F.col("bin_size")).cast("long").alias("n_bins")).where("n_bins >= 8")
     n_units = cal.select("well", "n_units")
     counts = stored(binning.unit_bins(spikes, grids))
     fits = stored(models.fit_units(counts, grids, **(fit_options or {})))
-    bins = stored(models.threshold_clusters(models.features(spikes, counts, grids, n_units, fits)))
-    masked = intervals.closing(bins.withColumn("on", F.col("label") == 1), "on", ["well"], closing_bins)
+    bins = stored(cluster_bins(stored(models.features(spikes, counts, grids, n_units, fits)), **clustering))
+    masked = stored(intervals.closing(bins, "on", ["well"], closing_bins))
     runs = stored(intervals.islands(masked, "closed", ["well"]))
     spread = binning.median_and_mad(masked.where("NOT closed"), "post_frac_gt_0_5").withColumn("threshold", F.col("baseline") + mad_scale * F.greatest(F.col("mad"), F.lit(1e-6)))
     edges = grids.select("well", F.col("start").alias("rec_start"), F.col("step").alias("bin_size")).join(cal.select("well", "network_gap"), "well").join(spread, "well", "left")

@@ -26,16 +26,27 @@ def test_population_bursts_find_the_injected_ones(cultures):
     assert (found["burstlets"].groupBy("well").count().toPandas()["count"] > 0).all()
 
 
-def test_model_bursts_find_the_injected_ones(cultures):
+@pytest.mark.parametrize("options", [{"clustering": "threshold"}, {"axes": 5}])
+def test_model_bursts_find_the_injected_ones(cultures, options):
     spikes, truth = cultures
-    found = detectors.model_bursts(spikes.where("well = 'cascade'"))
+    found = detectors.model_bursts(spikes.where("well = 'cascade'"), **options)
     network = found["network_bursts"].toPandas()
     scores = intervals.detection_scores(found["network_bursts"], truth.where("well = 'cascade'"), ["well"]).first()
     assert scores.recall == 1.0 and scores.precision >= 0.5
     assert len(network) >= 5
     rows = found["features"].toPandas()
     assert np.isfinite(rows[models.FEATURES].to_numpy()).all()
-    assert rows[rows.label == 1].post_frac_gt_0_5.mean() > rows[rows.label == -1].post_frac_gt_0_5.mean() + 0.3
+    assert rows[rows.on].post_frac_gt_0_5.mean() > rows[~rows.on].post_frac_gt_0_5.mean() + 0.3
+    assert set(rows.decision) <= ({"threshold"} if options.get("clustering") else {"density", "density_single"})
+
+
+def test_a_well_of_noise_falls_back_to_the_threshold(spark):
+    rng = np.random.default_rng(6)
+    rows = [("w", k, *map(float, rng.uniform(0, 1, len(models.FEATURES)))) for k in range(40)]
+    bins = spark.createDataFrame(rows, "well string, bin long, " + ", ".join(f"{c} double" for c in models.FEATURES))
+    out = detectors.cluster_bins(bins, min_cluster_size=30).collect()
+    assert {r.decision for r in out} == {"all_noise"}
+    assert all((r.label, r.on) == ((1, True) if r.post_frac_gt_0_5 > 0.3 else (-1, False)) and r.probability == r.post_frac_gt_0_5 for r in out)
 
 
 def test_fit_recovers_rates():
