@@ -116,27 +116,36 @@ def hull(s1: Column, e1: Column, s2: Column, e2: Column) -> Column:
 
 
 def overlaps(a: DataFrame, b: DataFrame, by: list[str], least: float, width: float | int) -> DataFrame:
-    """Pairs of intervals of a and b with an overlap of `least` or more: a_start, a_end, b_start, b_end, overlap, iou (by hull)."""
-    blocks = lambda df, p: df.select(*by, F.col("start").alias(f"{p}_start"), F.col("end").alias(f"{p}_end")).distinct().withColumn("_b", F.explode(F.sequence(F.floor(F.col(f"{p}_start") / width), F.floor(F.col(f"{p}_end") / width))))
+    """Pairs of rows of a and b with an overlap of `least` or more: a_start, a_end, a_copy, b_start, b_end, b_copy, overlap, iou (by hull).
+
+    Equal intervals are rows of their own, told apart by their copy's number from 1.
+    """
+
+    def blocks(df: DataFrame, p: str) -> DataFrame:
+        copy = F.row_number().over(Window.partitionBy(*by, "start", "end").orderBy("start"))
+        own = df.select(*by, F.col("start").alias(f"{p}_start"), F.col("end").alias(f"{p}_end"), copy.alias(f"{p}_copy"))
+        return own.withColumn("_b", F.explode(F.sequence(F.floor(F.col(f"{p}_start") / width), F.floor(F.col(f"{p}_end") / width))))
+
     sides = [F.col(c) for c in ("a_start", "a_end", "b_start", "b_end")]
     pairs = blocks(a, "a").join(blocks(b, "b"), [*by, "_b"]).drop("_b").distinct()
     return pairs.withColumn("overlap", overlap(*sides)).where(F.col("overlap") >= least).withColumn("iou", F.try_divide("overlap", hull(*sides)))
 
 
 def greedy_matches(detected: DataFrame, truth: DataFrame, by: list[str], least: float, order: str, width: float = 60.0) -> DataFrame:
-    """One-to-one matches (by, start, end, truth_start, truth_end, overlap).
+    """One-to-one matches (by, start, end, truth_start, truth_end, overlap); every row of either side is one of its own.
 
-    order "largest": pairs by overlap, the largest first. order "earliest": detections in turn take their first free truth.
+    order "largest": pairs by overlap, the largest first. order "earliest": detections in turn take their first free truth. Ties go by start, end and copy.
     Each group's candidate pairs are scanned once; only overlapping pairs reach the scan.
     """
     pairs = overlaps(detected, truth, by, least, width)
-    keys = ["overlap", "a_start", "b_start"] if order == "largest" else ["a_start", "a_end", "b_start"]
+    sides = ["a_start", "a_end", "a_copy", "b_start", "b_end", "b_copy"]
+    keys = ["overlap", *sides] if order == "largest" else sides
     kinds = ", ".join(f"{c} {detected.schema[c].dataType.simpleString()}" for c in by)
 
     def scan(pdf: pd.DataFrame) -> pd.DataFrame:
         used_a, used_b, kept = set(), set(), []
-        pdf = pdf.sort_values(keys, ascending=[order != "largest", True, True], kind="stable")
-        for k, a, b in zip(pdf.index, zip(pdf.a_start, pdf.a_end), zip(pdf.b_start, pdf.b_end)):
+        pdf = pdf.sort_values(keys, ascending=[c != "overlap" for c in keys], kind="stable")
+        for k, a, b in zip(pdf.index, zip(pdf.a_start, pdf.a_end, pdf.a_copy), zip(pdf.b_start, pdf.b_end, pdf.b_copy)):
             if a not in used_a and b not in used_b:
                 used_a.add(a)
                 used_b.add(b)

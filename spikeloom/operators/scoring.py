@@ -78,8 +78,8 @@ def _harmonic(p: Column, r: Column) -> Column:
 
 
 def score_events(detected: DataFrame, truth: DataFrame, durations: DataFrame, by: list[str], least: float = MIN_OVERLAP) -> DataFrame:
-    """The thirty scores of each group of durations(by, duration): counts, precision and recall of events and of their time, errors of matched ends,
-    rates per minute and flags. Matches are one to one, the largest overlap first; a side without events has 1 where the other has none either, else 0."""
+    """The thirty scores of each group of durations(by, duration) or of the events: counts, precision and recall of events and of their time, errors of matched ends,
+    rates per minute and flags. A group without a duration, or with one of 0, has events but rates of 0. Matches are one to one, the largest overlap first; a side without events has 1 where the other has none either, else 0."""
     size = F.greatest(F.col("end") - F.col("start"), F.lit(0.0))
     side = lambda df, n: df.groupBy(*by).agg(F.count("*").alias(n), F.sum(size).alias(f"{n}_s"))
     m = intervals.greedy_matches(detected, truth, by, least, "largest")
@@ -90,12 +90,13 @@ def score_events(detected: DataFrame, truth: DataFrame, durations: DataFrame, by
         F.count("*").alias("tp"), F.sum("overlap").alias("overlap"), F.avg(F.try_divide("overlap", hull)).alias("iou"), F.percentile(F.abs(onset), 0.5).alias("onset"), F.percentile(F.abs(offset), 0.5).alias("offset"),
         F.percentile(F.abs(length - truth_length), 0.5).alias("length"), F.sum(length).alias("hit_s"), F.sum(truth_length).alias("found_s"), F.bool_or(length - truth_length > 0.5).alias("merged"),
     )
-    x = durations.join(side(detected, "n"), by, "left").join(side(truth, "k"), by, "left").join(matched, by, "left").na.fill(0, ["n", "n_s", "k", "k_s", "tp", "overlap", "iou", "onset", "offset", "length", "hit_s", "found_s"])
+    unknown = detected.select(*by).unionByName(truth.select(*by)).distinct().join(durations, by, "left_anti").withColumn("duration", F.lit(None).cast("double"))
+    x = durations.select(*by, F.col("duration").cast("double").alias("duration")).unionByName(unknown).join(side(detected, "n"), by, "left").join(side(truth, "k"), by, "left").join(matched, by, "left").na.fill(0, ["n", "n_s", "k", "k_s", "tp", "overlap", "iou", "onset", "offset", "length", "hit_s", "found_s"])
     n, k, tp, c = F.col("n"), F.col("k"), F.col("tp"), F.col
     one = lambda other: F.when(other == 0, 1.0).otherwise(0.0)
     precision, recall = _ratio(tp, n, one(k)), _ratio(tp, k, one(n))
     cover_r, cover_p = _ratio(c("overlap"), c("k_s"), one(c("n_s"))), _ratio(c("overlap"), c("n_s"), one(c("k_s")))
-    minutes = c("duration") / 60
+    minutes = F.coalesce(c("duration"), F.lit(0.0)) / 60
     fragments = _ratio(n, tp, 0.0)
     return x.select(
         *by, k.alias("truth_bursts"), n.alias("detected_network_bursts"), tp.alias("true_positive_events"), (n - tp).alias("false_positive_events"), (k - tp).alias("false_negative_events"),

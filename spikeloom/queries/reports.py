@@ -267,7 +267,7 @@ def interval_complement(spark, d):
 
 @register(f"WITH {_IV} SELECT DISTINCT iv.well, round(iv.s, 4) AS a_start, round(tv.s, 4) AS b_start, round(least(iv.e, tv.e) - greatest(iv.s, tv.s), 4) AS overlap, round((least(iv.e, tv.e) - greatest(iv.s, tv.s)) / (greatest(iv.e, tv.e) - least(iv.s, tv.s)), 6) AS iou FROM iv JOIN tv ON iv.well = tv.well AND least(iv.e, tv.e) - greatest(iv.s, tv.s) >= 100")
 def overlap_join_iou(spark, d):
-    out = intervals.overlaps(_iv(spark, d, 0, 3000), _iv(spark, d, 1, 5000), ["well"], 100.0, 20_000)
+    out = intervals.overlaps(_iv(spark, d, 0, 3000), _iv(spark, d, 1, 5000), ["well"], 100.0, 20_000).drop("a_copy", "b_copy").distinct()
     return out.select("well", F.round("a_start", 4).alias("a_start"), F.round("b_start", 4).alias("b_start"), F.round("overlap", 4).alias("overlap"), F.round("iou", 6).alias("iou"))
 
 

@@ -112,10 +112,27 @@ def clean_events(events: DataFrame) -> DataFrame:
     return events.withColumns(finite).where("start IS NOT NULL AND end IS NOT NULL AND end > start")
 
 
-def write_events(levels: dict[str, DataFrame], folder: str) -> None:
-    """Burst tables by level, as one partitioned Parquet table; levels that aren't given keep what they have."""
-    for name, events in levels.items():
-        events.write.mode("overwrite").parquet(f"{folder}/level={name}")
+def write_events(levels: dict[str, DataFrame], folder: str, extra: dict[str, DataFrame] | None = None) -> None:
+    """Burst tables by level, as one partitioned Parquet table: the set of levels is what the folder holds afterwards.
+
+    Levels of an earlier run that aren't given are removed, so that no reader sees them beside this run's. `extra` tables (metrics, diagnostics)
+    are written under their names beside the levels, in folders that a reader of the levels passes over.
+    """
+    names = {f"level={name}": events for name, events in levels.items()} | {f"_{name}": rows for name, rows in (extra or {}).items()}
+    for name, rows in names.items():
+        rows.write.mode("overwrite").parquet(f"{folder}/{name}")
+    if names:
+        spark = next(iter(names.values())).sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        for entry in system.listStatus(path):
+            if entry.getPath().getName().startswith("level=") and entry.getPath().getName() not in names:
+                system.delete(entry.getPath(), True)
+
+
+def read_extra(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table that was written beside the levels."""
+    return spark.read.parquet(f"{folder}/_{name}")
 
 
 def read_events(spark: SparkSession, folder: str, level: str | None = None) -> DataFrame:

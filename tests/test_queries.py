@@ -18,7 +18,7 @@ from spikeloom.sources import files, metadata, stores
 from spikeloom.streaming import incremental
 
 DATA = "/root/testdata/sf0.001"
-QUICK = sorted(set(queries.ORACLES) - {"gaussian_rate", "morph_closing", "local_reference", "common_reference", "corr_matrix", "stream_late_counts"})[::6] + ["valley_merge", "peak_find", "greedy_match", "event_scores", "well_metadata", "status_log", "catalog_append", "ready_topn", "trajectory_stats"]
+QUICK = sorted(set(queries.ORACLES) - {"gaussian_rate", "morph_closing", "local_reference", "common_reference", "corr_matrix", "stream_late_counts"})[::3] + ["valley_merge", "peak_find", "greedy_match", "event_scores", "well_metadata", "status_log", "catalog_append", "ready_topn", "trajectory_stats"]
 
 
 def value(v):
@@ -269,3 +269,22 @@ def test_mixture_typing(spark):
     for method in ("kmeans", "mixture"):
         got = models.burst_types(events, ["x", "y"], method=method, max_k=3).toPandas().sort_values("start")
         assert got.burst_type[:20].nunique() == 1 and got.burst_type.iloc[0] != got.burst_type.iloc[-1] or method == "mixture" and got.k.iloc[0] >= 2
+
+
+def test_repeated_intervals_match_one_by_one(spark):
+    found = spark.createDataFrame([("w", 0.0, 1.0), ("w", 0.0, 1.0), ("w", 5.0, 6.0)], "well string, start double, end double")
+    truth = spark.createDataFrame([("w", 0.0, 1.1), ("w", 0.0, 1.2), ("v", 0.0, 1.0), ("v", 0.0, 1.0)], "well string, start double, end double")
+    for order in ("largest", "earliest"):
+        assert intervals.greedy_matches(found, truth, ["well"], 0.03, order).count() == 2
+    scores = {r.well: r for r in scoring.score_events(found, truth, spark.createDataFrame([("w", 0.0)], "well string, duration double"), ["well"]).collect()}
+    assert (scores["w"].true_positive_events, scores["w"].false_positive_events, scores["w"].event_rate_per_min) == (2, 1, 0.0)
+    assert (scores["v"].truth_bursts, scores["v"].recall, scores["v"].truth_rate_per_min) == (2, 0.0, 0.0)
+
+
+def test_levels_that_are_left_out_are_gone(spark, tmp_path):
+    events = spark.createDataFrame([(0.0, 1.0)], "start double, end double")
+    folder = f"file://{tmp_path}/events"
+    files.write_events({"network_bursts": events, "superbursts": events}, folder, {"metrics": events.withColumn("n", F.lit(3))})
+    files.write_events({"network_bursts": events.union(events)}, folder)
+    assert [(r.level, r.n) for r in files.read_events(spark, folder).groupBy("level").agg(F.count("*").alias("n")).collect()] == [("network_bursts", 2)]
+    assert files.read_extra(spark, folder, "metrics").first().n == 3
