@@ -72,15 +72,19 @@ class Index:
         # a content's windows: those of `members` from first to last of its number
         whole = np.where(np.arange(WINDOW) < sizes[:, None], self.points[starts[:, None] + np.arange(WINDOW)], np.uint32(0xFFFFFFFE))
         _, first, same = np.unique(np.ascontiguousarray(whole).view(f"V{4 * WINDOW}").ravel(), return_index=True, return_inverse=True) if len(starts) else (None, *[np.zeros(0, np.int64)] * 2)
+        order = np.argsort(first)  # contents by where they begin first
+        same = np.argsort(order)[same]
         self.members, self.ends = np.argsort(same, kind="stable"), np.cumsum(np.bincount(same, minlength=len(first)))
-        self.starts, self.sizes = starts[first], sizes[first]
+        self.starts, self.sizes = starts[first[order]], sizes[first[order]]
         self.budgets = np.minimum(EDITS * self.sizes // WINDOW, (self.sizes - Q) // Q)
         self.least = self.sizes - Q + 1 - Q * self.budgets
-        place = np.arange(WINDOW - Q + 1)
-        window, place = np.nonzero(place < (self.sizes - Q + 1)[:, None])
-        grams = qgrams(self.points)[self.starts[window] + place] if len(window) else np.zeros(0, np.uint64)
+        covered = np.zeros(len(self.points) + 1, np.int64)  # q-grams of these windows alone
+        np.add.at(covered, self.starts, 1)
+        np.add.at(covered, self.starts + self.sizes - Q + 1, -1)
+        places = np.flatnonzero(np.cumsum(covered) > 0)
+        grams = qgrams(self.points)[places] if len(places) else np.zeros(0, np.uint64)
         order = np.argsort(grams, kind="stable")
-        self.window, self.place = window[order].astype(np.int32), place[order].astype(np.int32)
+        self.places = places[order]
         self.grams, self.first, self.count = np.unique(grams[order], return_index=True, return_counts=True)
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         self.filter[(self.grams >> U64(64 - _FILTER_BITS)).astype(np.int64)] = True
@@ -96,23 +100,38 @@ class Index:
         return at[real], k[real]
 
     def candidates(self, at: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, first diagonal of a band) pairs that reach the window's count, from what `hits` returns."""
-        half, n = EDITS + 1, self.count[k]
-        upto, found = np.cumsum(n), [np.empty(0, np.int64)]
-        wide = int(at[-1]) // half + 2 * WINDOW if len(at) else 1  # bands of a window
-        cuts = np.unique(np.searchsorted(upto, np.arange(HITS, upto[-1] + HITS, HITS), "right")).tolist() if len(at) else []
-        for low, high in zip([0, *cuts], [*cuts, len(k)]):  # distinct (window, band, place) of some hits at a time
+        """(window, first place of a band of the text where it may begin) pairs that reach the window's count, from what `hits` returns."""
+        none = np.empty(0, np.int64), np.empty(0, np.int64)
+        if not len(at):
+            return none
+        half, n, wide, found = EDITS + 1, self.count[k], len(self.points), []
+        upto = np.cumsum(n)
+        cuts = np.unique(np.searchsorted(upto, np.arange(HITS, upto[-1] + HITS, HITS), "right")).tolist()
+        for low, high in zip([0, *cuts], [*cuts, len(k)]):  # distinct (band, place) of some hits at a time
             if low < high:
                 m, own = n[low:high], k[low:high]
-                entry = np.repeat(self.first[own] - (np.cumsum(m) - m), m) + np.arange(m.sum())
-                place = self.place[entry]
-                band = (np.repeat(at[low:high], m) - place) // half + WINDOW
-                key = (self.window[entry].astype(np.int64) * wide + band) * WINDOW + place
-                found.append(np.unique(np.concatenate([key, key - WINDOW])))
-        both, count = np.unique(np.unique(np.concatenate(found)) // WINDOW, return_counts=True)
-        window = both // wide
-        on = count >= self.least[window]
-        return window[on], (both[on] - window[on] * wide - WINDOW) * half
+                place = self.places[np.repeat(self.first[own] - (np.cumsum(m) - m), m) + np.arange(m.sum())]
+                key = (np.repeat(at[low:high], m) - place) // half * wide + place
+                found.append(np.unique(np.concatenate([key, key - wide])))
+        hits = np.unique(np.concatenate(found)) if len(found) > 1 else found[0]
+        band = np.floor_divide(hits, wide)
+        place = hits - band * wide
+        # windows are looked up only where the least count of hits lies within one window
+        least = max(1, int(self.least.min()))
+        if len(band) < least:
+            return none
+        ok = np.flatnonzero((band[least - 1 :] == band[: len(band) - least + 1]) & (place[least - 1 :] - place[: len(band) - least + 1] <= WINDOW - Q))
+        run = np.cumsum(np.bincount(ok, minlength=len(band) + 1) - np.bincount(ok + least, minlength=len(band) + 1))[: len(band)]
+        band, place = band[run > 0], place[run > 0]
+        out = [none]
+        cuts = np.concatenate([[0], np.flatnonzero(band[1:] != band[:-1]) + 1, [len(band)]]) if len(band) else np.zeros(1, np.int64)
+        for low, high in zip(cuts, cuts[1:]):
+            own = place[low:high]
+            w = np.arange(*np.searchsorted(self.starts, [own[0] - WINDOW, own[-1] + 1]))
+            count = np.searchsorted(own, self.starts[w] + self.sizes[w] - Q, "right") - np.searchsorted(own, self.starts[w])
+            w = w[count >= self.least[w]]
+            out.append((w, band[low] * half + self.starts[w]))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
     def edits(self, points: np.ndarray, window: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
         """The edits of each candidate's window against its band of the text; candidates of equal characters are aligned once."""
