@@ -19,23 +19,56 @@ from . import spikes as trains
 VALUES = ["duration", "synchrony_energy", "participation", "total_spikes", "burst_peak", "peak_synchrony"]
 
 
+class _Extremes:
+    """Largest (or smallest) values of all stretches of a series whose length is a power of two."""
+
+    def __init__(self, x: np.ndarray, pick=np.maximum):
+        self.pick, self.levels = pick, [x]
+        while 2 << (len(self.levels) - 1) <= len(x):
+            half, last = 1 << (len(self.levels) - 1), self.levels[-1]
+            self.levels.append(pick(last[:-half], last[half:]))
+
+    def over(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The extremes of x[low:high], none empty."""
+        level = np.frexp((high - low).astype(float))[1] - 1
+        out = np.empty(len(low))
+        for k in np.unique(level):
+            at = level == k
+            out[at] = self.pick(self.levels[k][low[at]], self.levels[k][high[at] - (1 << k)])
+        return out
+
+    def run(self, start: np.ndarray, limit: np.ndarray, step: int) -> np.ndarray:
+        """How many places from `start` on, upwards or downwards, have no value beyond `limit`."""
+        n, at = len(self.levels[0]), start.copy()
+        for k in reversed(range(len(self.levels))):
+            size = 1 << k
+            for _ in range(2 if k == len(self.levels) - 1 else 1):
+                first = at if step > 0 else at - size + 1
+                inside = np.flatnonzero((first >= 0) & (first + size <= n))
+                value = self.levels[k][first[inside]]
+                fits = inside[value <= limit[inside] if self.pick is np.maximum else value >= limit[inside]]
+                at[fits] += step * size
+        return (at - start) * step
+
+
 def find_peaks(x: np.ndarray, height: float, prominence: float) -> list[int]:
-    """Strict local maxima (the middle of flat tops) that reach a height and a prominence; the ends aren't peaks."""
+    """Strict local maxima (the middle of flat tops) that reach a height and a prominence; the ends aren't peaks.
+
+    The next higher places on both sides and the lowest ones before them are looked up for all maxima at once, in n log n steps.
+    """
     change = np.flatnonzero(np.diff(x)) + 1
     begin = np.concatenate([[0], change])
     end = np.concatenate([change, [len(x)]]) - 1
     level = x[begin]
     top = np.zeros(len(level), bool)
     top[1:-1] = (level[1:-1] > level[:-2]) & (level[1:-1] > level[2:]) & (level[1:-1] >= height)
-    out = []
-    for k in np.flatnonzero(top):
-        higher = np.flatnonzero(level[:k] > level[k])
-        left = level[(higher[-1] if len(higher) else 0) : k].min()
-        higher = np.flatnonzero(level[k + 1 :] > level[k])
-        right = level[k + 1 : (k + 1 + higher[0] if len(higher) else len(level))].min()
-        if level[k] - max(left, right) >= prominence:
-            out.append(int((begin[k] + end[k]) // 2))
-    return out
+    at = np.flatnonzero(top)
+    if not len(at):
+        return []
+    high, low = _Extremes(level), _Extremes(level, np.minimum)
+    left, right = high.run(at - 1, level[at], -1), high.run(at + 1, level[at], 1)
+    base = np.maximum(low.over(at - left, at), low.over(at + 1, at + 1 + right))
+    return ((begin[at] + end[at]) // 2)[level[at] - base >= prominence].tolist()
 
 
 def peaks(signal: DataFrame, limits: DataFrame, value: str, extent_frac: float = 0.30) -> DataFrame:
@@ -45,12 +78,11 @@ def peaks(signal: DataFrame, limits: DataFrame, value: str, extent_frac: float =
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("bin")
         x, threshold, mad = pdf[value].to_numpy(float), float(pdf.threshold.iloc[0]), float(pdf.mad.iloc[0])
-        rows = []
-        for p in find_peaks(x, threshold, max(0.5 * mad, 0.02)):
-            below = np.flatnonzero(x < max(threshold, extent_frac * x[p]))
-            k = np.searchsorted(below, p)
-            rows.append((pdf.well.iloc[0], p, int(below[k - 1]) + 1 if k else 0, int(below[k]) - 1 if k < len(below) else len(x) - 1))
-        return pd.DataFrame(rows, columns=["well", "peak", "start_idx", "end_idx"])
+        found = np.array(find_peaks(x, threshold, max(0.5 * mad, 0.02)), np.int64)
+        if not len(found):
+            return pd.DataFrame(columns=["well", "peak", "start_idx", "end_idx"])
+        lowest, limit = _Extremes(x, np.minimum), np.maximum(threshold, extent_frac * x[found])
+        return pd.DataFrame({"well": pdf.well.iloc[0], "peak": found, "start_idx": found - lowest.run(found - 1, limit, -1), "end_idx": found + lowest.run(found + 1, limit, 1)})
 
     return signal.select("well", "bin", value).join(limits.select("well", "threshold", "mad"), "well").groupBy("well").applyInPandas(one, "well string, peak long, start_idx long, end_idx long")
 

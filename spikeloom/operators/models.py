@@ -30,23 +30,52 @@ FIT = "well string, unit_id string, skipped string, lambda_bg double, lambda_bur
 
 
 def _smooth_chain(emission: np.ndarray, move: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """State probabilities, summed transition probabilities and log likelihood of a two-state chain, by scaled recursions."""
+    """State probabilities, summed transition probabilities and log likelihood of a two-state chain, by scaled recursions in blocks.
+
+    The chain is cut into about sqrt(n) blocks. A block's steps are one 2 x 2 matrix, so a scan over the blocks gives the vector that
+    each begins (or ends) with, and the recursions run in all blocks at once. Neutral steps fill the last block up.
+    """
     n = len(emission)
+    long = max(1, math.isqrt(n))
+    blocks = -(-n // long)
     top = emission.max(axis=1)
-    like = np.exp(emission - top[:, None])
-    ahead, scale = np.empty((n, 2)), np.empty(n)
-    a = start * like[0]
-    for t in range(n):
-        if t:
-            a = (ahead[t - 1] @ move) * like[t]
-        scale[t] = a.sum()
-        ahead[t] = a / scale[t]
-    behind, moved = np.ones((n, 2)), np.zeros((2, 2))
-    for t in range(n - 2, -1, -1):
-        later = like[t + 1] * behind[t + 1] / scale[t + 1]
-        behind[t] = move @ later
-        moved += ahead[t][:, None] * move * later[None, :]
+    like = np.ones((blocks * long, 2))
+    like[:n] = np.exp(emission - top[:, None])
+    like = like.reshape(blocks, long, 2)
+    # each block's product of move and likelihoods; the first one begins without a move
+    whole = np.where(np.arange(blocks)[:, None, None] > 0, move, np.eye(2)) * like[:, 0, None, :]
+    for t in range(1, long):
+        whole = (whole @ move) * like[:, t, None, :]
+        whole /= whole.max(axis=(1, 2), keepdims=True)
+    a = np.empty((blocks, 2))
+    a[0] = start
+    for k in range(1, blocks):
+        v = a[k - 1] @ whole[k - 1]
+        a[k] = v / v.sum()
+    ahead, scale = np.empty_like(like), np.empty((blocks, long))
+    for t in range(long):
+        step = a @ move
+        if t == 0:
+            step[0] = start
+        a = step * like[:, t]
+        scale[:, t] = a.sum(axis=1)
+        a = a / scale[:, t, None]
+        ahead[:, t] = a
+    # backwards: what stands before a bin is move times what it weighs and what stands behind it
+    weight = like / scale[:, :, None]
+    whole = np.broadcast_to(np.eye(2), (blocks, 2, 2))
+    for t in range(long - 1, -1, -1):
+        whole = move @ (weight[:, t, :, None] * whole)
+    v, behind = np.empty((blocks, 2)), np.empty_like(like)
+    v[-1] = 1
+    for k in range(blocks - 2, -1, -1):
+        v[k] = whole[k + 1] @ v[k + 1]
+    for t in range(long - 1, -1, -1):
+        behind[:, t] = v
+        v = (weight[:, t] * v) @ move.T
+    ahead, behind, weight, scale = (x.reshape(blocks * long, -1)[:n] for x in (ahead, behind, weight, scale))
     gamma = ahead * behind
+    moved = (ahead[:-1].T @ (weight[1:] * behind[1:])) * move
     return gamma / gamma.sum(axis=1, keepdims=True), moved, float(np.log(scale).sum() + top.sum())
 
 
@@ -180,20 +209,25 @@ def features(spikes: DataFrame, counts: DataFrame, grids: DataFrame, n_units: Da
     # over all units, those without a value counting as 0
     over_all = lambda df, v, mean, sd=None: df.groupBy("well", "bin").agg(F.sum(v).alias("_s"), F.sum(F.col(v) * F.col(v)).alias("_q")).join(n_units.select("well", "n_units"), "well").select("well", "bin", (F.col("_s") / F.col("n_units")).alias(mean), *([F.sqrt(F.greatest(F.col("_q") / F.col("n_units") - F.pow(F.col("_s") / F.col("n_units"), 2), F.lit(0.0))).alias(sd)] if sd else []))
     inverse = over_all(trains.inverse_intervals(spikes, grids, scale), "rate", "inv_isi_mean", "inv_isi_std")
-    uneven = stored(trains.irregularity(spikes, grids, isi_window))
-    parts = [posterior_aggregates(posteriors(fits)), rated, inverse, over_all(uneven, "cv", "cv_isi_mean"), over_all(uneven, "lv", "lv_mean")]
+    uneven = trains.irregularity(spikes, grids, isi_window)
+    both = uneven.groupBy("well", "bin").agg(F.sum("cv").alias("_cv"), F.sum("lv").alias("_lv")).join(n_units.select("well", "n_units"), "well").select("well", "bin", (F.col("_cv") / F.col("n_units")).alias("cv_isi_mean"), (F.col("_lv") / F.col("n_units")).alias("lv_mean"))
+    parts = [posterior_aggregates(posteriors(fits)), rated, inverse, both]
     parts += [binning.fano(counts, grids, n_units, f, ff_low, ff_high).withColumnRenamed("ff", f"_ff{k}") for k, f in enumerate(ff_factors)]
-    out = base.join(n_fit, "well", "left")
-    for k, part in enumerate(parts):
-        out = out.join(part, ["well", "bin"], "left")
-        out = stored(out) if k % 4 == 3 or k == len(parts) - 1 else out
-    out = out.withColumn("PFR", F.col("pfr").cast("double")).withColumn("participation", F.col("active") / F.greatest(F.coalesce("n_fit", F.col("n_units")), F.lit(1)))
-    out = out.na.fill(0.0, [c for c in out.columns if c in FEATURES or c.startswith("_ff")])
-    out = smoothing.gaussian(out, {f"FF{k}": f"_ff{k}" for k in range(len(ff_factors))}, 1.5)
+    every = base.join(n_fit, "well", "left").withColumnRenamed("pfr", "PFR").drop("step", "rate")
+    every = every.withColumn("participation", F.col("active") / F.greatest(F.coalesce("n_fit", F.col("n_units")), F.lit(1))).drop("n_fit", "n_units")
+    for part in parts:
+        every = every.unionByName(part, allowMissingColumns=True)
+    # one row of each part for a bin at most: one shuffle puts them together
+    out = every.groupBy("well", "bin").agg(*[F.max(c).alias(c) for c in every.columns if c not in ("well", "bin")]).where("t_low IS NOT NULL")
+    out = stored(out.na.fill(0.0, [c for c in out.columns if c in FEATURES or c.startswith("_ff")]))
+    narrow = out.select("well", "bin", "PFR", "participation", "llr_hmm_mean", *[f"_ff{k}" for k in range(len(ff_factors))])
     for name, value in (("dPFR", "PFR"), ("dParticipation", "participation"), ("dLLR", "llr_hmm_mean")):
-        out = smoothing.difference(out, f"_{name}", value)
-    out = smoothing.gaussian(out, {f"{n}_short": f"_{n}" for n in ("dPFR", "dParticipation", "dLLR")}, 1.5)
-    out = smoothing.gaussian(out, {f"{n}_long": f"_{n}" for n in ("dPFR", "dParticipation", "dLLR")}, 8.0)
+        narrow = smoothing.difference(narrow, f"_{name}", value)
+    narrow = stored(narrow.drop("PFR", "participation", "llr_hmm_mean"))
+    changes = ("dPFR", "dParticipation", "dLLR")
+    short = smoothing.gaussian(narrow, {**{f"FF{k}": f"_ff{k}" for k in range(len(ff_factors))}, **{f"{n}_short": f"_{n}" for n in changes}}, 1.5)
+    slow = smoothing.gaussian(narrow.select("well", "bin", *[f"_{n}" for n in changes]), {f"{n}_long": f"_{n}" for n in changes}, 8.0)
+    out = out.join(short.drop(*narrow.columns[2:]), ["well", "bin"]).join(slow.drop(*[f"_{n}" for n in changes]), ["well", "bin"])
     return out.select("well", "bin", "t_low", "t_high", "t_center", "total", "active", *FEATURES)
 
 

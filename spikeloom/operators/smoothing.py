@@ -49,7 +49,7 @@ def gaussian(rows: DataFrame, values: dict[str, str], sigma: Column | float, by:
     last = sized.groupBy(*by).agg(F.floor(F.max("bin") / PART).alias("_last"))
     radius = F.floor(TRUNCATE * F.col("_sigma") + 0.5).cast("long")
     part = lambda b: F.greatest(F.least(F.floor(b / PART), F.col("_last")), F.lit(0))
-    copies = sized.join(F.broadcast(last), by).withColumn("_part", F.explode(F.sequence(part(F.col("bin") - radius), part(F.col("bin") + radius)))).drop("_last")
+    copies = sized.join(last, by).withColumn("_part", F.explode(F.sequence(part(F.col("bin") - radius), part(F.col("bin") + radius)))).drop("_last")
     series = copies.groupBy(*by, "_part").agg(F.first("_sigma").alias("_sigma"), F.array_sort(F.collect_list(F.struct("bin", *[c for c in kept if c != "bin"]))).alias("_rows"))
     inside = lambda k: F.size(F.filter("_rows", lambda r: F.floor(r["bin"] / PART) == k)).cast("long")
     series = series.withColumn("_own", inside(F.col("_part"))).withColumn("_lead", F.size(F.filter("_rows", lambda r: F.floor(r["bin"] / PART) < F.col("_part"))).cast("long")).withColumn("_tail", F.size("_rows") - F.col("_own") - F.col("_lead"))

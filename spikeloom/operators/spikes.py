@@ -66,7 +66,7 @@ def irregularity(spikes: DataFrame, grid: DataFrame, window_bins: int = 25) -> D
     """(well, unit_id, bin, cv, lv): CV of intervals and local variation in a centred window of bins, 0 where undefined.
 
     An interval belongs to the bin of its later spike, a pair of intervals to that of the last one. Bins whose window holds no interval
-    have no row: rows are made for the bins around intervals only, each once, so a silent stretch costs nothing.
+    have no row. Windows are summed where their contents change; bins are written out last, so neither silent nor equal stretches are summed.
     """
     half = max(1, window_bins // 2)
     w = Window.partitionBy(*UNIT).orderBy("t")
@@ -81,16 +81,18 @@ def irregularity(spikes: DataFrame, grid: DataFrame, window_bins: int = 25) -> D
     )
     pair = 3 * F.pow(F.col("last_isi") - F.col("isi"), 2) / F.greatest(F.pow(F.col("last_isi") + F.col("isi"), 2), F.lit(1e-12))
     sums = rows.groupBy(*UNIT, "bin").agg(F.count("*").alias("n"), F.sum("isi").alias("s"), F.sum(F.col("isi") * F.col("isi")).alias("q"), F.count("last_isi").alias("m"), F.sum(pair).alias("v"))
-    own = Window.partitionBy(*UNIT).orderBy("bin")
-    spans = sums.select(*UNIT, "bin").join(grid.select("well", "n_bins"), "well").withColumn("before", F.lag("bin").over(own)).withColumn("after", F.lead("bin").over(own))
-    left, right = F.greatest(F.col("bin") - half, F.coalesce(F.col("before") + half + 1, F.lit(0))), F.least(F.col("bin") + half, F.coalesce("after", "n_bins") - 1)
-    to_left = F.when(left < F.col("bin"), F.sequence(left, F.col("bin") - 1)).otherwise(F.array().cast("array<bigint>"))
-    dense = spans.select(*UNIT, F.explode(F.concat(to_left, F.sequence("bin", right))).alias("bin")).join(sums, [*UNIT, "bin"], "left")
+    # what a window holds changes only where a bin with intervals enters or leaves it
+    marks = sums.select(*UNIT, F.explode(F.array(F.greatest(F.col("bin") - half, F.lit(0)), F.col("bin") + half + 1)).alias("bin")).distinct()
     frame = Window.partitionBy(*UNIT).orderBy("bin").rangeBetween(-half, half)
+    both = sums.withColumn("_mark", F.lit(False)).unionByName(marks.withColumn("_mark", F.lit(True)), allowMissingColumns=True)
     n, s, q, m, v = (F.coalesce(F.sum(c).over(frame), F.lit(0)) for c in ("n", "s", "q", "m", "v"))
     mean = F.try_divide(s, n)
     cv = F.when((n >= 2) & (mean > 1e-9), F.sqrt(F.greatest(F.try_divide(q, n) - mean * mean, F.lit(0.0))) / mean).otherwise(0.0)
-    return dense.select(*UNIT, "bin", cv.alias("cv"), F.when(m > 0, F.try_divide(v, m)).otherwise(0.0).alias("lv"))
+    lv = F.when(m > 0, F.try_divide(v, m)).otherwise(0.0)
+    held = both.select(*UNIT, "bin", "_mark", n.alias("_n"), cv.alias("cv"), lv.alias("lv")).where("_mark")
+    spans = held.withColumn("_next", F.lead("bin").over(Window.partitionBy(*UNIT).orderBy("bin"))).where("_n > 0").join(grid.select("well", "n_bins"), "well")
+    upto = F.least(F.col("_next"), F.col("n_bins")) - 1
+    return spans.where(F.col("bin") <= upto).select(*UNIT, F.explode(F.sequence("bin", upto)).alias("bin"), "cv", "lv")
 
 
 def unit_ranks(spikes: DataFrame) -> DataFrame:

@@ -85,3 +85,22 @@ def test_find_peaks_matches_a_plain_search():
                     want.append(mid)
             k = e + 1
         assert detectors.find_peaks(x, height, prominence) == want
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 97, 3000])
+def test_chains_in_blocks_are_those_of_one_run(n):
+    rng = np.random.default_rng(n)
+    counts = rng.poisson(np.where(rng.random(n) < 0.1, 5, 0.2)).astype(float)
+    rates, move, start = np.array([0.3, 4.0]), np.array(models.TRANSITION), np.array(models.START)
+    emission = counts[:, None] * np.log(rates) - rates
+    like = np.exp(emission)
+    ahead, behind, scale = np.empty((n, 2)), np.ones((n, 2)), np.empty(n)
+    for t in range(n):
+        a = (start if t == 0 else ahead[t - 1] @ move) * like[t]
+        scale[t] = a.sum()
+        ahead[t] = a / scale[t]
+    for t in range(n - 2, -1, -1):
+        behind[t] = move @ (like[t + 1] * behind[t + 1]) / scale[t + 1]
+    moved = sum((np.outer(ahead[t], like[t + 1] * behind[t + 1] / scale[t + 1]) * move for t in range(n - 1)), np.zeros((2, 2)))
+    gamma, got, ll = models._smooth_chain(emission, move, start)
+    assert np.allclose(gamma, ahead * behind, atol=1e-9) and np.allclose(got, moved, atol=1e-9) and abs(ll - np.log(scale).sum()) < 1e-7
