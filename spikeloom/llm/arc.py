@@ -14,7 +14,7 @@ reader takes them up again, a record at a time. Bodies are bytes throughout.
 
 `convert` takes any table with ARC files in a column `content`, as Spark's binary reader makes it; a column `page_ids`, if there
 is one, has the ids of each file's records in order. Null html is an empty payload, a null url is replaced by one made of the page
-id. Rows that repeat page_id, url and html have one record id and are all kept whole. Null page ids come last in the order of ids. Other
+id. Rows that repeat page_id, url and html are numbered: one of them may be the response, the others revisit it under record ids of their own. Null page ids come last in the order of ids. Other
 columns are ignored; an empty table gives no records.
 """
 
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import portions, shared_folder
+from .common import cut, portions, shared_folder
 
 VERSIONS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
@@ -167,11 +167,18 @@ def _file_head(members: list[bytes]) -> bytes:
 
 def write_warc(records: DataFrame, folder: str) -> None:
     """Writes the records as WARC files; copies of a payload become revisits of the one with the smallest page id."""
+    heads = cut(records.where("kind <> 'warcinfo'").select("payload_digest", "payload_bytes", "page_id", "record_id", "uri", "date"))  # no bodies
     order = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", F.col("record_id").alias("first"), F.col("uri").alias("first_uri"), F.col("date").alias("first_date"))
-    first = records.where((F.col("payload_bytes") >= MIN_BYTES) & (F.col("kind") != "warcinfo")).groupBy("payload_digest", "payload_bytes").agg(F.min(order).alias("f"), F.count("*").alias("n"))
+    first = heads.where(F.col("payload_bytes") >= MIN_BYTES).groupBy("payload_digest", "payload_bytes").agg(F.min(order).alias("f"), F.count("*").alias("n"))
     first = first.where("n > 1").select("payload_digest", "payload_bytes", F.col("f.page_id").alias("first_page"), "f.first", "f.first_uri", "f.first_date")
-    known = records.join(first, ["payload_digest", "payload_bytes"], "left").withColumn("again", F.coalesce((F.col("kind") != "warcinfo") & (F.col("first") != F.col("record_id")), F.lit(False)))
-    slim = known.withColumn("block", F.when(~F.col("again"), F.col("block")))
+    same = heads.join(first, ["payload_digest", "payload_bytes"]).groupBy("record_id").agg(*[F.first(c).alias(c) for c in ("first_page", "first", "first_uri", "first_date")], F.count("*").alias("copies"))
+    same = cut(same)
+    known = records.join(same, "record_id", "left")  # ids are spread evenly, whatever payloads are
+    kept = known.where("copies IS NULL OR copies = 1").withColumn("copy", F.lit(1))
+    if not same.where("copies > 1").isEmpty():  # rows that repeat: one body, as often as it was there
+        once = known.where("copies > 1").groupBy("record_id").agg(F.first(F.struct(*known.columns)).alias("x"))
+        kept = kept.unionByName(once.select("x.*", F.explode(F.sequence(F.lit(1), F.col("x.copies").cast("int"))).alias("copy")))
+    slim = kept.withColumn("again", F.coalesce((F.col("kind") != "warcinfo") & ((F.col("first") != F.col("record_id")) | (F.col("copy") > 1)), F.lit(False))).withColumn("block", F.when(~F.col("again"), F.col("block")))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         members, size = [], 0
@@ -183,7 +190,7 @@ def write_warc(records: DataFrame, folder: str) -> None:
             for r in batch.to_pylist():
                 again, page, first_page = r["again"], r["page_id"], r["first_page"]
                 members.append(warc_record("revisit" if again else r["kind"], [
-                    ("WARC-Record-ID", r["record_id"]), ("WARC-Date", r["date"]), ("WARC-Target-URI" if r["kind"] != "warcinfo" else "WARC-Filename", r["uri"]), ("WARC-IP-Address", r["ip"] if r["kind"] != "warcinfo" and r["ip"] != "-" else None),
+                    ("WARC-Record-ID", r["record_id"] if r["copy"] == 1 else f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{r['record_id']} {r['copy']}')}>"), ("WARC-Date", r["date"]), ("WARC-Target-URI" if r["kind"] != "warcinfo" else "WARC-Filename", r["uri"]), ("WARC-IP-Address", r["ip"] if r["kind"] != "warcinfo" and r["ip"] != "-" else None),
                     ("WARC-Payload-Digest", f"sha1:{r['payload_digest']}"), ("WARC-Block-Digest", None if again else f"sha1:{r['block_digest']}"),
                     ("WARC-Refers-To", r["first"] if again else None), ("WARC-Refers-To-Target-URI", r["first_uri"] if again else None), ("WARC-Refers-To-Date", r["first_date"] if again else None),
                     ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest" if again else None),
