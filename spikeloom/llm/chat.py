@@ -6,8 +6,8 @@ roles are never under the loss, an assistant's text always is. Inside roles and
 gets one after its first character; in a role a line end gets one in front. So no mark can be forged and reading back is exact.
 
 Turns go in the order of (turn, role, text), nulls first. Null texts and roles are empty. A conversation that breaks the order
-(or ends with a system turn, or has an unknown role) is still formatted whole, with `valid` false. Rows with a null conv_id
-form one conversation. No rows give no conversations. Other columns are ignored. A conversation is the unit of
+(or ends with a system turn, or has an unknown role) is still formatted whole, with `valid` false. A row with a null
+conv_id is a conversation of its own, so no task gathers them all. No rows give no conversations. Other columns are ignored. A conversation is the unit of
 work; rows are gathered by conv_id only.
 """
 
@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import portions
 
+#: Conversations that are formatted at a time.
+ROWS = 64
 TEMPLATE = {
     "open": "<|im_start|>",
     "between": "\n",
@@ -79,12 +81,13 @@ def read_back(formatted: str, template: dict = TEMPLATE) -> list[tuple[str, str]
 def format_conversations(rows: DataFrame, template: dict = TEMPLATE) -> DataFrame:
     """conv_id, formatted, segments array<struct<start,end,loss>> (code points, end exclusive), valid."""
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    gathered = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    gathered = rows.where("conv_id IS NOT NULL").groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    gathered = gathered.unionByName(rows.where("conv_id IS NULL").select("conv_id", F.array(turn).alias("turns")))
     kind = gathered.schema["conv_id"].dataType.simpleString()
     cell = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("loss", pa.bool_())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (own.slice(k, ROWS) for own in batches for k in range(0, len(own), ROWS)):
             texts, marks, valid = [], [], []
             for turns in batch["turns"].to_pylist():
                 parts, ok = segments([(t["role"], t["text"]) for t in turns], template)
@@ -132,10 +135,10 @@ def _sql() -> str:
         escape = f"replace({escape}, '{c}', '{c[0]}\\{c[1:]}')"
     marks = len(TEMPLATE["open"] + TEMPLATE["between"] + TEMPLATE["close"])
     return f"""
-WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+WITH t AS (SELECT conv_id, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, NULL, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, NULL, 1, 'assistant', '</s>[INST] ok [/INST]'),
 o AS (SELECT *, lag(role, 1, '') OVER w AS before, lead(role) OVER w IS NULL AS final FROM t
-  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+  WINDOW w AS (PARTITION BY conv_id, alone ORDER BY turn NULLS FIRST, role, text))
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
@@ -143,7 +146,7 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum({marks} + length({escape.format("role")}) + length(role) - length(replace(role, chr(10), '')) + length({escape.format("text")})) AS BIGINT) AS formatted_chars,
   bool_and(CASE WHEN before = '' THEN role IN ('system', 'user') WHEN before IN ('system', 'assistant') THEN role = 'user' WHEN before = 'user' THEN role = 'assistant' ELSE false END
     AND (NOT final OR role IN ('user', 'assistant'))) AS valid
-FROM o GROUP BY conv_id
+FROM o GROUP BY conv_id, alone
 """
 
 
