@@ -1,6 +1,6 @@
 """SentencePiece encoding and decoding by weighted finite-state transducers.
 
-A model file is compiled into three transducers:
+Three transducers are composed, of which the pieces' one is compiled from the model file and the others are rules of one state:
 
 * The normaliser writes U+2581 for every blank and puts one in front of a text that is not empty.
 * The piece transducer reads characters down a trie and, where a piece ends, writes its id with the weight -score. In a
@@ -37,6 +37,8 @@ from .common import mixed, portions
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ROOM = 300_000
+#: Rows that are decoded at a time.
+ROWS = 256
 #: Chunks of more characters are relaxed one by one.
 LONG = 48
 UNIGRAM, MERGES = 1, 2
@@ -404,7 +406,7 @@ def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = transducer(model.value)
-        for batch in batches:
+        for batch in (own.slice(k, ROWS) for own in batches for k in range(0, len(own), ROWS)):
             texts = [fst.decode(np.asarray(x or [], np.int64)) for x in batch["ids"].to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in others), pa.array(texts, pa.string())], names=[*others, "text"])
 

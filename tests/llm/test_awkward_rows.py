@@ -228,3 +228,18 @@ def test_no_session_setting_is_changed(spark, docs):
     arc.archive(spark.createDataFrame([(1, "u", "h")], "page_id long, url string, html string")).count()
     near_dedup.near_groups(docs).count()
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_rows_without_a_conversation_are_conversations_of_their_own(spark):
+    import duckdb
+
+    rows = [(None, 1, "user", "a"), (None, 0, "user", "b"), (None, 0, "user", "b"), (3, 1, "assistant", "d"), (3, 0, "user", "c")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.digests(chat.format_conversations(chat.with_probe(df)))
+    assert sorted(str((r.conv_id, r.n_turns)) for r in got.collect()) == sorted(map(str, [(None, 1), (None, 1), (None, 1), (3, 2), (-1, 2)]))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    cur = con.execute(chat.ORACLE_SQL)
+    names = [c[0] for c in cur.description]
+    assert sorted(str(tuple(r[c] for c in names)) for r in got.collect()) == sorted(str(v) for v in cur.fetchall())
