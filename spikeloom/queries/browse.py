@@ -165,14 +165,14 @@ def well_rec_names(spark, d):
     return browse.first_recording(trees, ["burst_detection", "auto_curation"])
 
 
-_KS = "k AS (SELECT DISTINCT '/ks/' || l_suppkey || '/s' || l_linenumber || '/' || CASE l_partkey % 4 WHEN 0 THEN 'spike_times.npy' WHEN 1 THEN 'spike_clusters.npy' WHEN 2 THEN 'params.py' ELSE 'cur/curated_spike_times.npy' END AS path FROM lineitem WHERE l_quantity < 30)"
+_KS = "k AS (SELECT DISTINCT '/ks/' || l_suppkey || '/s' || l_linenumber || '/' || CASE l_partkey % 4 WHEN 0 THEN 'spike_times.npy' WHEN 1 THEN 'spike_clusters.npy' WHEN 2 THEN 'params.py' ELSE 'cur/curated_spike_times.npy' END AS path FROM lineitem)"
 _KS_DIRS = "f AS (SELECT regexp_replace(path, '/[^/]*$', '') AS folder FROM k WHERE path NOT LIKE '%curated%' GROUP BY 1 HAVING count(DISTINCT path) = 3)"
 
 
 def _sorted_listing(spark, d):
     r = F.col("l_partkey") % 4
     name = F.when(r == 0, "spike_times.npy").when(r == 1, "spike_clusters.npy").when(r == 2, "params.py").otherwise("cur/curated_spike_times.npy")
-    return table(spark, d, "lineitem").where("l_quantity < 30").select(F.concat(F.lit("/ks/"), F.col("l_suppkey").cast("string"), F.lit("/s"), F.col("l_linenumber").cast("string"), F.lit("/"), name).alias("path")).distinct()
+    return table(spark, d, "lineitem").select(F.concat(F.lit("/ks/"), F.col("l_suppkey").cast("string"), F.lit("/s"), F.col("l_linenumber").cast("string"), F.lit("/"), name).alias("path")).distinct()
 
 
 @register(f"WITH {_KS}, {_KS_DIRS} SELECT folder FROM f")
@@ -248,10 +248,10 @@ def cached_batch(spark, d):
     return out
 
 
-@register("SELECT l_partkey AS unit_id, l_suppkey, round(l_extendedprice, 2) AS price, p.p_size AS size_tm, p.p_name, CAST(p_partkey % 7 AS INT) AS loc_x FROM lineitem LEFT JOIN part p ON p_partkey = l_partkey AND p_size > 10 WHERE l_linenumber = 1".replace("p.p_size AS size_tm", "l_linenumber AS size, p.p_size AS size_tm"))
+@register("SELECT l_partkey AS unit_id, l_suppkey, round(l_extendedprice, 2) AS price, p.p_size AS size_tm, p.p_name, CAST(p_partkey % 7 AS INT) AS loc_x FROM lineitem LEFT JOIN part p ON p_partkey = l_partkey AND p_size > 10".replace("p.p_size AS size_tm", "l_linenumber AS size, p.p_size AS size_tm"))
 def metrics_left_join(spark, d):
     """Quality metrics left-joined with template metrics and locations by unit; clashing names get a suffix."""
-    quality = table(spark, d, "lineitem").where("l_linenumber = 1").select(F.col("l_partkey").alias("unit_id"), "l_suppkey", F.round("l_extendedprice", 2).alias("price"), F.col("l_linenumber").alias("size"))
+    quality = table(spark, d, "lineitem").select(F.col("l_partkey").alias("unit_id"), "l_suppkey", F.round("l_extendedprice", 2).alias("price"), F.col("l_linenumber").alias("size"))
     part = table(spark, d, "part").where("p_size > 10")
     template = part.select(F.col("p_partkey").alias("unit_id"), F.col("p_size").alias("size"), "p_name")
     places = part.select(F.col("p_partkey").alias("unit_id"), (F.col("p_partkey") % 7).cast("int").alias("loc_x"))

@@ -1,12 +1,13 @@
-"""Pairs of units, density trees and channels in space over the star schema."""
+"""Pairs of units, density trees, channels in space and filters over the star schema."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from spikeloom.operators import density, pairs
+from spikeloom.operators import density, pairs, space
 
-from .common import HOUR, SPIKES_SQL, spikes, table, with_sql
+from .common import HOUR, SPIKES_SQL, signal_chain, spikes, table, with_sql
+from .signals import _signals
 
 QUERIES, ORACLES = {}, {}
 
@@ -105,3 +106,58 @@ def density_clusters(spark, d):
     rows, _ = density.principal_axes(_vectors(spark, d), ["well"], 5)
     found = density.clusters(rows.select("well", "id", F.col("axes").alias("x")), ["well"], 5, 3)
     return found.withColumn("probability", F.round("probability", 6))
+
+
+_PLACES = "ch AS (SELECT p_brand AS well, p_partkey AS channel, CAST(p_partkey * 37 % 1000 AS DOUBLE) AS x, p_size * 20.0 AS y FROM part)"
+
+
+def _places(spark, d):
+    x = (F.col("p_partkey") * 37 % 1000).cast("double")
+    return table(spark, d, "part").select(F.col("p_brand").alias("well"), F.col("p_partkey").alias("channel"), x.alias("x"), (F.col("p_size") * 20.0).alias("y"))
+
+
+@register(f"WITH {_PLACES} SELECT a.well, a.channel, count(*) AS n, round(max(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))), 6) AS farthest FROM ch a JOIN ch b ON a.well = b.well AND a.channel <> b.channel AND sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) > 20 AND sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 90 GROUP BY ALL")
+def ring_neighbours(spark, d):
+    """Channels in a ring around each channel."""
+    return space.neighbours(_places(spark, d), 20.0, 90.0).groupBy("well", "channel").agg(F.count("*").alias("n"), F.round(F.max("distance"), 6).alias("farthest"))
+
+
+@register(
+    f"WITH {_PLACES}, pk AS (SELECT p_brand AS well, l_suppkey AS unit_id, arg_max(l_partkey, l_extendedprice * 1e4 - l_partkey / 1e3) AS channel FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY ALL)"
+    " SELECT pk.well, pk.unit_id, b.channel FROM pk JOIN ch a ON a.well = pk.well AND a.channel = pk.channel JOIN ch b ON b.well = a.well AND sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 60"
+)
+def sparse_units(spark, d):
+    """The channels around each unit's strongest one."""
+    li = table(spark, d, "lineitem").join(table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("well")), "l_partkey")
+    peaks = li.groupBy("well", F.col("l_suppkey").alias("unit_id")).agg(F.max_by("l_partkey", F.col("l_extendedprice") * 1e4 - F.col("l_partkey") / 1e3).alias("channel"))
+    return space.sparse_channels(peaks, _places(spark, d), 60.0)
+
+
+@register(
+    "WITH g AS (SELECT k, (k % 8) * 200.0 AS x, (k // 8) * 200.0 AS y FROM (SELECT unnest(range(0, 64)) AS k)), n AS (SELECT a.k, b.k AS j FROM g a JOIN g b ON sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) > 0 AND sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 250),"
+    " v AS (SELECT label AS well, vec_id, n.k, any_value(CAST(embedding[n.k + 1] AS DOUBLE)) AS v, quantile_cont(CAST(embedding[n.j + 1] AS DOUBLE), 0.5) AS m FROM embeddings CROSS JOIN n GROUP BY ALL) SELECT well, vec_id, k, round(v - m, 6) AS v FROM v"
+)
+def ring_reference(spark, d):
+    """Every channel less the median of the channels within 250 micrometres, by the channels' positions."""
+    frames = table(spark, d, "embeddings").select(F.col("label").alias("well"), "vec_id", "embedding")
+    k = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(63).cast("long")))
+    channels = frames.select("well").distinct().select("well", k.alias("channel")).select("well", "channel", (F.col("channel") % 8 * 200.0).alias("x"), (F.floor(F.col("channel") / 8) * 200.0).alias("y"))
+    out = space.ring_reference(frames, channels, "embedding", 0.0, 250.0)
+    return out.select("well", "vec_id", F.posexplode("embedding").alias("k", "v")).select("well", "vec_id", F.col("k").cast("long").alias("k"), F.round("v", 6).alias("v"))
+
+
+_BAND = space.butterworth(1, 1 / 48, 1 / 6, 1.0)[0].tolist()
+
+
+@register(
+    "WITH RECURSIVE " + ", ".join(signal_chain())
+    + f""", r(well, bin, y, p, q) AS (SELECT well, CAST(-1 AS BIGINT), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM grid UNION ALL
+ SELECT well, bin, y, {_BAND[1]} * x - {_BAND[3]} * y + q, {_BAND[2]} * x - {_BAND[4]} * y FROM (SELECT r.well, s.bin, CAST(s.total AS DOUBLE) AS x, {_BAND[0]} * s.total + r.p AS y, r.q FROM r JOIN sig s ON s.well = r.well AND s.bin = r.bin + 1))
+ SELECT well, bin, round(y, 7) AS y FROM r WHERE bin >= 0"""
+)
+def band_passed(spark, d):
+    """Hourly counts of each well between two frequencies, in blocks of a hundred bins."""
+    signal = _signals(spark, d)[3]
+    blocks = signal.groupBy("well", F.floor(F.col("bin") / 100).alias("block")).agg(F.transform(F.array_sort(F.collect_list(F.struct("bin", F.col("total").cast("double").alias("v")))), lambda r: r["v"]).alias("x"))
+    out = space.filtered(blocks, ["well"], space.butterworth(1, 1 / 48, 1 / 6, 1.0))
+    return out.select("well", "block", F.posexplode("x").alias("k", "y")).select("well", (F.col("block") * 100 + F.col("k")).alias("bin"), F.round("y", 7).alias("y"))
