@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, portions, remainder, utf8
@@ -133,7 +133,9 @@ def predict(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of `docs`."""
     known = labels.where(F.col("toxic").isin(0, 1) & (remainder("doc_id", 4) != 2)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)  # at most SAMPLE rows of two numbers: small enough to broadcast
-    sample = cut(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"), (F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(5)) == 4).alias("last")))
+    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")  # of rows with equal ids one is learned from, so that SAMPLE bounds the rows
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("place", F.row_number().over(one)).where("place = 1")
+    sample = cut(texts.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"), (F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(5)) == 4).alias("last")))
     rows = docs.select("doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "text")
     total, pos = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     final = lambda score: ["doc_id", "held_out", score.alias("score"), F.when(score >= THRESHOLD, 1).otherwise(0).alias("predicted")]
