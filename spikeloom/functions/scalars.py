@@ -22,8 +22,10 @@ def well_number(well_id: Column) -> Column:
 
 
 def well_name(number: Column, columns: int = 6) -> Column:
-    """A1-style name, `?` without a number."""
-    return F.when(number.isNull(), "?").otherwise(F.concat(F.char(65 + F.floor(number / columns)), (number % columns + 1).cast("string")))
+    """A1-style name, `?` without a number; rows after Z are AA, AB and so on, up to ZZ."""
+    row = F.floor(number / columns)
+    letters = F.when(row < 26, F.char(65 + row)).otherwise(F.concat(F.char(64 + F.floor(row / 26)), F.char(65 + row % 26)))
+    return F.when(number.isNull(), "?").otherwise(F.concat(letters, (number % columns + 1).cast("string")))
 
 
 def coerced(text: Column) -> Column:

@@ -103,8 +103,9 @@ def population_signals(spikes: DataFrame, calibration: DataFrame) -> tuple[DataF
     return grids, n_units, smoothing.gaussian(fast, {"ws_slow": "participation", "ws_rate": "rate"}, F.col("sigma_slow"))
 
 
-def population_bursts(spikes: DataFrame, extent_frac: float = 0.30, gap_min: float = 0.75) -> dict[str, DataFrame]:
-    """burstlets, network_bursts, superbursts and metrics of each well; spikes(well, unit_id, t in seconds)."""
+def population_bursts(spikes: DataFrame, extent_frac: float = 0.30, gap_min: float = 0.75, min_network: float = 0.0, min_super: float = 0.0) -> dict[str, DataFrame]:
+    """burstlets, network_bursts, superbursts and metrics of each well; spikes(well, unit_id, t in seconds). Merged events shorter than min_network or
+    min_super seconds are left out; superbursts are made from the network bursts that stay."""
     cal = stored(trains.calibration(spikes, gap_min=gap_min))
     grids, n_units, signal = population_signals(spikes, cal)
     signal = stored(signal)  # every later step reads it
@@ -129,13 +130,13 @@ def population_bursts(spikes: DataFrame, extent_frac: float = 0.30, gap_min: flo
         active = intervals.participants(events, spikes, ["well"], 1.0)
         return events.join(active, ["well", "start", "end"]).join(n_units, "well").withColumn("participation", F.col("n_active") / F.col("n_units")).drop("n_active", "n_units")
 
-    def merged(events: DataFrame, gap: str, accept: Column) -> DataFrame:
+    def merged(events: DataFrame, gap: str, least: float, accept: Column) -> DataFrame:
         gated = intervals.merge(events.join(constants, "well"), signal, "ws_sharp", ["well"], gap=F.col(gap), step=F.col("bin_size"), accept=accept)
-        return level(stored(intervals.roll_up(gated, ["well"]).drop("merged")))
+        return level(stored(intervals.roll_up(gated, ["well"]).drop("merged").where(F.col("duration") >= least)))
 
     burstlets = stored(level(stored(burstlets)))
-    network = stored(merged(burstlets, "burstlet_gap", F.col("valley") >= F.col("threshold")))
-    superb = merged(network, "network_gap", (F.col("valley") > F.col("baseline")) & (F.col("valley") < F.col("threshold"))).where("n_sub_events >= 2")
+    network = stored(merged(burstlets, "burstlet_gap", min_network, F.col("valley") >= F.col("threshold")))
+    superb = merged(network, "network_gap", min_super, (F.col("valley") > F.col("baseline")) & (F.col("valley") < F.col("threshold"))).where("n_sub_events >= 2")
     superb = stored(superb)
     total = cal.select("well", (F.col("rec_end") - F.col("rec_start")).alias("total_duration"))
     metrics = None

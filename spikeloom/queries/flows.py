@@ -27,11 +27,12 @@ def register(sql: str | None = None):
 def stream_window_counts(spark, d):
     schema = table(spark, d, "events").schema
     rows = spark.readStream.schema(schema).option("pathGlobFilter", "events*").parquet(d) if not _is_folder(spark, f"{d}/events.parquet") else spark.readStream.schema(schema).parquet(f"{d}/events.parquet")
+    rows = rows.withColumn("ts", F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp"))
     counts = rows.groupBy("event_type", F.window("ts", "6 hours").alias("w")).agg(F.count("*").alias("n"))
     folder = incremental.shared_folder(spark, "counts")
 
     def keep(batch, number):
-        batch.select("event_type", F.col("w.start").cast("timestamp_ntz").alias("start"), "n").write.mode("overwrite").parquet(f"{folder}/rows")
+        batch.select("event_type", F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("w.start").cast("timestamp_ntz")).alias("start"), "n").write.mode("overwrite").parquet(f"{folder}/rows")
 
     counts.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{folder}/rows")

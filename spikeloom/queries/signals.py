@@ -232,6 +232,26 @@ def event_rollup(spark, d):
     return out.select("well", "start", "end", "n_sub_events", "total_spikes", "peak_synchrony", "peak_bin", "energy")
 
 
+_PARTS = [
+    *_MERGED,
+    "x AS (SELECT f.well, f.merged, f.s, f.e, sum(m.total) AS total, max(m.participation) AS peak, arg_max(m.start + m.bin * m.step, m.participation * 1e6 - m.bin / 1e4) AS pt, sum(m.rate) AS energy, max(m.pfr) AS burst_peak FROM f JOIN m ON m.well = f.well AND m.start + m.bin * m.step >= f.s AND m.start + m.bin * m.step < f.e GROUP BY ALL)",
+]
+
+
+@register(
+    with_sql(*_PARTS)
+    + """SELECT well, min(s) AS start, max(e) AS "end", max(e) - min(s) AS duration, round(max(peak), 9) AS peak_synchrony, arg_max(pt, peak * 1e12 - s / 1e9) AS peak_time, round(sum(energy), 6) AS synchrony_energy,
+ CAST(count(*) AS BIGINT) AS fragment_count, CAST(sum(total) AS BIGINT) AS total_spikes, round(max(burst_peak), 6) AS burst_peak, count(*) AS n_sub_events FROM x GROUP BY well, merged"""
+)
+def rolled_events(spark, d):
+    """Merged events from the events that they are made of."""
+    g, m, f = _merged(spark, d)
+    top = F.max_by((F.col("start") + F.col("bin") * F.col("step")), F.struct(F.col("participation"), -F.col("bin")))
+    own = detectors._over(f, m.select("well", "bin", "total", "participation", "rate", "pfr").join(g, "well"), [F.sum("total").alias("total_spikes"), F.max("participation").alias("peak_synchrony"), top.alias("peak_time"), F.sum("rate").alias("synchrony_energy"), F.max("pfr").alias("burst_peak")])
+    out = intervals.roll_up(own.withColumn("fragment_count", F.lit(1).cast("long")), ["well"]).drop("merged")
+    return out.withColumns({c: F.round(c, k) for c, k in (("peak_synchrony", 9), ("synchrony_energy", 6), ("burst_peak", 6))})
+
+
 @register(with_sql(*_EVENTS) + 'SELECT ev.well, s AS start, e AS "end", count(DISTINCT unit_id) AS n_active FROM ev LEFT JOIN spk ON spk.well = ev.well AND t >= s AND t < e GROUP BY ev.well, s, e')
 def event_participation(spark, d):
     _, _, ev = _events(spark, d)

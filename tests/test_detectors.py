@@ -24,6 +24,9 @@ def test_population_bursts_find_the_injected_ones(cultures):
     scores = intervals.detection_scores(found["network_bursts"], truth, ["well"]).toPandas().set_index("well")
     assert scores.recall["strong"] == 1.0
     assert (found["burstlets"].groupBy("well").count().toPandas()["count"] > 0).all()
+    least = float(network.duration.median()) + 1e-9
+    fewer = detectors.population_bursts(spikes, min_network=least)["network_bursts"].toPandas()
+    assert sorted(fewer.start) == sorted(network[network.duration >= least].start) and len(fewer) < len(network)
 
 
 @pytest.mark.parametrize("options", [{"clustering": "threshold"}, {"axes": 5}])

@@ -288,3 +288,8 @@ def test_levels_that_are_left_out_are_gone(spark, tmp_path):
     files.write_events({"network_bursts": events.union(events)}, folder)
     assert [(r.level, r.n) for r in files.read_events(spark, folder).groupBy("level").agg(F.count("*").alias("n")).collect()] == [("network_bursts", 2)]
     assert files.read_extra(spark, folder, "metrics").first().n == 3
+
+
+def test_well_names_past_the_alphabet(spark):
+    rows = spark.createDataFrame([(0,), (7,), (155,), (156,), (26 * 6 + 6 * 27,), (None,)], "n int")
+    assert [r.name for r in rows.select(scalars.well_name(F.col("n")).alias("name")).collect()] == ["A1", "B2", "Z6", "AA1", "BB1", "?"]
