@@ -237,9 +237,9 @@ def burst_label_union(spark, d):
     return scoring.label_union(ranks, ranks.where("score > 0.02")).select("well", F.array_join("labels", ",").alias("labels"))
 
 
-@register(with_sql(*_EVENTS, "bc AS (SELECT ev.well, ev.s, count(*) AS total, count(*) FILTER (m.total % 4 = 3) AS l2 FROM ev JOIN m ON m.well = ev.well AND bin BETWEEN start_idx AND end_idx GROUP BY ALL)".replace(" m ON m.well", " m ON m.well")) + "SELECT well, s AS start, round(l2 / CAST(total AS DOUBLE), 9) AS share FROM bc")
+@register(with_sql(*_EVENTS, "bc AS (SELECT ev.well, ev.s, count(*) AS total, count(*) FILTER (m.total % 4 = 3) AS l2 FROM ev JOIN m ON m.well = ev.well AND bin BETWEEN start_idx AND end_idx GROUP BY ALL)".replace(" m ON m.well", " m ON m.well")) + "SELECT well, s AS start, round(l2 / CAST(total AS DOUBLE), 9) AS share FROM bc WHERE well IN (SELECT well FROM m WHERE total % 4 = 3)")
 def burst_composition(spark, d):
-    """The share of one label among each event's bins."""
+    """The share of one label among each event's bins, in wells that have it."""
     g, m, ev = _events(spark, d)
     bins = m.join(g.select("well", F.col("start").alias("s0"), F.col("step").alias("w0")), "well").select("well", (F.col("s0") + F.col("bin") * F.col("w0") + F.col("w0") / 2).alias("t_center"), (F.col("total") % 4 - 1).alias("label"))
     return models.composition(ev, bins, ["well"], HOUR).where("label = 2").select("well", "start", F.round("share", 9).alias("share"))
