@@ -52,6 +52,12 @@ def qgrams(points: np.ndarray) -> np.ndarray:
     return mixed((c[Q:] - c[:-Q]) * down[: len(points) - Q + 1])
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted and distinct; by sorting, which is faster here than by hashing."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 class Index:
     """The windows of a block of items, each content once, and their q-grams."""
 
@@ -112,8 +118,8 @@ class Index:
                 m, own = n[low:high], k[low:high]
                 place = self.places[np.repeat(self.first[own] - (np.cumsum(m) - m), m) + np.arange(m.sum())]
                 key = (np.repeat(at[low:high], m) - place) // half * wide + place
-                found.append(np.unique(np.concatenate([key, key - wide])))
-        hits = np.unique(np.concatenate(found)) if len(found) > 1 else found[0]
+                found.append(_distinct(np.concatenate([key, key - wide])))
+        hits = _distinct(np.concatenate(found)) if len(found) > 1 else found[0]
         band = np.floor_divide(hits, wide)
         place = hits - band * wide
         # windows are looked up only where the least count of hits lies within one window
