@@ -1,6 +1,7 @@
 """Every operator against a brute-force version or a public library, on small fixtures with the awkward cases."""
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -539,6 +540,50 @@ def test_toxicity(spark, empty):
     assert toxicity.predict(empty, known).count() == 0
 
 
+def test_toxicity_lexicon_and_calibration_are_recomputed(spark, monkeypatch):
+    """The lexicon by plain counting, and the calibrated scores by pooling adjacent violators over the margins of the last fifth."""
+    r = random.Random(14)
+    words, rows, labels = [prose(r, 1) for _ in range(200)], [], {}
+    for i in range(700):
+        labels[i] = int(r.random() < 0.4)
+        t = prose(r, r.randint(10, 40), words).split()
+        for _ in range(r.choice([0, 1, 2]) if labels[i] else r.choice([0, 0, 0, 1])):
+            t.insert(r.randrange(len(t)), r.choice(["idiot", "zorbling", "you"]))
+        rows.append((i, " ".join(t)))
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(list(labels.items()), "doc_id long, toxic int")
+    fold = {x.doc_id: x.f == 4 for x in docs.selectExpr("doc_id", "pmod(xxhash64(doc_id, 'fold'), 5) AS f").collect()}
+    seen = {}
+    monkeypatch.setattr(toxicity, "learn_lexicon", lambda sample, learn=toxicity.learn_lexicon: seen.setdefault("lexicon", learn(sample)))
+    monkeypatch.setattr(toxicity, "TIE_SHARE", 1.0)
+    raw = {x.doc_id: x for x in toxicity.predict(docs, known).collect()}
+    monkeypatch.setattr(toxicity, "TIE_SHARE", 0.0)
+    got = {x.doc_id: x.score for x in toxicity.predict(docs, known).collect()}
+    held = {i for i in labels if raw[i].held_out}
+    count, total = ({}, {}), [0, 0]
+    for i, t in rows:
+        if i not in held and not fold[i]:
+            total[labels[i]] += 1
+            own = set(re.findall(r"[^\W_]+", t.lower()))
+            for g in own | {f"{w[:n]}*" for w in own for n in toxicity.STEMS if len(w) > n}:
+                count[labels[i]][g] = count[labels[i]].get(g, 0) + 1
+    odds = {g: math.log((n + 0.5) / (total[1] + 1)) - math.log((count[0].get(g, 0) + 0.5) / (total[0] + 1)) for g, n in count[1].items() if n >= toxicity.FEWEST}
+    assert seen["lexicon"] == {w: 4.0 for w in toxicity.INSULTS} | {g: pytest.approx(o, abs=1e-6) for g, o in odds.items() if o >= toxicity.LEAST}
+    margin = {i: math.log(x.score / (1 - x.score)) / 2 for i, x in raw.items()}
+    points = {}
+    for i in labels:
+        if i not in held and fold[i]:
+            points.setdefault(round(margin[i], 9), []).append(labels[i])
+    pools = []  # [sum, n, first margin, last margin]
+    for m in sorted(points):
+        pools.append([sum(points[m]), len(points[m]), m, m])
+        while len(pools) > 1 and pools[-2][0] / pools[-2][1] >= pools[-1][0] / pools[-1][1]:
+            last = pools.pop()
+            pools[-1] = [pools[-1][0] + last[0], pools[-1][1] + last[1], pools[-1][2], last[3]]
+    curve = [(m, a / n) for a, n, low, high in pools for m in ([low, high] if high > low else [low])]
+    want = {i: float(np.interp(m, *zip(*curve))) for i, m in margin.items()}
+    assert len(pools) > 1 and all(abs(got[i] - want[i]) < 1e-6 for i in labels)
+
+
 def test_pipeline(spark, tmp_path, rows):
     import corpus_pipeline
 
