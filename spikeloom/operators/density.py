@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from spikeloom.functions.lineage import stored
 
+from . import models
+
 BLOCK, FAN = 1024, 8
 
 
@@ -47,27 +49,83 @@ def _kinds(rows: DataFrame, by: list[str]) -> str:
     return ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in by)
 
 
-def core_distances(rows: DataFrame, by: list[str], k: int) -> DataFrame:
-    """(by, id, core): distance to the k-th nearest other row of the group, or to the farthest if there are fewer."""
+def nearest_rows(rows: DataFrame, by: list[str], k: int) -> DataFrame:
+    """(by, id, near): the k nearest other rows of the group (all, if fewer), as structs (d, other) by distance, ties by id."""
 
     def nearest(pdf: pd.DataFrame) -> pd.DataFrame:
         first = pdf._block.to_numpy() == pdf._i.iloc[0]
         one = pdf._i.iloc[0] == pdf._j.iloc[0]
-        x = np.stack(pdf.x.to_numpy())
+        x, ids = np.stack(pdf.x.to_numpy()), pdf.id.to_numpy(np.int64)
         d = _distances(x[first], x if one else x[~first])
         if one:
             np.fill_diagonal(d, np.inf)
-        parts = [(np.flatnonzero(first), d)] if one else [(np.flatnonzero(first), d), (np.flatnonzero(~first), d.T)]
+        parts = [(np.flatnonzero(first), np.arange(len(x)) if one else np.flatnonzero(~first), d)]
+        parts += [] if one else [(np.flatnonzero(~first), np.flatnonzero(first), d.T)]
         out = []
-        for which, own in parts:
-            near = np.sort(own, axis=1)[:, :k] if own.shape[1] <= k else np.sort(np.partition(own, k - 1, axis=1)[:, :k], axis=1)
-            out.append(pdf.iloc[which][[*by, "id"]].assign(near=[v[np.isfinite(v)] for v in near]))
+        for which, others, own in parts:
+            order = np.lexsort((np.broadcast_to(ids[others], own.shape), own), axis=1)[:, :k]
+            near = [(v[np.isfinite(v)], ids[others[o]][np.isfinite(v)]) for v, o in zip(np.take_along_axis(own, order, axis=1), order)]
+            out.append(pdf.iloc[which][[*by, "id"]].assign(d=[v for v, _ in near], other=[o for _, o in near]))
         return pd.concat(out)
 
     dealt, _ = _blocked(rows.select(*by, "id", F.col("x").cast("array<double>").alias("x")), by)
-    near = _cells(dealt, F.lit(True)).groupBy(*by, "_i", "_j").applyInPandas(nearest, f"{_kinds(rows, by)}, id long, near array<double>")
-    merged = near.groupBy(*by, "id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
-    return merged.select(*by, "id", F.coalesce(F.array_max("near"), F.lit(0.0)).alias("core"))
+    near = _cells(dealt, F.lit(True)).groupBy(*by, "_i", "_j").applyInPandas(nearest, f"{_kinds(rows, by)}, id long, d array<double>, other array<long>")
+    return near.groupBy(*by, "id").agg(F.slice(F.array_sort(F.flatten(F.collect_list(F.arrays_zip("d", "other")))), 1, k).alias("near"))
+
+
+def core_distances(rows: DataFrame, by: list[str], k: int) -> DataFrame:
+    """(by, id, core): distance to the k-th nearest other row of the group, or to the farthest if there are fewer."""
+    return nearest_rows(rows, by, k).select(*by, "id", F.coalesce(F.array_max("near")["d"], F.lit(0.0)).alias("core"))
+
+
+def _leading(a: np.ndarray, b: np.ndarray, w: np.ndarray, n: int, k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k largest eigenvalues of a sparse symmetric matrix (entries w at a, b; sorted by a), and their vectors."""
+    if n <= 256:
+        dense = np.zeros((n, n))
+        dense[a, b] = w
+        values, vectors = np.linalg.eigh(dense)
+    else:  # Rayleigh-Ritz in the space of a block and its first products with the matrix
+        begin = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))  # every row has entries
+        times = lambda v: np.add.reduceat(w[:, None] * v[b], begin, axis=0)
+        block = np.linalg.qr(np.random.default_rng(seed).normal(size=(n, k + 2)))[0]
+        basis = block
+        for _ in range(24):
+            block = times(block)
+            for _ in range(2):
+                block = block - basis @ (basis.T @ block)
+            block = np.linalg.qr(block)[0]
+            basis = np.concatenate([basis, block], axis=1)
+        values, small = np.linalg.eigh(basis.T @ times(basis))
+        vectors = basis @ small
+    return values[::-1][:k], vectors[:, ::-1][:, :k]
+
+
+def spectral_clusters(rows: DataFrame, by: list[str], neighbours: int = 30, choices: tuple[int, ...] = (2, 3, 4, 5, 6, 7, 8), seed: int = 42) -> DataFrame:
+    """(by, id, label, k): spectral clusters over the graph of nearest rows, k being the choice with the largest gap between eigenvalues.
+
+    The graph is an edge table, made block by block; each pair weighs a half for each side that has the other among its nearest. A group's graph, at most
+    2 * neighbours edges a row, is one task's work: leading vectors of its normalised matrix, then k-means on them. Labels are numbered by their first id.
+    """
+    near = nearest_rows(rows, by, neighbours).select(*by, F.col("id").alias("a"), F.explode_outer("near").alias("x")).select(*by, "a", F.col("x.other").alias("b"))
+    both = near.unionByName(near.where("b IS NOT NULL").select(*by, F.col("b").alias("a"), F.col("a").alias("b")))
+    edges = both.groupBy(*by, "a", "b").agg((F.count("*") / 2).alias("w"))
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, keys = np.unique(pdf.a.to_numpy(np.int64)), {c: pdf[c].iloc[0] for c in by}
+        pdf = pdf[pdf.b.notna()].sort_values(["a", "b"])
+        n, label, k = len(ids), np.zeros(len(ids), np.int64), 1
+        if n > 2:
+            a, b = np.searchsorted(ids, pdf.a.to_numpy(np.int64)), np.searchsorted(ids, pdf.b.to_numpy(np.int64))
+            degree = np.bincount(a, pdf.w.to_numpy(), n)
+            values, vectors = _leading(a, b, pdf.w.to_numpy() / np.sqrt(degree[a] * degree[b]), n, min(max(choices) + 1, n), seed)
+            open_ = [c for c in choices if c < len(values)]
+            k = max(open_, key=lambda c: values[c - 1] - values[c]) if open_ else 1
+            found = models._lloyd(vectors[:, :k] / np.sqrt(degree)[:, None], k, seed)
+            _, first, label = np.unique(found, return_index=True, return_inverse=True)
+            label = np.argsort(np.argsort(first))[label]
+        return pd.DataFrame({**keys, "id": ids, "label": label.astype(np.int32), "k": np.int32(k)}, index=range(n))
+
+    return edges.groupBy(*by).applyInPandas(one, f"{_kinds(rows, by)}, id long, label int, k int")
 
 
 def _prim(ids: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -161,3 +161,10 @@ def band_passed(spark, d):
     blocks = signal.groupBy("well", F.floor(F.col("bin") / 100).alias("block")).agg(F.transform(F.array_sort(F.collect_list(F.struct("bin", F.col("total").cast("double").alias("v")))), lambda r: r["v"]).alias("x"))
     out = space.filtered(blocks, ["well"], space.butterworth(1, 1 / 48, 1 / 6, 1.0))
     return out.select("well", "block", F.posexplode("x").alias("k", "y")).select("well", (F.col("block") * 100 + F.col("k")).alias("bin"), F.round("y", 7).alias("y"))
+
+
+@register()
+def spectral_clusters(spark, d):
+    """Spectral clusters of each group of vectors, on its five principal axes."""
+    rows, _ = density.principal_axes(_vectors(spark, d), ["well"], 5)
+    return density.spectral_clusters(rows.select("well", "id", F.col("axes").alias("x")), ["well"])

@@ -154,3 +154,31 @@ def test_principal_axes_of_each_well(spark):
         assert np.allclose(shares[w], (s**2 / (s**2).sum())[:3])
         own = np.array([axes[w][i] for i in range(len(x))])
         assert np.allclose(np.abs(own), np.abs(centred @ v[:3].T), atol=1e-8)
+
+
+def test_spectral_clusters_follow_moons_and_gaps(spark):
+    rng = np.random.default_rng(9)
+    t = rng.uniform(0, np.pi, 400)
+    moon = np.stack([np.cos(t), np.sin(t)], axis=1)
+    moons = np.concatenate([moon[:200], [1, 0.5] - moon[200:]]) + rng.normal(0, 0.04, (400, 2))
+    blobs = np.concatenate([rng.normal(c, 0.3, (30, 2)) for c in ((0, 0), (6, 0), (0, 6), (7, 7))])
+    got = {}
+    for wells, choices in (({"moons": moons}, (2,)), ({"blobs": blobs, "two": np.zeros((2, 2))}, (2, 3, 4, 5, 6, 7, 8))):
+        for r in density.spectral_clusters(frame(spark, wells), ["well"], 10, choices).collect():
+            got.setdefault(r.well, {})[r.id] = (r.label, r.k)
+    assert [got["moons"][i] for i in range(400)] == [(int(i >= 200), 2) for i in range(400)]
+    assert [got["blobs"][i] for i in range(120)] == [(i // 30, 4) for i in range(120)]
+    assert got["two"] == {0: (0, 1), 1: (0, 1)}
+
+
+def test_leading_vectors_are_those_of_the_whole_matrix():
+    rng = np.random.default_rng(2)
+    n = 500
+    a, b = rng.integers(0, n, 4000), rng.integers(0, n, 4000)
+    dense = np.zeros((n, n))
+    dense[a, b] = 1.0
+    dense = np.maximum(dense, dense.T) + np.eye(n)
+    dense /= np.sqrt(np.outer(dense.sum(axis=0), dense.sum(axis=0)))
+    a, b = np.nonzero(dense)
+    values, vectors = density._leading(a, b, dense[a, b], n, 5, 1)
+    assert np.allclose(values, np.linalg.eigvalsh(dense)[::-1][:5], atol=1e-6) and np.allclose(dense @ vectors, vectors * values, atol=1e-3)
