@@ -135,7 +135,7 @@ def greedy_matches(detected: DataFrame, truth: DataFrame, by: list[str], least:
     """One-to-one matches (by, start, end, truth_start, truth_end, overlap); every row of either side is one of its own.
 
     order "largest": pairs by overlap, the largest first. order "earliest": detections in turn take their first free truth. Ties go by start, end and copy.
-    Each group's candidate pairs are scanned once; only overlapping pairs reach the scan.
+    A group's overlapping pairs are scanned once, in one task; groups are dealt over slots.
     """
     pairs = overlaps(detected, truth, by, least, width)
     sides = ["a_start", "a_end", "a_copy", "b_start", "b_end", "b_copy"]
@@ -143,16 +143,20 @@ def greedy_matches(detected: DataFrame, truth: DataFrame, by: list[str], least:
     kinds = ", ".join(f"{c} {detected.schema[c].dataType.simpleString()}" for c in by)
 
     def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        used_a, used_b, kept = set(), set(), []
-        pdf = pdf.sort_values(keys, ascending=[c != "overlap" for c in keys], kind="stable")
-        for k, a, b in zip(pdf.index, zip(pdf.a_start, pdf.a_end, pdf.a_copy), zip(pdf.b_start, pdf.b_end, pdf.b_copy)):
+        pdf = pdf.sort_values([*by, *keys], ascending=[True] * len(by) + [c != "overlap" for c in keys], kind="stable")
+        last, used_a, used_b, kept = None, set(), set(), []
+        for k, (own, a, b) in enumerate(zip(zip(*(pdf[c] for c in by)), zip(pdf.a_start, pdf.a_end, pdf.a_copy), zip(pdf.b_start, pdf.b_end, pdf.b_copy))):
+            if own != last:
+                last, used_a, used_b = own, set(), set()
             if a not in used_a and b not in used_b:
                 used_a.add(a)
                 used_b.add(b)
                 kept.append(k)
-        return pdf.loc[kept].rename(columns={"a_start": "start", "a_end": "end", "b_start": "truth_start", "b_end": "truth_end"})[[*by, "start", "end", "truth_start", "truth_end", "overlap"]]
+        return pdf.iloc[kept].rename(columns={"a_start": "start", "a_end": "end", "b_start": "truth_start", "b_end": "truth_end"})[[*by, "start", "end", "truth_start", "truth_end", "overlap"]]
 
-    return pairs.groupBy(*by).applyInPandas(scan, f"{kinds}, start double, end double, truth_start double, truth_end double, overlap double")
+    slots = 4 * int(detected.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # many small groups in one call
+    slot = F.pmod(F.xxhash64(*by), F.lit(slots)).alias("_slot")
+    return pairs.select("*", slot).groupBy("_slot").applyInPandas(scan, f"{kinds}, start double, end double, truth_start double, truth_end double, overlap double")
 
 
 def detection_scores(detected: DataFrame, truth: DataFrame, by: list[str], least: float = 0.03, empty: str = "nan") -> DataFrame:
