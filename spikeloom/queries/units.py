@@ -119,7 +119,7 @@ def _places(spark, d):
 @register(f"WITH {_PLACES} SELECT a.well, a.channel, count(*) AS n, round(max(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))), 6) AS farthest FROM ch a JOIN ch b ON a.well = b.well AND a.channel <> b.channel AND sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) > 20 AND sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 90 GROUP BY ALL")
 def ring_neighbours(spark, d):
     """Channels in a ring around each channel."""
-    return space.neighbours(_places(spark, d), 20.0, 90.0).groupBy("well", "channel").agg(F.count("*").alias("n"), F.round(F.max("distance"), 6).alias("farthest"))
+    return space.ring_sizes(_places(spark, d), 20.0, 90.0).withColumn("farthest", F.round("farthest", 6))
 
 
 @register(
