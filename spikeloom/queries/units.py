@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from spikeloom.functions.lineage import stored
 from spikeloom.operators import density, pairs, space
 
 from .common import HOUR, SPIKES_SQL, signal_chain, spikes, table, with_sql
@@ -128,8 +129,8 @@ def ring_neighbours(spark, d):
 )
 def sparse_units(spark, d):
     """The channels around each unit's strongest one."""
-    li = table(spark, d, "lineitem").join(table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("well")), "l_partkey")
-    peaks = li.groupBy("well", F.col("l_suppkey").alias("unit_id")).agg(F.max_by("l_partkey", F.col("l_extendedprice") * 1e4 - F.col("l_partkey") / 1e3).alias("channel"))
+    li = table(spark, d, "lineitem").join(table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("well")).hint("merge"), "l_partkey")
+    peaks = stored(li.groupBy("well", F.col("l_suppkey").alias("unit_id")).agg(F.max_by("l_partkey", F.col("l_extendedprice") * 1e4 - F.col("l_partkey") / 1e3).alias("channel")))
     return space.sparse_channels(peaks, _places(spark, d), 60.0)
 
 
