@@ -37,10 +37,11 @@ def coerced(text: Column) -> Column:
     )
 
 
-def unix_iso(seconds: Column) -> Column:
-    """ISO 8601 in UTC for seconds between 2000 and 2100, else null."""
-    ok = (seconds >= 946684800) & (seconds <= 4102444800)
-    return F.when(ok, F.date_format(F.to_utc_timestamp(F.timestamp_seconds(seconds), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+def unix_iso(seconds: Column, latest: int | None = 4102444800) -> Column:
+    """ISO 8601 in UTC for seconds from 2000 on up to `latest` (2100; None: no end), else null. Years past 9999 have as many digits as they need."""
+    ok = seconds >= 946684800 if latest is None else (seconds >= 946684800) & (seconds <= latest)
+    t = F.to_utc_timestamp(F.timestamp_seconds(seconds), F.current_timezone())
+    return F.when(ok, F.concat(F.year(t).cast("string"), F.date_format(t, "-MM-dd'T'HH:mm:ss'Z'")))
 
 
 def megabytes(size: Column) -> Column:

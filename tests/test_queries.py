@@ -293,3 +293,9 @@ def test_levels_that_are_left_out_are_gone(spark, tmp_path):
 def test_well_names_past_the_alphabet(spark):
     rows = spark.createDataFrame([(0,), (7,), (155,), (156,), (26 * 6 + 6 * 27,), (None,)], "n int")
     assert [r.name for r in rows.select(scalars.well_name(F.col("n")).alias("name")).collect()] == ["A1", "B2", "Z6", "AA1", "BB1", "?"]
+
+
+def test_iso_times_without_an_end(spark):
+    rows = spark.createDataFrame([(946684799,), (946684800,), (4102444801,), (946684800 + 9_000_000 * 86400,)], "t long")
+    got = rows.select(scalars.unix_iso(F.col("t")).alias("a"), scalars.unix_iso(F.col("t"), None).alias("b")).collect()
+    assert [tuple(r) for r in got] == [(None, None), ("2000-01-01T00:00:00Z",) * 2, (None, "2100-01-01T00:00:01Z"), (None, "26641-03-01T00:00:00Z")]
