@@ -77,3 +77,14 @@ def guarded(x: Column) -> Column:
 def finite(x: Column) -> Column:
     """NaN and infinities as null."""
     return F.when(F.abs(x) < float("inf"), F.nanvl(x, F.lit(None)))
+
+
+def exact_avg(x: Column, digits: int = 4) -> Column:
+    """The mean of a group's numbers, the same in whatever order rows come: numbers of up to `digits` places are summed as whole ones.
+
+    Numbers with more places, large ones, NaN and infinities make it the plain mean.
+    """
+    unit = F.lit(10.0**digits)
+    whole = F.when(F.abs(x) < 1e9, F.rint(x * unit).cast("long"))
+    plain = F.count_if(x.isNotNull() & ~F.coalesce(whole / unit == x, F.lit(False)))
+    return F.when(plain == 0, F.try_divide(F.try_sum(whole) / unit, F.count(x))).otherwise(F.avg(x))

@@ -299,3 +299,20 @@ def test_iso_times_without_an_end(spark):
     rows = spark.createDataFrame([(946684799,), (946684800,), (4102444801,), (946684800 + 9_000_000 * 86400,)], "t long")
     got = rows.select(scalars.unix_iso(F.col("t")).alias("a"), scalars.unix_iso(F.col("t"), None).alias("b")).collect()
     assert [tuple(r) for r in got] == [(None, None), ("2000-01-01T00:00:00Z",) * 2, (None, "2100-01-01T00:00:01Z"), (None, "26641-03-01T00:00:00Z")]
+
+
+def test_units_on_a_limit_pass_in_any_order(spark, tmp_path):
+    taxes = np.random.default_rng(0).integers(0, 9, 42)
+    while taxes.sum() != 180:  # a mean of exactly 0.15 / 3.5
+        k = np.random.default_rng(int(taxes.sum())).integers(42)
+        taxes[k] = min(8, taxes[k] + 1) if taxes.sum() < 180 else max(0, taxes[k] - 1)
+        taxes = np.roll(taxes, 1)
+    orders = [np.random.default_rng(seed).permutation(taxes) / 100 for seed in range(200)]
+    assert any(np.cumsum(x)[-1] / 42 * 3.5 > 0.15 for x in orders)  # summed as they come
+    rows = [("A", 1 + seed, 30.0, 50_000.0, float(v), 1) for seed, x in enumerate(orders) for v in x]
+    spark.createDataFrame(rows, "l_returnflag string, l_suppkey long, l_quantity double, l_extendedprice double, l_tax double, n int").coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = {r.reasons.replace("low_firing_rate", "").strip("; ") for r in queries.QUERIES["curation_flags"](spark, str(tmp_path)).collect()}
+    assert got == {""}
+    odd = spark.createDataFrame([(1, 0.1), (1, 0.2), (1, None), (2, None), (3, float("nan")), (3, 1.0), (4, 1e300), (4, 1e300), (5, 1 / 3)], "k int, x double")
+    means = {r.k: r.m for r in odd.groupBy("k").agg(scalars.exact_avg(F.col("x")).alias("m")).collect()}
+    assert abs(means[1] - 0.15) < 1e-15 and means[2] is None and math.isnan(means[3]) and means[4] == 1e300 and means[5] == 1 / 3
