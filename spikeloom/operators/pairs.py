@@ -1,8 +1,9 @@
 """Pairs of units: correlograms, contamination after a merge, and merging of units in rounds.
 
 Spikes are (well, unit_id, t). Lags are counted in blocks of time that also hold the spikes of one window behind them (a halo): each
-pair of spikes is counted in the block of its earlier spike, place by place of the sorted block, so no row is made for a pair of
-spikes and a task holds one block, of about BLOCK spikes at a well's mean rate and never shorter than the window.
+pair of spikes is counted in the block of its earlier spike. Sparse blocks are counted place by place of the sorted block, dense ones by
+running counts of each unit at the edges of the lags, so work grows with the spikes and not with their pairs. No row is made for a pair of
+spikes, and a task holds one block, of about BLOCK spikes at a well's mean rate and never shorter than the window.
 """
 
 from __future__ import annotations
@@ -19,12 +20,12 @@ BLOCK = 1 << 16
 MOST_DIFFERENT, MOST_CONTAMINATED = 0.16, 0.2
 
 
-def _lags(pdf: pd.DataFrame, window: float, step: float) -> pd.DataFrame:
-    """Counts of (unit_a, unit_b, lag) in one block; unit_b is not below unit_a."""
-    pdf = pdf.sort_values("t", kind="stable")
-    t, own = pdf.t.to_numpy(), pdf._own.to_numpy(bool)
-    names, unit = np.unique(pdf.unit_id.to_numpy(), return_inverse=True)
-    half = -int(-window // step)
+#: Columns of running counts that are held at a time, and what a pair costs next to a running count of one unit.
+COLUMNS, PAIR_COST = 32, 20
+
+
+def _enumerated(t: np.ndarray, unit: np.ndarray, own: np.ndarray, n_units: int, window: float, step: float, half: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of (unit_a, unit_b, lag) and their counts, pair by pair."""
     width, found, at = 2 * half, [], np.flatnonzero(own)
     k = 1
     while len(at := at[at + k < len(t)]):
@@ -33,13 +34,73 @@ def _lags(pdf: pd.DataFrame, window: float, step: float) -> pd.DataFrame:
         a, b, swapped = np.minimum(unit[at], unit[later]), np.maximum(unit[at], unit[later]), unit[at] > unit[later]
         for sign, rows in ((1, ~swapped), (-1, swapped | (unit[at] == unit[later]))):  # a unit's own pairs count on both sides
             bin_ = np.floor(sign * lag[rows] / step).astype(np.int64)
-            code = ((a[rows] * len(names) + b[rows]) * width + bin_ + half)[(bin_ >= -half) & (bin_ < half)]
+            code = ((a[rows] * n_units + b[rows]) * width + bin_ + half)[(bin_ >= -half) & (bin_ < half)]
             found.append(np.unique(code, return_counts=True))
         k += 1
     codes, n = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 2
     codes, same = np.unique(codes, return_inverse=True)
-    n = np.bincount(same, n, len(codes)).astype(np.int64)
-    pair, lag = codes // width, codes % width - half
+    return codes, np.bincount(same, n, len(codes)).astype(np.int64)
+
+
+def _edge(t: np.ndarray, at: np.ndarray, lag: float, before) -> np.ndarray:
+    """For each place of `at` the first place whose lag isn't `before` an edge; lags only grow along t, and rounding moves a place by a few at most."""
+    place = np.searchsorted(t, t[at] + lag)
+    while True:
+        back = (place > 0) & ~before(t[np.maximum(place, 1) - 1] - t[at])
+        on = ~back & (place < len(t)) & before(t[np.minimum(place, len(t) - 1)] - t[at])
+        if not (back.any() or on.any()):
+            return place
+        place[back] = np.searchsorted(t, t[place[back] - 1], "left")  # equal times go together
+        place[on] = np.searchsorted(t, t[place[on]], "right")
+
+
+def _counted(t: np.ndarray, unit: np.ndarray, own: np.ndarray, n_units: int, window: float, step: float, half: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same by running counts: spikes times units times lags, however many pairs there are.
+
+    How many spikes of a unit come after a spike and before an edge is a difference of two running counts of that unit; what lies between edges is a lag.
+    """
+    at = np.flatnonzero(own)
+    at = at[np.argsort(unit[at], kind="stable")]
+    begin = np.flatnonzero(np.concatenate([[True], unit[at][1:] != unit[at][:-1]]))
+    first = unit[at][begin]
+    near = lambda lag: lag <= window
+    least = at + 1
+    last = np.maximum(_edge(t, at, window, near), least)
+    floors = [np.clip(_edge(t, at, k * step, lambda lag, k=k: near(lag) & (np.floor(lag / step) < k)), least, last) for k in range(1, half + 1)]
+    ceils = [np.clip(_edge(t, at, k * step, lambda lag, k=k: near(lag) & (np.floor(-lag / step) >= -k)), least, last) for k in range(half + 1)]
+    codes, counts = [], []
+    for low in range(0, n_units, COLUMNS):
+        names = np.arange(low, min(low + COLUMNS, n_units))
+        running = np.zeros((len(t) + 1, len(names)), np.int32)
+        np.cumsum(unit[:, None] == names[None], axis=0, out=running[1:])
+        upto = lambda place: np.add.reduceat(running[place], begin, axis=0, dtype=np.int64)
+        none = upto(least)
+        for places, lags, later in ((floors, range(half), True), (ceils, range(0, -half - 1, -1), False)):
+            before = none
+            for place, lag in zip(places, lags):
+                total = upto(place)
+                n, before = total - before, total
+                u, v = np.nonzero(n)
+                p, q = first[u], names[v]
+                keep = (p <= q) if later else (p >= q)
+                a, b = (p, q) if later else (q, p)
+                codes.append(((a * n_units + b) * 2 * half + lag + half)[keep])
+                counts.append(n[u, v][keep])
+    codes, same = np.unique(np.concatenate(codes), return_inverse=True)
+    return codes, np.bincount(same, np.concatenate(counts), len(codes)).astype(np.int64)
+
+
+def _lags(pdf: pd.DataFrame, window: float, step: float) -> pd.DataFrame:
+    """Counts of (unit_a, unit_b, lag) in one block; unit_b is not below unit_a. Pairs are counted one by one where there are few."""
+    pdf = pdf.sort_values("t", kind="stable")
+    t, own = pdf.t.to_numpy(), pdf._own.to_numpy(bool)
+    names, unit = np.unique(pdf.unit_id.to_numpy(), return_inverse=True)
+    half = -int(-window // step)
+    at = np.flatnonzero(own)
+    pairs = np.maximum(np.searchsorted(t, t[at] + window, "right") - at - 1, 0).sum()
+    few = pairs * PAIR_COST <= len(at) * 2 * half * (len(names) + PAIR_COST)
+    codes, n = (_enumerated if few else _counted)(t, unit, own, len(names), window, step, half)
+    pair, lag = codes // (2 * half), codes % (2 * half) - half
     return pd.DataFrame({"well": pd.Series([pdf.well.iloc[0]] * len(codes)), "unit_a": names[pair // len(names)], "unit_b": names[pair % len(names)], "lag": lag, "n": n})
 
 

@@ -83,3 +83,25 @@ def test_groups_of_chains(spark):
     links = [("w", k, k + 1) for k in range(1, 12)] + [("w", 20, 30), ("v", 3, 4)]
     got = {(r.well, r.unit_id): r.merged for r in pairs.groups(spark.createDataFrame(links, "well string, unit_a int, unit_b int")).collect()}
     assert got == {("w", k): 1 for k in range(1, 13)} | {("w", 20): 20, ("w", 30): 20, ("v", 3): 3, ("v", 4): 3}
+
+
+def test_running_counts_are_the_counts_of_pairs(monkeypatch):
+    rng = np.random.default_rng(8)
+    for trial in range(30):
+        n, units, half = int(rng.integers(2, 120)), int(rng.integers(1, 40)), int(rng.integers(1, 6))
+        t = np.sort(np.round(rng.uniform(0, 2, n), 1)) if trial % 2 else np.sort(rng.integers(0, 30, n) * 7)  # many ties and lags on edges
+        step = 0.1 if trial % 2 else 7
+        unit, own = rng.integers(0, units, n), rng.random(n) < 0.8
+        own[0] = True
+        every = -int(-(step * half) // step)
+        for x, y in zip(pairs._enumerated(t, unit, own, units, step * half, step, every), pairs._counted(t, unit, own, units, step * half, step, every)):
+            assert np.array_equal(x, y)
+
+
+def test_dense_blocks_are_not_counted_pair_by_pair(monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(pairs, "_enumerated", None)
+    pdf = pd.DataFrame({"well": "a", "unit_id": np.arange(200_000) % 7, "t": np.arange(200_000), "_own": np.arange(200_000) < 100_000})
+    got = pairs._lags(pdf, 100_000, 10_000)
+    assert got[(got.unit_a == 0) & (got.unit_b == 0)].n.sum() == 2 * sum(100_000 // 7 for k in range(0, 100_000, 7))

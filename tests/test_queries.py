@@ -313,6 +313,8 @@ def test_units_on_a_limit_pass_in_any_order(spark, tmp_path):
     spark.createDataFrame(rows, "l_returnflag string, l_suppkey long, l_quantity double, l_extendedprice double, l_tax double, n int").coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
     got = {r.reasons.replace("low_firing_rate", "").strip("; ") for r in queries.QUERIES["curation_flags"](spark, str(tmp_path)).collect()}
     assert got == {""}
+    assert {r.reason for r in queries.QUERIES["rejection_reasons"](spark, str(tmp_path)).collect()} <= {"low_firing_rate"}
+    assert all(r.n_total == 200 and r.n_curated in (0, 20) for r in queries.QUERIES["curation_summary"](spark, str(tmp_path)).collect())
     odd = spark.createDataFrame([(1, 0.1), (1, 0.2), (1, None), (2, None), (3, float("nan")), (3, 1.0), (4, 1e300), (4, 1e300), (5, 1 / 3)], "k int, x double")
     means = {r.k: r.m for r in odd.groupBy("k").agg(scalars.exact_avg(F.col("x")).alias("m")).collect()}
     assert abs(means[1] - 0.15) < 1e-15 and means[2] is None and math.isnan(means[3]) and means[4] == 1e300 and means[5] == 1 / 3
