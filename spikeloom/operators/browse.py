@@ -33,10 +33,12 @@ def entries(status: DataFrame, recordings: list | None = None, wells: list | Non
     return status
 
 
-def matrix_rows(status: DataFrame, which: str) -> DataFrame:
-    """(recording_key, well_id) of wells with any task that is incomplete, running or failed."""
+def matrix_rows(status: DataFrame, *which: str) -> DataFrame:
+    """(which, recording_key, well_id) of wells with any task that is incomplete, running or failed, for each of the kinds asked for; wells are gathered once."""
     tests = {"incomplete": F.col("status") != "COMPLETE", "running": F.col("status") == "RUNNING", "failed": F.col("status") == "FAILED"}
-    return status.groupBy("recording_key", "well_id").agg(F.bool_or(tests[which]).alias("hit")).where("hit").drop("hit")
+    wells = status.groupBy("recording_key", "well_id").agg(*[F.bool_or(tests[w]).alias(w) for w in which])
+    hit = F.explode(F.array_compact(F.array(*[F.when(F.col(w), w) for w in which])))
+    return wells.select(hit.alias("which"), "recording_key", "well_id")
 
 
 def complete_wells(status: DataFrame, tasks: list[str]) -> DataFrame:
@@ -141,6 +143,14 @@ def tree_wells(paths: DataFrame, terminal: str) -> DataFrame:
     return paths.where(at > 3).select(part(3).alias("recording_key"), part(2).alias("rec_name"), part(1).alias("well_id")).distinct()
 
 
+def tree_parts(paths: DataFrame, terminals: list[str]) -> DataFrame:
+    """(recording_key, rec_name, well_id, source) of the paths below each of the terminals as `tree_wells` has them, from one pass; a row for each path, repeated wells included."""
+    parts = F.split("path", "/")
+    rows = paths.select(parts.alias("k"), F.explode(F.array(*map(F.lit, terminals))).alias("source")).withColumn("at", F.array_position("k", F.col("source"))).where("at > 3")
+    part = lambda n: F.try_element_at("k", (F.col("at") - n).cast("int"))
+    return rows.select(part(3).alias("recording_key"), part(2).alias("rec_name"), part(1).alias("well_id"), "source")
+
+
 def first_recording(trees: DataFrame, order: list[str]) -> DataFrame:
     """(recording_key, well_id, rec_name, source) of each well: the first source in `order`, then the smallest rec_name. trees: (source, recording_key, rec_name, well_id)."""
     place = F.array_position(F.array(*map(F.lit, order)), F.col("source"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from spikeloom.functions.lineage import dealt
 from spikeloom.operators import browse, catalog
 from spikeloom.sources import files, stores
 from spikeloom.streaming import incremental
@@ -44,11 +45,7 @@ def entry_filter(spark, d):
 
 @register(f"WITH {_STATUS} SELECT which, recording_key, well_id FROM (SELECT 'incomplete' AS which, recording_key, well_id FROM st WHERE status <> 'COMPLETE' UNION SELECT 'running', recording_key, well_id FROM st WHERE status = 'RUNNING' UNION SELECT 'failed', recording_key, well_id FROM st WHERE status = 'FAILED')")
 def matrix_filter(spark, d):
-    st, out = _status(spark, d), None
-    for which in ("incomplete", "running", "failed"):
-        rows = browse.matrix_rows(st, which).withColumn("which", F.lit(which))
-        out = rows if out is None else out.unionByName(rows)
-    return out.select("which", "recording_key", "well_id")
+    return browse.matrix_rows(_status(spark, d), "incomplete", "running", "failed")
 
 
 @register(f"WITH {_STATUS} SELECT recording_key, well_id FROM st WHERE task IN ('auto_curation', 'ml_burst_detection') AND status = 'COMPLETE' GROUP BY ALL HAVING count(DISTINCT task) = 2")
@@ -139,11 +136,15 @@ def would_reset(spark, d):
 _LIST = "l AS (SELECT DISTINCT '/data/' || CASE WHEN l_orderkey % 50 = 0 THEN 'out' ELSE 'curated' END || '/k' || l_orderkey || '/rec' || l_linenumber % 2 || '/well' || l_linenumber || '/' || CASE l_returnflag WHEN 'A' THEN 'burst_detection' WHEN 'N' THEN 'auto_curation' ELSE 'logs' END || '/x.parquet' AS path FROM lineitem)"
 
 
-def _listing(spark, d):
+def _paths(spark, d):
     kind = F.when(F.col("l_returnflag") == "A", "burst_detection").when(F.col("l_returnflag") == "N", "auto_curation").otherwise("logs")
     top = F.when(F.col("l_orderkey") % 50 == 0, "out").otherwise("curated")
     text = lambda p, c: F.concat(F.lit(p), c.cast("string"))
-    return table(spark, d, "lineitem").select(F.concat_ws("/", F.lit("/data"), top, text("k", F.col("l_orderkey")), text("rec", F.col("l_linenumber") % 2), text("well", F.col("l_linenumber")), kind, F.lit("x.parquet")).alias("path")).distinct()
+    return table(spark, d, "lineitem").select(F.concat_ws("/", F.lit("/data"), top, text("k", F.col("l_orderkey")), text("rec", F.col("l_linenumber") % 2), text("well", F.col("l_linenumber")), kind, F.lit("x.parquet")).alias("path"))
+
+
+def _listing(spark, d):
+    return _paths(spark, d).distinct()
 
 
 _WELLS = "split_part(path, '/', 4) AS recording_key, split_part(path, '/', 5) AS rec_name, split_part(path, '/', 6) AS well_id"
@@ -158,11 +159,10 @@ def tree_wells(spark, d):
     f"WITH {_LIST}, t AS (SELECT DISTINCT {_WELLS}, split_part(path, '/', 7) AS source FROM l) SELECT recording_key, well_id, rec_name, source FROM (SELECT *, row_number() OVER (PARTITION BY recording_key, well_id ORDER BY CASE source WHEN 'burst_detection' THEN 1 ELSE 2 END, rec_name) AS r FROM t WHERE source IN ('burst_detection', 'auto_curation')) WHERE r = 1"
 )
 def well_rec_names(spark, d):
-    listing, trees = _listing(spark, d), None
-    for source in ("burst_detection", "auto_curation"):
-        own = browse.tree_wells(listing, source).withColumn("source", F.lit(source))
-        trees = own if trees is None else trees.unionByName(own)
-    return browse.first_recording(trees, ["burst_detection", "auto_curation"])
+    """Repeated paths of the listing are left in: the first recording of a well is the same."""
+    sources = ["burst_detection", "auto_curation"]
+    trees = browse.tree_parts(_paths(spark, d), sources)
+    return browse.first_recording(dealt(trees, table(spark, d, "lineitem"), "recording_key", "well_id"), sources)
 
 
 _KS = "k AS (SELECT DISTINCT '/ks/' || l_suppkey || '/s' || l_linenumber || '/' || CASE l_partkey % 4 WHEN 0 THEN 'spike_times.npy' WHEN 1 THEN 'spike_clusters.npy' WHEN 2 THEN 'params.py' ELSE 'cur/curated_spike_times.npy' END AS path FROM lineitem)"

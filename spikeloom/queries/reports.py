@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from spikeloom.functions import scalars
+from spikeloom.functions.lineage import dealt
 from spikeloom.operators import catalog, curation, intervals, models
 
 from .common import table
@@ -43,7 +44,9 @@ _DAG = "dag(task, dep) AS (VALUES " + ", ".join(f"('{t}', '{x}')" for t, deps in
 
 
 def _status(spark, d):
-    one = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("l_partkey"))
+    """The tasks of every line; a recording's rows are in one partition."""
+    li = table(spark, d, "lineitem")
+    one = dealt(li.select("l_orderkey", "l_linenumber", "l_partkey"), li, "l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("l_partkey"))
     tasks = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(t).alias("task")) for k, t in enumerate(catalog.TASKS)]))
     return one.withColumn("x", tasks).selectExpr("l_orderkey", "l_linenumber", "l_partkey", "x.k", "x.task").selectExpr("l_orderkey AS recording_key", "l_linenumber AS well_id", "k", "task", f"{_STATE} AS status")
 

@@ -325,3 +325,15 @@ def test_wells_of_one_id_keep_their_own_fields(spark, tmp_path):
     spark.createDataFrame(rows, "s_suppkey long, s_name string, s_nationkey long, s_acctbal double").write.parquet(str(tmp_path / "supplier.parquet"))
     got = sorted((r.well_id, r.value) for r in queries.QUERIES["well_metadata"](spark, str(tmp_path)).collect() if r.key in ("groupname", "Media"))
     assert got == [("well002", "1.5"), ("well002", "2.5"), ("well002", "one"), ("well002", "two")]
+
+
+def test_status_rows_are_dealt_by_their_number(spark, tmp_path, monkeypatch):
+    from spikeloom.functions import lineage
+
+    rows = [(k // 3, k % 3, k, 11.0, "A", "O") for k in range(900)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double, l_returnflag string, l_linestatus string").write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(lineage, "ROWS", 50)
+    for name in ("matrix_filter", "ready_counts", "progress_bar", "status_pivot", "completed_wells", "well_rec_names"):
+        plan = queries.QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("REPARTITION_BY_NUM") == 1 and ", 18), REPARTITION_BY_NUM" in plan, name
+        assert plan.count("Exchange hashpartitioning(") == (2 if name == "ready_counts" else 1), name
