@@ -6,7 +6,7 @@ state; what an update doesn't set is carried over from the state before, so read
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from . import catalog
@@ -16,8 +16,13 @@ COLUMNS = ["seq", *KEYS, "status", "config", "output_path", "error"]
 UPDATES = ["RUNNING", "COMPLETE", "FAILED"]
 
 
+def _together(rows: DataFrame) -> GroupedData:
+    """`rows` grouped by their keys. They are dealt first, so that keys, of which few repeat, are gathered and sorted once and not on both sides of the shuffle."""
+    return rows.repartition(*KEYS).groupBy(*KEYS)
+
+
 def state(log: DataFrame) -> DataFrame:
-    return catalog.latest(log.select(*COLUMNS), KEYS)
+    return catalog.latest(log.select(*COLUMNS).repartition(*KEYS), KEYS)
 
 
 def updated(log: DataFrame, updates: DataFrame) -> DataFrame:
@@ -29,10 +34,14 @@ def updated(log: DataFrame, updates: DataFrame) -> DataFrame:
     bad = [r.status for r in updates.select("status").distinct().collect() if r.status not in UPDATES]  # at most a few states
     if bad:
         raise ValueError(f"no status to set: {bad}; known: {UPDATES}")
-    before = state(log).select(*KEYS, F.col("config").alias("_config"), F.col("output_path").alias("_path"), F.lit(True).alias("_known"))
-    rows = updates.join(before, KEYS, "left")
-    if lost := rows.where("_known IS NULL").select(*KEYS).limit(5).collect():
+    keys = updates.select(*KEYS, F.lit(False).alias("_known")).unionByName(log.select(*KEYS, F.lit(True).alias("_known")))
+    if lost := _together(keys).agg(F.bool_or("_known").alias("_known")).where("NOT _known").select(*KEYS).limit(5).collect():
         raise KeyError(f"no such entries: {[tuple(r) for r in lost]}")
+    # updates and the log meet in one shuffle: of a key's old rows the latest counts
+    old = log.select(*KEYS, F.struct("seq", "config", "output_path").alias("_old"))
+    both = updates.select(*KEYS, F.struct("seq", "status", "config", "output_path", "error").alias("_new")).unionByName(old, allowMissingColumns=True)
+    met = _together(both).agg(F.first("_new", ignorenulls=True).alias("_new"), F.max_by(F.col("_old"), F.col("_old.seq")).alias("_old")).where("_new IS NOT NULL")
+    rows = met.select(*KEYS, "_new.*", F.col("_old.config").alias("_config"), F.col("_old.output_path").alias("_path"))
     is_ = lambda s: F.col("status") == s
     return rows.select(
         "seq", *KEYS, "status", F.when(is_("RUNNING"), F.col("config")).otherwise(F.col("_config")).alias("config"), F.when(is_("COMPLETE"), F.coalesce("output_path", "_path")).otherwise(F.col("_path")).alias("output_path"), F.when(is_("FAILED"), F.col("error")).alias("error")
@@ -41,9 +50,11 @@ def updated(log: DataFrame, updates: DataFrame) -> DataFrame:
 
 def registered(log: DataFrame, wells: DataFrame, tasks: list[str], seq: int) -> DataFrame:
     """Rows to append so that all wells, known ones and new ones, have all tasks."""
-    every = wells.select("recording_key", "well_id").unionByName(log.select("recording_key", "well_id")).distinct()
-    fresh = catalog.add_wells(log.select(*KEYS), every, tasks)
     none = F.lit(None).cast("string")
+    rows = wells.select("recording_key", "well_id", none.alias("task")).unionByName(log.select(*KEYS)).repartition("recording_key", "well_id")
+    have = rows.groupBy("recording_key", "well_id").agg(*[F.bool_or(F.coalesce(F.col("task") == t, F.lit(False))).alias(f"_{k}") for k, t in enumerate(tasks)])
+    lacks = F.explode(F.array_compact(F.array(*[F.when(~F.col(f"_{k}"), t) for k, t in enumerate(tasks)])))
+    fresh = have.select("recording_key", "well_id", lacks.alias("task"), F.lit("NOT_RUN").alias("status"))
     return fresh.select(F.lit(seq).cast("long").alias("seq"), *KEYS, "status", none.alias("config"), none.alias("output_path"), none.alias("error"))
 
 

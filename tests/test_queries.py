@@ -337,3 +337,14 @@ def test_status_rows_are_dealt_by_their_number(spark, tmp_path, monkeypatch):
         plan = queries.QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
         assert plan.count("REPARTITION_BY_NUM") == 1 and ", 18), REPARTITION_BY_NUM" in plan, name
         assert plan.count("Exchange hashpartitioning(") == (2 if name == "ready_counts" else 1), name
+
+
+def test_updates_meet_the_log_in_one_shuffle(spark):
+    schema = "seq long, recording_key string, well_id string, task string, status string, config string, output_path string, error string"
+    log = spark.createDataFrame([(0, "r", "w", "a", "NOT_RUN", None, None, None), (1, "r", "w", "a", "RUNNING", "c1", "/p", None), (0, "r", "v", "a", "NOT_RUN", None, None, None)], schema)
+    out = statuslog.updated(log, spark.createDataFrame([(2, "r", "w", "a", "FAILED", "c2", None, "bad")], schema))
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(")
+    assert exchanges(out) == 1 and exchanges(statuslog.state(log)) == 1
+    assert [tuple(r) for r in out.collect()] == [(2, "r", "w", "a", "FAILED", "c1", "/p", "bad")]
+    fresh = statuslog.registered(log, spark.createDataFrame([("q", "w")], "recording_key string, well_id string"), ["a", "b"], 3)
+    assert exchanges(fresh) == 1 and sorted((r.recording_key, r.well_id, r.task) for r in fresh.collect()) == [("q", "w", "a"), ("q", "w", "b"), ("r", "v", "b"), ("r", "w", "b")]
