@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spikeloom.functions import order
+from spikeloom.functions.lineage import dealt
 
 UNIT = ["well", "unit_id"]
 
@@ -67,11 +68,13 @@ def irregularity(spikes: DataFrame, grid: DataFrame, window_bins: int = 25) -> D
 
     An interval belongs to the bin of its later spike, a pair of intervals to that of the last one. Bins whose window holds no interval
     have no row. Windows are summed where their contents change; bins are written out last, so neither silent nor equal stretches are summed.
+    Units are dealt over tasks by the number of spikes and stay where they are; grid has a row for each well and is broadcast.
     """
     half = max(1, window_bins // 2)
     w = Window.partitionBy(*UNIT).orderBy("t")
+    grid = F.broadcast(grid)  # a row for each well
     rows = (
-        spikes.select(*UNIT, "t")
+        dealt(spikes.select(*UNIT, "t"), spikes, *UNIT)
         .withColumn("isi", (F.col("t") - F.lag("t").over(w)).cast("double"))
         .withColumn("last_isi", F.lag("isi").over(w))
         .withColumn("n", F.count("*").over(Window.partitionBy(*UNIT)))

@@ -348,3 +348,11 @@ def test_updates_meet_the_log_in_one_shuffle(spark):
     assert [tuple(r) for r in out.collect()] == [(2, "r", "w", "a", "FAILED", "c1", "/p", "bad")]
     fresh = statuslog.registered(log, spark.createDataFrame([("q", "w")], "recording_key string, well_id string"), ["a", "b"], 3)
     assert exchanges(fresh) == 1 and sorted((r.recording_key, r.well_id, r.task) for r in fresh.collect()) == [("q", "w", "a"), ("q", "w", "b"), ("r", "v", "b"), ("r", "w", "b")]
+
+
+def test_units_stay_in_their_tasks(spark):
+    rows = spark.createDataFrame([("a", f"u{k % 5}", float(k)) for k in range(200)], "well string, unit_id string, t double")
+    grid = spark.createDataFrame([("a", 0.0, 1.0, 200)], "well string, start double, step double, n_bins long")
+    plan = trains.irregularity(rows, grid, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "REPARTITION_BY_NUM" in plan and "hashpartitioning(well#" in plan
+    assert not any("hashpartitioning(well" in line and "unit_id" not in line for line in plan.splitlines())  # never by well alone
