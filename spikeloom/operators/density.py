@@ -4,10 +4,15 @@ Rows are (by, id, x): an integer id and an array of numbers, alike long in a gro
 distance and both core distances (to the min_samples-th nearest other row).
 
 Distances are made block by block: a group's rows are dealt over blocks of BLOCK, and each cell of two blocks is a task's work. A row's nearest
-neighbours are merged from its cells. An edge of the whole tree is an edge of the tree of any two blocks that hold its ends, so each cell
-returns its own spanning tree, and FAN of these at a time are merged into one until a group has one. Edges are ordered by
-(weight, smaller id, larger id), so the tree is one and the same however rows are dealt. The condensed tree is made from a group's n - 1 edges in
-one task. Groups with fewer than two rows have no edges; their rows are noise.
+neighbours are merged from its cells. In a cell, squares by matrix products tell which pairs may count, with a margin for their rounding; only
+these get their exact distance.
+
+A guide is made before the tree: the spanning tree of the pairs of nearest rows and of each block's own tree. Its rows are laid out so that the longest
+edge of the guide's path between two rows is the largest gap between their places; a pair farther apart than that is no edge of the whole tree. Cells are
+then made of blocks of places. An edge of the whole tree is an edge of the tree of any two blocks that hold its ends, so each cell
+returns its own spanning forest, and FAN of these at a time are merged into one until a group has one. Edges are ordered by
+(weight, smaller id, larger id), so the tree is one and the same however rows are dealt. The guide is laid out from a group's min_samples + 1 edges a row,
+and the condensed tree made from its n - 1 edges, in one task. Groups with fewer than two rows have no edges; their rows are noise.
 """
 
 from __future__ import annotations
@@ -45,6 +50,46 @@ def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.sqrt(total)
 
 
+def _squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Squared distances by a matrix product, at most half of `_margin` off."""
+    return (x**2).sum(axis=1)[:, None] + (y**2).sum(axis=1)[None] - 2 * (x @ y.T)
+
+
+def _margin(x: np.ndarray, y: np.ndarray) -> float:
+    top = np.sqrt((x**2).sum(axis=1).max(initial=0)) + np.sqrt((y**2).sum(axis=1).max(initial=0))
+    return 4 * (x.shape[1] + 8) * np.finfo(float).eps * top**2
+
+
+def _of_pairs(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """`_distances` of some pairs, the same numbers."""
+    if 4 * len(p) > len(x) * len(y):
+        return _distances(x, y)[p, q]
+    total, x, y = np.zeros(len(p)), np.ascontiguousarray(x.T), np.ascontiguousarray(y.T)
+    for k in range(len(x)):
+        total += (x[k][p] - y[k][q]) ** 2
+    return np.sqrt(total)
+
+
+def closest(x: np.ndarray, y: np.ndarray, ids: np.ndarray, k: int, squares: np.ndarray, itself: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of x, row of y, distance) of the k nearest rows of y, ordered by row and distance, ties by id. Pairs at no finite distance are left out."""
+    squares = np.where(np.eye(len(x), dtype=bool), np.inf, squares) if itself else squares
+    far = np.partition(squares, k - 1, axis=1)[:, k - 1, None] + 2 * _margin(x, y) if squares.shape[1] > k else np.inf
+    p, q = np.nonzero(~(squares > far))  # what isn't a number is kept
+    p, q = (p[p != q], q[p != q]) if itself else (p, q)
+    d = _of_pairs(x, y, p, q)
+    p, q, d = p[np.isfinite(d)], q[np.isfinite(d)], d[np.isfinite(d)]
+    order = np.lexsort((ids[q], d, p))
+    p, q, d = p[order], q[order], d[order]
+    first = np.arange(len(p)) - np.searchsorted(p, p) < k
+    return p[first], q[first], d[first]
+
+
+def within(x: np.ndarray, y: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of x, row of y, distance) of all pairs within their limits; a few others may be among them."""
+    p, q = np.nonzero(~(_squares(x, y) > limit**2 + _margin(x, y)))
+    return p, q, _of_pairs(x, y, p, q)
+
+
 def _kinds(rows: DataFrame, by: list[str]) -> str:
     return ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in by)
 
@@ -56,16 +101,13 @@ def nearest_rows(rows: DataFrame, by: list[str], k: int) -> DataFrame:
         first = pdf._block.to_numpy() == pdf._i.iloc[0]
         one = pdf._i.iloc[0] == pdf._j.iloc[0]
         x, ids = np.stack(pdf.x.to_numpy()), pdf.id.to_numpy(np.int64)
-        d = _distances(x[first], x if one else x[~first])
-        if one:
-            np.fill_diagonal(d, np.inf)
-        parts = [(np.flatnonzero(first), np.arange(len(x)) if one else np.flatnonzero(~first), d)]
-        parts += [] if one else [(np.flatnonzero(~first), np.flatnonzero(first), d.T)]
-        out = []
-        for which, others, own in parts:
-            order = np.lexsort((np.broadcast_to(ids[others], own.shape), own), axis=1)[:, :k]
-            near = [(v[np.isfinite(v)], ids[others[o]][np.isfinite(v)]) for v, o in zip(np.take_along_axis(own, order, axis=1), order)]
-            out.append(pdf.iloc[which][[*by, "id"]].assign(d=[v for v, _ in near], other=[o for _, o in near]))
+        mine, others = np.flatnonzero(first), np.flatnonzero(first if one else ~first)
+        squares, out = _squares(x[mine], x[others]), []
+        for which, to, own in [(mine, others, squares)] if one else [(mine, others, squares), (others, mine, squares.T)]:
+            if len(which):
+                p, q, d = closest(x[which], x[to], ids[to], k, own, one)
+                cuts = np.searchsorted(p, np.arange(1, len(which)))
+                out.append(pdf.iloc[which][[*by, "id"]].assign(d=np.split(d, cuts), other=np.split(ids[to][q], cuts)))
         return pd.concat(out)
 
     dealt, _ = _blocked(rows.select(*by, "id", F.col("x").cast("array<double>").alias("x")), by)
@@ -73,9 +115,13 @@ def nearest_rows(rows: DataFrame, by: list[str], k: int) -> DataFrame:
     return near.groupBy(*by, "id").agg(F.slice(F.array_sort(F.flatten(F.collect_list(F.arrays_zip("d", "other")))), 1, k).alias("near"))
 
 
+def _core() -> Column:
+    return F.coalesce(F.array_max("near")["d"], F.lit(0.0)).alias("core")
+
+
 def core_distances(rows: DataFrame, by: list[str], k: int) -> DataFrame:
     """(by, id, core): distance to the k-th nearest other row of the group, or to the farthest if there are fewer."""
-    return nearest_rows(rows, by, k).select(*by, "id", F.coalesce(F.array_max("near")["d"], F.lit(0.0)).alias("core"))
+    return nearest_rows(rows, by, k).select(*by, "id", _core())
 
 
 def _leading(a: np.ndarray, b: np.ndarray, w: np.ndarray, n: int, k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -172,25 +218,87 @@ def spanning(a: np.ndarray, b: np.ndarray, w: np.ndarray) -> np.ndarray:
         part = up[part]
 
 
+def laid_out(a: np.ndarray, b: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a forest (of `spanning`) in an order in which the longest edge between two of them is the largest gap between their places, and the gap after each place (infinite between trees)."""
+    ids, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    n, order = len(ids), np.lexsort((b, a, w))
+    top, last, after, gap, count = list(range(n)), list(range(n)), [-1] * n, [np.inf] * n, [1] * n
+    x, y, w = ends[: len(a)][order].tolist(), ends[len(a) :][order].tolist(), w[order].tolist()
+
+    def root(k: int) -> int:
+        while top[k] != k:
+            top[k] = top[top[k]]
+            k = top[k]
+        return k
+
+    for p, q, v in zip(x, y, w):  # the smaller part is put behind the larger one; a part's root is its first place
+        p, q = root(p), root(q)
+        p, q = (p, q) if count[p] >= count[q] else (q, p)
+        after[last[p]], gap[last[p]] = q, v
+        top[q], last[p], count[p] = p, last[q], count[p] + count[q]
+    places = []
+    for k in (k for k in range(n) if top[k] == k):
+        while k >= 0:
+            places.append(k)
+            k = after[k]
+    return ids[places], np.array(gap)[places]
+
+
 def spanning_tree(rows: DataFrame, by: list[str], min_samples: int = 5) -> DataFrame:
     """(by, a, b, w): the n - 1 edges of each group's minimum spanning tree of mutual reachability, a < b."""
-    kinds = f"{_kinds(rows, by)}, _i int, a long, b long, w double"
+    size, edge = BLOCK, f"{_kinds(rows, by)}, _i int, a long, b long, w double"
 
-    def cell(pdf: pd.DataFrame) -> pd.DataFrame:
-        core = pdf.core.to_numpy()
-        x = np.stack(pdf.x.to_numpy())
+    def block(pdf: pd.DataFrame) -> pd.DataFrame:
+        core, x = pdf.core.to_numpy(), np.stack(pdf.x.to_numpy())
         a, b, w = _prim(pdf.id.to_numpy(), np.maximum(_distances(x, x), np.maximum(core[:, None], core[None])))
-        return pd.DataFrame({**{c: pdf[c].iloc[0] for c in by}, "_i": np.int32(pdf._i.iloc[0]), "a": a, "b": b, "w": w}, index=range(len(a)))
+        return pd.DataFrame({**{c: pdf[c].iloc[0] for c in by}, "_i": np.int32(0), "a": a, "b": b, "w": w}, index=range(len(a)))
 
     def merged(pdf: pd.DataFrame) -> pd.DataFrame:
         return pdf.iloc[spanning(pdf.a.to_numpy(), pdf.b.to_numpy(), pdf.w.to_numpy())]
 
-    own = rows.select(*by, "id", F.col("x").cast("array<double>").alias("x"))
-    dealt, most = _blocked(own.join(core_distances(rows, by, min_samples), [*by, "id"]), by)
-    edges = _cells(dealt, F.col("_blocks") == 1).groupBy(*by, "_i", "_j").applyInPandas(cell, kinds)
+    def guide(pdf: pd.DataFrame) -> pd.DataFrame:
+        tree = merged(pdf)
+        ids, gap = laid_out(tree.a.to_numpy(), tree.b.to_numpy(), tree.w.to_numpy())
+        n = len(ids)
+        of_block = np.zeros((-(-n // size), size))
+        of_block.ravel()[:n] = gap
+        ahead = np.maximum.accumulate(of_block[:, ::-1], axis=1)[:, ::-1]
+        behind = np.maximum.accumulate(np.pad(of_block, ((0, 0), (1, 0)))[:, :-1], axis=1)
+        return pd.DataFrame({**{c: pdf[c].iloc[0] for c in by}, "id": ids, "_place": np.arange(n), "_block": (np.arange(n) // size).astype(np.int32), "_gap": gap, "_ahead": ahead.ravel()[:n], "_behind": behind.ravel()[:n]}, index=range(n))
+
+    def cell(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_place")
+        i, j = pdf._i.iloc[0], pdf._j.iloc[0]
+        one, two = (pdf, pdf) if i == j else (pdf[pdf._block == i], pdf[pdf._block == j])
+        if i == j:
+            gap, limit = pdf._gap.to_numpy(), np.zeros((len(pdf), len(pdf)))
+            for k in range(len(pdf) - 1):
+                limit[k, k + 1 :] = np.maximum.accumulate(gap[k:-1])
+        else:
+            limit = np.maximum(np.maximum(one._ahead.to_numpy()[:, None], two._behind.to_numpy()[None]), pdf._over.iloc[0])
+        p, q, w = within(np.stack(one.x.to_numpy()), np.stack(two.x.to_numpy()), limit)
+        p, q, w = (p[p < q], q[p < q], w[p < q]) if i == j else (p, q, w)
+        w = np.maximum(w, np.maximum(one.core.to_numpy()[p], two.core.to_numpy()[q]))
+        a, b = one.id.to_numpy()[p], two.id.to_numpy()[q]
+        a, b = np.minimum(a, b), np.maximum(a, b)
+        own = spanning(a, b, w)
+        return pd.DataFrame({**{c: pdf[c].iloc[0] for c in by}, "_i": np.int32(i), "a": a[own], "b": b[own], "w": w[own]}, index=range(len(own)))
+
+    near = stored(nearest_rows(rows, by, min_samples))
+    core = near.select(*by, "id", _core())
+    own = rows.select(*by, "id", F.col("x").cast("array<double>").alias("x")).join(core, [*by, "id"])
+    blocks = _blocked(own, by)[0].groupBy(*by, "_block").applyInPandas(block, edge)
+    pairs = near.select(*by, "id", _core(), F.explode("near").alias("_n")).select(*by, "id", "core", F.col("_n.other").alias("_other"), F.col("_n.d").alias("_d")).join(core.select(*by, F.col("id").alias("_other"), F.col("core").alias("_core")), [*by, "_other"])
+    pairs = pairs.select(*by, F.lit(0).alias("_i"), F.least("id", "_other").alias("a"), F.greatest("id", "_other").alias("b"), F.greatest("_d", "core", "_core").alias("w"))
+    places = stored(blocks.unionByName(pairs).groupBy(*by).applyInPandas(guide, f"{_kinds(rows, by)}, id long, _place long, _block int, _gap double, _ahead double, _behind double"))
+    gaps = places.groupBy(*by, "_block").agg(F.max("_gap").alias("top")).groupBy(*by).agg(F.count("*").cast("int").alias("_blocks"), F.array_sort(F.collect_list(F.struct("_block", "top")))["top"].alias("_tops"))
+    most = gaps.agg(F.max("_blocks")).first()[0] or 0
+    over = F.coalesce(F.array_max(F.slice("_tops", F.col("_i") + 2, F.greatest(F.col("_j") - F.col("_i") - 1, F.lit(0)))), F.lit(0.0))
+    cells = _cells(own.join(places, [*by, "id"]).join(gaps, by), F.lit(True)).withColumn("_over", over).drop("_tops", "_other", "_blocks")
+    edges = cells.groupBy(*by, "_i", "_j").applyInPandas(cell, edge)
     fan = 1
     while most > 1:  # the trees of the cells of one block, then of FAN blocks, and so on
-        edges = edges.withColumn("_i", F.floor(F.col("_i") / fan).cast("int")).groupBy(*by, "_i").applyInPandas(merged, kinds)
+        edges = edges.withColumn("_i", F.floor(F.col("_i") / fan).cast("int")).groupBy(*by, "_i").applyInPandas(merged, edge)
         most, fan = (-(-most // fan) if fan > 1 else most), FAN
     return edges.select(*by, "a", "b", "w")
 

@@ -182,3 +182,34 @@ def test_leading_vectors_are_those_of_the_whole_matrix():
     a, b = np.nonzero(dense)
     values, vectors = density._leading(a, b, dense[a, b], n, 5, 1)
     assert np.allclose(values, np.linalg.eigvalsh(dense)[::-1][:5], atol=1e-6) and np.allclose(dense @ vectors, vectors * values, atol=1e-3)
+
+
+def test_few_pairs_get_exact_distances():
+    rng = np.random.default_rng(6)
+    x, y = rng.normal(size=(300, 64)), rng.normal(size=(200, 64))
+    d = density._distances(x, y)
+    limit = np.full(d.shape, np.quantile(d, 0.01))
+    p, q, got = density.within(x, y, limit)
+    assert len(p) == 600 and (d <= limit).sum() == 600 and np.array_equal(got, d[p, q])
+    for x, scale in ((rng.integers(0, 3, (120, 2)).astype(float), 1.0), (rng.normal(size=(120, 2)), 1e200), (np.zeros((5, 2)), 1.0)):
+        ids, x = rng.permutation(len(x)), x * scale
+        p, q, got = density.closest(x, x, ids, 5, density._squares(x, x), True)
+        d = density._distances(x, x)
+        np.fill_diagonal(d, np.inf)
+        want = [sorted((d[i, j], ids[j]) for j in range(len(x)) if np.isfinite(d[i, j]))[:5] for i in range(len(x))]
+        assert [list(zip(got[p == i], ids[q[p == i]])) for i in range(len(x))] == want
+
+
+def test_longest_edge_of_a_path_is_the_largest_gap():
+    rng = np.random.default_rng(5)
+    n = 40
+    tree = [(i, int(rng.integers(0, i)), float(rng.integers(0, 9))) for i in range(1, n) if i not in (7, 20)]  # three trees
+    longest = np.full((n, n), np.inf)
+    np.fill_diagonal(longest, 0)
+    for a, b, w in tree:
+        longest[a, b] = longest[b, a] = w
+    for k in range(n):
+        longest = np.minimum(longest, np.maximum(longest[:, k, None], longest[None, k]))
+    ids, gap = density.laid_out(*(np.array(v) for v in zip(*tree)))
+    place = {int(i): k for k, i in enumerate(ids)}
+    assert all(gap[min(place[a], place[b]) : max(place[a], place[b])].max() == longest[a, b] for a in place for b in place if a != b)
