@@ -132,17 +132,25 @@ def _leading(a: np.ndarray, b: np.ndarray, w: np.ndarray, n: int, k: int, seed:
         values, vectors = np.linalg.eigh(dense)
     else:  # Rayleigh-Ritz in the space of a block and its first products with the matrix
         begin = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))  # every row has entries
-        times = lambda v: np.add.reduceat(w[:, None] * v[b], begin, axis=0)
-        block = np.linalg.qr(np.random.default_rng(seed).normal(size=(n, k + 2)))[0]
-        basis = block
-        for _ in range(24):
+        part, wide = 4096, k + 2
+
+        def times(v: np.ndarray) -> np.ndarray:
+            """The product with some vectors, part by part: no more than a part's entries are spread out at a time."""
+            out = np.empty_like(v)
+            for r in range(0, n, part):
+                own = slice(begin[r], begin[r + part] if r + part < n else len(a))
+                out[r : r + part] = np.add.reduceat(w[own, None] * v[b[own]], begin[r : r + part] - begin[r], axis=0)
+            return out
+
+        basis = np.empty((n, 25 * wide))
+        basis[:, :wide] = block = np.linalg.qr(np.random.default_rng(seed).normal(size=(n, wide)))[0]
+        for m in range(wide, 25 * wide, wide):
             block = times(block)
             for _ in range(2):
-                block = block - basis @ (basis.T @ block)
-            block = np.linalg.qr(block)[0]
-            basis = np.concatenate([basis, block], axis=1)
-        values, small = np.linalg.eigh(basis.T @ times(basis))
-        vectors = basis @ small
+                block = block - basis[:, :m] @ (basis[:, :m].T @ block)
+            basis[:, m : m + wide] = block = np.linalg.qr(block)[0]
+        values, vectors = np.linalg.eigh(np.concatenate([basis.T @ times(basis[:, m : m + wide]) for m in range(0, 25 * wide, wide)], axis=1))
+        return values[::-1][:k], basis @ vectors[:, ::-1][:, :k]
     return values[::-1][:k], vectors[:, ::-1][:, :k]
 
 
@@ -150,20 +158,24 @@ def spectral_clusters(rows: DataFrame, by: list[str], neighbours: int = 30, choi
     """(by, id, label, k): spectral clusters over the graph of nearest rows, k being the choice with the largest gap between eigenvalues.
 
     The graph is an edge table, made block by block; each pair weighs a half for each side that has the other among its nearest. A group's graph, at most
-    2 * neighbours edges a row, is one task's work: leading vectors of its normalised matrix, then k-means on them. Labels are numbered by their first id.
+    2 * neighbours edges a row, is one task's work: leading vectors of its normalised matrix, then k-means on them. It comes with a row for each of its rows; the task holds
+    about 16 bytes for each edge and 8 * 25 * (max(choices) + 3) for each row. Labels are numbered by their first id.
     """
-    near = nearest_rows(rows, by, neighbours).select(*by, F.col("id").alias("a"), F.explode_outer("near").alias("x")).select(*by, "a", F.col("x.other").alias("b"))
-    both = near.unionByName(near.where("b IS NOT NULL").select(*by, F.col("b").alias("a"), F.col("a").alias("b")))
-    edges = both.groupBy(*by, "a", "b").agg((F.count("*") / 2).alias("w"))
+    near = nearest_rows(rows, by, neighbours).select(*by, F.col("id").alias("p"), F.explode_outer("near").alias("x")).select(*by, "p", F.col("x.other").alias("q"))
+    side = lambda a, b: F.struct(F.col(a).alias("a"), F.col(b).alias("b"))
+    both = near.select(*by, F.explode(F.when(F.col("q").isNull(), F.array(side("p", "q"))).otherwise(F.array(side("p", "q"), side("q", "p")))).alias("e")).select(*by, "e.*")
+    edges = both.repartition(*by, "a").groupBy(*by, "a", "b").agg((F.count("*") / 2).alias("w"))
+    sides = edges.groupBy(*by, "a").agg(F.array_sort(F.collect_list(F.when(F.col("b").isNotNull(), F.struct("b", "w")))).alias("e")).select(*by, "a", F.col("e.b").alias("b"), F.col("e.w").alias("w"))
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, keys = np.unique(pdf.a.to_numpy(np.int64)), {c: pdf[c].iloc[0] for c in by}
-        pdf = pdf[pdf.b.notna()].sort_values(["a", "b"])
+        pdf = pdf.sort_values("a")
+        ids, keys = pdf.a.to_numpy(np.int64), {c: pdf[c].iloc[0] for c in by}
         n, label, k = len(ids), np.zeros(len(ids), np.int64), 1
         if n > 2:
-            a, b = np.searchsorted(ids, pdf.a.to_numpy(np.int64)), np.searchsorted(ids, pdf.b.to_numpy(np.int64))
-            degree = np.bincount(a, pdf.w.to_numpy(), n)
-            values, vectors = _leading(a, b, pdf.w.to_numpy() / np.sqrt(degree[a] * degree[b]), n, min(max(choices) + 1, n), seed)
+            a, b, w = np.repeat(np.arange(n, dtype=np.int32), pdf.b.map(len)), np.searchsorted(ids, np.concatenate(pdf.b.to_list())).astype(np.int32), np.concatenate(pdf.w.to_list())
+            degree = np.bincount(a, w, n)
+            w /= np.sqrt(degree[a] * degree[b])
+            values, vectors = _leading(a, b, w, n, min(max(choices) + 1, n), seed)
             open_ = [c for c in choices if c < len(values)]
             k = max(open_, key=lambda c: values[c - 1] - values[c]) if open_ else 1
             found = models._lloyd(vectors[:, :k] / np.sqrt(degree)[:, None], k, seed)
@@ -171,7 +183,7 @@ def spectral_clusters(rows: DataFrame, by: list[str], neighbours: int = 30, choi
             label = np.argsort(np.argsort(first))[label]
         return pd.DataFrame({**keys, "id": ids, "label": label.astype(np.int32), "k": np.int32(k)}, index=range(n))
 
-    return edges.groupBy(*by).applyInPandas(one, f"{_kinds(rows, by)}, id long, label int, k int")
+    return sides.groupBy(*by).applyInPandas(one, f"{_kinds(rows, by)}, id long, label int, k int")
 
 
 def _prim(ids: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -1,5 +1,7 @@
 """Density clustering against plain versions over whole distance matrices."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -213,3 +215,14 @@ def test_longest_edge_of_a_path_is_the_largest_gap():
     ids, gap = density.laid_out(*(np.array(v) for v in zip(*tree)))
     place = {int(i): k for k, i in enumerate(ids)}
     assert all(gap[min(place[a], place[b]) : max(place[a], place[b])].max() == longest[a, b] for a in place for b in place if a != b)
+
+
+def test_leading_vectors_take_few_bytes_a_row():
+    rng = np.random.default_rng(8)
+    n, k = 6000, 40
+    a, b = np.repeat(np.arange(n), k), rng.integers(0, n, n * k)
+    tracemalloc.start()
+    density._leading(a, b, np.full(n * k, 1 / k), n, 9, 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12_000 * n  # with all edges times all vectors: more than 170,000
