@@ -356,3 +356,16 @@ def test_units_stay_in_their_tasks(spark):
     plan = trains.irregularity(rows, grid, 5)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "REPARTITION_BY_NUM" in plan and "hashpartitioning(well#" in plan
     assert not any("hashpartitioning(well" in line and "unit_id" not in line for line in plan.splitlines())  # never by well alone
+
+
+def test_appended_rows_are_made_once(spark, tmp_path):
+    schema = "seq long, recording_key string, well_id string, task string, status string, config string, output_path string, error string"
+    log = spark.createDataFrame([(0, "r", "w", "a", "NOT_RUN", None, None, None), (1, "r", "w", "a", "RUNNING", "c1", "/p", None)], schema)
+    change = lambda task, status: spark.createDataFrame([(2, "r", "w", task, status, "c2", None, "bad")], schema)
+    out = statuslog.appended(log, change("a", "FAILED"), str(tmp_path / "one"))
+    assert [tuple(r) for r in out.collect()] == [(2, "r", "w", "a", "FAILED", "c1", "/p", "bad")] == [tuple(r) for r in statuslog.updated(log, change("a", "FAILED")).collect()]
+    assert out.columns == log.columns and "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(KeyError):
+        statuslog.appended(log, change("b", "FAILED"), str(tmp_path / "two"))
+    with pytest.raises(ValueError):
+        statuslog.appended(log, change("a", "NOT_RUN"), str(tmp_path / "three"))
