@@ -339,6 +339,23 @@ def test_status_rows_are_dealt_by_their_number(spark, tmp_path, monkeypatch):
         assert plan.count("Exchange hashpartitioning(") == (2 if name == "ready_counts" else 1), name
 
 
+def test_queue_and_totals_are_dealt_by_their_number(spark, tmp_path, monkeypatch):
+    from spikeloom.functions import lineage
+
+    rows = [(k // 3, k % 3, k, 11.0, "A", "O") for k in range(900)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double, l_returnflag string, l_linestatus string").write.parquet(str(tmp_path / "lineitem.parquet"))
+    orders = spark.createDataFrame([(k, k % 7, 1.0, "1-URGENT") for k in range(300)], "o_orderkey long, o_custkey long, o_totalprice double, o_orderpriority string")
+    orders.withColumn("o_orderdate", F.lit("1996-01-01").cast("timestamp_ntz")).write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(lineage, "ROWS", 50)
+    for name, by_samples in (("ready_queue", 0), ("kpi_totals", 1)):
+        df = queries.QUERIES[name](spark, str(tmp_path))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("REPARTITION_BY_NUM") == 1 and ", 18), REPARTITION_BY_NUM" in plan, name
+        assert plan.count("Exchange hashpartitioning(") == 1 + by_samples, name  # wells are sorted and counted where they are dealt
+    got = df.first()
+    assert (got.n_recordings, got.n_samples, got.n_wells, got.n_tasks) == (300, 7, 900, 6300)
+
+
 def test_updates_meet_the_log_in_one_shuffle(spark):
     schema = "seq long, recording_key string, well_id string, task string, status string, config string, output_path string, error string"
     log = spark.createDataFrame([(0, "r", "w", "a", "NOT_RUN", None, None, None), (1, "r", "w", "a", "RUNNING", "c1", "/p", None), (0, "r", "v", "a", "NOT_RUN", None, None, None)], schema)
